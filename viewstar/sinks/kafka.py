@@ -1,0 +1,19 @@
+"""Writing messages to a topic. Needs Spark's Kafka connector on the class path."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+
+def write_topic(messages: DataFrame, topic: str, options: Mapping[str, str],
+                checkpoint: str, trigger: Mapping[str, object] | None = None
+                ) -> StreamingQuery:
+    """Start a query that sends ``key`` and ``value`` of each row to ``topic``."""
+    return (
+        messages.select("key", "value").writeStream.format("kafka").options(**options)
+        .option("topic", topic).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
