@@ -157,7 +157,7 @@ def landing_scan(spark, sf_dir):
 
 def warehouse_scan(spark, sf_dir):
     warehouse = Staging(spark).path("warehouse")
-    build_star(t.product_views(spark, sf_dir), warehouse, strict_mode=False)
+    build_star(t.product_views(spark, sf_dir), warehouse, strict=False)
     return read_table(spark, warehouse, "dim_referrer").select("referrer_key", "referrer_url")
 
 

@@ -1,0 +1,149 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from viewstar.functions.documents import (
+    as_text, decode_text, document_schema, event_fields, nested_to_json, normalised_json,
+    parse_json, route, union_of_keys)
+from viewstar.operators.ingest import forwarded, landed, routed
+from viewstar.schemas import ENVELOPE
+
+MESSAGES = [
+    (b'{"a":1}', "doc"),
+    (b"nope", "raw"),
+    (b"a\xffb", "raw"),
+    (b"[1]", "error"),
+    (b"5", "error"),
+    (b"null", "error"),
+    (b'"text"', "error"),
+    (None, "error"),
+    (b'{"a":{"b":[1,2]}}', "doc"),
+    (b'{"a":1,"a":2}', "doc"),
+    (b'{"a":NaN}', "raw"),
+    (b"", "raw"),
+    (b"  ", "raw"),
+    (b'{"a":1} trailing', "raw"),
+    (b'{"a":1}]', "raw"),
+    (b'{"a":1}}', "raw"),
+    (b"1,2", "raw"),
+    (b"{'a':1}", "raw"),
+    (b' \n{"a":1}\t', "doc"),
+    (b"{", "raw"),
+    (b"01", "raw"),
+    (b'{"a":"caf\xc3\xa9"}', "doc"),
+]
+
+
+def envelope(spark, values):
+    rows = [(None, bytearray(v) if v is not None else None, "t", 0, i, None, 0)
+            for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, ENVELOPE)
+
+
+def test_routes(spark):
+    df = routed(envelope(spark, [value for value, _ in MESSAGES]))
+    got = [r.route for r in df.orderBy("offset").collect()]
+    assert got == [expected for _, expected in MESSAGES]
+
+
+def test_routes_follow_a_strict_parser(spark):
+    """Against Python's parser on whole texts; its NaN literals are the known exception."""
+    values = [v for v, _ in MESSAGES if v is not None and b"NaN" not in v]
+    df = routed(envelope(spark, values)).orderBy("offset")
+    for value, row in zip(values, df.collect()):
+        text = value.decode("utf-8", errors="replace")
+        try:
+            expected = "doc" if isinstance(json.loads(text), dict) else "error"
+        except json.JSONDecodeError:
+            expected = "raw"
+        assert (row.text, row.route) == (text, expected)
+
+
+@pytest.mark.parametrize("value", [
+    b"ok", b"a\xffb", b"\xe2\x82", b"\xf0\x9f\x98", b"\xc3(", b"\xed\xa0\x80", b"\x80\x80",
+    b"\xf0\x9f\x98\x80", "naïve".encode(), b""])
+def test_decode_like_replace(spark, value):
+    df = spark.createDataFrame([(bytearray(value),)], "v binary")
+    assert df.select(decode_text("v")).first()[0] == value.decode("utf-8", errors="replace")
+
+
+def test_duplicate_keys_are_raw_unless_allowed(spark):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        df = spark.createDataFrame([('{"a":1,"a":2}',)], "t string")
+        assert df.select(route("t", parse_json("t"))).first()[0] == "raw"
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+def test_last_duplicate_wins(spark):
+    df = spark.createDataFrame([('{"device_id":"x","device_id":"y"}',)], "t string")
+    assert df.select(event_fields("t", F.lit(True))["device_id"]).first()[0] == "y"
+    variant = parse_json("t")
+    assert df.select(F.variant_get(variant, "$.device_id", "string")).first()[0] == "y"
+
+
+@pytest.mark.parametrize("text", [
+    '{"b": 1.0, "a": [1, {"z": null}]}', "[1, 2]", "5", '"x"', "null", " true ",
+    '{"n": 123456789012345678901234567890}', '{"u": "\\u00e9"}'])
+def test_normalised_json_keeps_its_meaning(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    got = df.select(normalised_json("t")).first()[0]
+    assert json.loads(got) == json.loads(text)
+    assert got == got.strip()
+
+
+def test_forwarding_drops_the_key_and_flags_the_rest(spark):
+    rows = forwarded(envelope(spark, [b'{"a": 1}', b"nope", b"[1]", None])).orderBy(
+        "offset").collect()
+    assert [r.valid for r in rows] == [True, False, True, False]
+    assert [r.key for r in rows] == [None] * 4
+    assert [bytes(r.value) if r.value is not None else None for r in rows] == [
+        b'{"a":1}', b"nope", b"[1]", None]
+
+
+def test_fields_as_text(spark):
+    texts = ['{"product_id": 1}', '{"product_id": "1"}', '{"product_id": {"x": [1, 2]}}',
+             '{"product_id": null}', '{"other": 5}', '{"product_id": true}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    fields = df.select(event_fields("t", F.lit(True))["product_id"].alias("product_id"))
+    assert [r[0] for r in fields.collect()] == ["1", "1", '{"x":[1,2]}', None, None, "true"]
+    filled = as_text(fields, ("product_id",))
+    assert [r[0] for r in filled.collect()] == ["1", "1", '{"x":[1,2]}', "", "", "true"]
+
+
+def test_raw_and_rejected_messages_land(spark):
+    rows = landed(envelope(spark, [b"nope", b"5", b'{"local_time":"2024-01-07T10:00:00"}'])
+                  ).orderBy("offset").collect()
+    assert [(r.route, r.text) for r in rows][:2] == [("raw", "nope"), ("error", "5")]
+    assert rows[0].event_date is None and str(rows[2].event_date) == "2024-01-07"
+    assert rows[2]._id == "t-0-2"
+
+
+def test_nested_columns_become_json(spark):
+    df = spark.sql("""SELECT 1 AS a, named_struct('x', 1) AS s, array(1, 2) AS l,
+                      map('k', 'v') AS m, parse_json('{"q": [1]}') AS v""")
+    row = nested_to_json(df).first()
+    assert row.a == 1
+    assert [json.loads(row[c]) for c in "slmv"] == [{"x": 1}, [1, 2], {"k": "v"}, {"q": [1]}]
+
+
+def test_union_of_keys_and_missing_columns(spark):
+    one = spark.createDataFrame([("1", None)], "a string, b string")
+    two = spark.createDataFrame([(2,)], "c int")
+    union = union_of_keys([one, two])
+    assert union.columns == ["a", "b", "c"]
+    rows = as_text(union, ("a", "b", "c", "d")).collect()
+    assert sorted(tuple(r) for r in rows) == [("", "", "2", ""), ("1", "", "", "")]
+
+
+def test_nulls_can_be_kept(spark):
+    df = spark.createDataFrame([(None, 1)], "a string, b int")
+    assert tuple(as_text(df, ("a", "b"), keep_nulls=True).first()) == (None, "1")
+
+
+def test_schema_of_all_documents(spark):
+    df = spark.createDataFrame([('{"a":1}',), ('{"a":"x","b":[true]}',)], "t string")
+    schema = document_schema(df.select(parse_json("t").alias("d")), "d").first()[0]
+    assert schema == "OBJECT<a: VARIANT, b: ARRAY<BOOLEAN>>"

@@ -65,16 +65,26 @@ def _measures(views, visitors, first, last, seconds, timed) -> list[Column]:
     ]
 
 
+def with_surrogate_keys(grain: DataFrame, dims: dict[str, DataFrame],
+                        sizes: dict[str, int] | None = None,
+                        broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``grain``, a stored table, with the surrogate keys of the four member dimensions."""
+    fact = grain
+    for natural, (table, key) in NATURAL_KEYS.items():
+        fact = lookup(fact, dims[table], natural, key, (sizes or {}).get(table), grain,
+                      broadcast_bytes)
+    return fact
+
+
 def fact_from_grain(grain: DataFrame, dims: dict[str, DataFrame],
+                    sizes: dict[str, int] | None = None,
                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The fact over dimensions that hold every natural key of ``grain``, a stored table.
 
     Each grain row is one fact row. A group holds one device, so it has one visitor, or
-    none where the device is null.
+    none where the device is null. ``sizes`` are broadcast sizes already known.
     """
-    fact = grain
-    for natural, (table, key) in NATURAL_KEYS.items():
-        fact = lookup(fact, dims[table], natural, key, grain, broadcast_bytes)
+    fact = with_surrogate_keys(grain, dims, sizes, broadcast_bytes)
     return fact.select(
         date_key("date").alias("date_key"), *FACT_KEYS[1:],
         *_measures(F.col("views"), F.col("device_id").isNotNull().cast("int"),
@@ -83,16 +93,17 @@ def fact_from_grain(grain: DataFrame, dims: dict[str, DataFrame],
 
 
 def fact_by_lookup(grain: DataFrame, dims: dict[str, DataFrame],
+                   sizes: dict[str, int] | None = None,
                    broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The fact over dimensions that may lack members, the calendar included.
 
     A key that finds no member becomes null, so several groups can fall into one; the
     grain rows are combined again on the surrogate keys.
     """
+    # A calendar has at most 366 rows a year.
     calendar = F.broadcast(dims["dim_date"].select("date", "date_key"))
-    fact = grain.join(calendar, "date", "left")
-    for natural, (table, key) in NATURAL_KEYS.items():
-        fact = lookup(fact, dims[table], natural, key, grain, broadcast_bytes)
+    fact = with_surrogate_keys(grain, dims, sizes, broadcast_bytes).join(
+        calendar, "date", "left")
     merged = fact.groupBy(*FACT_KEYS).agg(
         F.sum("views").alias("views"), F.count_distinct("device_id").alias("visitors"),
         F.min("first_view_time").alias("first"), F.max("last_view_time").alias("last"),

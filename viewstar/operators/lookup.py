@@ -12,24 +12,33 @@ HOT_SHARE = 10_000
 SPREAD = 1 << 16
 
 
-def measured_bytes(dim: DataFrame, natural: str) -> int:
-    """Bytes of the natural key with 64 more per row for the key and the hash table."""
-    size = dim.agg(F.sum(F.octet_length(natural).cast("bigint") + F.lit(64)))
-    return size.first()[0] or 0
+# Added per row to the bytes of its text: the surrogate key and the hash table's share.
+ROW_BYTES = 64
+
+
+def broadcast_size(count: int, text_bytes: int) -> int:
+    return count * ROW_BYTES + text_bytes
+
+
+def measured_size(dim: DataFrame, natural: str) -> int:
+    """The size of a dimension's two key columns in a broadcast."""
+    return broadcast_size(*dim.agg(
+        F.count("*"), F.coalesce(F.sum(F.octet_length(natural)), F.lit(0))).first())
 
 
 def lookup(fact: DataFrame, dim: DataFrame, natural: str, key: str,
-           keys_of: DataFrame | None = None,
+           size: int | None = None, keys_of: DataFrame | None = None,
            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``fact`` with the column ``key`` of ``dim``; null where the natural key has no match.
 
     A null natural key never matches. ``dim`` has one row per natural key. A dimension
-    of measured small size is broadcast; a larger one is joined by shuffle with hot
-    values kept out of it. ``keys_of`` is a cheaper frame with the same distribution of
-    ``natural`` than ``fact`` (the stored table ``fact`` derives from).
+    of known small size is broadcast (measured here unless ``size`` tells it); a larger
+    one is joined by shuffle with hot values kept out of it. ``keys_of`` is a cheaper
+    frame with the same distribution of ``natural`` than ``fact`` (the stored table
+    ``fact`` derives from).
     """
     pairs = dim.select(F.col(natural).alias("_natural"), F.col(key))
-    if measured_bytes(dim, natural) <= broadcast_bytes:
+    if (measured_size(dim, natural) if size is None else size) <= broadcast_bytes:
         return fact.join(F.broadcast(pairs), F.col(natural) == F.col("_natural"),
                          "left").drop("_natural")
     return spread_lookup(fact, pairs, natural, key, fact if keys_of is None else keys_of)

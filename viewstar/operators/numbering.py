@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -25,19 +27,40 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str, staging: Stag
     counts and the result read that. ``within`` should have few values (dates, kinds):
     the counts table has at most one row per range partition plus one per group.
     """
-    placed = _place(df, [*within, *order_by])
-    return _finish(staging.table(placed, f"placed-{name}"), name, within)
+    placed = staging.table(_place(df, [*within, *order_by]), f"placed-{name}")
+    return _numbered(placed, _offsets(placed, within), name, within)
 
 
-def number_groups(df: DataFrame, group: str, values: Sequence[str],
-                  order_by: Sequence[str], name: str, staging: Staging
-                  ) -> dict[str, DataFrame]:
-    """``number_rows`` within each value of ``group``, one frame per value.
+@dataclass(frozen=True)
+class Group:
+    """The numbered rows of one group, how many they are, and the bytes of their text."""
 
-    All groups share one shuffle and one write, and each frame reads its own folder.
+    rows: DataFrame
+    count: int
+    text_bytes: int
+
+
+def number_groups(df: DataFrame, group: str, values: Sequence[str], text: str, name: str,
+                  staging: Staging) -> dict[str, Group]:
+    """``number_rows`` by ``text`` within each value of ``group``, one frame per value.
+
+    All groups share one shuffle, one write and one counts table; each frame reads its
+    own folder, and its size is known without another pass.
     """
-    placed = staging.split(_place(df, [group, *order_by]), f"placed-{name}", group, values)
-    return {value: _finish(part, name, ()) for value, part in placed.items()}
+    parts = staging.split(_place(df, [group, text]), f"placed-{name}", group, values)
+    everything = reduce(DataFrame.unionByName, [
+        part.withColumn(group, F.lit(value)) for value, part in parts.items()])
+    offsets = staging.table(
+        _offsets(everything, [group], F.sum(F.octet_length(text)).alias("_bytes")),
+        f"offsets-{name}")
+    sizes = {row[0]: row for row in offsets.groupBy(f"_w_{group}").agg(
+        F.sum("_n"), F.sum("_bytes")).collect()}
+    return {
+        value: Group(
+            _numbered(part, offsets.filter(F.col(f"_w_{group}") == value), name, ()),
+            *(sizes[value][1:] if value in sizes else (0, 0)))
+        for value, part in parts.items()
+    }
 
 
 def _place(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -49,26 +72,26 @@ def _place(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _offsets(placed: DataFrame, within: Sequence[str]) -> DataFrame:
+def _offsets(placed: DataFrame, within: Sequence[str], *measures: Column) -> DataFrame:
+    """Rows held by the partitions before each one; the window sees these counts only."""
     before = (
         Window.partitionBy(*within, F.lit(0)).orderBy("_part")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        placed.groupBy(*within, "_part")
-        .agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .select(*[F.col(c).alias(f"_w_{c}") for c in within],
-                F.col("_part").alias("_w_part"), "_first", "_before")
-    )
+    counts = placed.groupBy(*within, "_part").agg(
+        F.count("*").alias("_n"), F.min("_place").alias("_first"), *measures)
+    return counts.withColumn(
+        "_before", F.coalesce(F.sum("_n").over(before), F.lit(0))
+    ).withColumnsRenamed({c: f"_w_{c}" for c in [*within, "_part"]})
 
 
-def _finish(placed: DataFrame, name: str, within: Sequence[str]) -> DataFrame:
-    offsets = _offsets(placed, within)
-    same = F.col("_part") == F.col("_w_part")
+def _numbered(placed: DataFrame, offsets: DataFrame, name: str,
+              within: Sequence[str]) -> DataFrame:
+    same = F.col("_part") == F.col("_w__part")
     for column in within:
         same = same & F.col(column).eqNullSafe(F.col(f"_w_{column}"))
     kept = [c for c in placed.columns if c not in ("_part", "_place")]
+    # At most one row per range partition and group.
     return placed.join(F.broadcast(offsets), same).select(
         *kept, (F.col("_before") + F.col("_place") - F.col("_first") + 1).alias(name))
 

@@ -96,6 +96,17 @@ def split_by_constraints(df: DataFrame, table: Table) -> tuple[DataFrame, DataFr
     return checked.filter(~broken).drop("violations"), checked.filter(broken)
 
 
+def enforce(checked: DataFrame, table: Table) -> DataFrame:
+    """Rows of a frame with ``violations``; the job that reads them fails on the first one.
+
+    The check runs in the pass that writes the rows, and a failed write commits nothing.
+    """
+    message = F.concat(F.lit(f"{table.name}: "), F.concat_ws("; ", "violations"))
+    holds = F.when(F.size("violations") == 0, F.lit(True)).otherwise(
+        F.raise_error(message).cast("boolean"))
+    return checked.filter(holds).drop("violations")
+
+
 def align(df: DataFrame, table: Table) -> DataFrame:
     """The frame with the table's columns in the table's order and types.
 

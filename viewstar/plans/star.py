@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from viewstar.functions.times import event_date
 from viewstar.operators.dimensions import COLUMNS, dim_date
 from viewstar.operators.facts import (
     fact_by_lookup, fact_from_grain, on_report_date, view_grain, with_fact_key)
+from viewstar.operators.lookup import broadcast_size
 from viewstar.operators.members import all_members
-from viewstar.operators.numbering import number_groups
-from viewstar.operators.quality import align, guard_length, split_by_constraints, strict
+from viewstar.operators.numbering import Group, number_groups
+from viewstar.operators.quality import too_long, violations
 from viewstar.schemas import EVENT_FIELDS, NATURAL_KEYS, TABLES
 from viewstar.sinks.warehouse import empty_fact, write_dimension, write_fact, write_rejected
 from viewstar.sources.warehouse import read_table
@@ -20,6 +23,7 @@ from viewstar.staging import Staging
 
 DATE_KIND = "date"
 KINDS = (DATE_KIND, *NATURAL_KEYS)
+FACT = "fact_product_views"
 
 
 @dataclass
@@ -38,64 +42,62 @@ def star_frames(events: DataFrame, staging: Staging, latest_only: bool = False,
     cover every date): members and fact both come from the combined grain.
     """
     grain, members = _grain_and_members(events, staging, latest_only, today)
-    keyed = number_groups(members, "kind", KINDS, ["member"], "_number", staging)
-    frames = {"dim_date": _dates(keyed[DATE_KIND])}
-    for natural, (table, key) in NATURAL_KEYS.items():
-        frames[table] = COLUMNS[natural](keyed[natural].select(
-            F.col("member").alias(natural), F.col("_number").alias(key)))
-    frames["fact_product_views"] = fact_from_grain(grain, frames)
+    keyed = number_groups(members, "kind", KINDS, "member", "_number", staging)
+    frames = _dimension_frames(keyed, {})
+    frames["fact_product_views"] = fact_from_grain(grain, frames, _sizes(keyed))
     return frames
 
 
 def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
-               replace: bool = False, strict_mode: bool = True, url_limit: int | None = None,
+               replace: bool = False, strict: bool = True, url_limit: int | None = None,
                batch_id: str = "manual", today: Column | None = None) -> StarRun:
     """Build the star from ``events`` and write it to ``warehouse``.
 
     By default the run accumulates: stored members keep their keys, new ones are added,
     the dates in question are replaced and all others stay. A run that fails half way
     leaves dimensions that hold more members than the fact needs, and can be repeated.
-    ``replace`` empties the warehouse first, and so leaves only this run's rows.
+    ``replace`` empties the warehouse first, and so leaves only this run's rows. Without
+    events nothing is touched.
 
-    ``strict_mode`` fails on the first row that breaks a constraint; otherwise such rows
-    go to the quarantine folder. ``url_limit`` sets longer referrer URLs aside.
+    ``strict`` fails on the first row that breaks a constraint; otherwise such rows go to
+    the quarantine folder. ``url_limit`` also counts longer referrer URLs as broken.
     """
     spark = events.sparkSession
     run = StarRun()
-    if events.isEmpty():
-        return run
     with Staging(spark) as staging:
         grain, members = _grain_and_members(events, staging, latest_only, today)
+        if grain.isEmpty() and events.isEmpty():
+            return run
+        highest = {}
         if replace:
             empty_fact(spark, warehouse)
         else:
             members = members.join(_stored_members(spark, warehouse), ["kind", "member"],
                                    "left_anti")
-        new = number_groups(members, "kind", KINDS, ["member"], "_number", staging)
-
-        complete = True
-        for name, df in _new_dimensions(spark, warehouse, new, replace).items():
-            kept, rejected = _checked(df, name, url_limit)
-            if strict_mode:
-                strict(rejected, name)
-            elif not rejected.isEmpty():
-                complete = False
-                run.rejected[name] = write_rejected(rejected, warehouse, name, batch_id)
-            run.written[name] = write_dimension(align(kept, TABLES[name]), warehouse, name,
-                                                replace)
-
-        dims = {name: read_table(spark, warehouse, name)
-                for name in ("dim_date", *[table for table, _ in NATURAL_KEYS.values()])}
-        fact = (fact_from_grain if complete else fact_by_lookup)(grain, dims)
-        keyed = with_fact_key(fact, staging).withColumn("batch_id", F.lit(batch_id))
-        kept, rejected = split_by_constraints(keyed, TABLES["fact_product_views"])
-        if strict_mode:
-            strict(rejected, "fact_product_views")
-        elif not rejected.isEmpty():
-            run.rejected["fact_product_views"] = write_rejected(
-                rejected, warehouse, "fact_product_views", batch_id)
-        run.written["fact_product_views"] = write_fact(
-            align(kept, TABLES["fact_product_views"]), warehouse, replace)
+            highest = _highest_keys(spark, warehouse)
+        new = number_groups(members, "kind", KINDS, "member", "_number", staging)
+
+        frames = _dimension_frames(new, highest)
+
+        def write(name: str) -> None:
+            checked = _checked(frames[name], name, url_limit)
+            run.written[name], run.rejected[name] = write_dimension(
+                checked, warehouse, name, replace, strict)
+            if run.rejected[name]:
+                write_rejected(checked, warehouse, name, batch_id)
+
+        # Independent writes: small dimensions do not leave the cluster idle one by one.
+        with ThreadPoolExecutor(len(frames)) as pool:
+            list(pool.map(write, frames))
+
+        dims = {name: read_table(spark, warehouse, name) for name in frames}
+        # A rejected member is a key without a match, so groups may fall together.
+        fact_of = fact_by_lookup if any(run.rejected.values()) else fact_from_grain
+        keyed = with_fact_key(fact_of(grain, dims), staging)
+        checked = _checked(keyed.withColumn("batch_id", F.lit(batch_id)), FACT)
+        run.written[FACT], run.rejected[FACT] = write_fact(checked, warehouse, replace, strict)
+        if run.rejected[FACT]:
+            write_rejected(checked, warehouse, FACT, batch_id)
     return run
 
 
@@ -110,39 +112,46 @@ def _grain_and_members(events: DataFrame, staging: Staging, latest_only: bool,
     return grain, all_members(grain, KINDS)
 
 
-def _dates(keyed: DataFrame) -> DataFrame:
-    return dim_date(keyed.select(F.col("member").cast("date").alias("date")))
+def _dimension_frames(keyed: dict[str, Group], highest: dict[str, int]
+                      ) -> dict[str, DataFrame]:
+    """The five dimensions from numbered members, numbers going on from the stored keys."""
+    dates = keyed[DATE_KIND].rows.select(F.col("member").cast("date").alias("date"))
+    frames = {"dim_date": dim_date(dates)}
+    for natural, (table, key) in NATURAL_KEYS.items():
+        number = F.col("_number") + F.lit(highest.get(table, 0))
+        frames[table] = COLUMNS[natural](keyed[natural].rows.select(
+            F.col("member").alias(natural), number.alias(key)))
+    return frames
+
 
+def _sizes(keyed: dict[str, Group]) -> dict[str, int]:
+    return {table: broadcast_size(keyed[natural].count, keyed[natural].text_bytes)
+            for natural, (table, _) in NATURAL_KEYS.items()}
 
-def _stored_members(spark, warehouse: str) -> DataFrame:
+
+def _stored_members(spark: SparkSession, warehouse: str) -> DataFrame:
     frames = [read_table(spark, warehouse, "dim_date").select(
         F.lit(DATE_KIND).alias("kind"), F.col("date").cast("string").alias("member"))]
     for natural, (table, _) in NATURAL_KEYS.items():
         frames.append(read_table(spark, warehouse, table).select(
             F.lit(natural).alias("kind"), F.col(natural).alias("member")))
-    first, *rest = frames
-    for frame in rest:
-        first = first.unionByName(frame)
-    return first
+    return reduce(DataFrame.unionByName, frames)
 
 
-def _new_dimensions(spark, warehouse: str, new: dict[str, DataFrame],
-                    replace: bool) -> dict[str, DataFrame]:
-    frames = {"dim_date": _dates(new[DATE_KIND])}
-    for natural, (table, key) in NATURAL_KEYS.items():
-        highest = F.lit(0)
-        if not replace:
-            stored = read_table(spark, warehouse, table)
-            highest = F.coalesce(stored.agg(F.max(key)).scalar(), highest)
-        frames[table] = COLUMNS[natural](new[natural].select(
-            F.col("member").alias(natural), (F.col("_number") + highest).alias(key)))
-    return frames
+def _highest_keys(spark: SparkSession, warehouse: str) -> dict[str, int]:
+    """The highest stored key of each dimension: four numbers from one job."""
+    return {
+        row.table: row.highest
+        for row in reduce(DataFrame.unionByName, [
+            read_table(spark, warehouse, table).agg(
+                F.lit(table).alias("table"), F.coalesce(F.max(key), F.lit(0)).alias("highest"))
+            for table, key in NATURAL_KEYS.values()]).collect()
+    }
 
 
-def _checked(df: DataFrame, name: str, url_limit: int | None) -> tuple[DataFrame, DataFrame]:
-    kept, rejected = split_by_constraints(df, TABLES[name])
+def _checked(df: DataFrame, name: str, url_limit: int | None = None) -> DataFrame:
+    found = violations(df, TABLES[name])
     if name == "dim_referrer" and url_limit is not None:
-        kept, long = guard_length(kept, "referrer_url", url_limit)
-        rejected = rejected.unionByName(
-            long.withColumn("violations", F.array(F.lit("referrer_url: over the limit"))))
-    return kept, rejected
+        long = F.when(too_long("referrer_url", url_limit), "referrer_url: over the limit")
+        found = F.array_compact(F.array_append(found, long))
+    return df.withColumn("violations", found)

@@ -4,30 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from viewstar.operators.quality import align, enforce
 from viewstar.schemas import TABLES
 from viewstar.sources.warehouse import table_path
 
 
-def write_dimension(df: DataFrame, warehouse: str, name: str, replace: bool) -> int:
-    """Append members, or replace the dimension; returns the rows written.
+def _write(checked: DataFrame, name: str, strict: bool, options: dict, mode: str,
+           path: str, partition_by: tuple[str, ...] = ()) -> tuple[int, int]:
+    """Write the rows without violations; returns ``(written, rejected)`` row counts.
 
-    The count comes with the write, not from a second job.
+    The counts come with the write, not from another job.
     """
+    table = TABLES[name]
     seen = Observation(f"write {name}")
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite" if replace else "append").parquet(
-        table_path(warehouse, name))
-    return seen.get["rows"]
+    broken = F.size("violations") > 0
+    counted = checked.observe(seen, F.count_if(~broken).alias("written"),
+                              F.count_if(broken).alias("rejected"))
+    kept = enforce(counted, table) if strict else counted.filter(~broken)
+    align(kept, table).write.mode(mode).options(**options).partitionBy(*partition_by).parquet(
+        path)
+    return seen.get["written"], seen.get["rejected"]
 
 
-def write_fact(df: DataFrame, warehouse: str, replace: bool) -> int:
-    """Replace the dates that ``df`` holds and keep all others, or replace the whole fact."""
-    seen = Observation("write fact_product_views")
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    (counted.write.mode("overwrite")
-     .option("partitionOverwriteMode", "static" if replace else "dynamic")
-     .partitionBy("date_key").parquet(table_path(warehouse, "fact_product_views")))
-    return seen.get["rows"]
+def write_dimension(checked: DataFrame, warehouse: str, name: str, replace: bool,
+                    strict: bool) -> tuple[int, int]:
+    """Append members, or replace the dimension."""
+    return _write(checked, name, strict, {}, "overwrite" if replace else "append",
+                  table_path(warehouse, name))
+
+
+def write_fact(checked: DataFrame, warehouse: str, replace: bool,
+               strict: bool) -> tuple[int, int]:
+    """Replace the dates that the rows hold and keep all others, or replace the whole fact."""
+    options = {"partitionOverwriteMode": "static" if replace else "dynamic"}
+    return _write(checked, "fact_product_views", strict, options, "overwrite",
+                  table_path(warehouse, "fact_product_views"), ("date_key",))
 
 
 def empty_fact(spark: SparkSession, warehouse: str) -> None:
@@ -37,11 +48,8 @@ def empty_fact(spark: SparkSession, warehouse: str) -> None:
         table_path(warehouse, "fact_product_views"))
 
 
-def write_rejected(df: DataFrame, warehouse: str, name: str, batch_id: str) -> int:
-    """Rows that break a constraint, kept per run; a repeated run replaces its own."""
-    seen = Observation(f"reject {name}")
-    (df.withColumn("batch", F.lit(batch_id))
-     .observe(seen, F.count(F.lit(1)).alias("rows"))
+def write_rejected(checked: DataFrame, warehouse: str, name: str, batch_id: str) -> None:
+    """Keep the rows that break a constraint, per run; a repeated run replaces its own."""
+    (checked.filter(F.size("violations") > 0).withColumn("batch", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch").parquet(table_path(warehouse, f"quarantine/{name}")))
-    return seen.get["rows"]

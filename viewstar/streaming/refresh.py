@@ -17,7 +17,7 @@ from viewstar.sources.landing import events_of, landing_stream, landing_table, o
 
 
 def refresh_dates(batch: DataFrame, landing_path: str, warehouse: str, batch_id: str,
-                  strict_mode: bool = False) -> None:
+                  strict: bool = False) -> None:
     """Bring the star up to date with one batch of landing rows."""
     # One value per calendar day in the batch: as many as the folders the scan will list.
     days = [row.event_date for row in batch.select("event_date").distinct().collect()]
@@ -26,16 +26,16 @@ def refresh_dates(batch: DataFrame, landing_path: str, warehouse: str, batch_id:
     events = events_of(of_dates(landing, dated))
     if len(dated) < len(days):
         events = events.unionByName(events_of(batch.filter(F.col("event_date").isNull())))
-    build_star(events, warehouse, latest_only=False, strict_mode=strict_mode,
+    build_star(events, warehouse, latest_only=False, strict=strict,
                batch_id=batch_id)
 
 
 def start_star_refresh(spark, landing_path: str, warehouse: str, checkpoint: str,
-                       files_per_trigger: int | None = None, strict_mode: bool = False,
+                       files_per_trigger: int | None = None, strict: bool = False,
                        trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Start refreshing the star from the landing table as rows arrive."""
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        refresh_dates(batch, landing_path, warehouse, f"stream-{batch_id}", strict_mode)
+        refresh_dates(batch, landing_path, warehouse, f"stream-{batch_id}", strict)
 
     return (
         landing_stream(spark, landing_path, files_per_trigger)
