@@ -304,6 +304,7 @@ def oracle_sql() -> dict[str, str]:
         # whole jobs
         "write_partition_overwrite": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_replace": f"{TEXT_PIPELINE} {NATURAL_FACT}",
+        "write_hash_keys": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "stream_bridge": f"""WITH {VIEWS}, {ENVELOPE} SELECT topic, "partition", "offset",
             local_time, product_id, store_id, referrer_url, device_id FROM env""",
         "stream_dead_letters": f"""WITH {MESSAGES} SELECT "partition", "offset" FROM routed

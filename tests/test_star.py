@@ -1,7 +1,7 @@
 import pytest
 
 from viewstar.functions.documents import as_text
-from viewstar.operators.quality import verify_star
+from viewstar.operators.quality import ConstraintViolation, verify_star
 from viewstar.plans.star import build_star
 from viewstar.schemas import NATURAL_KEYS, TABLES
 from viewstar.sources.landing import empty_events
@@ -140,6 +140,23 @@ def test_long_urls_can_be_set_aside(spark, events, warehouse):
     assert [u.violations for u in urls] == [["referrer_url: over the limit"]]
 
 
+def test_hash_keys_give_the_same_star(spark, events, warehouse, tmp_path):
+    for rows in (FIRST, SECOND, [*FIRST[:2], LATE]):
+        build_star(events(rows), warehouse, latest_only=False, hash_keys=True)
+        build_star(events(rows), str(tmp_path / "dense"), latest_only=False)
+    assert views(spark, warehouse) == views(spark, str(tmp_path / "dense"))
+    assert sorted(keys(spark, warehouse)) == sorted(keys(spark, str(tmp_path / "dense")))
+    verify_star(read_star(spark, warehouse), TABLES)
+    with pytest.raises(ConstraintViolation, match="hash keys"):
+        build_star(events(SECOND), str(tmp_path / "dense"), hash_keys=True)
+
+
+def test_broken_members_with_hash_keys(spark, events, warehouse):
+    build_star(events(BROKEN), warehouse, latest_only=False, strict=False, hash_keys=True)
+    assert views(spark, warehouse) == [(20240101, 2), (20240102, 1)]
+    verify_star(read_star(spark, warehouse), TABLES)
+
+
 def test_empty_text_is_a_member(spark, events, warehouse):
     df = as_text(events([("2024-01-02T10:00:00", None, None, None, None)]))
     build_star(df, warehouse)

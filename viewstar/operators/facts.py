@@ -54,6 +54,24 @@ def view_grain(events: DataFrame) -> DataFrame:
     )
 
 
+def keyed_grain(events: DataFrame, staging: Staging) -> DataFrame:
+    """The grain as a stored table, each row with the key its fact row will have.
+
+    The key is the date key followed by the row's number within the date, in the order of
+    the natural keys, nulls first: unique over all dates, the same in every run over the
+    same events, and unmoved when another date is refreshed. A date of any size is numbered
+    by many tasks. Numbering here, before the lookups, sorts a plain aggregate and not the
+    outcome of four joins.
+    """
+    numbered = number_rows(view_grain(events), list(NATURAL_KEYS), "_number", staging,
+                           within=["date"])
+    limit = F.lit(FACT_KEYS_PER_DATE)
+    key = F.when(F.col("_number") < limit,
+                 date_key("date").cast("bigint") * limit + F.col("_number")).otherwise(
+        F.raise_error(F.lit("a date holds more fact rows than its key space")))
+    return numbered.withColumn("fact_key", key).drop("_number")
+
+
 def _measures(views, visitors, first, last, seconds, timed) -> list[Column]:
     return [
         views.alias("view_count"),
@@ -65,6 +83,17 @@ def _measures(views, visitors, first, last, seconds, timed) -> list[Column]:
     ]
 
 
+def _grain_measures() -> list[Column]:
+    # A group holds one device, so it has one visitor, or none where the device is null.
+    return _measures(F.col("views"), F.col("device_id").isNotNull().cast("int"),
+                     F.col("first_view_time"), F.col("last_view_time"),
+                     F.col("seconds"), F.col("timed_views"))
+
+
+def _fact_key(grain: DataFrame) -> list[str]:
+    return ["fact_key"] if "fact_key" in grain.columns else []
+
+
 def with_surrogate_keys(grain: DataFrame, dims: dict[str, DataFrame],
                         sizes: dict[str, int] | None = None,
                         broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -81,15 +110,11 @@ def fact_from_grain(grain: DataFrame, dims: dict[str, DataFrame],
                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The fact over dimensions that hold every natural key of ``grain``, a stored table.
 
-    Each grain row is one fact row. A group holds one device, so it has one visitor, or
-    none where the device is null. ``sizes`` are broadcast sizes already known.
+    Each grain row is one fact row. ``sizes`` are broadcast sizes already known.
     """
     fact = with_surrogate_keys(grain, dims, sizes, broadcast_bytes)
-    return fact.select(
-        date_key("date").alias("date_key"), *FACT_KEYS[1:],
-        *_measures(F.col("views"), F.col("device_id").isNotNull().cast("int"),
-                   F.col("first_view_time"), F.col("last_view_time"),
-                   F.col("seconds"), F.col("timed_views")))
+    return fact.select(*_fact_key(grain), date_key("date").alias("date_key"),
+                       *FACT_KEYS[1:], *_grain_measures())
 
 
 def fact_by_lookup(grain: DataFrame, dims: dict[str, DataFrame],
@@ -107,35 +132,18 @@ def fact_by_lookup(grain: DataFrame, dims: dict[str, DataFrame],
     merged = fact.groupBy(*FACT_KEYS).agg(
         F.sum("views").alias("views"), F.count_distinct("device_id").alias("visitors"),
         F.min("first_view_time").alias("first"), F.max("last_view_time").alias("last"),
-        F.sum("seconds").alias("seconds"), F.sum("timed_views").alias("timed"))
-    return merged.select(*FACT_KEYS, *_measures(*[
+        F.sum("seconds").alias("seconds"), F.sum("timed_views").alias("timed"),
+        *[F.min(key).alias(key) for key in _fact_key(grain)])
+    return merged.select(*_fact_key(grain), *FACT_KEYS, *_measures(*[
         F.col(c) for c in ("views", "visitors", "first", "last", "seconds", "timed")]))
 
 
-def fact_with_hash_keys(events: DataFrame) -> DataFrame:
-    """The fact with keys hashed from the natural keys: one shuffle and no join."""
-    grain = view_grain(events)
+def fact_from_hash_keys(grain: DataFrame) -> DataFrame:
+    """The fact with keys hashed from the natural keys: no lookup at all."""
     return grain.select(
-        date_key("date").alias("date_key"),
+        *_fact_key(grain), date_key("date").alias("date_key"),
         *[hash_key(natural).alias(key) for natural, (_, key) in NATURAL_KEYS.items()],
-        *_measures(F.col("views"), F.col("device_id").isNotNull().cast("int"),
-                   F.col("first_view_time"), F.col("last_view_time"),
-                   F.col("seconds"), F.col("timed_views")))
-
-
-def with_fact_key(fact: DataFrame, staging: Staging) -> DataFrame:
-    """The fact with a key unique over all dates that one date's refresh leaves alone.
-
-    The key is the date key followed by the row's number within the date, in the order of
-    the other keys, nulls first. Rows come out sorted by date, so a table partitioned by
-    date gets few files, and a date of any size is numbered by many tasks.
-    """
-    numbered = number_rows(fact, FACT_KEYS[1:], "_number", staging, within=["date_key"])
-    limit = F.lit(FACT_KEYS_PER_DATE)
-    key = F.when(F.col("_number") < limit,
-                 F.col("date_key").cast("bigint") * limit + F.col("_number")).otherwise(
-        F.raise_error(F.lit("a date holds more fact rows than its key space")))
-    return numbered.select(key.alias("fact_key"), *fact.columns)
+        *_grain_measures())
 
 
 def undated(events: DataFrame) -> DataFrame:

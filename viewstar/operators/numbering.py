@@ -28,7 +28,8 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str, staging: Stag
     the counts table has at most one row per range partition plus one per group.
     """
     placed = staging.table(_place(df, [*within, *order_by]), f"placed-{name}")
-    return _numbered(placed, _offsets(placed, within), name, within)
+    offsets = staging.table(_offsets(placed, within), f"offsets-{name}")
+    return _numbered(placed, offsets, name, within)
 
 
 @dataclass(frozen=True)

@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from viewstar.functions.times import event_date
 from viewstar.operators.dimensions import COLUMNS, dim_date
 from viewstar.operators.facts import (
-    fact_by_lookup, fact_from_grain, on_report_date, view_grain, with_fact_key)
+    fact_by_lookup, fact_from_grain, fact_from_hash_keys, keyed_grain, on_report_date,
+    view_grain)
 from viewstar.operators.lookup import broadcast_size
 from viewstar.operators.members import all_members
-from viewstar.operators.numbering import Group, number_groups
+from viewstar.operators.numbering import Group, hash_key, number_groups
+from viewstar.operators.quality import duplicate_keys, strict as fail_on_any
 from viewstar.operators.quality import too_long, violations
 from viewstar.schemas import EVENT_FIELDS, NATURAL_KEYS, TABLES
 from viewstar.sinks.warehouse import empty_fact, write_dimension, write_fact, write_rejected
@@ -43,14 +45,15 @@ def star_frames(events: DataFrame, staging: Staging, latest_only: bool = False,
     """
     grain, members = _grain_and_members(events, staging, latest_only, today)
     keyed = number_groups(members, "kind", KINDS, "member", "_number", staging)
-    frames = _dimension_frames(keyed, {})
+    frames = _dimension_frames({kind: group.rows for kind, group in keyed.items()}, {})
     frames["fact_product_views"] = fact_from_grain(grain, frames, _sizes(keyed))
     return frames
 
 
 def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
                replace: bool = False, strict: bool = True, url_limit: int | None = None,
-               batch_id: str = "manual", today: Column | None = None) -> StarRun:
+               hash_keys: bool = False, batch_id: str = "manual",
+               today: Column | None = None) -> StarRun:
     """Build the star from ``events`` and write it to ``warehouse``.
 
     By default the run accumulates: stored members keep their keys, new ones are added,
@@ -61,22 +64,30 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
 
     ``strict`` fails on the first row that breaks a constraint; otherwise such rows go to
     the quarantine folder. ``url_limit`` also counts longer referrer URLs as broken.
+
+    ``hash_keys`` takes keys hashed from the natural keys instead of dense ones. Members
+    are then not sorted and the fact needs no lookup; the run fails before it writes if
+    two members share a key, or if the warehouse holds keys of the other sort.
     """
     spark = events.sparkSession
     run = StarRun()
     with Staging(spark) as staging:
-        grain, members = _grain_and_members(events, staging, latest_only, today)
+        grain, members = _grain_and_members(events, staging, latest_only, today, True)
         if grain.isEmpty() and events.isEmpty():
             return run
-        highest = {}
         if replace:
             empty_fact(spark, warehouse)
         else:
             members = members.join(_stored_members(spark, warehouse), ["kind", "member"],
                                    "left_anti")
-            highest = _highest_keys(spark, warehouse)
-        new = number_groups(members, "kind", KINDS, "member", "_number", staging)
-
+        highest = {}
+        if hash_keys:
+            new = _hashed(members, warehouse, replace, staging)
+        else:
+            new = {kind: group.rows for kind, group in number_groups(
+                members, "kind", KINDS, "member", "_number", staging).items()}
+            if not replace:
+                highest = _highest_keys(spark, warehouse)
         frames = _dimension_frames(new, highest)
 
         def write(name: str) -> None:
@@ -90,11 +101,14 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
         with ThreadPoolExecutor(len(frames)) as pool:
             list(pool.map(write, frames))
 
-        dims = {name: read_table(spark, warehouse, name) for name in frames}
         # A rejected member is a key without a match, so groups may fall together.
-        fact_of = fact_by_lookup if any(run.rejected.values()) else fact_from_grain
-        keyed = with_fact_key(fact_of(grain, dims), staging)
-        checked = _checked(keyed.withColumn("batch_id", F.lit(batch_id)), FACT)
+        complete = not any(run.rejected.values())
+        if hash_keys and complete:
+            fact = fact_from_hash_keys(grain)
+        else:
+            dims = {name: read_table(spark, warehouse, name) for name in frames}
+            fact = (fact_from_grain if complete else fact_by_lookup)(grain, dims)
+        checked = _checked(fact.withColumn("batch_id", F.lit(batch_id)), FACT)
         run.written[FACT], run.rejected[FACT] = write_fact(checked, warehouse, replace, strict)
         if run.rejected[FACT]:
             write_rejected(checked, warehouse, FACT, batch_id)
@@ -102,24 +116,45 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
 
 
 def _grain_and_members(events: DataFrame, staging: Staging, latest_only: bool,
-                       today: Column | None) -> tuple[DataFrame, DataFrame]:
+                       today: Column | None, keyed: bool = False
+                       ) -> tuple[DataFrame, DataFrame]:
+    """The stored grain of the fact, and the members of all dimensions, dates included."""
     events = events.select(*EVENT_FIELDS)
+
+    def stored(part: DataFrame) -> DataFrame:
+        return keyed_grain(part, staging) if keyed else staging.table(view_grain(part), "grain")
+
     if latest_only:
-        grain = staging.table(view_grain(on_report_date(events, today)), "grain")
         dated = events.withColumn(DATE_KIND, event_date("local_time"))
-        return grain, all_members(dated, KINDS)
-    grain = staging.table(view_grain(events), "grain")
+        return stored(on_report_date(events, today)), all_members(dated, KINDS)
+    grain = stored(events)
     return grain, all_members(grain, KINDS)
 
 
-def _dimension_frames(keyed: dict[str, Group], highest: dict[str, int]
+def _hashed(members: DataFrame, warehouse: str, replace: bool, staging: Staging
+            ) -> dict[str, DataFrame]:
+    """New members with hash keys, after a look for keys that two members share."""
+    spark = members.sparkSession
+    keyed = staging.table(members.withColumn("_number", hash_key("member")), "hashed")
+    every = keyed.filter(F.col("kind") != DATE_KIND).select("kind", "_number")
+    if not replace:
+        for natural, (table, key) in NATURAL_KEYS.items():
+            stored = read_table(spark, warehouse, table)
+            fail_on_any(stored.filter(F.col(key) != hash_key(natural)), f"{table} hash keys")
+            every = every.unionByName(
+                stored.select(F.lit(natural).alias("kind"), F.col(key).alias("_number")))
+    fail_on_any(duplicate_keys(every, ["kind", "_number"]), "hash key collision")
+    return {kind: keyed.filter(F.col("kind") == kind).drop("kind") for kind in KINDS}
+
+
+def _dimension_frames(keyed: dict[str, DataFrame], highest: dict[str, int]
                       ) -> dict[str, DataFrame]:
     """The five dimensions from numbered members, numbers going on from the stored keys."""
-    dates = keyed[DATE_KIND].rows.select(F.col("member").cast("date").alias("date"))
+    dates = keyed[DATE_KIND].select(F.col("member").cast("date").alias("date"))
     frames = {"dim_date": dim_date(dates)}
     for natural, (table, key) in NATURAL_KEYS.items():
         number = F.col("_number") + F.lit(highest.get(table, 0))
-        frames[table] = COLUMNS[natural](keyed[natural].rows.select(
+        frames[table] = COLUMNS[natural](keyed[natural].select(
             F.col("member").alias(natural), number.alias(key)))
     return frames
 

@@ -21,8 +21,12 @@ def _write(checked: DataFrame, name: str, strict: bool, options: dict, mode: str
     counted = checked.observe(seen, F.count_if(~broken).alias("written"),
                               F.count_if(broken).alias("rejected"))
     kept = enforce(counted, table) if strict else counted.filter(~broken)
-    align(kept, table).write.mode(mode).options(**options).partitionBy(*partition_by).parquet(
-        path)
+    rows = align(kept, table)
+    if partition_by:
+        # Few files per folder: rows meet by folder, and a hot folder's rows are split
+        # into partitions of the advised size.
+        rows = rows.hint("rebalance", *partition_by)
+    rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(path)
     return seen.get["written"], seen.get["rejected"]
 
 
