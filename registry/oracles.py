@@ -154,6 +154,19 @@ def agent_oracle(column: str, position: int) -> str:
             "FROM events")
 
 
+def device_agents_oracle() -> str:
+    def family(position: int) -> str:
+        families = ", ".join(f"'{agent[position]}'" for agent in USER_AGENTS)
+        return (f"coalesce(list_extract([{families}], CAST(sent % {len(USER_AGENTS) + 1} "
+                "AS INTEGER) + 1), 'unknown')")
+    # The last template number stands for no user agent at all.
+    return f"""{STAR} SELECT dv.device_key, dv.device_id, 'Unknown' AS device_type,
+        {family(1)} AS browser_info, {family(2)} AS os_info
+        FROM dv LEFT JOIN (SELECT device_id, max(event_id) AS sent FROM pv
+          WHERE event_id % {len(USER_AGENTS) + 1} <> {len(USER_AGENTS)} GROUP BY device_id) a
+        ON a.device_id = dv.device_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     number = "regexp_extract(props, '([0-9]+)', 1)"
     return {
@@ -206,6 +219,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_country": f"{STAR} SELECT * FROM dc",
         "dim_referrer": f"{STAR} SELECT * FROM dr",
         "dim_device": f"{STAR} SELECT * FROM dv",
+        "dim_device_agents": device_agents_oracle(),
         "dim_referrer_shipped": f"{STAR_SHIPPED} SELECT * FROM dr",
         # facts
         "fact_latest": f"{STAR_LATEST} SELECT * FROM ft",
@@ -237,6 +251,10 @@ def oracle_sql() -> dict[str, str]:
         "traffic_sources": f"{STAR} {TRAFFIC}",
         "traffic_sources_latest": f"{STAR_LATEST} {TRAFFIC}",
         "traffic_sources_shipped": f"{STAR_SHIPPED} {TRAFFIC}",
+        "traffic_sources_approximate": f"""{STAR} SELECT referrer_type, referrer_domain,
+            CAST(sum(view_count) AS BIGINT) AS total_views, TRUE AS close
+            FROM ft JOIN dr ON ft.referrer_key = dr.referrer_key
+            GROUP BY referrer_type, referrer_domain""",
         "row_counts": f"""{STAR} SELECT 'dim_date' AS table_name, count(*) AS count FROM dd
             UNION ALL SELECT 'dim_product', count(*) FROM dp
             UNION ALL SELECT 'dim_country', count(*) FROM dc

@@ -62,6 +62,14 @@ def dim_referrer_shipped(spark, sf_dir):
     return shipped_star(spark, sf_dir)["dim_referrer"].drop("created_date")
 
 
+def dim_device_agents(spark, sf_dir):
+    """Devices with the families of the user agent each one sent last."""
+    views = t.product_views(spark, sf_dir).join(t.user_agents(spark, sf_dir), "event_id")
+    # Event numbers stand in for times, which repeat.
+    timed = views.withColumn("local_time", F.lpad(F.col("event_id").cast("string"), 20, "0"))
+    return dimensions.dim_device(timed, Staging(spark)).drop("created_date")
+
+
 def fact_spread_lookup(spark, sf_dir):
     """Every lookup takes the shuffle way, as for dimensions too large to broadcast."""
     staging = Staging(spark)
@@ -131,6 +139,18 @@ def traffic_sources_shipped(spark, sf_dir):
     return marts.traffic_sources(s["fact_product_views"], s["dim_referrer"])
 
 
+def traffic_sources_approximate(spark, sf_dir):
+    """Whether the sketched device counts lie within four standard errors."""
+    s = star(spark, sf_dir)
+    args = s["fact_product_views"], s["dim_referrer"]
+    group = ["referrer_type", "referrer_domain"]
+    rough = marts.traffic_sources(*args, approximate=True).select(
+        *group, "total_views", F.col("unique_devices").alias("rough"))
+    error = F.abs(F.col("rough") - F.col("unique_devices"))
+    return rough.join(marts.traffic_sources(*args).drop("total_views"), group).select(
+        *group, "total_views", (error <= 0.2 * F.col("unique_devices") + 1).alias("close"))
+
+
 # --- sources and ingest --------------------------------------------------------------
 
 def src_empty(spark, sf_dir):
@@ -471,6 +491,7 @@ def queries() -> dict[str, Query]:
         "dim_country": _dimension("dim_country"),
         "dim_referrer": _dimension("dim_referrer"),
         "dim_device": _dimension("dim_device"),
+        "dim_device_agents": dim_device_agents,
         "dim_referrer_shipped": dim_referrer_shipped,
         # facts
         "fact_latest": lambda s, d: star(s, d, latest_only=True)["fact_product_views"],
@@ -489,6 +510,7 @@ def queries() -> dict[str, Query]:
         "traffic_sources": _traffic_sources(),
         "traffic_sources_latest": _traffic_sources(latest_only=True),
         "traffic_sources_shipped": traffic_sources_shipped,
+        "traffic_sources_approximate": traffic_sources_approximate,
         "row_counts": lambda s, d: marts.row_counts(star(s, d)),
         # URL and user-agent functions
         "url_country": url_countries,

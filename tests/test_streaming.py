@@ -4,9 +4,10 @@ import pytest
 
 from viewstar.operators.ingest import (
     first_messages, landed, next_positions, route_counts, topic_counts)
+from viewstar.operators.quality import verify_star
 from viewstar.plans.star import build_star
 from viewstar.schemas import ENVELOPE, TABLES
-from viewstar.operators.quality import verify_star
+from viewstar.sinks.documents import stored_documents
 from viewstar.sources.landing import (
     events_of, landing_table, of_dates, of_latest_date)
 from viewstar.sources.warehouse import read_star
@@ -120,6 +121,13 @@ def test_landing_scan_prunes(spark, tmp_path, topic, plan):
     assert latest.count() == 2
 
 
+def test_documents_to_store(spark, topic):
+    topic.send([b"nope", b"5", b'{"a": 1}'])
+    stored = {r._id: json.loads(r.json)
+              for r in stored_documents(landed(topic.table())).collect()}
+    assert stored == {"t-0-0": {"raw": "nope"}, "t-0-2": {"a": 1}}
+
+
 def test_raw_documents_count_as_empty_events(spark, topic):
     topic.send([b"nope", b"5", FIRST[0]])
     got = sorted(tuple(r) for r in events_of(landed(topic.table())).collect())
@@ -162,6 +170,25 @@ def test_refresh_sets_undated_rows_aside(spark, tmp_path, topic):
     assert [(r.view_count, r.batch) for r in rejected] == [(1, "stream-0")]
 
 
+@pytest.mark.parametrize("gap", [1, 2, 37, 5000])
+def test_bounded_read_over_gaps(spark, staging, gap):
+    """Offsets with gaps that grow: compaction leaves such partitions."""
+    offsets = [n + gap * (n // 7) ** 2 for n in range(200)]
+    messages = spark.createDataFrame(
+        [message(b"1", o, p) for p in (0, 4) for o in offsets], ENVELOPE).repartition(3)
+    for cap in (1, 3, 8, 100, 199, 200, 201, 333, 400, 1000):
+        got = sorted((r.partition, r.offset)
+                     for r in first_messages(messages, cap, staging).collect())
+        assert got == [(p, o) for p in (0, 4) for o in offsets][:cap]
+
+
+def test_bounded_read_does_not_move_messages(spark, staging, tmp_path, plan):
+    rows = [message(b"x", offset) for offset in range(50)]
+    spark.createDataFrame(rows, ENVELOPE).write.parquet(str(tmp_path / "m"))
+    text = plan(first_messages(spark.read.parquet(str(tmp_path / "m")), 20, staging))
+    assert "Exchange hashpartitioning" not in text and "rangepartitioning" not in text
+
+
 def test_bounded_read(spark, staging):
     rows = [message(b"1", offset * 3, partition) for partition in range(3)
             for offset in range(10)]

@@ -72,10 +72,20 @@ COLUMNS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def device_agents(events: DataFrame) -> DataFrame:
+    """Devices with the user agent each one sent last."""
+    sent = F.max(F.when(F.col("user_agent").isNotNull(),
+                        F.struct("local_time", "user_agent")))
+    return (events.filter(F.col("device_id").isNotNull())
+            .groupBy("device_id").agg(sent.alias("_sent"))
+            .select("device_id", F.col("_sent.user_agent").alias("user_agent")))
+
+
 def dimension(events: DataFrame, natural: str, staging: Staging | None = None) -> DataFrame:
     """One dimension by its natural key: dense keys, or hash keys where no staging is given."""
     key = NATURAL_KEYS[natural][1]
-    members = distinct_members(events, natural)
+    agents = natural == "device_id" and "user_agent" in events.columns
+    members = device_agents(events) if agents else distinct_members(events, natural)
     keyed = (hash_keys(members, natural, key) if staging is None
              else dense_keys(members, natural, key, staging))
     return COLUMNS[natural](keyed)

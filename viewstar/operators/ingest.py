@@ -18,10 +18,44 @@ def first_messages(envelope: DataFrame, cap: int, staging: Staging) -> DataFrame
     """The first ``cap`` messages by topic, partition and offset, for any size of ``cap``.
 
     Nothing past the cap is consumed: ``next_positions`` of the result is where the next
-    run starts.
+    run starts. Only positions are read to find the last offset taken per partition, and
+    only around the cap are they sorted; the messages themselves are filtered, not moved.
     """
-    return number_rows(envelope, POSITION, "_number", staging).filter(
-        F.col("_number") <= cap).drop("_number")
+    cuts, left = [], cap
+    # One row per topic partition.
+    for part in topic_counts(envelope).orderBy("topic", "partition").collect():
+        if left <= 0:
+            break
+        last = part.last_offset
+        if part.messages > left:
+            rows = envelope.filter((F.col("topic") == part.topic)
+                                   & (F.col("partition") == part.partition))
+            last = _nth_offset(rows, left, part.first_offset, staging)
+        cuts.append((part.topic, part.partition, last))
+        left -= part.messages
+    last_taken = envelope.sparkSession.createDataFrame(
+        cuts, "topic string, partition int, _last bigint")
+    return envelope.join(F.broadcast(last_taken), ["topic", "partition"]).filter(
+        F.col("offset") <= F.col("_last")).select(*envelope.columns)
+
+
+def _nth_offset(rows: DataFrame, n: int, first: int, staging: Staging) -> int:
+    """The ``n``-th offset of one topic partition, which may have gaps.
+
+    Without gaps the first ``n`` offsets span ``n``; the rows are counted by how often that
+    span was doubled to reach them, and only the doublings needed are sorted.
+    """
+    doublings = F.greatest(F.lit(0), F.ceil(F.log2((F.col("offset") - first + 1) / n)))
+    offsets = rows.select("offset", doublings.alias("_doublings"))
+    reached, needed = 0, 0
+    # At most one row per doubling of a 64-bit number.
+    for count in offsets.groupBy("_doublings").count().orderBy("_doublings").collect():
+        reached, needed = reached + count["count"], count["_doublings"]
+        if reached >= n:
+            break
+    near = offsets.filter(F.col("_doublings") <= needed).select("offset")
+    return number_rows(near, ["offset"], "_number", staging).filter(
+        F.col("_number") == n).first().offset
 
 
 def next_positions(envelope: DataFrame) -> DataFrame:

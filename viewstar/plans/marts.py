@@ -54,19 +54,24 @@ def top_countries(fact: DataFrame, dim_country: DataFrame, n: int = 10) -> DataF
     )
 
 
-def traffic_sources(fact: DataFrame, dim_referrer: DataFrame) -> DataFrame:
+def traffic_sources(fact: DataFrame, dim_referrer: DataFrame,
+                    approximate: bool = False) -> DataFrame:
     """Views and distinct devices per traffic type and domain.
 
+    ``approximate`` counts the devices by sketches, which merge without a shuffle of the
+    devices themselves; the standard error is 5 %.
+
     Combining per referrer and device first spreads a hot referrer over its devices and
     drops dates, products and countries before the join.
     """
+    devices = F.approx_count_distinct if approximate else F.count_distinct
     return (
         fact.groupBy("referrer_key", "device_key").agg(F.sum("view_count").alias("views"))
         .join(dim_referrer.select("referrer_key", "referrer_type", "referrer_domain"),
               "referrer_key")
         .groupBy("referrer_type", "referrer_domain")
         .agg(F.sum("views").alias("total_views"),
-             F.count_distinct("device_key").alias("unique_devices"))
+             devices("device_key").alias("unique_devices"))
         .orderBy(F.desc("total_views"), "referrer_type", "referrer_domain")
     )
 
