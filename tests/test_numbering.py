@@ -44,10 +44,11 @@ def test_hot_group_is_spread(spark, staging):
 
 
 def test_no_window_over_rows(spark, staging, plan):
-    """The window's input is the counts, which an aggregate makes."""
-    numbered = number_rows(spark.range(100), ["id"], "n", staging)
-    text = plan(numbered)
-    assert text.index("Window") < text.index("HashAggregate(keys=[_part")
+    """The window sees the counts, which an aggregate makes, and never the rows."""
+    from viewstar.operators.numbering import _offsets, _place
+    assert "Window" not in plan(number_rows(spark.range(100), ["id"], "n", staging))
+    counts = plan(_offsets(_place(spark.range(100), ["id"]), ()))
+    assert counts.index("Window") < counts.index("HashAggregate(keys=[_part")
 
 
 def test_number_groups(spark, staging):

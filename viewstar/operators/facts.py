@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from viewstar.functions.times import date_key, epoch_seconds, event_date, event_time
-from viewstar.operators.lookup import BROADCAST_BYTES, lookup
+from viewstar.operators.lookup import BROADCAST_BYTES, lookup, measured_sizes
 from viewstar.operators.numbering import hash_key, number_rows
 from viewstar.schemas import FACT_KEYS, FACT_KEYS_PER_DATE, NATURAL_KEYS
 from viewstar.staging import Staging
@@ -98,10 +98,12 @@ def with_surrogate_keys(grain: DataFrame, dims: dict[str, DataFrame],
                         sizes: dict[str, int] | None = None,
                         broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``grain``, a stored table, with the surrogate keys of the four member dimensions."""
+    if sizes is None:
+        sizes = measured_sizes({table: (dims[table], natural)
+                                for natural, (table, _) in NATURAL_KEYS.items()})
     fact = grain
     for natural, (table, key) in NATURAL_KEYS.items():
-        fact = lookup(fact, dims[table], natural, key, (sizes or {}).get(table), grain,
-                      broadcast_bytes)
+        fact = lookup(fact, dims[table], natural, key, sizes[table], grain, broadcast_bytes)
     return fact
 
 

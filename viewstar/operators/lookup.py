@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 # A dimension is broadcast if its two key columns measure at most this many bytes.
@@ -20,10 +22,18 @@ def broadcast_size(count: int, text_bytes: int) -> int:
     return count * ROW_BYTES + text_bytes
 
 
+def measured_sizes(dims: dict[str, tuple[DataFrame, str]]) -> dict[str, int]:
+    """The broadcast sizes of dimensions and their natural keys, by name, from one job."""
+    sizes = reduce(DataFrame.unionByName, [
+        dim.agg(F.lit(name).alias("name"), F.count("*").alias("rows"),
+                F.coalesce(F.sum(F.octet_length(natural)), F.lit(0)).alias("bytes"))
+        for name, (dim, natural) in dims.items()])
+    return {row.name: broadcast_size(row.rows, row.bytes) for row in sizes.collect()}
+
+
 def measured_size(dim: DataFrame, natural: str) -> int:
     """The size of a dimension's two key columns in a broadcast."""
-    return broadcast_size(*dim.agg(
-        F.count("*"), F.coalesce(F.sum(F.octet_length(natural)), F.lit(0))).first())
+    return measured_sizes({natural: (dim, natural)})[natural]
 
 
 def lookup(fact: DataFrame, dim: DataFrame, natural: str, key: str,

@@ -51,17 +51,17 @@ def number_groups(df: DataFrame, group: str, values: Sequence[str], text: str, n
     parts = staging.split(_place(df, [group, text]), f"placed-{name}", group, values)
     everything = reduce(DataFrame.unionByName, [
         part.withColumn(group, F.lit(value)) for value, part in parts.items()])
-    offsets = staging.table(
-        _offsets(everything, [group], F.sum(F.octet_length(text)).alias("_bytes")),
-        f"offsets-{name}")
-    sizes = {row[0]: row for row in offsets.groupBy(f"_w_{group}").agg(
-        F.sum("_n"), F.sum("_bytes")).collect()}
-    return {
-        value: Group(
-            _numbered(part, offsets.filter(F.col(f"_w_{group}") == value), name, ()),
-            *(sizes[value][1:] if value in sizes else (0, 0)))
-        for value, part in parts.items()
-    }
+    offsets = _offsets(everything, [group], F.sum(F.octet_length(text)).alias("_bytes"))
+    # At most one row per range partition and group.
+    counts = offsets.collect()
+
+    def numbered(value: str, part: DataFrame) -> Group:
+        rows = [row for row in counts if row[0] == value]
+        known = df.sparkSession.createDataFrame(rows, offsets.schema)
+        return Group(_numbered(part, known, name, ()), sum(row["_n"] for row in rows),
+                     sum(row["_bytes"] for row in rows))
+
+    return {value: numbered(value, part) for value, part in parts.items()}
 
 
 def _place(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -20,8 +20,8 @@ from viewstar.operators.quality import duplicate_keys, strict as fail_on_any
 from viewstar.operators.quality import too_long, violations
 from viewstar.schemas import EVENT_FIELDS, NATURAL_KEYS, TABLES
 from viewstar.sinks.warehouse import empty_fact, write_dimension, write_fact, write_rejected
-from viewstar.sources.warehouse import read_table
-from viewstar.staging import Staging
+from viewstar.sources.warehouse import read_table, table_path
+from viewstar.staging import Staging, path_exists
 
 DATE_KIND = "date"
 KINDS = (DATE_KIND, *NATURAL_KEYS)
@@ -45,7 +45,7 @@ def star_frames(events: DataFrame, staging: Staging, latest_only: bool = False,
     """
     grain, members = _grain_and_members(events, staging, latest_only, today)
     keyed = number_groups(members, "kind", KINDS, "member", "_number", staging)
-    frames = _dimension_frames({kind: group.rows for kind, group in keyed.items()}, {})
+    frames = _dimension_frames(keyed, {})
     frames["fact_product_views"] = fact_from_grain(grain, frames, _sizes(keyed))
     return frames
 
@@ -75,27 +75,34 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
         grain, members = _grain_and_members(events, staging, latest_only, today, True)
         if grain.isEmpty() and events.isEmpty():
             return run
+        known = None
         if replace:
             empty_fact(spark, warehouse)
-        else:
-            members = members.join(_stored_members(spark, warehouse), ["kind", "member"],
-                                   "left_anti")
+        elif path_exists(spark, table_path(warehouse, "dim_date")):
+            members = staging.table(members, "members")
+            known = staging.table(_known(members, warehouse), "known")
+            members = members.join(known, ["kind", "member"], "left_anti")
         highest = {}
         if hash_keys:
             new = _hashed(members, warehouse, replace, staging)
         else:
-            new = {kind: group.rows for kind, group in number_groups(
-                members, "kind", KINDS, "member", "_number", staging).items()}
-            if not replace:
+            new = number_groups(members, "kind", KINDS, "member", "_number", staging)
+            if known is not None:
                 highest = _highest_keys(spark, warehouse)
         frames = _dimension_frames(new, highest)
 
+        checked = {name: _checked(df, name, url_limit) for name, df in frames.items()}
+        kinds = dict(zip(frames, KINDS))
+
         def write(name: str) -> None:
-            checked = _checked(frames[name], name, url_limit)
+            if not replace and new[kinds[name]].count == 0:
+                # No new member: not even an empty file.
+                run.written[name] = run.rejected[name] = 0
+                return
             run.written[name], run.rejected[name] = write_dimension(
-                checked, warehouse, name, replace, strict)
+                checked[name], warehouse, name, replace, strict)
             if run.rejected[name]:
-                write_rejected(checked, warehouse, name, batch_id)
+                write_rejected(checked[name], warehouse, name, batch_id)
 
         # Independent writes: small dimensions do not leave the cluster idle one by one.
         with ThreadPoolExecutor(len(frames)) as pool:
@@ -106,12 +113,13 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
         if hash_keys and complete:
             fact = fact_from_hash_keys(grain)
         else:
-            dims = {name: read_table(spark, warehouse, name) for name in frames}
-            fact = (fact_from_grain if complete else fact_by_lookup)(grain, dims)
-        checked = _checked(fact.withColumn("batch_id", F.lit(batch_id)), FACT)
-        run.written[FACT], run.rejected[FACT] = write_fact(checked, warehouse, replace, strict)
+            dims = _members_of_run(checked, known)
+            fact = (fact_from_grain if complete else fact_by_lookup)(
+                grain, dims, _sizes(new, known))
+        views = _checked(fact.withColumn("batch_id", F.lit(batch_id)), FACT)
+        run.written[FACT], run.rejected[FACT] = write_fact(views, warehouse, replace, strict)
         if run.rejected[FACT]:
-            write_rejected(checked, warehouse, FACT, batch_id)
+            write_rejected(views, warehouse, FACT, batch_id)
     return run
 
 
@@ -132,7 +140,7 @@ def _grain_and_members(events: DataFrame, staging: Staging, latest_only: bool,
 
 
 def _hashed(members: DataFrame, warehouse: str, replace: bool, staging: Staging
-            ) -> dict[str, DataFrame]:
+            ) -> dict[str, Group]:
     """New members with hash keys, after a look for keys that two members share."""
     spark = members.sparkSession
     keyed = staging.table(members.withColumn("_number", hash_key("member")), "hashed")
@@ -144,33 +152,76 @@ def _hashed(members: DataFrame, warehouse: str, replace: bool, staging: Staging
             every = every.unionByName(
                 stored.select(F.lit(natural).alias("kind"), F.col(key).alias("_number")))
     fail_on_any(duplicate_keys(every, ["kind", "_number"]), "hash key collision")
-    return {kind: keyed.filter(F.col("kind") == kind).drop("kind") for kind in KINDS}
+    sizes = _group_sizes(keyed)
+    return {kind: Group(keyed.filter(F.col("kind") == kind).drop("kind"),
+                        *sizes.get(kind, (0, 0))) for kind in KINDS}
 
 
-def _dimension_frames(keyed: dict[str, DataFrame], highest: dict[str, int]
+def _dimension_frames(keyed: dict[str, Group], highest: dict[str, int]
                       ) -> dict[str, DataFrame]:
     """The five dimensions from numbered members, numbers going on from the stored keys."""
-    dates = keyed[DATE_KIND].select(F.col("member").cast("date").alias("date"))
+    dates = keyed[DATE_KIND].rows.select(F.col("member").cast("date").alias("date"))
     frames = {"dim_date": dim_date(dates)}
     for natural, (table, key) in NATURAL_KEYS.items():
         number = F.col("_number") + F.lit(highest.get(table, 0))
-        frames[table] = COLUMNS[natural](keyed[natural].select(
+        frames[table] = COLUMNS[natural](keyed[natural].rows.select(
             F.col("member").alias(natural), number.alias(key)))
     return frames
 
 
-def _sizes(keyed: dict[str, Group]) -> dict[str, int]:
-    return {table: broadcast_size(keyed[natural].count, keyed[natural].text_bytes)
-            for natural, (table, _) in NATURAL_KEYS.items()}
+def _group_sizes(members: DataFrame) -> dict[str, tuple[int, int]]:
+    """Rows and bytes of text per kind: one row each."""
+    return {row[0]: (row[1], row[2]) for row in members.groupBy("kind").agg(
+        F.count("*"), F.sum(F.octet_length("member"))).collect()}
+
+
+def _sizes(keyed: dict[str, Group], known: DataFrame | None = None) -> dict[str, int]:
+    """Broadcast sizes of the member dimensions of a run, from counts already taken."""
+    old = {} if known is None else _group_sizes(known)
+    sizes = {}
+    for natural, (table, _) in NATURAL_KEYS.items():
+        rows, text = old.get(natural, (0, 0))
+        sizes[table] = broadcast_size(keyed[natural].count + rows,
+                                      keyed[natural].text_bytes + text)
+    return sizes
+
+
+def _known(members: DataFrame, warehouse: str) -> DataFrame:
+    """The members of this run that the warehouse holds, with their keys.
+
+    ``members`` is a stored table, so Catalyst knows its size: a small run is broadcast to
+    the scan of the stored dimensions, and everything after it is as small as the run.
+    """
+    spark = members.sparkSession
+    stored = [read_table(spark, warehouse, "dim_date").select(
+        F.lit(DATE_KIND).alias("kind"), F.col("date").cast("string").alias("member"),
+        F.col("date_key").cast("bigint").alias("key"))]
+    for natural, (table, key) in NATURAL_KEYS.items():
+        stored.append(read_table(spark, warehouse, table).select(
+            F.lit(natural).alias("kind"), F.col(natural).alias("member"),
+            F.col(key).alias("key")))
+    return reduce(DataFrame.unionByName, stored).join(members, ["kind", "member"])
+
+
+def _members_of_run(checked: dict[str, DataFrame], known: DataFrame | None
+                    ) -> dict[str, DataFrame]:
+    """Natural and surrogate keys of the members in this run: new ones kept, and known ones."""
+    kept = {name: df.filter(F.size("violations") == 0) for name, df in checked.items()}
+    dims = {"dim_date": kept["dim_date"].select("date", "date_key")}
+    for natural, (table, key) in NATURAL_KEYS.items():
+        dims[table] = kept[table].select(natural, key)
+    if known is None:
+        return dims
 
+    def of(kind: str, natural: Column, key: Column) -> DataFrame:
+        return known.filter(F.col("kind") == kind).select(natural, key)
 
-def _stored_members(spark: SparkSession, warehouse: str) -> DataFrame:
-    frames = [read_table(spark, warehouse, "dim_date").select(
-        F.lit(DATE_KIND).alias("kind"), F.col("date").cast("string").alias("member"))]
+    member, key = F.col("member"), F.col("key")
+    dims["dim_date"] = dims["dim_date"].union(
+        of(DATE_KIND, member.cast("date"), key.cast("int")))
     for natural, (table, _) in NATURAL_KEYS.items():
-        frames.append(read_table(spark, warehouse, table).select(
-            F.lit(natural).alias("kind"), F.col(natural).alias("member")))
-    return reduce(DataFrame.unionByName, frames)
+        dims[table] = dims[table].union(of(natural, member, key))
+    return dims
 
 
 def _highest_keys(spark: SparkSession, warehouse: str) -> dict[str, int]:
