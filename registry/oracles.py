@@ -201,6 +201,7 @@ def oracle_sql() -> dict[str, str]:
         "norm_mixed_type": f"""SELECT event_id, CASE event_id % 6 WHEN 0 THEN {number}
             WHEN 1 THEN {number} || '.5' WHEN 2 THEN 'p' || {number}
             WHEN 3 THEN '{{"k":' || {number} || '}}' ELSE '' END AS product_id FROM events""",
+        "norm_discover": """SELECT 'OBJECT<k: BIGINT, product_id: VARIANT>' AS schema""",
         "route_json": f'WITH {MESSAGES} SELECT "partition", "offset", route FROM routed',
         "route_outcomes": f"""WITH {MESSAGES}
             SELECT route, count(*) AS messages FROM routed GROUP BY route""",

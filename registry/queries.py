@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from registry import tables as t
 from viewstar.functions.agents import browser_family, os_family
 from viewstar.functions.documents import (
-    as_text, configure, decode_text, document_schema, event_fields, nested_to_json, parse_json,
-    union_of_keys)
+    as_text, configure, decode_text, document_schema, event_fields, nested_to_json, union_of_keys,
+    with_document)
 from viewstar.functions.times import event_date
 from viewstar.functions.urls import url_country
 from viewstar.operators import dimensions, facts, ingest, quality
@@ -219,8 +219,7 @@ def norm_mixed_type(spark, sf_dir):
 
 def norm_discover(spark, sf_dir):
     """The schema that covers all documents of mixed shape."""
-    documents = t.mixed_products(spark, sf_dir).select(parse_json("text").alias("document"))
-    return document_schema(documents, "document")
+    return document_schema(with_document(t.mixed_products(spark, sf_dir)), "document")
 
 
 def route_json(spark, sf_dir):

@@ -1,11 +1,12 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from viewstar.functions.documents import (
     as_text, decode_text, document_schema, event_fields, nested_to_json, normalised_json,
-    parse_json, route, union_of_keys)
+    route, union_of_keys, with_document)
 from viewstar.operators.ingest import forwarded, landed, routed
 from viewstar.schemas import ENVELOPE
 
@@ -72,7 +73,7 @@ def test_duplicate_keys_are_raw_unless_allowed(spark):
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
     try:
         df = spark.createDataFrame([('{"a":1,"a":2}',)], "t string")
-        assert df.select(route("t", parse_json("t"))).first()[0] == "raw"
+        assert with_document(df, "t").select(route("t", "document")).first()[0] == "raw"
     finally:
         spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
@@ -80,8 +81,8 @@ def test_duplicate_keys_are_raw_unless_allowed(spark):
 def test_last_duplicate_wins(spark):
     df = spark.createDataFrame([('{"device_id":"x","device_id":"y"}',)], "t string")
     assert df.select(event_fields("t", F.lit(True))["device_id"]).first()[0] == "y"
-    variant = parse_json("t")
-    assert df.select(F.variant_get(variant, "$.device_id", "string")).first()[0] == "y"
+    value = F.variant_get("document", "$.device_id", "string")
+    assert with_document(df, "t").select(value).first()[0] == "y"
 
 
 @pytest.mark.parametrize("text", [
@@ -145,5 +146,13 @@ def test_nulls_can_be_kept(spark):
 
 def test_schema_of_all_documents(spark):
     df = spark.createDataFrame([('{"a":1}',), ('{"a":"x","b":[true]}',)], "t string")
-    schema = document_schema(df.select(parse_json("t").alias("d")), "d").first()[0]
+    schema = document_schema(with_document(df, "t", "d"), "d").first()[0]
     assert schema == "OBJECT<a: VARIANT, b: ARRAY<BOOLEAN>>"
+
+
+def test_each_text_is_parsed_once(spark, plan):
+    messages = envelope(spark, [b"{}"])
+    for rows in (routed(messages), forwarded(messages), landed(messages)):
+        text = plan(rows)
+        assert len(re.findall("parse_?json", text, re.I)) == 1 and "EvalPython" not in text
+        assert text.count("from_json") <= 1

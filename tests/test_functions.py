@@ -1,4 +1,6 @@
 import datetime
+import random
+from urllib.parse import urlsplit
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +92,28 @@ def test_url_country(spark, url, country):
     assert one(spark, url, url_country("v")) == (country,)
 
 
+def test_url_country_on_random_urls(spark):
+    """Against a restatement of the rule over the standard library's URL parser."""
+    rng = random.Random(17)
+    pieces = ["http:", "https:", "//", "/", ".", "..", "a", "vn", "US", "com", "co", "12", ":80",
+              "@", "?", "#", " ", "\t", "\n", "x.y", "-", "é", "1a:", "+", "\\"]
+    urls = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 12)))
+            for _ in range(4000)]
+    urls += ["http://" + url for url in urls]
+
+    def expected(url):
+        labels = urlsplit(url).netloc.split(".")
+        if len(labels) >= 2 and len(labels[-1]) == 2:
+            return labels[-1].lower()
+        if len(labels) >= 3 and len(labels[-2]) == 2:
+            return labels[-2].lower()
+        return "unknown"
+
+    df = spark.createDataFrame([(u,) for u in urls], "v string")
+    for row in df.select("v", url_country("v").alias("c")).collect():
+        assert row.c == expected(row.v), repr(row.v)
+
+
 CHROME = "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) "
 AGENTS = [
     (CHROME + "Chrome/120.0.0.0 Safari/537.36", "Chrome", "Windows"),

@@ -24,19 +24,23 @@ def decode_text(value) -> Column:
     return F.make_valid_utf8(_column(value).cast("string"))
 
 
-def parse_json(text) -> Column:
-    """The text as one whole JSON value, or null.
+def with_document(df: DataFrame, text: str = "text", name: str = "document") -> DataFrame:
+    """``df`` with the text as one whole JSON value, or null, in a variant column.
 
     Spark's parser stops after the first value and does not mind what follows, so the
     text is parsed as the first of two array elements. The second is a hash of the text,
     which the text cannot contain by chance: it is found there only if nothing trails.
+    The steps are columns of their own, as each is used twice and must not run twice.
     """
-    text = _column(text)
-    mark = F.xxhash64(text)
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"),
-                                     F.lit("]")))
-    whole = F.try_variant_get(pair, "$[1]", "bigint") == mark
-    return F.when(whole, F.try_variant_get(pair, "$[0]", "variant"))
+    pair = F.concat(F.lit("["), F.col(text), F.lit(","), F.col("_mark").cast("string"),
+                    F.lit("]"))
+    whole = F.try_variant_get("_pair", "$[1]", "bigint") == F.col("_mark")
+    return (
+        df.withColumn("_mark", F.xxhash64(text))
+        .withColumn("_pair", F.try_parse_json(pair))
+        .withColumn(name, F.when(whole, F.try_variant_get("_pair", "$[0]", "variant")))
+        .drop("_mark", "_pair")
+    )
 
 
 def is_object(text) -> Column:

@@ -6,25 +6,25 @@ from pyspark.sql import Column, functions as F
 
 UNKNOWN = "unknown"
 
-# Text between "//" and the next "/", "?" or "#", after an optional scheme.
-AUTHORITY_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
+# The host is the text between "//" and the next "/", "?" or "#", after an optional scheme.
+START = r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
+END = r"(?:[/?#]|\z)"
+LAST_LABEL = START + r"[^/?#]*\.([^./?#]{2})" + END
+LABEL_BEFORE = START + r"[^/?#]*\.([^./?#]{2})\.[^./?#]*" + END
 
 
 def url_country(url) -> Column:
     """Two-letter last label of the host, else a two-letter label before it, else unknown.
 
-    The rule looks at label length only, so an IP address or a port takes part in it as
-    any other text does. A bracketed host that never closes counts as malformed.
+    A label counts only after another one. The rule looks at label length alone, so an IP
+    address or a port takes part in it as any other text does. A bracketed host that never
+    closes, or never opens, counts as malformed.
     """
     url = F.col(url) if isinstance(url, str) else url
-    cleaned = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    host = F.regexp_extract(cleaned, AUTHORITY_PATTERN, 1)
-    malformed = host.contains("[") != host.contains("]")
-    labels = F.split(host, r"\.")
-    last, before = F.try_element_at(labels, F.lit(-1)), F.try_element_at(labels, F.lit(-2))
-    return (
-        F.when(url.isNull() | malformed, UNKNOWN)
-        .when((F.size(labels) >= 2) & (F.length(last) == 2), F.lower(last))
-        .when((F.size(labels) >= 3) & (F.length(before) == 2), F.lower(before))
-        .otherwise(UNKNOWN)
-    )
+    cleaned = F.translate(url, "\t\r\n", "")
+    opened, closed = (cleaned.rlike(START + r"[^/?#]*" + bracket)
+                      for bracket in (r"\[", r"\]"))
+    malformed = (url.contains("[") | url.contains("]")) & (opened != closed)
+    label = F.coalesce(*[F.nullif(F.regexp_extract(cleaned, pattern, 1), F.lit(""))
+                         for pattern in (LAST_LABEL, LABEL_BEFORE)])
+    return F.when(malformed, UNKNOWN).otherwise(F.coalesce(F.lower(label), F.lit(UNKNOWN)))

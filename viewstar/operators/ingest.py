@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from viewstar.functions.documents import (
-    DOCUMENT, decode_text, event_fields, normalised_json, parse_json, route)
+    DOCUMENT, decode_text, event_fields, normalised_json, route, with_document)
 from viewstar.functions.times import event_date
 from viewstar.operators.numbering import number_rows
 from viewstar.schemas import EVENT_FIELDS
@@ -74,11 +74,8 @@ def topic_counts(envelope: DataFrame) -> DataFrame:
 
 def routed(envelope: DataFrame) -> DataFrame:
     """Messages as text with their document and route; positions are kept, keys are not."""
-    return (
-        envelope.select(*POSITION, "timestamp", decode_text("value").alias("text"))
-        .withColumn("document", parse_json("text"))
-        .withColumn("route", route("text", "document"))
-    )
+    texts = envelope.select(*POSITION, "timestamp", decode_text("value").alias("text"))
+    return with_document(texts).withColumn("route", route("text", "document"))
 
 
 def landed(envelope: DataFrame) -> DataFrame:
@@ -101,8 +98,8 @@ def forwarded(envelope: DataFrame) -> DataFrame:
 
     ``valid`` is false where the value is no JSON; such rows go to the dead letters.
     """
-    rows = envelope.select(*POSITION, decode_text("value").alias("text"))
-    valid = parse_json("text").isNotNull()
+    rows = with_document(envelope.select(*POSITION, decode_text("value").alias("text")))
+    valid = F.col("document").isNotNull()
     return rows.select(
         *POSITION, valid.alias("valid"),
         F.lit(None).cast("binary").alias("key"),
