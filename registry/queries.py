@@ -308,7 +308,7 @@ def chk_fk(spark, sf_dir):
         F.when(F.col("l_linenumber") != 7, F.col("l_suppkey")).alias("suppkey"))
     known = t.table(spark, sf_dir, "supplier").filter("s_nationkey <> 7").select(
         F.col("s_suppkey").alias("suppkey"))
-    return quality.orphan_rows(lines, known, "suppkey").select(
+    return quality.orphan_rows(lines, known, "suppkey", Staging(spark)).select(
         "l_orderkey", "l_linenumber", "suppkey")
 
 

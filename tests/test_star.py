@@ -6,6 +6,7 @@ from viewstar.plans.star import build_star
 from viewstar.schemas import NATURAL_KEYS, TABLES
 from viewstar.sources.landing import empty_events
 from viewstar.sources.warehouse import read_star, read_table
+from viewstar.staging import Staging
 
 FIRST = [("2024-01-01T10:00:00", "p1", "s1", "http://a.b/", "d1"),
          ("2024-01-01T11:00:00", "p1", "s1", "http://a.b/", "d1"),
@@ -27,6 +28,11 @@ def contents(spark, warehouse):
             for name, df in read_star(spark, warehouse).items()}
 
 
+def verify(spark, warehouse):
+    with Staging(spark) as staging:
+        verify_star(read_star(spark, warehouse), TABLES, staging)
+
+
 def keys(spark, warehouse):
     found = {}
     for natural, (table, key) in NATURAL_KEYS.items():
@@ -45,7 +51,7 @@ def test_counts_of_a_run(spark, events, warehouse):
     assert run.written == {"dim_date": 2, "dim_product": 2, "dim_country": 1,
                            "dim_referrer": 2, "dim_device": 2, "fact_product_views": 2}
     assert set(run.rejected.values()) == {0}
-    verify_star(read_star(spark, warehouse), TABLES)
+    verify(spark, warehouse)
 
 
 def test_latest_only_by_default(spark, events, warehouse):
@@ -71,7 +77,7 @@ def test_runs_accumulate_and_keep_keys(spark, events, warehouse):
     assert new[("product_id", "p0")] == 3 and new[("referrer_url", "")] == 3
     assert views(spark, warehouse) == [(20240101, 2), (20240102, 1), (20240103, 1),
                                        (20240103, 1)]
-    verify_star(read_star(spark, warehouse), TABLES)
+    verify(spark, warehouse)
 
 
 def test_late_event_refreshes_its_date_only(spark, events, warehouse):
@@ -79,7 +85,7 @@ def test_late_event_refreshes_its_date_only(spark, events, warehouse):
     build_star(events([*FIRST[:2], LATE]), warehouse, latest_only=False)
     assert views(spark, warehouse) == [(20240101, 1), (20240101, 2), (20240102, 1),
                                        (20240103, 1), (20240103, 1)]
-    verify_star(read_star(spark, warehouse), TABLES)
+    verify(spark, warehouse)
 
 
 def test_replace_leaves_this_run_only(spark, events, warehouse):
@@ -90,7 +96,7 @@ def test_replace_leaves_this_run_only(spark, events, warehouse):
         ("device_id", "d0"), ("device_id", "d2"), ("product_id", "p0"), ("product_id", "p2"),
         ("referrer_url", ""), ("referrer_url", "direct"), ("store_id", "s1"),
         ("store_id", "s2")]
-    verify_star(read_star(spark, warehouse), TABLES)
+    verify(spark, warehouse)
 
 
 def test_nothing_is_touched_without_events(spark, events, warehouse):
@@ -127,7 +133,7 @@ def test_broken_rows_go_to_quarantine(spark, events, warehouse):
     build_star(events(BROKEN), warehouse, latest_only=False, strict=False, batch_id="b1")
     assert contents(spark, warehouse) == before
     assert spark.read.parquet(f"{warehouse}/quarantine/fact_product_views").count() == 2
-    verify_star(read_star(spark, warehouse), TABLES)
+    verify(spark, warehouse)
 
 
 def test_long_urls_can_be_set_aside(spark, events, warehouse):
@@ -146,7 +152,7 @@ def test_hash_keys_give_the_same_star(spark, events, warehouse, tmp_path):
         build_star(events(rows), str(tmp_path / "dense"), latest_only=False)
     assert views(spark, warehouse) == views(spark, str(tmp_path / "dense"))
     assert sorted(keys(spark, warehouse)) == sorted(keys(spark, str(tmp_path / "dense")))
-    verify_star(read_star(spark, warehouse), TABLES)
+    verify(spark, warehouse)
     with pytest.raises(ConstraintViolation, match="hash keys"):
         build_star(events(SECOND), str(tmp_path / "dense"), hash_keys=True)
 
@@ -154,7 +160,7 @@ def test_hash_keys_give_the_same_star(spark, events, warehouse, tmp_path):
 def test_broken_members_with_hash_keys(spark, events, warehouse):
     build_star(events(BROKEN), warehouse, latest_only=False, strict=False, hash_keys=True)
     assert views(spark, warehouse) == [(20240101, 2), (20240102, 1)]
-    verify_star(read_star(spark, warehouse), TABLES)
+    verify(spark, warehouse)
 
 
 def test_empty_text_is_a_member(spark, events, warehouse):

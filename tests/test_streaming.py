@@ -4,18 +4,16 @@ import pytest
 
 from viewstar.operators.ingest import (
     first_messages, landed, next_positions, route_counts, topic_counts)
-from viewstar.operators.quality import verify_star
 from viewstar.plans.star import build_star
-from viewstar.schemas import ENVELOPE, TABLES
+from viewstar.schemas import ENVELOPE
 from viewstar.sinks.documents import stored_documents
 from viewstar.sources.landing import (
     events_of, landing_table, of_dates, of_latest_date)
-from viewstar.sources.warehouse import read_star
 from viewstar.streaming.bridge import start_bridge, to_folder
 from viewstar.streaming.landing import land_batch, start_landing
 from viewstar.streaming.outcomes import OutcomeListener, outcomes
 from viewstar.streaming.refresh import start_star_refresh
-from test_star import FIRST, LATE, SECOND, contents, views
+from test_star import FIRST, LATE, SECOND, contents, verify, views
 
 FIELDS = ("local_time", "product_id", "store_id", "referrer_url", "device_id")
 
@@ -152,7 +150,7 @@ def test_star_refresh_equals_one_batch(spark, tmp_path, topic, events):
     refresh()
     assert views(spark, warehouse) == [(20240101, 1), (20240101, 2), (20240102, 1),
                                        (20240103, 1), (20240103, 1)]
-    verify_star(read_star(spark, warehouse), TABLES)
+    verify(spark, warehouse)
     before = contents(spark, warehouse)
     refresh()
     assert contents(spark, warehouse) == before

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from viewstar.schemas import Table
+from viewstar.staging import Staging
 
 
 class ConstraintViolation(ValueError):
@@ -32,17 +33,18 @@ def null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(reduce(Column.__or__, [F.col(name).isNull() for name in columns]))
 
 
-def orphan_rows(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def orphan_rows(fact: DataFrame, dim: DataFrame, key: str, staging: Staging) -> DataFrame:
     """Rows whose non-null key is missing from ``dim``.
 
     The distinct keys are compared first: the map side removes repeats, so a hot key moves
-    once per task, and the fact itself is joined only with the few keys found missing.
+    once per task. The keys found missing are stored, so Catalyst knows how few they are
+    and the fact is filtered where it lies, without a shuffle.
     """
     missing = (
         fact.select(key).filter(F.col(key).isNotNull()).distinct()
         .join(dim.select(key), key, "left_anti")
     )
-    return fact.join(missing, key, "left_semi")
+    return fact.join(staging.table(missing, f"missing-{key}"), key, "left_semi")
 
 
 def too_long(column: str, length: int) -> Column:
@@ -126,11 +128,12 @@ def align(df: DataFrame, table: Table) -> DataFrame:
     return df.select([aligned(column) for column in table.columns])
 
 
-def verify_star(tables: dict[str, DataFrame], schemas: dict[str, Table]) -> None:
+def verify_star(tables: dict[str, DataFrame], schemas: dict[str, Table],
+                staging: Staging) -> None:
     """Check every key and reference of a star; raise on the first that does not hold."""
     for name, df in tables.items():
         schema = schemas[name]
         strict(duplicate_keys(df, [schema.primary_key]), f"{name} primary key")
         strict(duplicate_keys(df, schema.unique), f"{name} unique")
         for key, target in schema.references:
-            strict(orphan_rows(df, tables[target], key), f"{name}.{key} reference")
+            strict(orphan_rows(df, tables[target], key, staging), f"{name}.{key} reference")
