@@ -196,5 +196,7 @@ def test_shared_folder_must_be_named_on_a_cluster(spark):
             self.conf = Conf({k.replace("_", "."): v for k, v in values.items()})
 
     assert shared_folder(Session(spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
+    local = shared_folder(Session(spark_master="local[2]"))
+    assert local == shared_folder(Session(spark_master="local"))
     with pytest.raises(RuntimeError):
         shared_folder(Session(spark_master="yarn"))

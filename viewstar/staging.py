@@ -6,21 +6,25 @@ pruning, and gives Catalyst a real size to choose a join by.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _temporary_folder() -> str:
+    return tempfile.mkdtemp(prefix="viewstar-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="viewstar-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _temporary_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
