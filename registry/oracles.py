@@ -184,6 +184,8 @@ def oracle_sql() -> dict[str, str]:
               max("offset") AS last_offset FROM env GROUP BY topic, "partition" """,
         "landing_scan": f"""{TEXT_PIPELINE} SELECT local_time, product_id, store_id, referrer_url,
             device_id FROM pv""",
+        "landing_latest": f"""{TEXT_PIPELINE} SELECT local_time, product_id, store_id,
+            referrer_url, device_id FROM pv {LATEST}""",
         "warehouse_scan": f"{STAR} SELECT referrer_key, referrer_url FROM dr",
         # normalisation
         "norm_decode": """SELECT event_id, CASE WHEN event_id % 3 = 0

@@ -173,7 +173,14 @@ def ingest_resume(spark, sf_dir):
 def landing_scan(spark, sf_dir):
     path = Staging(spark).path("landing")
     land_batch(t.envelope(spark, sf_dir), path)
-    return events_of(landing_table(spark, path))
+    return events_of(landing_table(spark, path)).select(*EVENT_FIELDS)
+
+
+def landing_latest(spark, sf_dir):
+    """The events of the report date, from one folder of the landing table."""
+    path = Staging(spark).path("landing")
+    land_batch(t.envelope(spark, sf_dir), path)
+    return facts.on_report_date(events_of(landing_table(spark, path))).select(*EVENT_FIELDS)
 
 
 def warehouse_scan(spark, sf_dir):
@@ -468,6 +475,7 @@ def queries() -> dict[str, Query]:
         "ingest_resume": ingest_resume,
         "topic_counts": lambda s, d: ingest.topic_counts(t.envelope(s, d)),
         "landing_scan": landing_scan,
+        "landing_latest": landing_latest,
         "warehouse_scan": warehouse_scan,
         # normalisation
         "norm_decode": norm_decode,

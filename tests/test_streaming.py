@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from viewstar.operators.facts import on_report_date
 from viewstar.operators.ingest import (
     first_messages, landed, next_positions, route_counts, topic_counts)
 from viewstar.plans.star import build_star
@@ -117,6 +118,10 @@ def test_landing_scan_prunes(spark, tmp_path, topic, plan):
     latest = of_latest_date(landing)
     assert "PartitionFilters: [isnotnull(event_date" in plan(latest)
     assert latest.count() == 2
+    report = on_report_date(events_of(landing))
+    filters = plan(report).split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "event_date" in filters and "ubquery" in filters
+    assert sorted(tuple(r) for r in report.select(*FIELDS).collect()) == sorted(SECOND)
 
 
 def test_documents_to_store(spark, topic):
@@ -128,7 +133,8 @@ def test_documents_to_store(spark, topic):
 
 def test_raw_documents_count_as_empty_events(spark, topic):
     topic.send([b"nope", b"5", FIRST[0]])
-    got = sorted(tuple(r) for r in events_of(landed(topic.table())).collect())
+    rows = events_of(landed(topic.table())).select(*FIELDS).collect()
+    got = sorted(tuple(r) for r in rows)
     assert got == [("",) * 5, FIRST[0]]
     nulls = events_of(landed(topic.table()), keep_nulls=True)
     assert sum(r.product_id is None for r in nulls.collect()) == 1

@@ -34,7 +34,16 @@ def starting_with(events: DataFrame, date: str) -> DataFrame:
 
 
 def on_report_date(events: DataFrame, today: Column | None = None) -> DataFrame:
-    """Events whose time starts with the report date, found by a scalar subquery."""
+    """Events of the report date, which a scalar subquery finds.
+
+    Events from the landing table carry their date as a partition column, so the subquery
+    reads folder names and the scan opens one folder. Others are matched by the text their
+    time starts with.
+    """
+    if "event_date" in events.columns:
+        today = F.current_date() if today is None else today
+        latest = events.agg(F.coalesce(F.max("event_date"), today)).scalar()
+        return events.filter(F.col("event_date") == latest)
     return events.filter(F.col("local_time").startswith(report_date(events, today).scalar()))
 
 

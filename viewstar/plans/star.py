@@ -18,7 +18,7 @@ from viewstar.operators.members import all_members
 from viewstar.operators.numbering import Group, hash_key, number_groups
 from viewstar.operators.quality import duplicate_keys, strict as fail_on_any
 from viewstar.operators.quality import too_long, violations
-from viewstar.schemas import EVENT_FIELDS, NATURAL_KEYS, TABLES
+from viewstar.schemas import NATURAL_KEYS, TABLES
 from viewstar.sinks.warehouse import empty_fact, write_dimension, write_fact, write_rejected
 from viewstar.sources.warehouse import read_table, table_path
 from viewstar.staging import Staging, path_exists
@@ -127,13 +127,11 @@ def _grain_and_members(events: DataFrame, staging: Staging, latest_only: bool,
                        today: Column | None, keyed: bool = False
                        ) -> tuple[DataFrame, DataFrame]:
     """The stored grain of the fact, and the members of all dimensions, dates included."""
-    events = events.select(*EVENT_FIELDS)
-
     def stored(part: DataFrame) -> DataFrame:
         return keyed_grain(part, staging) if keyed else staging.table(view_grain(part), "grain")
 
     if latest_only:
-        dated = events.withColumn(DATE_KIND, event_date("local_time"))
+        dated = events.select(event_date("local_time").alias(DATE_KIND), *NATURAL_KEYS)
         return stored(on_report_date(events, today)), all_members(dated, KINDS)
     grain = stored(events)
     return grain, all_members(grain, KINDS)

@@ -37,13 +37,14 @@ def landing_stream(spark: SparkSession, path: str,
 
 
 def events_of(landing: DataFrame, keep_nulls: bool = False) -> DataFrame:
-    """The five event fields of every stored document, as text.
+    """The five event fields of every stored document, as text, and the event's date.
 
     Text that was no JSON is a stored document without any of the fields, so it counts
-    with empty text in each. Only the five columns and the route are read.
+    with empty text in each. Only the five columns and the route are read; the date is
+    the name of the folder.
     """
     stored = landing.filter(F.col("route") != ERROR)
-    return as_text(stored.select(*EVENT_FIELDS), keep_nulls=keep_nulls)
+    return as_text(stored.select(*EVENT_FIELDS, "event_date"), keep_nulls=keep_nulls)
 
 
 def of_dates(landing: DataFrame, dates: Iterable[datetime.date]) -> DataFrame:
