@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from viewstar.llm import mixing, oracles, quality_rules
+import public_tokenizers
+from viewstar.llm import (
+    decontamination, grammar_ids, mixing, near_duplicates, oracles, quality_rules, sharding, warc)
+from viewstar.staging import Staging
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,18 +21,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Staging(spark).path("ids")
+    grammar_ids.write_ids(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return grammar_ids.read_documents(spark.read.parquet(path))
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_duplicates.near_duplicates(docs, Staging(spark)).select(
+        "doc_id", "class_id", "copy_id", "n_copies", "n_links")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = Staging(spark)
+    path = staging.path("warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path, staging)
+    records = warc.read_warc(spark, path, "record_type IN ('response', 'revisit')",
+                             payload=False, verify=True)
+    return records.select(
+        warc.page_id("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+        F.replace("payload_digest", F.lit("sha1:"), F.lit("")).alias("payload_digest"),
+        "record_type", warc.page_id("refers_to").alias("refers_to"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judged(docs).select("doc_id", *[
         f"_quality.{c}" for c in (*quality_rules.MEASURES, "base_failed", "kept")])
 
 
+def op8_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = Staging(spark)
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = staging.table(docs.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32")), "rows")
+    links = sharding.equal_text_links(docs, sharding.SHARDS, staging)
+    return sharding.sharded(rows, links, staging).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.training_order(mixing.mixed(docs)).select("doc_id", *[
         f"_mix.{c}" for c in ("size", "source_size", "target", "taken", "position")])
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     found = {name: query for name, query in globals().items() if name.startswith("op")}
     return found | {"pipeline": corpus_pipeline.run}
