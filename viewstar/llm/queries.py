@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 import public_tokenizers
 from viewstar.llm import (
-    decontamination, grammar_ids, mixing, near_duplicates, oracles, quality_rules, sharding, warc)
+    decontamination, grammar_ids, main_text, mixing, near_duplicates, oracles, quality_rules,
+    sharding, subword_quality, viterbi_counts, warc)
 from viewstar.staging import Staging
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "class_id", "copy_id", "n_copies", "n_links")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages"), main_text.trained())
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
     path = staging.path("warc")
@@ -45,6 +51,19 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", warc.page_id("refers_to").alias("refers_to"))
 
 
+def op5_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = subword_quality.train(
+        *subword_quality.sample(docs, table(spark, sf_dir, "labels")))
+    return subword_quality.scored(docs, model).select(
+        "doc_id", subword_quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judged(docs).select("doc_id", *[
