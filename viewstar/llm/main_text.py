@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 
 from viewstar.llm.page_blocks import Element, TextBlock, text_blocks
 
-TRAIN_PAGES = 500
-EPOCHS = 5
+TRAIN_PAGES = 1000
+EPOCHS = 8
 RATE = 0.3
 DECAY = 1e-4
 SEED = 23
@@ -144,25 +144,37 @@ class Field(NamedTuple):
         return labels[::-1]
 
 
-def _log_add(a: np.ndarray) -> np.ndarray:
-    top = a.max(axis=0)
-    return top + np.log(np.exp(a - top).sum(axis=0))
-
-
 def expectations(scores: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Chance of each label at each place, and expected count of each step (forward-backward)."""
-    size = len(scores)
-    ahead, behind = np.zeros((size, 2)), np.zeros((size, 2))
-    ahead[0] = scores[0]
-    for t in range(1, size):
-        ahead[t] = _log_add(ahead[t - 1][:, None] + steps) + scores[t]
-    for t in range(size - 2, -1, -1):
-        behind[t] = _log_add((steps + scores[t + 1] + behind[t + 1]).T)
-    total = _log_add(ahead[-1])
-    pairs = np.zeros((2, 2))
-    for t in range(1, size):
-        pairs += np.exp(ahead[t - 1][:, None] + steps + scores[t] + behind[t] - total)
-    return np.exp(ahead + behind - total), pairs
+    """Chance of each label at each place, and expected count of each step (forward-backward).
+
+    Every place is scaled to a sum of one, so long pages neither overflow nor vanish.
+    """
+    (nn, nm), (mn, mm) = np.exp(steps).tolist()
+    local = np.exp(scores - scores.max(axis=1, keepdims=True)).tolist()
+    ahead, scales = [], []
+    no = yes = None
+    for e_no, e_yes in local:
+        if no is None:
+            no, yes = e_no, e_yes
+        else:
+            no, yes = (no * nn + yes * mn) * e_no, (no * nm + yes * mm) * e_yes
+        scale = no + yes
+        no, yes = no / scale, yes / scale
+        ahead.append((no, yes))
+        scales.append(scale)
+    chances = [ahead[-1]]
+    c_nn = c_nm = c_mn = c_mm = 0.0
+    b_no = b_yes = 1.0
+    for t in range(len(local) - 1, 0, -1):
+        f_no, f_yes = local[t][0] * b_no / scales[t], local[t][1] * b_yes / scales[t]
+        a_no, a_yes = ahead[t - 1]
+        c_nn += a_no * nn * f_no
+        c_nm += a_no * nm * f_yes
+        c_mn += a_yes * mn * f_no
+        c_mm += a_yes * mm * f_yes
+        b_no, b_yes = nn * f_no + nm * f_yes, mn * f_no + mm * f_yes
+        chances.append((a_no * b_no, a_yes * b_yes))
+    return np.array(chances[::-1]), np.array([[c_nn, c_nm], [c_mn, c_mm]])
 
 
 def train(pages: Sequence[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS,
@@ -171,21 +183,24 @@ def train(pages: Sequence[tuple[list[list[str]], list[int]]], epochs: int = EPOC
     names = sorted({f for found, _ in pages for block in found for f in block})
     index = {name: number for number, name in enumerate(names)}
     field = Field(index, np.zeros((len(names), 2)), np.zeros((2, 2)))
-    order = list(range(len(pages)))
+    ready = []
+    for found, labels in pages:
+        if labels:
+            flat = np.array([index[f] for block in found for f in block])
+            owner = np.repeat(np.arange(len(found)), [len(block) for block in found])
+            ready.append((flat, owner, np.array(labels)))
     shuffle = random.Random(seed)
     for epoch in range(epochs):
-        shuffle.shuffle(order)
+        shuffle.shuffle(ready)
         pace = rate / (1 + epoch)
-        for number in order:
-            found, labels = pages[number]
-            chances, pairs = expectations(field.scores(found), field.steps)
-            gold = np.zeros_like(chances)
-            gold[np.arange(len(labels)), labels] = 1
-            change = (gold - chances) * pace
-            for block, step in zip(found, change):
-                field.weights[[index[f] for f in block]] += step
-            for one, two in zip(labels, labels[1:]):
-                pairs[one, two] -= 1
+        for flat, owner, labels in ready:
+            scores = np.zeros((len(labels), 2))
+            np.add.at(scores, owner, field.weights[flat])
+            chances, pairs = expectations(scores, field.steps)
+            change = -chances * pace
+            change[np.arange(len(labels)), labels] += pace
+            np.add.at(field.weights, flat, change[owner])
+            np.subtract.at(pairs, (labels[:-1], labels[1:]), 1)
             field.steps[:] -= pace * pairs
             field.weights[:] *= 1 - decay * pace
     return field
@@ -213,7 +228,10 @@ class _Maker:
 
     def text(self) -> str:
         """A paragraph, long or short; at times one without full stops."""
-        if self.random.random() < 0.2:
+        kind = self.random.random()
+        if kind < 0.1:
+            return self.words(1, 3).capitalize() + "."
+        if kind < 0.25:
             return self.words(1, 60)
         return self.prose(self.random.randint(1, 6))
 

@@ -24,6 +24,7 @@ from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from viewstar.llm.names import free_name, own_columns
 from viewstar.llm.quality_rules import words_of
 
 MAX_REPEAT = 3
@@ -103,7 +104,7 @@ def position_of(share: Column, place: Column, schedules=SCHEDULES) -> Column:
     return result
 
 
-def mixed(docs: DataFrame, name: str = "_mix", weights: Sequence[float] = WEIGHTS,
+def mixed(docs: DataFrame, name: str, weights: Sequence[float] = WEIGHTS,
           schedules=SCHEDULES, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """``docs`` with a struct: size, source_size, target, taken, passes, offset, position.
 
@@ -112,7 +113,7 @@ def mixed(docs: DataFrame, name: str = "_mix", weights: Sequence[float] = WEIGHT
     rounded to whole words.
     """
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sized = docs.select("*", F.struct(
+    sized = docs.select(*own_columns(docs), F.struct(
         word_count(F.col("text")).alias("size"), _source_key(F.col("source")).alias("key"),
         order.alias("order")).alias(name))
     rows = sized.count()
@@ -150,7 +151,7 @@ def mixed(docs: DataFrame, name: str = "_mix", weights: Sequence[float] = WEIGHT
     part = F.greatest(F.lit(0), F.least(rest - offset, size))
     taken = passes * size + part
     share = offset.cast("double") / demand.cast("double")
-    return placed.select(*docs.columns, F.struct(
+    return placed.select(*own_columns(docs), F.struct(
         size.alias("size"), total.alias("source_size"), base["target"].alias("target"),
         taken.cast("long").alias("taken"), passes.cast("long").alias("passes"),
         part.cast("long").alias("part"), offset.alias("offset"), demand.alias("demand"),
@@ -159,7 +160,7 @@ def mixed(docs: DataFrame, name: str = "_mix", weights: Sequence[float] = WEIGHT
     ).alias(name))
 
 
-def training_order(mix: DataFrame, name: str = "_mix") -> DataFrame:
+def training_order(mix: DataFrame, name: str) -> DataFrame:
     """Rows range-partitioned and sorted by training position, those not taken last."""
     return mix.orderBy(F.col(f"{name}.position").asc_nulls_last(), "doc_id")
 
@@ -170,12 +171,16 @@ def copies(docs: DataFrame, schedules=SCHEDULES, **options) -> DataFrame:
     A document is there once per pass, and once more if at least half of its words belong to
     the started pass. At most ``max_repeat`` copies, so the rows stay in proportion.
     """
-    mix = mixed(docs, schedules=schedules, **options)
-    whole = F.col("_mix.passes") + F.when(
-        (F.col("_mix.part") > 0) & (2 * F.col("_mix.part") >= F.col("_mix.size")), 1).otherwise(0)
+    name = free_name(docs, "_mix")
+    mix = mixed(docs, name, schedules=schedules, **options)
+    got = {c: F.col(f"{name}.{c}") for c in
+           ("passes", "part", "size", "offset", "source_size", "demand", "place")}
+    whole = got["passes"] + F.when(
+        (got["part"] > 0) & (2 * got["part"] >= got["size"]), 1).otherwise(0)
     times = F.when(whole > 0, F.sequence(F.lit(0).cast("long"), whole - 1))
-    repeated = mix.withColumn("_pass", F.explode(times))
-    share = (F.col("_mix.offset") + F.col("_pass") * F.col("_mix.source_size")).cast(
-        "double") / F.col("_mix.demand").cast("double")
-    at = position_of(share, F.col("_mix.place"), schedules)
-    return repeated.withColumn("_at", at).orderBy("_at", "doc_id").select(*docs.columns)
+    repeated = mix.withColumn(f"{name}_pass", F.explode(times))
+    offset = got["offset"] + F.col(f"{name}_pass") * got["source_size"]
+    share = offset.cast("double") / got["demand"].cast("double")
+    at = position_of(share, got["place"], schedules)
+    return repeated.withColumn(f"{name}_at", at).orderBy(f"{name}_at", "doc_id").select(
+        *own_columns(docs))

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from viewstar.llm.graph import components
+from viewstar.llm.names import free_name, own_columns
 from viewstar.llm.text import (
     WHITE_SPACE, Words, hashed_words, mixed, row_chunks, shingles)
 from viewstar.staging import Staging
@@ -367,16 +368,18 @@ def keep_one(docs: DataFrame, staging: Staging) -> DataFrame:
     """``docs`` with one row of each class, the one with the least id (nulls come first)."""
     rows = near_duplicates(docs, staging).groupBy("class_node", "doc_id", "node").agg(
         F.count("*").alias("rows"))
-    kept = rows.groupBy("class_node").agg(
+    name = free_name(docs, "_kept")
+    id_, node, number = f"{name}_id", f"{name}_node", f"{name}_rows"
+    kept = staging.table(rows.groupBy("class_node").agg(
         F.min(F.struct("doc_id", "node", "rows")).alias("k")).select(
-        F.col("k.doc_id").alias("_id"), F.col("k.node").alias("_node"),
-        F.col("k.rows").alias("_rows"))
-    kept = staging.table(kept, "kept")
+        F.col("k.doc_id").alias(id_), F.col("k.node").alias(node),
+        F.col("k.rows").alias(number)), "kept")
     digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    same = (F.col("_id").eqNullSafe(docs["doc_id"])) & (F.col("_node") == digest)
-    once = docs.join(kept.where("_rows = 1"), same, "left_semi")
-    if not kept.where("_rows > 1").limit(1).count():
+    same = F.col(id_).eqNullSafe(F.col("doc_id")) & (F.col(node) == digest)
+    once = docs.join(kept.where(F.col(number) == 1), same, "left_semi")
+    repeated = kept.where(F.col(number) > 1)
+    if not repeated.limit(1).count():
         return once
-    # Rows that repeat in full: one of each stays.
-    again = docs.join(kept.where("_rows > 1"), same).dropDuplicates(["_id", "_node"])
-    return once.unionByName(again.select(*docs.columns))
+    # Rows with one id and text: one of each stays.
+    again = docs.join(repeated, same).dropDuplicates([id_, node])
+    return once.union(again.select(*own_columns(docs)))

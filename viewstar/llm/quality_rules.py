@@ -4,8 +4,8 @@ Every measure of a text is taken in one projection over the whole text. Words ar
 ``[^\\x20\\x09-\\x0D]+``; lines are the ``\\n``-split lines that hold a word.
 
 Defined cases: a null text is an empty text; a text without words fails the base rule; equal
-rows get equal answers; columns of the input named like a measure stay as they are, as the
-measures come back in one struct.
+rows get equal answers; an empty table gives an empty result; columns of the input named like a
+measure stay as they are, as the measures come back in one struct column named by the caller.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from viewstar.llm.names import free_name, own_columns
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]"
 SYMBOLS = "[#*$%&|<>]"
@@ -133,7 +135,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
             "n_stop_words", "n_lines")
 
 
-def judged(docs: DataFrame, name: str = "_quality", rules: Sequence[Rule] = RULES,
+def judged(docs: DataFrame, name: str, rules: Sequence[Rule] = RULES,
            text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``name``: all measures, base_failed, kept."""
     stop_words = sorted({w for words in STOP_WORDS.values() for w in words.split()})
@@ -154,4 +156,5 @@ def judged(docs: DataFrame, name: str = "_quality", rules: Sequence[Rule] = RULE
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The documents that pass, with their columns unchanged."""
-    return judged(docs, rules=rules).where("_quality.kept").drop("_quality")
+    name = free_name(docs, "_quality")
+    return judged(docs, name, rules).where(f"{name}.kept").select(*own_columns(docs))

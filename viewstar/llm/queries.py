@@ -66,8 +66,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.judged(docs).select("doc_id", *[
-        f"_quality.{c}" for c in (*quality_rules.MEASURES, "base_failed", "kept")])
+    return quality_rules.judged(docs, "quality").select("doc_id", *[
+        f"quality.{c}" for c in (*quality_rules.MEASURES, "base_failed", "kept")])
 
 
 def op8_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +85,8 @@ def op8_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.training_order(mixing.mixed(docs)).select("doc_id", *[
-        f"_mix.{c}" for c in ("size", "source_size", "target", "taken", "position")])
+    return mixing.training_order(mixing.mixed(docs, "mix"), "mix").select("doc_id", *[
+        f"mix.{c}" for c in ("size", "source_size", "target", "taken", "position")])
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from viewstar.llm.names import free_name, own_columns
 from viewstar.operators.numbering import number_rows
 from viewstar.staging import Staging
 
@@ -133,17 +134,26 @@ def cut_links(links: DataFrame, placed: DataFrame) -> int:
 
 def sharded(docs: DataFrame, links: DataFrame, staging: Staging, shards: int = SHARDS,
             rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` with shard (0 ... shards - 1) and slot (gapless from 0 in each shard)."""
-    labels = propagated(docs, links, shards, staging, rounds)
-    side = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) * 2 - 1
-    rows = docs.join(labels, F.col("doc_id") == F.col("node"), "left").select(
-        *docs.columns, F.coalesce("shard", first_shard("doc_id", shards)).alias("_shard"),
-        F.when(F.col("near").isNull(), side).otherwise(0).alias("_side"),
-        F.coalesce("near", "doc_id").alias("_near"))
-    numbered = number_rows(rows, ["_shard", "_side", "_near", "doc_id"], "_number", staging)
+    """``docs`` with shard (0 ... shards - 1) and slot (gapless from 0 in each shard).
+
+    Columns of those names in the input are replaced.
+    """
+    docs = docs.drop("shard", "slot")
+    name = free_name(docs, "_shard")
+    node, label, side, near, number = (f"{name}_{c}" for c in (
+        "node", "label", "side", "near", "number"))
+    labels = propagated(docs, links, shards, staging, rounds).select(
+        F.col("node").alias(node), F.col("shard").alias(label), F.col("near").alias(near))
+    end = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) * 2 - 1
+    rows = docs.join(labels, F.col("doc_id") == F.col(node), "left").select(
+        *own_columns(docs), F.coalesce(label, first_shard("doc_id", shards)).alias(label),
+        F.when(F.col(near).isNull(), end).otherwise(0).alias(side),
+        F.coalesce(near, "doc_id").alias(near))
+    numbered = number_rows(rows, [label, side, near, "doc_id"], number, staging)
     total = rows.count()
-    place = F.col("_number") - 1
-    shard = F.floor(place * shards / F.lit(max(total, 1)))
-    start = F.ceil(F.col("shard") * F.lit(total) / F.lit(shards))
+    # Whole-number arithmetic: shard s holds the places from ceil(s * total / shards) on.
+    place = F.col(number) - 1
+    shard = F.expr(f"(`{number}` - 1) * {shards} div {max(total, 1)}")
+    start = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return numbered.withColumn("shard", shard.cast("int")).withColumn(
-        "slot", (place - start).cast("long")).select(*docs.columns, "shard", "slot")
+        "slot", (place - start).cast("long")).select(*own_columns(docs), "shard", "slot")
