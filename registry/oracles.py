@@ -240,7 +240,7 @@ def oracle_sql() -> dict[str, str]:
             first_view_time, avg_view_timestamp, view_duration_seconds,
             product_key IS NULL AS no_product, country_key IS NULL AS no_country,
             referrer_key IS NULL AS no_referrer, device_key IS NULL AS no_device FROM ft""",
-        "fact_key": f"""{STAR} SELECT CAST(date_key AS BIGINT) * 100000000000 + row_number() OVER (
+        "fact_key": f"""{STAR} SELECT CAST(date_key AS BIGINT) * 10000000000 + row_number() OVER (
             PARTITION BY date_key ORDER BY product_key NULLS FIRST, country_key NULLS FIRST,
             referrer_key NULLS FIRST, device_key NULLS FIRST) AS fact_key, date_key, product_key,
             country_key, referrer_key, device_key FROM ft""",

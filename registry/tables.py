@@ -29,10 +29,10 @@ USER_AGENTS = (
      "CriOS/%.0.0.0 Mobile/15E148 Safari/604.1", "Chrome Mobile iOS", "iOS"),
     ("Mozilla/5.0 (Android 13; Mobile; rv:%.0) Gecko/%.0 Firefox/%.0", "Firefox Mobile",
      "Android"),
-    ("curl/7.%.0", "curl", "unknown"),
+    ("curl/7.%.0", "curl", "Other"),
     ("Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)", "Googlebot",
-     "unknown"),
-    ("no known product %", "unknown", "unknown"),
+     "Other"),
+    ("no known product %", "Other", "Other"),
 )
 
 TOPIC = "product_views"

@@ -134,12 +134,33 @@ def test_report_date(events, spark):
     assert today == str(spark.sql("SELECT current_date()").first()[0])
 
 
-def test_prefix_filter_reaches_the_scan(spark, tmp_path, events, plan):
-    events([("2024-01-07T10:00:00", *[None] * 4), ("2024-01-06", *[None] * 4)]).write.parquet(
-        str(tmp_path / "e"))
-    df = facts.starting_with(spark.read.parquet(str(tmp_path / "e")), "2024-01-07")
-    assert "StringStartsWith(local_time,2024-01-07)" in plan(df)
-    assert df.count() == 1
+SEEDED = ["2024-01-07T10:00:00", "2024-1-7", "2024-01-07", "2024-01-06", "9999-12-31T00:00:00",
+          "5000-01-01T00:00:00", "300000-1-1", "garbage", "", None]
+
+
+def test_one_report_date_rule(spark, events, tmp_path):
+    """Short forms belong to their date; the future and what is no date do not win."""
+    frame = events([(x, "p", "s", "r", "d") for x in SEEDED])
+    dated = frame.withColumn("event_date", facts.event_date("local_time"))
+    dated.write.partitionBy("event_date").parquet(str(tmp_path / "landed"))
+    stored = spark.read.parquet(str(tmp_path / "landed"))
+    want = ["2024-01-07", "2024-01-07T10:00:00", "2024-1-7"]
+    assert sorted(r[0] for r in facts.on_report_date(frame).collect()) == want
+    assert sorted(r.local_time for r in facts.on_report_date(stored).collect()) == want
+    assert facts.report_date(frame).first()[0] == "2024-01-07"
+
+
+def test_any_date_has_a_key_or_none(staging, events):
+    grain = facts.keyed_grain(events([(x, "p", "s", "r", "d") for x in SEEDED]), staging)
+    got = {(str(r.date), r.fact_key) for r in grain.select("date", "fact_key").collect()}
+    assert ("9999-12-31", 99991231 * 10 ** 10 + 1) in got
+    assert {key for date, key in got if date == "None"} == {None}
+
+
+def test_mean_time_is_exact(events):
+    late = [("2024-01-01T00:00:01", "p", "s", "r", "d")] * 3
+    row = facts.view_grain(events(late)).first()
+    assert row.seconds == 3 * 1704067201 and isinstance(row.seconds, int)
 
 
 def test_fact_key_is_stable_under_other_dates(staging, events, rows):
@@ -148,7 +169,7 @@ def test_fact_key_is_stable_under_other_dates(staging, events, rows):
                                     and r[0] < "2024-03-03"]), staging)
     assert one.exceptAll(every).isEmpty() and not one.isEmpty()
     numbers = sorted(r.fact_key for r in one.collect())
-    assert numbers == [20240302 * 10 ** 11 + n for n in range(1, len(numbers) + 1)]
+    assert numbers == [20240302 * 10 ** 10 + n for n in range(1, len(numbers) + 1)]
     assert every.select("fact_key").distinct().count() == every.count()
 
 

@@ -149,12 +149,12 @@ AGENTS = [
     ("Mozilla/5.0 (iPhone; CPU iPhone OS 17_2) Mobile/15E148 [FBAN/FBIOS;FBAV/440.0]",
      "Facebook", "iOS"),
     ("Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)", "Googlebot",
-     "unknown"),
-    ("curl/8.4.0", "curl", "unknown"),
-    ("python-requests/2.31.0", "Python Requests", "unknown"),
+     "Other"),
+    ("curl/8.4.0", "curl", "Other"),
+    ("python-requests/2.31.0", "Python Requests", "Other"),
     ("Mozilla/5.0 (X11; FreeBSD amd64; rv:120.0) Gecko/20100101 Firefox/120.0", "Firefox",
      "FreeBSD"),
-    ("something else", "unknown", "unknown"),
+    ("something else", "Other", "Other"),
     ("", "unknown", "unknown"),
     (None, "unknown", "unknown"),
 ]

@@ -2,7 +2,8 @@
 
 Each family is named by the first rule whose pattern occurs in the text. The rules
 become one CASE expression, so there is no join, no shuffle and no Python worker. They
-cover the families in wide use; every other text is "unknown".
+cover the families in wide use; every other text is "Other", as user-agent parsers name a
+family they do not know. Without any text the family is "unknown".
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 UNKNOWN = "unknown"
+OTHER = "Other"
 
 # Family names and the tokens browsers are known to send, first match wins.
 BROWSER_RULES = (
@@ -72,8 +74,10 @@ def _found(agent: Column, pattern: str) -> Column:
 
 def _family(agent, rules) -> Column:
     agent = F.col(agent) if isinstance(agent, str) else agent
-    chain = reduce(lambda cases, rule: cases.when(_found(agent, rule[0]), rule[1]), rules, F)
-    return chain.otherwise(UNKNOWN)
+    chain = F.when(agent.isNull() | (agent == ""), UNKNOWN)
+    for pattern, family in rules:
+        chain = chain.when(_found(agent, pattern), family)
+    return chain.otherwise(OTHER)
 
 
 def browser_family(agent) -> Column:

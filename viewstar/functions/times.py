@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# A date key has four digits for the year.
+LAST_YEAR = 9999
+
 
 def date_text(local_time) -> Column:
     """The first ten characters of the event's time."""
@@ -11,8 +14,9 @@ def date_text(local_time) -> Column:
 
 
 def event_date(local_time) -> Column:
-    """Date of the event; null where the text holds none."""
-    return date_text(local_time).try_cast("date")
+    """Date of the event; null where the text holds none that a date key can express."""
+    date = date_text(local_time).try_cast("date")
+    return F.when(F.year(date).between(1, LAST_YEAR), date)
 
 
 def event_time(local_time) -> Column:
@@ -27,8 +31,10 @@ def epoch_seconds(time) -> Column:
 
 
 def date_key(date) -> Column:
-    """The date as an integer in the form yyyyMMdd."""
-    return (F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)).cast("int")
+    """The date as an integer in the form yyyyMMdd; null for years outside 1 to 9999."""
+    date = F.col(date) if isinstance(date, str) else date
+    key = F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)
+    return F.when(F.year(date).between(1, LAST_YEAR), key.cast("int"))
 
 
 def calendar(date) -> dict[str, Column]:

@@ -7,6 +7,8 @@ aggregated rows only.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from viewstar.functions.times import date_key, epoch_seconds, event_date, event_time
@@ -16,11 +18,21 @@ from viewstar.schemas import FACT_KEYS, FACT_KEYS_PER_DATE, NATURAL_KEYS
 from viewstar.staging import Staging
 
 
+# Days after today that a clock running ahead may still name; later dates are no report date.
+FUTURE_DAYS = 1
+
+
+def _latest(date: Column, today: Column | None) -> Column:
+    """The latest date that is not in the future, by more than ``FUTURE_DAYS``, else today."""
+    today = F.current_date() if today is None else today
+    last = F.date_add(F.greatest(today, F.current_date()), FUTURE_DAYS)
+    return F.coalesce(F.max(F.when(date <= last, date)), today)
+
+
 def report_date(events: DataFrame, today: Column | None = None) -> DataFrame:
     """One row: the latest valid date among the events, else today, as text."""
-    today = F.current_date() if today is None else today
-    latest = F.max(event_date("local_time"))
-    return events.agg(F.coalesce(latest, today).cast("string").alias("report_date"))
+    latest = _latest(event_date("local_time"), today)
+    return events.agg(latest.cast("string").alias("report_date"))
 
 
 def with_valid_date(events: DataFrame) -> DataFrame:
@@ -28,23 +40,18 @@ def with_valid_date(events: DataFrame) -> DataFrame:
     return events.filter(event_date("local_time").isNotNull())
 
 
-def starting_with(events: DataFrame, date: str) -> DataFrame:
-    """Events whose time starts with the text ``date``; the scan gets the prefix."""
-    return events.filter(F.col("local_time").startswith(date))
-
-
-def on_report_date(events: DataFrame, today: Column | None = None) -> DataFrame:
-    """Events of the report date, which a scalar subquery finds.
+def on_report_date(events: DataFrame, today: Column | None = None,
+                   day: datetime.date | None = None) -> DataFrame:
+    """Events of the report date: those whose parsed date equals it.
 
-    Events from the landing table carry their date as a partition column, so the subquery
-    reads folder names and the scan opens one folder. Others are matched by the text their
-    time starts with.
+    ``day`` is the report date where the caller knows it (``latest_landed_day`` reads it off
+    the folders of a landing table); else a scalar subquery finds it. Events from the landing
+    table carry the parsed date as their partition column, so that the scan opens one folder.
     """
-    if "event_date" in events.columns:
-        today = F.current_date() if today is None else today
-        latest = events.agg(F.coalesce(F.max("event_date"), today)).scalar()
-        return events.filter(F.col("event_date") == latest)
-    return events.filter(F.col("local_time").startswith(report_date(events, today).scalar()))
+    stored = "event_date" in events.columns
+    date = F.col("event_date") if stored else event_date("local_time")
+    latest = events.agg(_latest(date, today)).scalar() if day is None else F.lit(day)
+    return events.filter(date == latest)
 
 
 def view_grain(events: DataFrame) -> DataFrame:
@@ -59,7 +66,8 @@ def view_grain(events: DataFrame) -> DataFrame:
              F.min("_time").alias("first_view_time"),
              F.max("_time").alias("last_view_time"),
              F.count(seconds).alias("timed_views"),
-             F.sum(seconds.cast("double")).alias("seconds"))
+             # Whole seconds add up exactly, whatever the order of the tasks.
+             F.sum(seconds).alias("seconds"))
     )
 
 

@@ -19,8 +19,9 @@ ENVELOPE = T.StructType([
 EVENT_FIELDS = ("local_time", "product_id", "store_id", "referrer_url", "device_id")
 EVENT = T.StructType([T.StructField(name, T.StringType()) for name in EVENT_FIELDS])
 
-# Largest key space given to one date by the generated fact key.
-FACT_KEYS_PER_DATE = 10 ** 11
+# Largest key space given to one date by the generated fact key; the key of the last date
+# that has a date key, 9999-12-31, still fits a BIGINT.
+FACT_KEYS_PER_DATE = 10 ** 10
 
 
 @dataclass(frozen=True)
