@@ -1,0 +1,55 @@
+"""Word and shingle hashes against plain Python words."""
+
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings, strategies as st
+
+from viewstar.llm.text import hashed_words, row_chunks, shingles, text_buffer
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+TEXTS = st.lists(st.one_of(st.none(), st.text(
+    alphabet=st.sampled_from(list("ab é中\t\n😀 ")), max_size=20)), max_size=8)
+
+
+def same_groups(keys, hashes):
+    """Equal keys have equal hashes and different keys different ones."""
+    pairs = set(zip(keys, hashes))
+    return len(pairs) == len(set(keys)) == len(set(hashes))
+
+
+@given(TEXTS)
+@settings(max_examples=200, deadline=None)
+def test_words_match_the_pattern(texts):
+    found = hashed_words(pa.array(texts, pa.string()))
+    expected = [WORD.findall(t or "") for t in texts]
+    assert np.diff(found.first).tolist() == [len(w) for w in expected]
+    assert same_groups([w for ws in expected for w in ws], found.words.tolist())
+
+
+@given(TEXTS)
+@settings(max_examples=200, deadline=None)
+def test_shingles_are_windows_of_words(texts):
+    found = shingles(hashed_words(pa.array(texts, pa.string())), 3)
+    expected = []
+    for text in texts:
+        words = WORD.findall(text or "")
+        expected.append([tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+                        if len(words) >= 3 else [tuple(words)] if words else [])
+    assert np.diff(found.first).tolist() == [len(s) for s in expected]
+    assert same_groups([s for one in expected for s in one], found.words.tolist())
+
+
+def test_slices_and_nulls():
+    column = pa.array(["zero", None, "", "drei é", "four"])
+    data, offsets = text_buffer(column.slice(1, 3))
+    assert data.tobytes().decode() == "drei é"
+    assert offsets.tolist() == [0, 0, 0, 7]
+
+
+def test_chunks_cover_all_rows_once():
+    column = pa.array(["x" * n for n in (5, 0, 30, 1, 1, 1, 40, 0)])
+    ranges = list(row_chunks(column, 10))
+    assert [r for a, b in ranges for r in range(a, b)] == list(range(len(column)))
+    assert list(row_chunks(pa.array([], pa.string()))) == []

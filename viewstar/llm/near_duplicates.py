@@ -11,11 +11,11 @@ of their sets is at least 0.8.
 3. Bayesian pruning: the values are compared ``STEP`` at a time. With a uniform prior the
    similarity after m agreements among n has a Beta(m + 1, n - m + 1) posterior; a pair is
    dropped as soon as the chance of reaching the threshold falls below ``TOLERANCE``.
-   Of what survives in a group only a spanning forest leaves the task.
-4. The forests give clusters. Only their nodes are read again for their shingles, and all
+   Of what survives in a group only a star per connected piece leaves the task.
+4. The stars give clusters. Only their nodes are read again for their shingles, and all
    pairs in a cluster, block by block, are pruned as before and then verified exactly. A task
-   gives each node's number of links and a spanning forest of the links.
-5. The exact forests give the classes; equal texts get their node's class.
+   gives each node's number of links and a star per piece that links connect.
+5. The exact stars give the classes; equal texts get their node's class.
 
 Defined cases: a null text is an empty text; a text without words has no shingle, and so links
 to none but still forms a class with equal texts; a text of fewer than five words has one
@@ -187,8 +187,8 @@ def _pruned(left, right, signatures, fewest):
     return left, right
 
 
-def _forest(left: np.ndarray, right: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """A spanning forest of the graph, by union of roots."""
+def _stars(left: np.ndarray, right: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """(member, least member) of each connected piece: the same star wherever it is found."""
     parent = list(range(size))
 
     def root(x: int) -> int:
@@ -197,17 +197,16 @@ def _forest(left: np.ndarray, right: np.ndarray, size: int) -> list[tuple[int, i
             x = parent[x]
         return x
 
-    kept = []
     for a, b in zip(left.tolist(), right.tolist()):
         x, y = root(a), root(b)
         if x != y:
             parent[max(x, y)] = min(x, y)
-            kept.append((a, b))
-    return kept
+    touched = np.unique(np.concatenate((left, right))).tolist()
+    return [(x, root(x)) for x in touched if root(x) != x]
 
 
 def _columns(table: pa.Table, key: str):
-    table = table.combine_chunks().sort_by([(key, "ascending")])
+    table = table.combine_chunks().sort_by([(key, "ascending"), ("node", "ascending")])
     signatures = np.frombuffer(
         b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
     return (table, table.column(key).to_numpy(), table.column("same").to_numpy(),
@@ -215,14 +214,14 @@ def _columns(table: pa.Table, key: str):
 
 
 def _candidates(table: pa.Table) -> pa.Table:
-    """Spanning edges of the pairs of a pack that survive the pruning."""
+    """Stars over the pairs of a pack that survive the pruning."""
     table, cell, same, low, signatures = _columns(table, "cell")
     fewest = least_agreement()
     nodes = table.column("node").to_pylist()
     a, b = [], []
     for left, right in _pair_slices(cell, same, low):
         left, right = _pruned(left, right, signatures, fewest)
-        for one, two in _forest(left, right, len(cell)):
+        for one, two in _stars(left, right, len(cell)):
             a.append(nodes[one])
             b.append(nodes[two])
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
@@ -253,7 +252,7 @@ def _intersections(left, right, sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _verified(table: pa.Table) -> pa.Table:
-    """Exact links of a pack: (node, links) rows, and (node, other) rows of a forest."""
+    """Exact links of a pack: (node, links) rows, and (node, least node) rows of stars."""
     table, cell, same, low, signatures = _columns(table, "cell")
     fewest = least_agreement()
     nodes = table.column("node").to_pylist()
@@ -275,7 +274,7 @@ def _verified(table: pa.Table) -> pa.Table:
         left, right = left[linked], right[linked]
         links += np.bincount(left, minlength=len(cell)) + np.bincount(
             right, minlength=len(cell))
-        for one, two in _forest(left, right, len(cell)):
+        for one, two in _stars(left, right, len(cell)):
             a.append(nodes[one])
             b.append(nodes[two])
     some = np.flatnonzero(links)
