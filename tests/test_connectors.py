@@ -3,7 +3,7 @@
 import json
 
 from viewstar.sinks.jdbc import jdbc_write_options
-from viewstar.sources.kafka import _positions, capped_positions, kafka_options
+from viewstar.sources.kafka import _positions, kafka_options
 from viewstar.sources.landing import empty_events
 from viewstar.sources.warehouse import jdbc_read_options
 from viewstar.schemas import EVENT
@@ -22,14 +22,6 @@ def test_positions():
     assert json.loads(_positions("t", {1: 5, 0: 2}, "latest")) == {"t": {"0": 2, "1": 5}}
 
 
-def test_capped_positions_take_no_message_too_many():
-    first, end = {0: 10, 1: 0, 2: 5}, {0: 14, 1: 10, 2: 6}
-    for cap in range(20):
-        capped = capped_positions(first, end, cap)
-        assert sum(capped[p] - first[p] for p in first) == min(cap, 15)
-        assert all(first[p] <= capped[p] <= end[p] for p in first)
-
-
 def test_jdbc_options():
     assert jdbc_read_options("u", "t", {"user": "x"}) == {
         "url": "u", "dbtable": "t", "user": "x"}
@@ -38,6 +30,7 @@ def test_jdbc_options():
     write = jdbc_write_options("u", "t", {}, truncate=True, cascade=True)
     assert (write["truncate"], write["cascadeTruncate"]) == ("true", "true")
     assert "truncate" not in jdbc_write_options("u", "t", {})
+    assert jdbc_write_options("u", "t", {}, connections=5)["numPartitions"] == "5"
 
 
 def test_empty_source_keeps_its_schema(spark):

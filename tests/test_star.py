@@ -120,19 +120,53 @@ def test_strict_run_fails_and_writes_no_fact(spark, events, warehouse):
     assert read_table(spark, warehouse, "dim_product").count() == 0
 
 
+def test_failed_replace_leaves_the_warehouse(spark, events, warehouse):
+    import os
+    build_star(events(FIRST), warehouse, latest_only=False)
+    before, folders = contents(spark, warehouse), sorted(os.listdir(warehouse))
+    with pytest.raises(Exception, match="product_id: too long"):
+        build_star(events(BROKEN), warehouse, latest_only=False, replace=True)
+    assert contents(spark, warehouse) == before
+    assert [f for f in sorted(os.listdir(warehouse)) if f != "quarantine"] == folders
+
+
+def test_no_date_stops_a_strict_run(spark, events, warehouse):
+    odd = [("9999-12-31T00:00:00", "p1", "s1", "direct", "d1"),
+           ("300000-1-1", "p1", "s1", "direct", "d1"), ("2024-1-5", "p1", "s1", "direct", "d1"),
+           (None, "p1", "s1", "direct", "d1"), ("nope", "p1", "s1", "direct", "d1")]
+    for hash_keys in (False, True):
+        run = build_star(events([*FIRST, *odd]), f"{warehouse}{hash_keys}", latest_only=False,
+                         hash_keys=hash_keys)
+        assert run.rejected["undated_views"] == 1
+        assert views(spark, f"{warehouse}{hash_keys}") == [
+            (20240101, 2), (20240102, 1), (20240105, 1), (99991231, 1)]
+        rows = spark.read.parquet(f"{warehouse}{hash_keys}/quarantine/undated_views").collect()
+        assert [r.views for r in rows] == [3]
+    # Garbage in the far future is no report date.
+    build_star(events([*FIRST, *odd]), warehouse)
+    assert views(spark, warehouse) == [(20240105, 1)]
+
+
+def test_runs_without_a_name_keep_each_others_quarantine(spark, events, warehouse):
+    for _ in range(2):
+        build_star(events(BROKEN), warehouse, latest_only=False, strict=False)
+    assert spark.read.parquet(f"{warehouse}/quarantine/undated_views").count() == 2
+
+
 def test_broken_rows_go_to_quarantine(spark, events, warehouse):
     run = build_star(events(BROKEN), warehouse, latest_only=False, strict=False, batch_id="b1")
     # Both long products lose their key, as does the null one: their views fall together.
     assert {k: n for k, n in run.rejected.items() if n} == {
-        "dim_product": 2, "fact_product_views": 2}
+        "undated_views": 1, "dim_product": 2, "fact_product_views": 1}
     assert views(spark, warehouse) == [(20240101, 2), (20240102, 1)]
     rejected = spark.read.parquet(f"{warehouse}/quarantine/fact_product_views")
-    assert sorted((r.date_key or 0, r.view_count, r.batch) for r in rejected.collect()) == [
-        (0, 1, "b1"), (20240102, 3, "b1")]
+    assert [(r.date_key, r.view_count, r.batch) for r in rejected.collect()] == [
+        (20240102, 3, "b1")]
     before = contents(spark, warehouse)
     build_star(events(BROKEN), warehouse, latest_only=False, strict=False, batch_id="b1")
     assert contents(spark, warehouse) == before
-    assert spark.read.parquet(f"{warehouse}/quarantine/fact_product_views").count() == 2
+    assert spark.read.parquet(f"{warehouse}/quarantine/fact_product_views").count() == 1
+    assert spark.read.parquet(f"{warehouse}/quarantine/undated_views").count() == 1
     verify(spark, warehouse)
 
 
@@ -153,8 +187,10 @@ def test_hash_keys_give_the_same_star(spark, events, warehouse, tmp_path):
     assert views(spark, warehouse) == views(spark, str(tmp_path / "dense"))
     assert sorted(keys(spark, warehouse)) == sorted(keys(spark, str(tmp_path / "dense")))
     verify(spark, warehouse)
-    with pytest.raises(ConstraintViolation, match="hash keys"):
+    with pytest.raises(ConstraintViolation, match="dense keys"):
         build_star(events(SECOND), str(tmp_path / "dense"), hash_keys=True)
+    with pytest.raises(ConstraintViolation, match="holds hash keys"):
+        build_star(events(SECOND), warehouse)
 
 
 def test_broken_members_with_hash_keys(spark, events, warehouse):

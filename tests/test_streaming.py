@@ -9,10 +9,11 @@ from viewstar.plans.star import build_star
 from viewstar.schemas import ENVELOPE
 from viewstar.sinks.documents import stored_documents
 from viewstar.sources.landing import (
-    events_of, landing_table, of_dates, of_latest_date)
-from viewstar.streaming.bridge import start_bridge, to_folder
-from viewstar.streaming.landing import land_batch, start_landing
-from viewstar.streaming.outcomes import OutcomeListener, outcomes
+    events_of, landing_table, latest_landed_day, of_dates)
+from viewstar.sources.warehouse import read_table
+from viewstar.streaming.bridge import bridge_batch, start_bridge, to_folder
+from viewstar.streaming.landing import FILES_PER_DATE, land_batch, start_landing
+from viewstar.streaming.outcomes import OutcomeListener, counted
 from viewstar.streaming.refresh import start_star_refresh
 from test_star import FIRST, LATE, SECOND, contents, verify, views
 
@@ -78,10 +79,11 @@ def test_landing_equals_batch_and_restarts_clean(spark, tmp_path, topic):
     path, batch = str(tmp_path / "landing"), str(tmp_path / "batch")
     topic.send([*FIRST, b"nope"])
     topic.send([*SECOND, b"5"])
-    query = run(start_landing(topic.stream(), path, str(tmp_path / "ck")))
-    assert outcomes(query) == {"messages": 7, "doc": 5, "raw": 1, "error": 1}
+    with counted(spark) as total:
+        run(start_landing(topic.stream(), path, str(tmp_path / "ck")))
+    assert total == {"messages": 7, "doc": 5, "raw": 1, "error": 1}
     run(start_landing(topic.stream(), path, str(tmp_path / "ck")))
-    land_batch(topic.table(), batch)
+    assert land_batch(topic.table(), batch) == total
     got, want = (sorted(map(str, landing_table(spark, p).drop("document").collect()))
                  for p in (path, batch))
     assert got == want and len(got) == 7
@@ -115,20 +117,25 @@ def test_landing_scan_prunes(spark, tmp_path, topic, plan):
     assert "event_date" in text.split("PartitionFilters: ")[1].split("]")[0]
     assert "document" not in text and "text" not in text.split("ReadSchema")[1]
     assert one.count() == 2
-    latest = of_latest_date(landing)
-    assert "PartitionFilters: [isnotnull(event_date" in plan(latest)
-    assert latest.count() == 2
-    report = on_report_date(events_of(landing))
-    filters = plan(report).split("PartitionFilters: ")[1].split("PushedFilters")[0]
-    assert "event_date" in filters and "ubquery" in filters
+    day = latest_landed_day(spark, path)
+    assert day == max(days)
+    report = on_report_date(events_of(landing), day=day)
+    text = plan(report)
+    # One scan, of one folder, and no subquery over the others.
+    assert text.count("FileScan") == 1 and "ubquery" not in text
+    assert str(day) in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert sorted(tuple(r) for r in report.select(*FIELDS).collect()) == sorted(SECOND)
 
 
 def test_documents_to_store(spark, topic):
     topic.send([b"nope", b"5", b'{"a": 1}'])
-    stored = {r._id: json.loads(r.json)
-              for r in stored_documents(landed(topic.table())).collect()}
-    assert stored == {"t-0-0": {"raw": "nope"}, "t-0-2": {"a": 1}}
+    topic.send([FIRST[0]])
+    stored = {r._id: r.asDict() for r in stored_documents(landed(topic.table())).collect()}
+    got = {k: (r["raw"], r["json"] and json.loads(r["json"])) for k, r in stored.items()}
+    assert got == {"t-0-0": ("nope", None), "t-0-2": (None, {"a": 1}),
+                   "t-0-3": (None, dict(zip(FIELDS, FIRST[0])))}
+    # The fields stand where the store's reader looks for them.
+    assert tuple(stored["t-0-3"][f] for f in FIELDS) == FIRST[0]
 
 
 def test_raw_documents_count_as_empty_events(spark, topic):
@@ -170,8 +177,74 @@ def test_refresh_sets_undated_rows_aside(spark, tmp_path, topic):
     run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
     run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck2")))
     assert views(spark, warehouse) == [(20240101, 1)]
-    rejected = spark.read.parquet(f"{warehouse}/quarantine/fact_product_views").collect()
-    assert [(r.view_count, r.batch) for r in rejected] == [(1, "stream-0")]
+    rejected = spark.read.parquet(f"{warehouse}/quarantine/undated_views").collect()
+    assert [r.views for r in rejected] == [1] and rejected[0].batch.endswith("-0")
+
+
+def test_poison_message_does_not_stop_a_strict_refresh(spark, tmp_path, topic):
+    landing, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    for sent in ([b"nope", FIRST[0]], [("9999-12-31", "p", "s", "r", "d")],
+                 [("300000-1-1", "p", "s", "r", "d"), FIRST[2]]):
+        topic.send(sent)
+        run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
+        run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck2"), strict=True))
+    assert views(spark, warehouse) == [(20240101, 1), (20240102, 1), (99991231, 1)]
+
+
+def test_counts_over_more_batches_than_a_query_remembers(spark, tmp_path, topic):
+    limit = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(limit, "3")
+    try:
+        for row in [*FIRST, *SECOND, b"nope", LATE]:
+            topic.send([row])
+        with counted(spark) as total:
+            query = run(start_landing(topic.stream(), str(tmp_path / "l"), str(tmp_path / "c")))
+    finally:
+        spark.conf.unset(limit)
+    assert len(query.recentProgress) <= 3
+    assert total == {"messages": 7, "doc": 6, "raw": 1, "error": 0}
+
+
+def test_bridge_counts_and_keeps_dead_letters_of_every_run(spark, tmp_path, topic):
+    def bridge(checkpoint):
+        with counted(spark) as total:
+            run(start_bridge(topic.stream(), to_folder(str(tmp_path / "sent")),
+                             to_folder(str(tmp_path / "dead")), str(tmp_path / checkpoint)))
+        return dict(total)
+
+    topic.send([FIRST[0], b"nope"])
+    assert bridge("one") == {"messages": 2, "valid": 1, "dead": 1}
+    bridge("two")
+    assert spark.read.parquet(str(tmp_path / "dead") + "/*").count() == 2
+    done = bridge_batch(topic.table(), to_folder(str(tmp_path / "sent")),
+                        to_folder(str(tmp_path / "dead")))
+    assert done == {"messages": 2, "valid": 1, "dead": 1}
+    assert spark.read.parquet(str(tmp_path / "dead") + "/*").count() == 3
+
+
+def test_landing_writes_few_files_per_date(spark, tmp_path):
+    from glob import glob
+    rows = [message((f"2024-01-{1 + n % 5:02d}T00:00:00", "p", "s", "r", "d"), n)
+            for n in range(400)]
+    frame = spark.createDataFrame(rows, ENVELOPE).repartition(32)
+    land_batch(frame, str(tmp_path / "l"))
+    for day in range(1, 6):
+        files = glob(f"{tmp_path}/l/event_date=2024-01-{day:02d}/*.parquet")
+        assert 1 <= len(files) <= FILES_PER_DATE
+
+
+def test_user_agents_reach_the_built_star(spark, tmp_path, topic):
+    chrome = "Mozilla/5.0 (Windows NT 10.0) AppleWebKit/537.36 Chrome/120.0.0.0 Safari/537.36"
+    topic.send([json.dumps(dict(zip(FIELDS, row)) | {"user_agent": agent}).encode()
+                for row, agent in ((FIRST[0], "curl/8.0"), (FIRST[1], chrome),
+                                   (FIRST[2], "no known product"))] + [SECOND[0]])
+    path, warehouse = str(tmp_path / "l"), str(tmp_path / "w")
+    land_batch(topic.table(), path)
+    build_star(events_of(landing_table(spark, path)), warehouse, latest_only=False)
+    got = {r.device_id: (r.browser_info, r.os_info)
+           for r in read_table(spark, warehouse, "dim_device").collect()}
+    assert got == {"d1": ("Chrome", "Windows"), "d2": ("Other", "Other"),
+                   "d0": ("unknown", "unknown")}
 
 
 @pytest.mark.parametrize("gap", [1, 2, 37, 5000])

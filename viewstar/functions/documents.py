@@ -79,6 +79,16 @@ def event_fields(text, is_document) -> Column:
     return F.when(_column(is_document), F.from_json(_column(text), EVENT))
 
 
+def document_fields(document, names=EVENT_FIELDS) -> Column:
+    """Fields of a parsed document as text, without parsing its text again.
+
+    Numbers, nested values and nulls read as with ``event_fields``.
+    """
+    document = _column(document)
+    return F.struct(*[
+        F.try_variant_get(document, f"$.{name}", "string").alias(name) for name in names])
+
+
 def nested_to_json(df: DataFrame) -> DataFrame:
     """Struct, array, map and variant columns as JSON text; other columns as they are."""
     nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)

@@ -5,6 +5,10 @@
     spark-submit viewstar_job.py star   --landing …/landing --warehouse …/warehouse
     spark-submit viewstar_job.py refresh --landing … --warehouse … --checkpoint …/ck2
     spark-submit viewstar_job.py report --warehouse …/warehouse --name traffic_sources
+    spark-submit viewstar_job.py export --warehouse …/warehouse --url jdbc:… --jdbc user=…
+    spark-submit viewstar_job.py store  --landing …/landing --uri … --database d --collection c
+
+``bridge`` and ``land`` take ``--at-most`` to stop after that many messages.
 """
 
 from __future__ import annotations
@@ -15,36 +19,67 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from viewstar.functions.documents import configure
+from viewstar.operators.ingest import first_messages
 from viewstar.plans import marts
 from viewstar.plans.star import StarRun, build_star
-from viewstar.sources.kafka import topic_stream
-from viewstar.sources.landing import events_of, landing_table
+from viewstar.sinks.documents import to_document_store
+from viewstar.sinks.jdbc import CONNECTIONS, write_jdbc_star
+from viewstar.sources.kafka import topic_stream, topic_table
+from viewstar.sources.landing import events_of, landing_table, latest_landed_day
 from viewstar.sources.warehouse import read_star
-from viewstar.streaming.bridge import start_bridge, to_folder, to_topic
-from viewstar.streaming.landing import start_landing
-from viewstar.streaming.outcomes import outcomes
+from viewstar.staging import Staging
+from viewstar.streaming.bridge import bridge_batch, start_bridge, to_folder, to_topic
+from viewstar.streaming.landing import land_batch, start_landing
+from viewstar.streaming.outcomes import counted
 from viewstar.streaming.refresh import start_star_refresh
 
 
-def run_bridge(spark: SparkSession, args: argparse.Namespace) -> None:
+def run_bridge(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     options = dict(args.kafka)
+    send, dead = to_topic(args.to_topic, options), to_folder(args.dead_letters)
+    if args.at_most is not None:
+        with Staging(spark) as staging:
+            return bridge_batch(_capped(spark, args.from_topic, args, staging), send, dead)
     messages = topic_stream(spark, args.from_topic, options, args.per_trigger)
-    start_bridge(messages, to_topic(args.to_topic, options), to_folder(args.dead_letters),
-                 args.checkpoint, _trigger(args)).awaitTermination()
+    with counted(spark) as total:
+        start_bridge(messages, send, dead, args.checkpoint, _trigger(args)).awaitTermination()
+    return dict(total)
 
 
 def run_landing(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
+    if args.at_most is not None:
+        with Staging(spark) as staging:
+            return land_batch(_capped(spark, args.topic, args, staging), args.landing)
     messages = topic_stream(spark, args.topic, dict(args.kafka), args.per_trigger)
-    query = start_landing(messages, args.landing, args.checkpoint, _trigger(args))
-    query.awaitTermination()
-    return dict(outcomes(query))
+    with counted(spark) as total:
+        start_landing(messages, args.landing, args.checkpoint,
+                      _trigger(args)).awaitTermination()
+    return dict(total)
+
+
+def _capped(spark: SparkSession, topic: str, args: argparse.Namespace,
+            staging: Staging) -> DataFrame:
+    """The first messages of a topic from the given positions on, ``--at-most`` in all."""
+    table = topic_table(spark, topic, dict(args.kafka), dict(args.start) or None)
+    return first_messages(table, args.at_most, staging)
 
 
 def run_star(spark: SparkSession, args: argparse.Namespace) -> StarRun:
     events = events_of(landing_table(spark, args.landing))
+    day = None if args.all_dates else latest_landed_day(spark, args.landing)
     return build_star(events, args.warehouse, latest_only=not args.all_dates,
                       replace=args.replace, strict=not args.quarantine,
-                      hash_keys=args.hash_keys, batch_id=args.batch_id)
+                      hash_keys=args.hash_keys, batch_id=args.batch_id, day=day)
+
+
+def run_export(spark: SparkSession, args: argparse.Namespace) -> None:
+    write_jdbc_star(read_star(spark, args.warehouse), args.url, dict(args.jdbc), args.schema,
+                    args.connections)
+
+
+def run_store(spark: SparkSession, args: argparse.Namespace) -> None:
+    send = to_document_store(args.uri, args.database, args.collection)
+    send(landing_table(spark, args.landing), 0)
 
 
 def run_refresh(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -70,7 +105,9 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.output:
         rows.write.mode("overwrite").parquet(args.output)
     else:
-        rows.show(args.rows, truncate=False)
+        print(*rows.columns, sep="\t")
+        for row in rows.toLocalIterator():
+            print(*row, sep="\t")
 
 
 def _trigger(args: argparse.Namespace) -> dict[str, object]:
@@ -82,6 +119,11 @@ def _pair(text: str) -> tuple[str, str]:
     return name, value
 
 
+def _position(text: str) -> tuple[int, int]:
+    partition, _, offset = text.partition("=")
+    return int(partition), int(offset)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="viewstar")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -100,6 +142,9 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--kafka", type=_pair, action="append", default=[],
                                  metavar="OPTION=VALUE")
             command.add_argument("--per-trigger", type=int)
+            command.add_argument("--at-most", type=int)
+            command.add_argument("--start", type=_position, action="append", default=[],
+                                 metavar="PARTITION=OFFSET")
         return command
 
     job("bridge", run_bridge, ("from-topic", "to-topic", "dead-letters"), stream=True,
@@ -107,13 +152,18 @@ def parser() -> argparse.ArgumentParser:
     job("land", run_landing, ("topic", "landing"), stream=True, topic=True)
     star = job("star", run_star, ("landing", "warehouse"),
                ("all-dates", "replace", "quarantine", "hash-keys"))
-    star.add_argument("--batch-id", default="manual")
+    star.add_argument("--batch-id")
     job("refresh", run_refresh, ("landing", "warehouse"), ("quarantine",), stream=True)
     shown = job("report", run_report, ("warehouse",))
     shown.add_argument("--name", required=True, choices=(
         "views_by_date_product", "top_countries", "traffic_sources", "row_counts"))
     shown.add_argument("--output")
-    shown.add_argument("--rows", type=int, default=20)
+    export = job("export", run_export, ("warehouse", "url"))
+    export.add_argument("--jdbc", type=_pair, action="append", default=[],
+                        metavar="OPTION=VALUE")
+    export.add_argument("--schema", default="public")
+    export.add_argument("--connections", type=int, default=CONNECTIONS)
+    job("store", run_store, ("landing", "uri", "database", "collection"))
     return top
 
 

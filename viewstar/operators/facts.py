@@ -89,6 +89,15 @@ def keyed_grain(events: DataFrame, staging: Staging) -> DataFrame:
     return numbered.withColumn("fact_key", key).drop("_number")
 
 
+def hash_keyed_grain(events: DataFrame, staging: Staging) -> DataFrame:
+    """The grain as a stored table, each row with a key hashed from its date and natural keys.
+
+    Nothing is sorted or numbered. Two rows of a run that share a key make the caller fail.
+    """
+    key = F.xxhash64("date", *NATURAL_KEYS)
+    return staging.table(view_grain(events).withColumn("fact_key", key), "grain")
+
+
 def _measures(views, visitors, first, last, seconds, timed) -> list[Column]:
     return [
         views.alias("view_count"),

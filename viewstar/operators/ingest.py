@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from viewstar.functions.documents import (
-    DOCUMENT, decode_text, event_fields, normalised_json, route, with_document)
+    DOCUMENT, decode_text, document_fields, normalised_json, route, with_document)
 from viewstar.functions.times import event_date
 from viewstar.operators.numbering import number_rows
 from viewstar.schemas import EVENT_FIELDS
@@ -84,12 +84,12 @@ def landed(envelope: DataFrame) -> DataFrame:
     The fields stand in columns of their own, so that a reader prunes to them instead of
     parsing every document again.
     """
-    rows = routed(envelope).withColumn(
-        "_fields", event_fields("text", F.col("route") == DOCUMENT))
+    rows = routed(envelope).withColumn("_fields", document_fields(
+        F.when(F.col("route") == DOCUMENT, F.col("document")), (*EVENT_FIELDS, "user_agent")))
     return rows.select(
         F.concat_ws("-", *POSITION).alias("_id"),
         *POSITION, "timestamp", "route", "text", "document",
-        *[F.col("_fields")[name].alias(name) for name in EVENT_FIELDS],
+        *[F.col("_fields")[name].alias(name) for name in (*EVENT_FIELDS, "user_agent")],
         event_date(F.col("_fields.local_time")).alias("event_date"))
 
 

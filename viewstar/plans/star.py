@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -9,23 +12,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from viewstar.functions.times import event_date
-from viewstar.operators.dimensions import COLUMNS, dim_date
+from viewstar.operators.dimensions import COLUMNS, device_agents, dim_date
 from viewstar.operators.facts import (
-    fact_by_lookup, fact_from_grain, fact_from_hash_keys, keyed_grain, on_report_date,
-    view_grain)
+    fact_by_lookup, fact_from_grain, fact_from_hash_keys, hash_keyed_grain, keyed_grain,
+    on_report_date, view_grain)
 from viewstar.operators.lookup import broadcast_size
 from viewstar.operators.members import all_members
 from viewstar.operators.numbering import Group, hash_key, number_groups
-from viewstar.operators.quality import duplicate_keys, strict as fail_on_any
-from viewstar.operators.quality import too_long, violations
+from viewstar.operators.quality import (
+    ConstraintViolation, duplicate_keys, strict as fail_on_any, too_long, violations)
 from viewstar.schemas import NATURAL_KEYS, TABLES
-from viewstar.sinks.warehouse import empty_fact, write_dimension, write_fact, write_rejected
+from viewstar.sinks.warehouse import (
+    drop_table, swap_star, write_dimension, write_fact, write_rejected)
 from viewstar.sources.warehouse import read_table, table_path
 from viewstar.staging import Staging, path_exists
 
 DATE_KIND = "date"
 KINDS = (DATE_KIND, *NATURAL_KEYS)
 FACT = "fact_product_views"
+# Events without a valid date, per group of the grain, in the quarantine.
+UNDATED = "undated_views"
 
 
 @dataclass
@@ -43,42 +49,66 @@ def star_frames(events: DataFrame, staging: Staging, latest_only: bool = False,
     Events are read once for all dates (twice for the latest date only, as the dimensions
     cover every date): members and fact both come from the combined grain.
     """
-    grain, members = _grain_and_members(events, staging, latest_only, today)
+    grain, members = _grain_and_members(
+        events, staging, latest_only, today, lambda part: staging.table(view_grain(part), "grain"))
     keyed = number_groups(members, "kind", KINDS, "member", "_number", staging)
-    frames = _dimension_frames(keyed, {})
+    frames = _dimension_frames(keyed, {}, _agents(events))
     frames["fact_product_views"] = fact_from_grain(grain, frames, _sizes(keyed))
     return frames
 
 
 def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
                replace: bool = False, strict: bool = True, url_limit: int | None = None,
-               hash_keys: bool = False, batch_id: str = "manual",
-               today: Column | None = None) -> StarRun:
+               hash_keys: bool = False, batch_id: str | None = None,
+               today: Column | None = None, day: datetime.date | None = None) -> StarRun:
     """Build the star from ``events`` and write it to ``warehouse``.
 
     By default the run accumulates: stored members keep their keys, new ones are added,
     the dates in question are replaced and all others stay. A run that fails half way
     leaves dimensions that hold more members than the fact needs, and can be repeated.
-    ``replace`` empties the warehouse first, and so leaves only this run's rows. Without
+    ``replace`` leaves only this run's rows: they are built and checked in a folder beside the
+    tables and swapped in last, so a run that fails leaves the warehouse as it was. Without
     events nothing is touched.
 
+    Events without a valid date belong to no date of the fact. They never stop a run: their
+    groups go to the quarantine as ``undated_views`` and are counted as rejected.
+
     ``strict`` fails on the first row that breaks a constraint; otherwise such rows go to
     the quarantine folder. ``url_limit`` also counts longer referrer URLs as broken.
+    ``batch_id`` names the run in the fact and the quarantine; a repeated id replaces its own
+    quarantine, and without one the run gets an id of its own. ``day`` is the report date
+    where the caller knows it.
 
     ``hash_keys`` takes keys hashed from the natural keys instead of dense ones. Members
     are then not sorted and the fact needs no lookup; the run fails before it writes if
-    two members share a key, or if the warehouse holds keys of the other sort.
+    two members or two rows of the fact share a key. A run with the other sort of keys than
+    the warehouse holds fails too, either way.
     """
     spark = events.sparkSession
     run = StarRun()
+    batch_id = batch_id or f"run-{uuid.uuid4().hex}"
+    target = f"{warehouse.rstrip('/')}/.build-{uuid.uuid4().hex}" if replace else warehouse
+    if not replace:
+        _same_sort_of_keys(spark, warehouse, hash_keys)
     with Staging(spark) as staging:
-        grain, members = _grain_and_members(events, staging, latest_only, today, True)
+        keyed = hash_keyed_grain if hash_keys else keyed_grain
+        grain, members = _grain_and_members(
+            events, staging, latest_only, today, lambda part: keyed(part, staging), day)
         if grain.isEmpty() and events.isEmpty():
             return run
+        undated = grain.filter(F.col("date").isNull())
+        run.rejected[UNDATED] = undated.count()
+        if run.rejected[UNDATED]:
+            write_rejected(undated.select(*NATURAL_KEYS, "views", F.array(
+                F.lit("local_time: no valid date")).alias("violations")),
+                warehouse, UNDATED, batch_id)
+        agents = _agents(events)
+        grain = grain.filter(F.col("date").isNotNull())
+        if hash_keys:
+            fail_on_any(duplicate_keys(grain.select("fact_key"), ["fact_key"]),
+                        "fact hash key collision")
         known = None
-        if replace:
-            empty_fact(spark, warehouse)
-        elif path_exists(spark, table_path(warehouse, "dim_date")):
+        if not replace and path_exists(spark, table_path(warehouse, "dim_date")):
             members = staging.table(members, "members")
             known = staging.table(_known(members, warehouse), "known")
             members = members.join(known, ["kind", "member"], "left_anti")
@@ -89,7 +119,7 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
             new = number_groups(members, "kind", KINDS, "member", "_number", staging)
             if known is not None:
                 highest = _highest_keys(spark, warehouse)
-        frames = _dimension_frames(new, highest)
+        frames = _dimension_frames(new, highest, agents)
 
         checked = {name: _checked(df, name, url_limit) for name, df in frames.items()}
         kinds = dict(zip(frames, KINDS))
@@ -100,70 +130,101 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
                 run.written[name] = run.rejected[name] = 0
                 return
             run.written[name], run.rejected[name] = write_dimension(
-                checked[name], warehouse, name, replace, strict)
+                checked[name], target, name, replace, strict)
             if run.rejected[name]:
                 write_rejected(checked[name], warehouse, name, batch_id)
 
-        # Independent writes: small dimensions do not leave the cluster idle one by one.
-        with ThreadPoolExecutor(len(frames)) as pool:
-            list(pool.map(write, frames))
-
-        # A rejected member is a key without a match, so groups may fall together.
-        complete = not any(run.rejected.values())
-        if hash_keys and complete:
-            fact = fact_from_hash_keys(grain)
-        else:
-            dims = _members_of_run(checked, known)
-            fact = (fact_from_grain if complete else fact_by_lookup)(
-                grain, dims, _sizes(new, known))
-        views = _checked(fact.withColumn("batch_id", F.lit(batch_id)), FACT)
-        run.written[FACT], run.rejected[FACT] = write_fact(views, warehouse, replace, strict)
-        if run.rejected[FACT]:
-            write_rejected(views, warehouse, FACT, batch_id)
+        try:
+            # Independent writes: small dimensions do not leave the cluster idle one by one.
+            with ThreadPoolExecutor(len(frames)) as pool:
+                list(pool.map(write, frames))
+
+            # A rejected member is a key without a match, so groups may fall together.
+            complete = not any(run.rejected[name] for name in frames)
+            if hash_keys and complete:
+                fact = fact_from_hash_keys(grain)
+            else:
+                dims = _members_of_run(checked, known)
+                fact = (fact_from_grain if complete else fact_by_lookup)(
+                    grain, dims, _sizes(new, known))
+            views = _checked(fact.withColumn("batch_id", F.lit(batch_id)), FACT)
+            run.written[FACT], run.rejected[FACT] = write_fact(views, target, replace, strict)
+            if run.rejected[FACT]:
+                write_rejected(views, warehouse, FACT, batch_id)
+            if replace:
+                swap_star(spark, target, warehouse)
+        finally:
+            if replace:
+                drop_table(spark, target)
     return run
 
 
+def _same_sort_of_keys(spark: SparkSession, warehouse: str, hash_keys: bool) -> None:
+    """Fail if the stored dimensions hold the other sort of keys; one row of each tells."""
+    for natural, (table, key) in NATURAL_KEYS.items():
+        row = read_table(spark, warehouse, table).select(
+            (F.col(key) == hash_key(natural)).alias("hashed")).first()
+        if row is not None and row.hashed != hash_keys:
+            raise ConstraintViolation(
+                f"{table} holds {'hash keys' if row.hashed else 'dense keys, not hash keys'}")
+
+
 def _grain_and_members(events: DataFrame, staging: Staging, latest_only: bool,
-                       today: Column | None, keyed: bool = False
-                       ) -> tuple[DataFrame, DataFrame]:
+                       today: Column | None, stored: Callable[[DataFrame], DataFrame],
+                       day: datetime.date | None = None) -> tuple[DataFrame, DataFrame]:
     """The stored grain of the fact, and the members of all dimensions, dates included."""
-    def stored(part: DataFrame) -> DataFrame:
-        return keyed_grain(part, staging) if keyed else staging.table(view_grain(part), "grain")
-
     if latest_only:
         dated = events.select(event_date("local_time").alias(DATE_KIND), *NATURAL_KEYS)
-        return stored(on_report_date(events, today)), all_members(dated, KINDS)
+        return stored(on_report_date(events, today, day)), all_members(dated, KINDS)
     grain = stored(events)
     return grain, all_members(grain, KINDS)
 
 
+def _agents(events: DataFrame) -> DataFrame | None:
+    """The user agent each device sent last, where events carry one.
+
+    A read of its own: only events with an agent are looked at, and the grain stays an
+    aggregate of plain numbers.
+    """
+    if "user_agent" not in events.columns:
+        return None
+    return device_agents(events.filter(F.col("user_agent").isNotNull()))
+
+
 def _hashed(members: DataFrame, warehouse: str, replace: bool, staging: Staging
             ) -> dict[str, Group]:
-    """New members with hash keys, after a look for keys that two members share."""
+    """New members with hash keys, after a look for keys that two members share.
+
+    The new ones are compared among themselves, and the stored keys with the new ones, whose
+    stored table is small for a small run; stored members are not grouped again.
+    """
     spark = members.sparkSession
     keyed = staging.table(members.withColumn("_number", hash_key("member")), "hashed")
-    every = keyed.filter(F.col("kind") != DATE_KIND).select("kind", "_number")
+    fresh = keyed.filter(F.col("kind") != DATE_KIND).select("kind", "_number")
+    fail_on_any(duplicate_keys(fresh, ["kind", "_number"]), "hash key collision")
     if not replace:
-        for natural, (table, key) in NATURAL_KEYS.items():
-            stored = read_table(spark, warehouse, table)
-            fail_on_any(stored.filter(F.col(key) != hash_key(natural)), f"{table} hash keys")
-            every = every.unionByName(
-                stored.select(F.lit(natural).alias("kind"), F.col(key).alias("_number")))
-    fail_on_any(duplicate_keys(every, ["kind", "_number"]), "hash key collision")
+        stored = reduce(DataFrame.unionByName, [
+            read_table(spark, warehouse, table).select(
+                F.lit(natural).alias("kind"), F.col(key).alias("_number"))
+            for natural, (table, key) in NATURAL_KEYS.items()])
+        fail_on_any(stored.join(fresh, ["kind", "_number"], "left_semi"),
+                    "hash key collision")
     sizes = _group_sizes(keyed)
     return {kind: Group(keyed.filter(F.col("kind") == kind).drop("kind"),
                         *sizes.get(kind, (0, 0))) for kind in KINDS}
 
 
-def _dimension_frames(keyed: dict[str, Group], highest: dict[str, int]
-                      ) -> dict[str, DataFrame]:
+def _dimension_frames(keyed: dict[str, Group], highest: dict[str, int],
+                      agents: DataFrame | None = None) -> dict[str, DataFrame]:
     """The five dimensions from numbered members, numbers going on from the stored keys."""
     dates = keyed[DATE_KIND].rows.select(F.col("member").cast("date").alias("date"))
     frames = {"dim_date": dim_date(dates)}
     for natural, (table, key) in NATURAL_KEYS.items():
         number = F.col("_number") + F.lit(highest.get(table, 0))
-        frames[table] = COLUMNS[natural](keyed[natural].rows.select(
-            F.col("member").alias(natural), number.alias(key)))
+        rows = keyed[natural].rows.select(F.col("member").alias(natural), number.alias(key))
+        if natural == "device_id" and agents is not None:
+            rows = rows.join(agents, "device_id", "left")
+        frames[table] = COLUMNS[natural](rows)
     return frames
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from viewstar.operators.quality import align, enforce
@@ -45,11 +47,35 @@ def write_fact(checked: DataFrame, warehouse: str, replace: bool,
                   table_path(warehouse, "fact_product_views"), ("date_key",))
 
 
-def empty_fact(spark: SparkSession, warehouse: str) -> None:
-    """Empty the fact, as a truncated dimension must not leave facts with its old keys."""
-    none = spark.createDataFrame([], TABLES["fact_product_views"].struct())
-    none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-        table_path(warehouse, "fact_product_views"))
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return hadoop, hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    hadoop, system = _filesystem(spark, path)
+    system.delete(hadoop(path), True)
+
+
+def swap_star(spark: SparkSession, built: str, warehouse: str) -> None:
+    """Put the tables in ``built`` in the place of the warehouse's.
+
+    Only names change. The fact goes first and comes back last, so that a reader in between
+    never sees facts with the keys of other dimensions.
+    """
+    hadoop, system = _filesystem(spark, warehouse)
+    old = f"{warehouse.rstrip('/')}/.old-{uuid.uuid4().hex}"
+    system.mkdirs(hadoop(old))
+
+    def move(source: str, target: str) -> None:
+        if system.exists(hadoop(source)) and not system.rename(hadoop(source), hadoop(target)):
+            raise OSError(f"cannot move {source} to {target}")
+
+    for name in reversed(TABLES):
+        move(table_path(warehouse, name), table_path(old, name))
+    for name in TABLES:
+        move(table_path(built, name), table_path(warehouse, name))
+    system.delete(hadoop(old), True)
 
 
 def write_rejected(checked: DataFrame, warehouse: str, name: str, batch_id: str) -> None:

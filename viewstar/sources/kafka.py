@@ -7,11 +7,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Poll size, topic layout and message cap of a default installation.
-POLL_RECORDS = 100
-MESSAGE_CAP = 100_000
-
-
 def kafka_options(brokers: str, security_protocol: str = "SASL_PLAINTEXT",
                   sasl_mechanism: str = "PLAIN", sasl_jaas_config: str | None = None
                   ) -> dict[str, str]:
@@ -54,14 +49,3 @@ def _positions(topic: str, offsets: Mapping[int, int] | None, default: str) -> s
     if offsets is None:
         return default
     return json.dumps({topic: {str(p): o for p, o in sorted(offsets.items())}})
-
-
-def capped_positions(first: Mapping[int, int], end: Mapping[int, int],
-                     cap: int) -> dict[int, int]:
-    """End positions that take at most ``cap`` messages, partition by partition."""
-    capped = {}
-    for partition in sorted(first):
-        taken = min(end[partition] - first[partition], cap)
-        capped[partition] = first[partition] + taken
-        cap -= taken
-    return capped

@@ -8,7 +8,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from viewstar.functions.documents import ERROR, as_text
+from viewstar.operators.facts import FUTURE_DAYS
 from viewstar.schemas import EVENT, EVENT_FIELDS
+from viewstar.staging import subfolders
 
 LANDING = T.StructType([
     T.StructField("_id", T.StringType()),
@@ -20,6 +22,7 @@ LANDING = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("document", T.VariantType()),
     *EVENT.fields,
+    T.StructField("user_agent", T.StringType()),
     T.StructField("event_date", T.DateType()),
 ])
 
@@ -40,11 +43,12 @@ def events_of(landing: DataFrame, keep_nulls: bool = False) -> DataFrame:
     """The five event fields of every stored document, as text, and the event's date.
 
     Text that was no JSON is a stored document without any of the fields, so it counts
-    with empty text in each. Only the five columns and the route are read; the date is
-    the name of the folder.
+    with empty text in each. The user agent, which many events lack, stays null without one.
+    Only these columns and the route are read; the date is the name of the folder.
     """
     stored = landing.filter(F.col("route") != ERROR)
-    return as_text(stored.select(*EVENT_FIELDS, "event_date"), keep_nulls=keep_nulls)
+    return as_text(stored.select(*EVENT_FIELDS, "user_agent", "event_date"),
+                   keep_nulls=keep_nulls)
 
 
 def of_dates(landing: DataFrame, dates: Iterable[datetime.date]) -> DataFrame:
@@ -52,10 +56,23 @@ def of_dates(landing: DataFrame, dates: Iterable[datetime.date]) -> DataFrame:
     return landing.filter(F.col("event_date").isin(list(dates)))
 
 
-def of_latest_date(landing: DataFrame) -> DataFrame:
-    """The partition of the latest date, found by a scalar subquery before the scan."""
-    latest = landing.agg(F.max("event_date")).scalar()
-    return landing.filter(F.col("event_date") == latest)
+def latest_landed_day(spark: SparkSession, path: str,
+                      today: datetime.date | None = None) -> datetime.date | None:
+    """The report date of a landing table, read off its folders: no file is opened for it.
+
+    Messages without a date are in the folder of none. The latest folder that is not in the
+    future and holds a row counts; nearly always the first one looked at does.
+    """
+    last = (today or datetime.date.today()) + datetime.timedelta(days=FUTURE_DAYS)
+    days = []
+    for name in subfolders(spark, path):
+        text = name.removeprefix("event_date=")
+        if name != text and text != "__HIVE_DEFAULT_PARTITION__":
+            days.append(datetime.date.fromisoformat(text))
+    for day in sorted((day for day in days if day <= last), reverse=True):
+        if not of_dates(landing_table(spark, path), [day]).isEmpty():
+            return day
+    return None
 
 
 def document_store(spark: SparkSession, uri: str, database: str, collection: str,

@@ -6,16 +6,24 @@ pruning, and gives Catalyst a real size to choose a join by.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import functools
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_open: set[Staging] = set()
+
+
 @functools.cache
 def _temporary_folder() -> str:
-    return tempfile.mkdtemp(prefix="viewstar-")
+    folder = tempfile.mkdtemp(prefix="viewstar-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,11 +37,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Staging:
-    """One job's own subfolder of the shared folder."""
+    """One job's own subfolder of the shared folder.
+
+    It is deleted by ``close``, or, where a returned frame still reads it, when the program
+    ends.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/viewstar/{uuid.uuid4().hex}"
+        self._folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._filesystem = self._folder.getFileSystem(
+            spark.sparkContext._jsc.hadoopConfiguration())
+        _open.add(self)
 
     def path(self, label: str) -> str:
         return f"{self.root}/{label}-{uuid.uuid4().hex[:8]}"
@@ -53,26 +69,17 @@ class Staging:
         df.write.partitionBy(column).parquet(path)
         schema = df.drop(column).schema
         empty = self.spark.createDataFrame([], schema)
-        present = self._subfolders(path)
+        present = subfolders(self.spark, path)
         return {
             value: self.spark.read.schema(schema).parquet(f"{path}/{column}={value}")
             if f"{column}={value}" in present else empty
             for value in values
         }
 
-    def _filesystem(self, path: str):
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop, hadoop.getFileSystem(
-            self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _subfolders(self, path: str) -> set[str]:
-        hadoop, filesystem = self._filesystem(path)
-        return {status.getPath().getName() for status in filesystem.listStatus(hadoop)}
-
     def close(self) -> None:
         """Delete this job's staged tables; frames over them end here."""
-        hadoop, filesystem = self._filesystem(self.root)
-        filesystem.delete(hadoop, True)
+        _open.discard(self)
+        self._filesystem.delete(self._folder, True)
 
     def __enter__(self) -> "Staging":
         return self
@@ -81,6 +88,21 @@ class Staging:
         self.close()
 
 
+@atexit.register
+def _close_all() -> None:
+    for staging in list(_open):
+        # The session's process may be gone by now, and its folders with it.
+        with contextlib.suppress(Exception):
+            staging.close()
+
+
+def subfolders(spark: SparkSession, path: str) -> set[str]:
+    """Names in a folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {status.getPath().getName() for status in filesystem.listStatus(hadoop)}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)

@@ -4,29 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from viewstar.functions.documents import DOCUMENT, ERROR, RAW
 from viewstar.operators.ingest import landed
 from viewstar.streaming.outcomes import count_routes
 
+FILES_PER_DATE = 8
+
 
 def start_landing(messages: DataFrame, path: str, checkpoint: str,
                   trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Start appending envelopes to the landing table.
 
     The file sink's log makes every message land exactly once across restarts. Rejected
-    messages land too, under their route, so nothing is lost. ``outcomes`` of the query
-    tells how many took which route.
+    messages land too, under their route, so nothing is lost. Inside ``counted`` the totals
+    per route are kept.
     """
     return (
-        count_routes(landed(messages)).writeStream.format("parquet")
+        count_routes(by_date(landed(messages))).writeStream.format("parquet")
         .partitionBy("event_date").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
-def land_batch(messages: DataFrame, path: str) -> None:
-    """Append a bounded read of envelopes to a landing table of its own."""
-    landed(messages).write.mode("append").partitionBy("event_date").parquet(path)
+def by_date(rows: DataFrame) -> DataFrame:
+    """Rows of a date meet in at most ``FILES_PER_DATE`` tasks, so a batch writes that many
+    files per date, however many tasks read it, and a hot date is spread over them."""
+    part = F.pmod(F.xxhash64("partition", "offset"), F.lit(FILES_PER_DATE))
+    return rows.repartition("event_date", part)
+
+
+def land_batch(messages: DataFrame, path: str) -> dict[str, int]:
+    """Append a bounded read of envelopes to a landing table; returns messages per route."""
+    seen = Observation("land")
+    rows = by_date(landed(messages)).observe(
+        seen, F.count(F.lit(1)).alias("messages"),
+        *[F.count_if(F.col("route") == name).alias(name) for name in (DOCUMENT, RAW, ERROR)])
+    rows.write.mode("append").partitionBy("event_date").parquet(path)
+    return dict(seen.get)

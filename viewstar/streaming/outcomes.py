@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections import Counter
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from viewstar.functions.documents import DOCUMENT, ERROR, RAW
 
 METRIC = "outcomes"
+VALID, DEAD = "valid", "dead"
 
 
 def count_routes(rows: DataFrame) -> DataFrame:
@@ -19,20 +22,19 @@ def count_routes(rows: DataFrame) -> DataFrame:
         *[F.count_if(F.col("route") == name).alias(name) for name in (DOCUMENT, RAW, ERROR)])
 
 
+def count_valid(rows: DataFrame) -> DataFrame:
+    """Observe messages in all, those passed on and the dead letters."""
+    return rows.observe(
+        METRIC, F.count(F.lit(1)).alias("messages"), F.count_if("valid").alias(VALID),
+        F.count_if(~F.col("valid")).alias(DEAD))
+
+
 def _add(total: Counter, progress) -> None:
     row = progress.observedMetrics.get(METRIC)
     if row is not None:
         total.update(row.asDict())
 
 
-def outcomes(query: StreamingQuery) -> Counter:
-    """Totals over the progress reports a query still remembers: enough for a bounded run."""
-    total = Counter()
-    for progress in query.recentProgress:
-        _add(total, progress)
-    return total
-
-
 class OutcomeListener(StreamingQueryListener):
     """Totals over the whole life of the session's queries; add it with ``addListener``."""
 
@@ -52,3 +54,18 @@ class OutcomeListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if event.exception:
             self.failed.append(event.exception)
+
+
+@contextlib.contextmanager
+def counted(spark: SparkSession) -> Iterator[Counter]:
+    """Totals over every batch of the streams that run inside, complete when it ends.
+
+    A query's own reports go back a hundred batches only; the listener hears all of them.
+    """
+    listener = OutcomeListener()
+    spark.streams.addListener(listener)
+    try:
+        yield listener.total
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(listener)

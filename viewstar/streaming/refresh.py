@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from viewstar.plans.star import build_star
 from viewstar.sources.landing import events_of, landing_stream, landing_table, of_dates
+from viewstar.streaming.bridge import run_name
 
 
 def refresh_dates(batch: DataFrame, landing_path: str, warehouse: str, batch_id: str,
@@ -34,8 +35,10 @@ def start_star_refresh(spark, landing_path: str, warehouse: str, checkpoint: str
                        files_per_trigger: int | None = None, strict: bool = False,
                        trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Start refreshing the star from the landing table as rows arrive."""
+    run = run_name(spark, checkpoint)
+
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        refresh_dates(batch, landing_path, warehouse, f"stream-{batch_id}", strict)
+        refresh_dates(batch, landing_path, warehouse, f"{run}-{batch_id}", strict)
 
     return (
         landing_stream(spark, landing_path, files_per_trigger)
