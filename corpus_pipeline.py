@@ -38,7 +38,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as ids in grammar-compressed files; one row per document read back."""
     path = Staging(spark).path("ids")
     grammar_ids.write_ids(docs, path, TOKENIZER)
-    return grammar_ids.read_documents(spark.read.parquet(path))
+    return grammar_ids.read_documents(grammar_ids.open_blocks(spark, path))
 
 
 STAGES = [

@@ -1,0 +1,128 @@
+"""Main text extraction: blocks, the field, held-out labelled pages and the test pages."""
+
+import html
+import re
+
+import numpy as np
+import pytest
+
+from viewstar.llm import main_text as m
+from viewstar.llm.page_blocks import text_blocks
+from viewstar.llm.queries import op3_main_text
+from llm_cases import SMALL, small  # noqa: F401
+
+PAGE = "page_id long, url string, html string"
+
+
+@pytest.fixture(scope="module")
+def field():
+    return m.trained()
+
+
+def blocks(page):
+    return [b.text for b in text_blocks(page)]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("", []), ("   ", []), ("plain text", ["plain text"]),
+    ("<p>a<p>b <b>c</b>d<br>e</p>f", ["a", "b cd e", "f"]),
+    ("<ul><li>x<li>y <a href=/>z</a></ul>", ["x", "y z"]),
+    ("<script>if (a<b) x='</p>';</script><style>p{}</style><p>t", ["t"]),
+    ("<!-- <p>no</p> --><p>yes<!-- c -->!</p>", ["yes!"]),
+    ("<p title='a > b' class=\"c>d\">in</p>", ["in"]),
+    ("<p>&lt;b&gt; &amp;amp; &eacute;&#10;&#x41;&nbsp;end</p>", ["<b> &amp; é A end"]),
+    ("<p>1 < 2 and 3 > 2</p>", ["1 < 2 and 3 > 2"]),
+    ("<p>open <b>bold<p>next</b> more", ["open bold", "next more"]),
+    ("<table><tr><td>a<td>b<tr><td>c</table>d", ["a", "b", "c", "d"]),
+    ("<div>one<div>two</div>three</div></div></p>four", ["one", "two", "three", "four"]),
+    ("<textarea><p>raw</textarea>x", ["<p>raw", "x"]),
+    ("<script>never closed", []), ("<p>cut <a href=", ["cut <a href="]),
+])
+def test_leaf_blocks(page, want):
+    assert blocks(page) == want
+
+
+def test_ancestors_and_links():
+    block, = text_blocks('<div id="side-bar"><p>see <a href=/>all of it</a>')
+    assert [(e.tag, e.marks) for e in block.path] == [("div", ("side", "bar")), ("p", ())]
+    assert block.link_chars == len("all of it")
+
+
+def brute_force(scores, steps):
+    from itertools import product
+    size = len(scores)
+    totals = {}
+    for labels in product((0, 1), repeat=size):
+        totals[labels] = sum(scores[t][y] for t, y in enumerate(labels)) + sum(
+            steps[a][b] for a, b in zip(labels, labels[1:]))
+    return totals
+
+
+def test_viterbi_and_expectations_equal_all_sequences():
+    rng = np.random.default_rng(3)
+    for size in (1, 2, 5, 8):
+        scores, steps = rng.normal(0, 2, (size, 2)), rng.normal(0, 1, (2, 2))
+        totals = brute_force(scores, steps)
+        field = m.Field({}, np.zeros((0, 2)), steps)
+        assert tuple(field.best(scores)) == max(totals, key=totals.get)
+        weights = np.exp(np.array(list(totals.values())))
+        weights /= weights.sum()
+        chances, pairs = m.expectations(scores, steps)
+        for t in range(size):
+            got = sum(w for labels, w in zip(totals, weights) if labels[t])
+            assert abs(chances[t][1] - got) < 1e-9
+        for a in (0, 1):
+            for b in (0, 1):
+                got = sum(w * sum(x == (a, b) for x in zip(labels, labels[1:]))
+                          for labels, w in zip(totals, weights))
+                assert abs(pairs[a][b] - got) < 1e-9
+
+
+def test_held_out_labelled_pages(field):
+    right = every = 0
+    for seed in range(150):
+        found, labels = m.labelled_blocks(m._Maker(10**9 + seed).page())
+        if found:
+            got = field.best(field.scores(m.features(found)))
+            right += sum(x == y for x, y in zip(got, labels))
+            every += len(labels)
+    assert right / every > 0.99
+
+
+HOME = """<html><head><title>T</title></head><body>
+<div class="cookie-notice">We use cookies.</div>
+<header><h2>Site</h2><ul><li><a href=/>Home</a></li><li><a href=/>News</a></li></ul></header>
+<nav class="breadcrumb"><a href=/>Home</a> &gt; <a href=/>News</a></nav>
+<article><h1>A  headline</h1><p>First &amp; foremost, this is
+the story.</p><aside class="related"><a href=/>Read this too</a></aside>
+<div class="ad">Buy things now.</div><p>It goes on for a while. It ends.</p></article>
+<section id="comments"><h3>Comments</h3><div class="comment"><p>I do not agree at all.</p></div>
+</section><form class="newsletter"><label>Mail</label><input><button>Go</button></form>
+<footer>&copy; 2024 Site. All rights reserved.</footer></body></html>"""
+
+
+def test_an_ordinary_page(field):
+    assert m.main_text(HOME, field) == (
+        "A headline First & foremost, this is the story. It goes on for a while. It ends.")
+
+
+def test_article_text_of_all_test_pages(spark, small):
+    got = {r["page_id"]: r for r in op3_main_text(spark, SMALL).collect()}
+    for row in small("pages").collect():
+        article = re.search("<article>(.*)</article>", row["html"], re.S)[1]
+        want = " ".join(html.unescape(re.sub("<[^>]*>", " ", article)).split())
+        found = got.pop(row["page_id"])
+        assert (found["text"], found["n_chars"], found["url"]) == (want, len(want), row["url"])
+    assert not got
+
+
+def test_defined_cases(spark, field):
+    long = "<article>" + "<p>Some more of the story.</p>" * 20_000 + "</article>"
+    frame = spark.createDataFrame(
+        [(1, None, None), (2, "u", ""), (3, "u", "<nav><a>x</a></nav>"), (None, "u", HOME),
+         (5, "u", HOME), (5, "u", HOME), (6, "u", long)], PAGE)
+    got = m.extracted(frame.withColumn("text", frame["url"]), field).collect()
+    texts = sorted((str(r["page_id"]), len(r["text"]), r["n_chars"]) for r in got)
+    assert texts == sorted([("1", 0, 0), ("2", 0, 0), ("3", 0, 0), ("None", 80, 80),
+                            ("5", 80, 80), ("5", 80, 80), ("6", 479_999, 479_999)])
+    assert m.extracted(spark.createDataFrame([], PAGE), field).count() == 0

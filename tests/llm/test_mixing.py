@@ -1,0 +1,115 @@
+"""Source mix: targets, words taken, positions along the curriculum."""
+
+import math
+
+import compare
+import pytest
+
+from viewstar.llm import mixing as m
+from llm_cases import LONG, SMALL, documents  # noqa: F401
+
+
+def words(n, tag="w"):
+    return " ".join(f"{tag}{i}" for i in range(n))
+
+
+def filled(sizes):
+    """Targets by repeated sharing, as the contract words it."""
+    names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: n % 3 + 1 for n, s in enumerate(names)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        free = [s for s in names if s not in fixed]
+        left = total - sum(fixed.values())
+        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        over = [s for s in free if share[s] > 3 * sizes[s]]
+        if not over:
+            return fixed | share
+        fixed |= {s: 3 * sizes[s] for s in over}
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 1, "b": 1, "c": 1000}, {"a": 5, None: 7},
+    {"a": 0, "b": 3, "c": 50, "d": 2, "e": 900, None: 1}, {"é": 10, "z": 1, "Z": 400}, {"a": 0}])
+def test_targets(spark, sizes):
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in m.source_targets(frame).collect()}
+    want = filled(sizes)
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[s], want[s], abs_tol=1e-9) for s in want)
+
+
+def test_words_taken_meet_the_targets(documents, monkeypatch):
+    monkeypatch.setattr(m, "MIN_BUCKETS", 4)
+    rows = [(n, words(n % 90), f"s{n % 5 if n % 3 else 0}") for n in range(400)]
+    rows += [(500 + n, words(3), None) for n in range(5)]
+    got = m.mixed(documents(rows), "m").select("doc_id", "source", "m.*").collect()
+    assert len(got) == len(rows)
+    for source in {r["source"] for r in got}:
+        part = [r for r in got if r["source"] == source]
+        assert sum(r["taken"] for r in part) == math.floor(part[0]["target"] + 0.5)
+        assert part[0]["source_size"] == sum(r["size"] for r in part)
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    assert all((r["position"] is None) == (r["taken"] == 0) for r in got)
+    again = m.mixed(documents(rows[::-1]).repartition(7), "m").select("doc_id", "m.*")
+    assert sorted(map(str, again.collect())) == sorted(
+        map(str, m.mixed(documents(rows), "m").select("doc_id", "m.*").collect()))
+
+
+def test_positions_invert_the_schedules(spark):
+    from pyspark.sql import functions as F
+    shares = spark.range(0, 1001).select((F.col("id") / 1000).alias("u"))
+    for place, knots in enumerate(m.SCHEDULES):
+        total = sum((a + b) / 2 * (t - s) for (s, a), (t, b) in zip(knots, knots[1:]))
+        got = shares.select("u", m.position_of(F.col("u"), F.lit(place)).alias("t")).collect()
+        for r in got:
+            used = 0.0
+            for (s, a), (t, b) in zip(knots, knots[1:]):
+                x = min(max(r["t"], s), t) - s
+                used += a * x + (b - a) / (t - s) * x * x / 2
+            assert abs(used / total - r["u"]) < 1e-9
+        assert [r["t"] for r in got] == sorted(r["t"] for r in got)
+
+
+def test_curriculum_moves_weight_over_time(documents):
+    rows = [(n, words(20), f"s{n % 3}") for n in range(600)]
+    order = m.copies(documents(rows)).collect()
+    half = len(order) // 2
+    early = [sum(r["source"] == s for r in order[:half]) for s in ("s0", "s2")]
+    late = [sum(r["source"] == s for r in order[half:]) for s in ("s0", "s2")]
+    assert early[0] > late[0] and early[1] < late[1]
+
+
+def test_copies_follow_what_is_taken(documents):
+    rows = [(n, words(10 + n % 7), f"s{n % 4}") for n in range(200)]
+    frame = documents(rows).withColumnsRenamed({"lang": "_mix", "n_chars": "position"})
+    got = m.copies(frame)
+    assert got.columns == frame.columns
+    found = got.collect()
+    taken = {r["doc_id"]: r["m"]["taken"] for r in m.mixed(frame, "m").collect()}
+    for n, text, _ in rows:
+        size = len(text.split())
+        times = sum(r["doc_id"] == n for r in found)
+        assert abs(times * size - taken[n]) <= size / 2 and times <= 3
+
+
+def test_defined_cases(documents):
+    rows = [(1, None, "a"), (2, "", "a"), (3, LONG, "b"), (4, "x", None), (None, "y z", "a"),
+            (5, "p q", "a"), (5, "p q", "a")]
+    got = m.mixed(documents(rows), "m").select("doc_id", "m.*").collect()
+    assert len(got) == len(rows)
+    assert sorted(r["size"] for r in got) == [0, 0, 1, 2, 2, 2, 60_000]
+    assert m.mixed(documents([]), "m").count() == 0
+    assert m.copies(documents([])).count() == 0
+    nothing = documents([(1, None, "a"), (2, "", None)])
+    assert {r["m"]["taken"] for r in m.mixed(nothing, "m").collect()} == {0}
+    assert m.copies(nothing).count() == 0
+
+
+def test_native_plan(documents, plan):
+    text = plan(m.copies(documents([(1, "a b", "s")])))
+    assert "Python" not in text and "Arrow" not in text and "rangepartitioning" in text
+
+
+def test_whole_table_equals_sql(spark):
+    assert compare.compare(spark, compare.connect(SMALL), SMALL, "op9_source_mix") == ""

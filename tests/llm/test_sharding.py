@@ -1,0 +1,88 @@
+"""Balanced label propagation: exact sizes, few cut links, hot groups."""
+
+import zlib
+from collections import Counter, defaultdict
+
+from viewstar.llm import sharding as s
+from viewstar.llm.queries import op8_label_propagation
+from llm_cases import SMALL, documents, small  # noqa: F401
+
+
+def placed(docs, links, staging, shards=8):
+    rows = s.sharded(docs, links, staging, shards).collect()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    sizes = [len(slots[n]) for n in range(shards)]
+    assert max(sizes) - min(sizes) <= 1
+    return rows
+
+
+def test_groups_stay_together(documents, staging):
+    rows = [(n, f"group {n % 40}" if n < 200 else f"text {n}") for n in range(800)]
+    docs = documents(rows).repartition(5)
+    links = staging.table(s.equal_text_links(docs, 8, staging), "l")
+    got = placed(docs, links, staging)
+    frame = docs.sparkSession.createDataFrame(
+        [(r["doc_id"], r["shard"]) for r in got], "doc_id long, shard int")
+    start = docs.select("doc_id", s.first_shard("doc_id", 8).alias("shard"))
+    assert s.cut_links(links, start) > 100
+    assert s.cut_links(links, frame) <= 8
+
+
+def test_a_third_in_one_group(documents, staging):
+    rows = [(n, "hot" if n % 3 == 0 else f"text {n}") for n in range(900)]
+    docs = documents(rows)
+    links = staging.table(s.equal_text_links(docs, 8, staging), "l")
+    # No centre has more than an eighth of a shard, so no key is hot.
+    degrees = Counter()
+    for r in links.collect():
+        degrees[r["a"]] += 1
+        degrees[r["b"]] += 1
+    assert max(degrees.values()) < 900 // 8
+    got = placed(docs, links, staging)
+    hot = Counter(r["shard"] for r in got if r["text"] == "hot")
+    assert sum(hot.values()) == 300
+
+
+def test_links_of_any_kind(documents, staging, spark):
+    docs = documents([(n, str(n)) for n in range(160)])
+    pairs = [(n, n + 1) for n in range(0, 160, 2)] + [(5, 5), (2, 3), (3, 2)]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    got = placed(docs, links, staging, shards=4)
+    shard = {r["doc_id"]: r["shard"] for r in got}
+    assert sum(shard[a] != shard[b] for a, b in pairs) <= 6
+
+
+def test_defined_cases(documents, staging):
+    docs = documents([(1, "a"), (1, "a"), (2, None), (3, ""), (None, "a"), (None, None)])
+    docs = docs.withColumnsRenamed({"lang": "shard", "source": "node", "n_chars": "near"})
+    links = s.equal_text_links(docs, 8, staging)
+    assert sorted(map(tuple, links.collect())) == [(3, 2)]
+    got = placed(docs, links, staging, shards=2)
+    assert len(got) == 6 and sorted(r["text"] or "" for r in got) == ["", "", "", "a", "a", "a"]
+    empty = documents([])
+    assert s.sharded(empty, s.equal_text_links(empty, 8, staging), staging).count() == 0
+
+
+def test_native_plan(documents, staging, plan):
+    docs = documents([(n, str(n % 3)) for n in range(9)])
+    text = plan(s.sharded(docs, s.equal_text_links(docs, 8, staging), staging))
+    assert "Python" not in text and "Arrow" not in text
+
+
+def test_whole_query(spark, small):
+    got = {r["doc_id"]: r for r in op8_label_propagation(spark, SMALL).collect()}
+    rows = small("documents").collect()
+    assert len(got) == len(rows)
+    for row in rows:
+        found, data = got[row["doc_id"]], row["text"].encode()
+        assert (found["size"], found["text_crc32"]) == (len(data) + 1, zlib.crc32(data))
+        assert (found["law"], found["grown_shard"]) == ("rows", None)
+    sizes = Counter(r["shard"] for r in got.values())
+    assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) <= 1
+    shards = defaultdict(set)
+    for row in rows:
+        shards[row["text"]].add(got[row["doc_id"]]["shard"])
+    assert sum(len(v) - 1 for v in shards.values()) <= 7

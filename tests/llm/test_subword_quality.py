@@ -1,0 +1,91 @@
+"""Quality scores: features, held-out accuracy, defined cases."""
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from viewstar.llm import subword_quality as q
+from viewstar.llm.queries import op5_subword_quality
+from llm_cases import LONG, LONG_WORD, documents  # noqa: F401
+
+LABEL = "doc_id long, quality int, toxic int"
+
+
+def bags(texts):
+    """Sorted bucket numbers per text."""
+    column = pa.array(texts, pa.string())
+    out = [[] for _ in texts]
+    for ids, first in q.feature_parts(column):
+        assert len(first) == len(texts) + 1 and first[-1] == len(ids)
+        for n in range(len(texts)):
+            out[n] += ids[first[n]:first[n + 1]].tolist()
+    return [sorted(b) for b in out]
+
+
+def test_features_of_a_text_do_not_depend_on_its_neighbours():
+    texts = ["one two two", "", None, "é 中\n中 x", "a", "one two two", "ab", "  "]
+    together = bags(texts)
+    assert together == [bags([t])[0] for t in texts]
+    # Three words, two pairs, nine threes and eight fours of characters.
+    assert len(together[0]) == 3 + 2 + 9 + 8
+    assert together[0] == together[5] and together[1] == together[2] == []
+
+
+def test_scores_are_those_of_the_averaged_vectors(documents):
+    good = ["the plan of work is good and clear", "all of the text was read by them"]
+    bad = ["$$$ ### ***", "buy!! now!! $$$"]
+    model = q.train(good + bad, [1, 1, 0, 0], epochs=20)
+    texts = good + bad + ["the $$$ plan", ""]
+    got = {r["doc_id"]: r["score"] for r in q.scored(
+        documents(list(enumerate(texts))), model).collect()}
+    for n, text in enumerate(texts):
+        ids = bags([text])[0]
+        mean = model.vectors[ids].mean(axis=0) if ids else np.zeros(q.DIMENSIONS)
+        scores = np.exp(mean @ model.layer + model.bias)
+        assert abs(got[n] - scores[1] / scores.sum()) < 1e-4
+    assert min(got[0], got[1]) > 0.5 > max(got[2], got[3])
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(
+        f"{sf_dir}/labels.parquet").collect()}
+    rows = op5_subword_quality(spark, sf_dir).collect()
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    held = [(r["score"], labels[r["doc_id"]]) for r in rows
+            if r["held_out"] and r["doc_id"] in labels]
+    assert len(held) > 100
+    assert np.mean([(s >= 0.5) == y for s, y in held]) > 0.93
+    ones, zeros = [s for s, y in held if y], [s for s, y in held if not y]
+    assert np.mean([a > b for a in ones for b in zeros]) > 0.97
+
+
+def test_sample_leaves_held_out_rows_alone(spark, documents):
+    docs = documents([(n, f"text {n}") for n in range(60)] + [(61, "x" * 30_000), (None, "z")])
+    labels = spark.createDataFrame(
+        [(n, n % 2, 0) for n in range(62)] + [(3, 1, 0), (None, 1, 0), (4, None, 0)], LABEL)
+    texts, classes = q.sample(docs, labels)
+    ids = [int(t.split()[1]) for t in texts]
+    assert len(ids) == len(set(ids)) and set(ids) == {
+        n for n in range(60) if zlib.crc32(str(n).encode()) % 3 != 1}
+    assert classes == [n % 2 for n in ids]
+    assert len(q.sample(docs, labels, rows=10)[0]) <= 10
+
+
+def test_defined_cases(spark, documents):
+    none = q.train([], [])
+    rows = [(1, None), (2, ""), (3, LONG), (4, LONG_WORD), (5, "x y"), (5, "x y"), (None, "q")]
+    frame = documents(rows).withColumnRenamed("lang", "score")
+    assert {r["score"] for r in q.scored(frame, none).collect() if r["doc_id"] in (1, 2)} == {0.5}
+    only_good = q.train(["a b", "c d"], [1, 1])
+    assert all(r["score"] > 0.99 for r in q.scored(frame, only_good).collect())
+    model = q.train(["good text here", "$$$ !!!"], [1, 0])
+    got = q.scored(frame, model).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    assert len({r["score"] for r in got if r["doc_id"] == 5}) == 1
+    assert q.scored(documents([]), model).count() == 0
+    empty = spark.createDataFrame([], LABEL)
+    assert q.sample(documents([]), empty) == ([], [])

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from viewstar.llm.bpe import encoder
 from viewstar.llm.text import row_chunks
@@ -243,6 +243,10 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                        for d in documents], pa.int64())})
 
 
+def open_blocks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BLOCKS).parquet(path)
+
+
 def read_documents(blocks: DataFrame) -> DataFrame:
     """One row per document of the files: doc_id, start, n_tokens, ids_crc32.
 

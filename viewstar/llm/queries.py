@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Staging(spark).path("ids")
     grammar_ids.write_ids(table(spark, sf_dir, "documents"), path, TOKENIZER)
-    return grammar_ids.read_documents(spark.read.parquet(path))
+    return grammar_ids.read_documents(grammar_ids.open_blocks(spark, path))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
