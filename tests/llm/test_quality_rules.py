@@ -5,7 +5,7 @@ import compare
 from viewstar.llm import quality_rules as rules
 from llm_cases import LONG, LONG_WORD, SMALL, documents  # noqa: F401
 
-CLEAN = " ".join(f"{w} of the n{i}" for i, w in enumerate(["work", "plan", "text"] * 10))
+CLEAN = " ".join(f"{w}{i} of the n{i}" for i, w in enumerate(["work", "plan", "text"] * 10))
 
 def judged(documents, rows):
     frame = rules.judged(documents(rows), "q").select("doc_id", "q.*")

@@ -3,13 +3,14 @@
 Every document starts in the shard of a hash of its id. In a round each active document counts
 its neighbours per shard and asks to move where it has more than at home. A pair of shards may
 swap as many documents as want to go both ways, and a shard with room below its capacity takes
-more; requests are admitted by gain, through a histogram of at most shards² x ``SLOTS`` rows, so
+more (only linked documents take room, as the others fill up what is left); requests are admitted by gain, through a histogram of at most shards² x ``SLOTS`` rows, so
 no request list is sorted or collected. Active are, in turn, documents with a neighbour of
 lower id and those without one; neighbours of a star therefore never swap places for ever.
 
-At the end the documents are numbered in the order shard, place among linked ones, id, and
-shard s takes the numbers of its equal share. Shards differ by one row at most. Documents
-without links stand at both ends of a shard's stretch, so the exact cut falls on them.
+At the end documents without links are dealt by a hash in proportion to the room that is left,
+all are numbered in the order shard, place among linked ones, id, and shard s takes the numbers
+of its equal share. Shards differ by one row at most. Documents without links stand at both
+ends of a shard's stretch, so the exact cut falls on them.
 
 Defined cases: rows of one id move together; rows with a null id have no links; links of a
 document with itself or repeated links count once; an empty table gives an empty result.
@@ -90,7 +91,7 @@ def _admitted(asked: DataFrame, sizes: dict[int, int], capacity: int) -> DataFra
 
 def propagated(docs: DataFrame, links: DataFrame, shards: int, staging: Staging,
                rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
-    """(node, shard, near) for every linked document after the rounds."""
+    """(node, shard, near, weight) for every linked document after the rounds."""
     both = staging.table(links.union(links.select("b", "a")).where("a <> b").distinct(), "links")
     counts = docs.groupBy(F.col("doc_id").alias("node")).agg(F.count("*").alias("weight"))
     nodes = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
@@ -99,22 +100,13 @@ def propagated(docs: DataFrame, links: DataFrame, shards: int, staging: Staging,
         (F.col("least") < F.col("node")).alias("has_lower"),
         first_shard("node", shards).alias("shard")), "labels")
 
-    def per_shard(frame: DataFrame, weight: Column) -> dict[int, int]:
-        # One row per shard.
-        held = {row[0]: row[1] for row in frame.groupBy("shard").agg(F.sum(weight)).collect()}
-        return {s: held.get(s, 0) for s in range(shards)}
-
-    every = per_shard(docs.select(first_shard("doc_id", shards).alias("shard")), F.lit(1))
-    linked = per_shard(labels, F.col("weight"))
-    fixed = {s: every[s] - linked[s] for s in every}
-    capacity = int(-(-sum(every.values()) // shards) * (1 + slack))
+    capacity = int(-(-docs.count() // shards) * (1 + slack))
     still = 0
     for number in range(rounds):
         asked = staging.table(_requests(both, labels, lower=number % 2 == 0).withColumn(
             "slot", (F.lit(GAINS) - F.least("gain", F.lit(GAINS))) * CHANCES + F.pmod(
                 F.xxhash64("node", F.lit(number)), F.lit(CHANCES))), "asked")
-        sizes = {s: fixed[s] + n for s, n in per_shard(labels, F.col("weight")).items()}
-        moves = asked.join(F.broadcast(_admitted(asked, sizes, capacity)),
+        moves = asked.join(F.broadcast(_admitted(asked, held_by(labels, shards), capacity)),
                            ["home", "target", "slot"]).select("node", "target")
         moves = staging.table(moves, "moves")
         still = 0 if moves.limit(1).count() else still + 1
@@ -122,7 +114,27 @@ def propagated(docs: DataFrame, links: DataFrame, shards: int, staging: Staging,
             break
         labels = staging.table(labels.join(moves, "node", "left").withColumn(
             "shard", F.coalesce("target", "shard").cast("int")).drop("target"), "labels")
-    return labels.select("node", "shard", "near")
+    return labels.select("node", "shard", "near", "weight")
+
+
+def held_by(labels: DataFrame, shards: int) -> dict[int, int]:
+    """Linked rows per shard: one number each."""
+    held = {row[0]: row[1] for row in labels.groupBy("shard").agg(F.sum("weight")).collect()}
+    return {s: held.get(s, 0) for s in range(shards)}
+
+
+def _dealt(doc_id: str, held: dict[int, int], total: int) -> Column:
+    """A shard for a document without links: by hash, in proportion to the room that is left."""
+    room = {s: max(0.0, total / len(held) - n) for s, n in held.items()}
+    chance = F.pmod(F.xxhash64(doc_id, F.lit(2)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    every, below, shard = sum(room.values()) or 1.0, 0.0, F.lit(len(held) - 1)
+    steps = []
+    for s, free in room.items():
+        below += free / every
+        steps.append((s, below))
+    for s, limit in reversed(steps):
+        shard = F.when(chance < F.lit(limit), F.lit(s)).otherwise(shard)
+    return shard
 
 
 def cut_links(links: DataFrame, placed: DataFrame) -> int:
@@ -142,15 +154,17 @@ def sharded(docs: DataFrame, links: DataFrame, staging: Staging, shards: int = S
     name = free_name(docs, "_shard")
     node, label, side, near, number = (f"{name}_{c}" for c in (
         "node", "label", "side", "near", "number"))
-    labels = propagated(docs, links, shards, staging, rounds).select(
+    found = propagated(docs, links, shards, staging, rounds)
+    total = docs.count()
+    dealt = _dealt("doc_id", held_by(found, shards), total)
+    labels = found.select(
         F.col("node").alias(node), F.col("shard").alias(label), F.col("near").alias(near))
     end = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) * 2 - 1
     rows = docs.join(labels, F.col("doc_id") == F.col(node), "left").select(
-        *own_columns(docs), F.coalesce(label, first_shard("doc_id", shards)).alias(label),
+        *own_columns(docs), F.coalesce(label, dealt).alias(label),
         F.when(F.col(near).isNull(), end).otherwise(0).alias(side),
         F.coalesce(near, "doc_id").alias(near))
     numbered = number_rows(rows, [label, side, near, "doc_id"], number, staging)
-    total = rows.count()
     # Whole-number arithmetic: shard s holds the places from ceil(s * total / shards) on.
     place = F.col(number) - 1
     shard = F.expr(f"(`{number}` - 1) * {shards} div {max(total, 1)}")
