@@ -126,6 +126,32 @@ routed AS (SELECT *, CASE WHEN text IS NULL THEN 'error' WHEN NOT json_valid(tex
 ENVELOPE = f"""env AS (SELECT *, '{TOPIC}' AS topic, CAST(event_id % 3 AS INTEGER) AS "partition",
   event_id // 3 AS "offset" FROM pv)"""
 
+# Views with odd dates: ``d`` is the date if its year has four digits, ``ts`` the time if any.
+SEEDED = """sv AS (SELECT event_id, local_time, product_id, store_id, referrer_url, device_id,
+    CASE WHEN year(TRY_CAST(substr(local_time, 1, 10) AS DATE)) <= 9999
+      THEN TRY_CAST(substr(local_time, 1, 10) AS DATE) END AS d,
+    CASE WHEN event_id % 53 <> 2 THEN TRY_CAST(replace(local_time, 'T', ' ') AS TIMESTAMP) END
+      AS ts
+  FROM (SELECT * REPLACE (CASE event_id % 53 WHEN 1 THEN '9999-12-31T00:00:00'
+      WHEN 2 THEN '300000-1-1' WHEN 3 THEN '5000-01-01' WHEN 4 THEN 'nope'
+      WHEN 5 THEN '2024-1-30' ELSE local_time END AS local_time) FROM pv))"""
+SEEDED_LATEST = """d = (SELECT max(d) FROM sv WHERE d <= current_date + 1)"""
+SEEDED_TEXT = "product_id, store_id, referrer_url, device_id"
+SEEDED_COALESCED = ", ".join(f"coalesce({c}, '') AS {c}" for c in SEEDED_TEXT.split(", "))
+
+# Keys of the documents of mixed shape, each with its type if all documents agree on it.
+DISCOVERED = """WITH docs AS (SELECT CASE event_id % 6
+    WHEN 0 THEN '{"product_id": ' || n || '}' WHEN 1 THEN '{"product_id": ' || n || '.50}'
+    WHEN 2 THEN '{"product_id": "p' || n || '"}' WHEN 3 THEN '{"product_id": ' || props || '}'
+    WHEN 4 THEN '{"product_id": null}' ELSE props END AS text
+  FROM (SELECT event_id, props, regexp_extract(props, '([0-9]+)', 1) AS n FROM events)),
+keys AS (SELECT unnest(json_keys(text)) AS key, text FROM docs),
+types AS (SELECT key, CASE json_type(text, '$.' || key) WHEN 'UBIGINT' THEN 'BIGINT'
+    WHEN 'BIGINT' THEN 'BIGINT' ELSE json_type(text, '$.' || key) END AS type FROM keys),
+found AS (SELECT key, CASE WHEN count(DISTINCT type) = 1 THEN min(type) ELSE 'VARIANT' END AS type
+  FROM types WHERE type <> 'NULL' GROUP BY key)
+SELECT 'OBJECT<' || string_agg(key || ': ' || type, ', ' ORDER BY key) || '>' AS schema FROM found"""
+
 BROKEN = """bf AS (SELECT event_id,
   CASE WHEN event_id % 41 <> 5 THEN CAST(replace(substr(local_time, 1, 10), '-', '') AS INTEGER)
     END AS date_key,
@@ -171,7 +197,7 @@ def oracle_sql() -> dict[str, str]:
     number = "regexp_extract(props, '([0-9]+)', 1)"
     return {
         # sources and ingest
-        "src_empty": f"{STAR} SELECT * FROM ft WHERE FALSE",
+        "src_empty": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "ingest_bounded": f"""WITH {VIEWS}, {ENVELOPE}
             SELECT topic, "partition", "offset" FROM (SELECT *, row_number() OVER (
               ORDER BY topic, "partition", "offset") AS n FROM env) WHERE n <= 5000""",
@@ -203,7 +229,7 @@ def oracle_sql() -> dict[str, str]:
         "norm_mixed_type": f"""SELECT event_id, CASE event_id % 6 WHEN 0 THEN {number}
             WHEN 1 THEN {number} || '.5' WHEN 2 THEN 'p' || {number}
             WHEN 3 THEN '{{"k":' || {number} || '}}' ELSE '' END AS product_id FROM events""",
-        "norm_discover": """SELECT 'OBJECT<k: BIGINT, product_id: VARIANT>' AS schema""",
+        "norm_discover": DISCOVERED,
         "route_json": f'WITH {MESSAGES} SELECT "partition", "offset", route FROM routed',
         "route_outcomes": f"""WITH {MESSAGES}
             SELECT route, count(*) AS messages FROM routed GROUP BY route""",
@@ -216,6 +242,15 @@ def oracle_sql() -> dict[str, str]:
         "report_date": f"""WITH {TIMES} SELECT CAST(max(TRY_CAST(substr(local_time, 1, 10)
             AS DATE)) AS VARCHAR) AS report_date FROM tm""",
         "filter_report_date": f"""WITH {VIEWS} SELECT event_id, local_time FROM pv {LATEST}""",
+        "report_date_fallback": f"""WITH {TIMES} SELECT CAST(coalesce(
+            max(TRY_CAST(substr(local_time, 1, 10) AS DATE)), DATE '2024-06-30') AS VARCHAR)
+            AS report_date FROM tm WHERE TRY_CAST(substr(local_time, 1, 10) AS DATE) IS NULL""",
+        "seeded_report_date": f"""WITH {VIEWS}, {SEEDED}
+            SELECT event_id, local_time FROM sv WHERE {SEEDED_LATEST}""",
+        "seeded_landing_report_date": f"""WITH {VIEWS}, {SEEDED}
+            SELECT local_time, coalesce(product_id, '') AS product_id,
+              coalesce(store_id, '') AS store_id, coalesce(referrer_url, '') AS referrer_url,
+              coalesce(device_id, '') AS device_id FROM sv WHERE {SEEDED_LATEST}""",
         # dimensions
         "dim_date": f"{STAR} SELECT * FROM dd",
         "dim_product": f"{STAR} SELECT * FROM dp",
@@ -279,8 +314,9 @@ def oracle_sql() -> dict[str, str]:
         "key_dense_within": """SELECT l_shipdate, l_orderkey, l_linenumber, CAST(row_number() OVER (
             PARTITION BY l_shipdate ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS number
             FROM lineitem""",
-        "key_hash": """SELECT count(DISTINCT o_orderkey) AS members,
-            count(DISTINCT o_orderkey) AS distinct_keys FROM orders""",
+        "key_hash": """SELECT natural_key, count(*) AS members FROM (
+            SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS natural_key FROM orders)
+            GROUP BY natural_key""",
         "key_incremental": f"""WITH {VIEWS}, old AS (SELECT referrer_url, row_number() OVER (
               ORDER BY referrer_url) AS referrer_key FROM (SELECT DISTINCT referrer_url FROM pv
               WHERE referrer_url IS NOT NULL AND local_time < '{SECOND_BATCH}'
@@ -326,6 +362,22 @@ def oracle_sql() -> dict[str, str]:
         "write_partition_overwrite": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_replace": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_hash_keys": f"{TEXT_PIPELINE} {NATURAL_FACT}",
+        "write_seeded_dates": f"""WITH {VIEWS}, {SEEDED}
+            SELECT d AS date, {SEEDED_TEXT}, count(*) AS view_count,
+              count(DISTINCT coalesce(device_id, '')) AS unique_visitors,
+              max(ts) AS last_view_time, min(ts) AS first_view_time,
+              avg(CAST(epoch(ts) AS BIGINT)) AS avg_view_timestamp,
+              CAST(epoch(max(ts)) - epoch(min(ts)) AS BIGINT) AS view_duration_seconds
+            FROM (SELECT * REPLACE ({SEEDED_COALESCED}) FROM sv) WHERE d IS NOT NULL
+            GROUP BY ALL""",
+        "write_undated": f"""WITH {VIEWS}, {SEEDED}
+            SELECT {SEEDED_TEXT}, count(*) AS views
+            FROM (SELECT * REPLACE ({SEEDED_COALESCED}) FROM sv) WHERE d IS NULL GROUP BY ALL""",
+        "write_user_agents": f"""WITH {VIEWS} SELECT DISTINCT coalesce(device_id, '') AS device_id,
+            CASE CAST(device_id AS BIGINT) % 4 WHEN 0 THEN 'curl' WHEN 1 THEN 'Other'
+              WHEN 2 THEN 'Chrome' ELSE 'unknown' END AS browser_info,
+            CASE CAST(device_id AS BIGINT) % 4 WHEN 0 THEN 'Other' WHEN 1 THEN 'Other'
+              WHEN 2 THEN 'Windows' ELSE 'unknown' END AS os_info FROM pv""",
         "stream_bridge": f"""WITH {VIEWS}, {ENVELOPE} SELECT topic, "partition", "offset",
             local_time, product_id, store_id, referrer_url, device_id FROM env""",
         "stream_dead_letters": f"""WITH {MESSAGES} SELECT "partition", "offset" FROM routed
@@ -333,6 +385,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_landing": f"""WITH {VIEWS}, {ENVELOPE} SELECT topic, "partition", "offset",
             'doc' AS route, local_time, product_id, store_id, referrer_url, device_id,
             CAST(substr(local_time, 1, 10) AS DATE) AS event_date FROM env""",
+        "landing_ids": f"""WITH {VIEWS}, {ENVELOPE} SELECT concat_ws('-', topic, "partition",
+            "offset") AS _id, topic, "partition", "offset" FROM env""",
+        "landing_counts": f"""WITH {MESSAGES}
+            SELECT route, count(*) AS messages FROM routed GROUP BY route""",
+        "stream_outcomes": f"""WITH {MESSAGES}
+            SELECT route, count(*) AS messages FROM routed GROUP BY route""",
+        "stream_resume": f"""WITH {MESSAGES}
+            SELECT "partition", "offset", route FROM routed""",
         "stream_landing_mixed": f"""WITH {MESSAGES}
             SELECT "partition", "offset", route FROM routed""",
         "stream_star_refresh": f"{TEXT_PIPELINE} {NATURAL_FACT}",

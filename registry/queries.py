@@ -21,11 +21,13 @@ from viewstar.plans import marts
 from viewstar.plans.star import build_star, star_frames
 from viewstar.schemas import (
     DIM_PRODUCT, ENVELOPE, EVENT_FIELDS, FACT_KEYS, FACT_PRODUCT_VIEWS, NATURAL_KEYS)
-from viewstar.sources.landing import empty_events, events_of, landing_table
+from viewstar.sources.landing import (
+    empty_events, events_of, landing_table, latest_landed_day)
 from viewstar.sources.warehouse import read_star, read_table
 from viewstar.staging import Staging
 from viewstar.streaming.bridge import start_bridge, to_folder
 from viewstar.streaming.landing import land_batch, start_landing
+from viewstar.streaming.outcomes import counted
 from viewstar.streaming.refresh import start_star_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,10 +156,14 @@ def traffic_sources_approximate(spark, sf_dir):
 # --- sources and ingest --------------------------------------------------------------
 
 def src_empty(spark, sf_dir):
-    """No event passes the filter: the fact is empty and keeps its schema."""
-    none = t.product_views(spark, sf_dir).filter(F.col("product_id") == "none")
-    events = empty_events(spark) if none.isEmpty() else none
-    return star_frames(events, Staging(spark))["fact_product_views"]
+    """Runs over events that no row passes leave a built star as it was, replace or not."""
+    warehouse = Staging(spark).path("warehouse")
+    events = as_text(t.product_views(spark, sf_dir).select(*EVENT_FIELDS))
+    build_star(events, warehouse, latest_only=False)
+    for none in (events.filter("product_id = 'none'"), empty_events(spark)):
+        build_star(none, warehouse, latest_only=False)
+        build_star(none, warehouse, replace=True)
+    return natural_fact(spark, warehouse)
 
 
 def ingest_bounded(spark, sf_dir):
@@ -177,10 +183,26 @@ def landing_scan(spark, sf_dir):
 
 
 def landing_latest(spark, sf_dir):
-    """The events of the report date, from one folder of the landing table."""
+    """The events of the report date, read off the folders of the landing table."""
+    path = Staging(spark).path("landing")
+    land_batch(t.envelope(spark, sf_dir), path)
+    return facts.on_report_date(
+        events_of(landing_table(spark, path)),
+        day=latest_landed_day(spark, path)).select(*EVENT_FIELDS)
+
+
+def landing_ids(spark, sf_dir):
+    """The document ids of landed messages."""
     path = Staging(spark).path("landing")
     land_batch(t.envelope(spark, sf_dir), path)
-    return facts.on_report_date(events_of(landing_table(spark, path))).select(*EVENT_FIELDS)
+    return landing_table(spark, path).select("_id", *ingest.POSITION)
+
+
+def landing_counts(spark, sf_dir):
+    """What a bounded run says of its messages, per route."""
+    counts = land_batch(t.messages(configure(spark), sf_dir), Staging(spark).path("landing"))
+    return spark.createDataFrame(
+        [(k, n) for k, n in counts.items() if k != "messages"], "route string, messages long")
 
 
 def warehouse_scan(spark, sf_dir):
@@ -245,6 +267,26 @@ def filter_valid_date(spark, sf_dir):
         "event_id", event_date("local_time").alias("date"))
 
 
+def report_date_fallback(spark, sf_dir):
+    """No event has a date: the report date is the given day."""
+    none = t.times(spark, sf_dir).filter(event_date("local_time").isNull())
+    return facts.report_date(none, F.lit("2024-06-30").cast("date"))
+
+
+def seeded_report_date(spark, sf_dir):
+    """Short forms count as their date; dates far ahead are no report date."""
+    return facts.on_report_date(t.seeded_views(spark, sf_dir)).select("event_id", "local_time")
+
+
+def seeded_landing_report_date(spark, sf_dir):
+    """The same over a landing table."""
+    path = Staging(spark).path("landing")
+    land_batch(t.seeded_envelope(spark, sf_dir), path)
+    landed = facts.on_report_date(
+        events_of(landing_table(spark, path)), day=latest_landed_day(spark, path))
+    return landed.select(*EVENT_FIELDS)
+
+
 # --- URL and user-agent functions ----------------------------------------------------
 
 def url_countries(spark, sf_dir):
@@ -279,10 +321,11 @@ def key_dense_within(spark, sf_dir):
 
 
 def key_hash(spark, sf_dir):
+    """Each member with the number of members that share its key, which must be one."""
     keyed = hash_keys(_order_members(spark, sf_dir), "natural_key", "key")
     quality.strict(hash_collisions(keyed, "key"), "hash key")
-    return keyed.agg(F.count("*").alias("members"),
-                     F.count_distinct("key").alias("distinct_keys"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("members"))
+    return keyed.join(shared, "key").select("natural_key", "members")
 
 
 def key_incremental(spark, sf_dir):
@@ -398,6 +441,33 @@ def write_replace(spark, sf_dir):
     return natural_fact(spark, warehouse)
 
 
+def write_seeded_dates(spark, sf_dir):
+    """A strict run over the last date there is, dates beyond, short forms and garbage."""
+    warehouse = Staging(spark).path("warehouse")
+    events = as_text(t.seeded_views(spark, sf_dir).select(*EVENT_FIELDS))
+    build_star(events, warehouse, latest_only=False, replace=True)
+    return natural_fact(spark, warehouse)
+
+
+def write_undated(spark, sf_dir):
+    """The groups that a run sets aside because they have no date."""
+    warehouse = Staging(spark).path("warehouse")
+    events = as_text(t.seeded_views(spark, sf_dir).select(*EVENT_FIELDS))
+    build_star(events, warehouse, latest_only=False, hash_keys=True)
+    return spark.read.parquet(f"{warehouse}/quarantine/undated_views").select(
+        *NATURAL_KEYS, "views")
+
+
+def write_user_agents(spark, sf_dir):
+    """Devices of a built star, with the families of the agents that came through landing."""
+    staging = Staging(spark)
+    path, warehouse = staging.path("landing"), staging.path("warehouse")
+    land_batch(t.agent_envelope(spark, sf_dir), path)
+    build_star(events_of(landing_table(spark, path)), warehouse, latest_only=False)
+    return read_table(spark, warehouse, "dim_device").select(
+        "device_id", "browser_info", "os_info")
+
+
 def write_hash_keys(spark, sf_dir):
     """Two runs with hashed keys."""
     warehouse = Staging(spark).path("warehouse")
@@ -453,6 +523,27 @@ def stream_landing(spark, sf_dir):
     return landed.select(*ingest.POSITION, "route", *EVENT_FIELDS, "event_date")
 
 
+def stream_resume(spark, sf_dir):
+    """Messages that come after a stop are taken up where the checkpoint left off, once."""
+    staging = Staging(configure(spark))
+    source, path = staging.path("messages"), staging.path("landing")
+    checkpoint = staging.path("checkpoint")
+    messages = t.messages(spark, sf_dir)
+    for part in (F.col("offset") % 3 == 0, F.col("offset") % 3 != 0):
+        messages.filter(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", 4)
+        start_landing(stream.parquet(source), path, checkpoint).awaitTermination()
+    return landing_table(spark, path).select("partition", "offset", "route")
+
+
+def stream_outcomes(spark, sf_dir):
+    """Messages per route as the listener counted them over all batches of a stream."""
+    with counted(spark) as total:
+        _land(spark, t.messages(spark, sf_dir))
+    return spark.createDataFrame(
+        [(k, n) for k, n in total.items() if k != "messages"], "route string, messages long")
+
+
 def stream_landing_mixed(spark, sf_dir):
     return landing_table(spark, _land(spark, t.messages(spark, sf_dir))).select(
         "partition", "offset", "route")
@@ -476,6 +567,8 @@ def queries() -> dict[str, Query]:
         "topic_counts": lambda s, d: ingest.topic_counts(t.envelope(s, d)),
         "landing_scan": landing_scan,
         "landing_latest": landing_latest,
+        "landing_ids": landing_ids,
+        "landing_counts": landing_counts,
         "warehouse_scan": warehouse_scan,
         # normalisation
         "norm_decode": norm_decode,
@@ -490,6 +583,9 @@ def queries() -> dict[str, Query]:
         "filter_valid_date": filter_valid_date,
         "undated_events": lambda s, d: facts.undated(t.times(s, d)),
         "report_date": lambda s, d: facts.report_date(t.times(s, d)),
+        "report_date_fallback": report_date_fallback,
+        "seeded_report_date": seeded_report_date,
+        "seeded_landing_report_date": seeded_landing_report_date,
         "filter_report_date": lambda s, d: facts.on_report_date(t.product_views(s, d)).select(
             "event_id", "local_time"),
         # dimensions
@@ -542,9 +638,14 @@ def queries() -> dict[str, Query]:
         "write_partition_overwrite": write_partition_overwrite,
         "write_replace": write_replace,
         "write_hash_keys": write_hash_keys,
+        "write_seeded_dates": write_seeded_dates,
+        "write_undated": write_undated,
+        "write_user_agents": write_user_agents,
         "stream_bridge": stream_bridge,
         "stream_dead_letters": stream_dead_letters,
         "stream_landing": stream_landing,
+        "stream_resume": stream_resume,
+        "stream_outcomes": stream_outcomes,
         "stream_landing_mixed": stream_landing_mixed,
         "stream_star_refresh": stream_star_refresh,
     }

@@ -105,17 +105,42 @@ def times(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(iso_time("ts")).alias("local_time"))
 
 
+def seeded_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product views, some with the last date there is, dates beyond, short forms, garbage."""
+    event = F.col("event_id")
+    time = (F.when(event % 53 == 1, "9999-12-31T00:00:00").when(event % 53 == 2, "300000-1-1")
+            .when(event % 53 == 3, "5000-01-01").when(event % 53 == 4, "nope")
+            .when(event % 53 == 5, "2024-1-30").otherwise(F.col("local_time")))
+    return product_views(spark, sf_dir).withColumn("local_time", time)
+
+
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per product view, over three partitions."""
+    return _messages_of(product_views(spark, sf_dir))
+
+
+def seeded_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _messages_of(seeded_views(spark, sf_dir))
+
+
+def agent_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product views whose messages also name a user agent, one kind per device, or none."""
+    kind = F.col("device_id").cast("bigint") % 4
+    agent = (F.when(kind == 0, "curl/8.0").when(kind == 1, "no known product/1.0").when(
+        kind == 2, "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like "
+        "Gecko) Chrome/120.0.0.0 Safari/537.36"))
+    return _messages_of(product_views(spark, sf_dir).withColumn("user_agent", agent))
+
+
+def _messages_of(views: DataFrame) -> DataFrame:
     event = F.col("event_id")
-    views = product_views(spark, sf_dir)
     return views.select(
         event.cast("string").cast("binary").alias("key"),
         F.to_json(F.struct(*views.columns)).cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         (event % 3).cast("int").alias("partition"),
         F.floor(event / 3).alias("offset"),
-        F.col("local_time").cast("timestamp").alias("timestamp"),
+        F.col("local_time").try_cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"))
 
 
