@@ -7,6 +7,7 @@ import pytest
 from test_star import FIRST, SECOND, views
 from test_streaming import FIELDS, message
 from viewstar import jobs
+from viewstar.operators.quality import ConstraintViolation
 from viewstar.schemas import ENVELOPE
 from viewstar.streaming.landing import land_batch
 
@@ -43,6 +44,7 @@ def test_star_and_reports(spark, landing, tmp_path):
     rows = [tuple(r) for r in spark.read.parquet(out).orderBy("referrer_domain", "referrer_type"
                                                               ).collect()]
     assert rows == [("Direct", "", 2, 2), ("Other", "", 1, 1), ("Other", "a.b", 2, 1)]
+    run(spark, "audit", "--warehouse", warehouse)
     for name in ("views_by_date_product", "top_countries"):
         assert jobs.report(spark, warehouse, name).count() > 0
 
@@ -53,6 +55,38 @@ def test_latest_date_is_the_default(spark, landing, tmp_path):
     assert views(spark, warehouse) == [(20240103, 1), (20240103, 1)]
 
 
+def test_report_prints_every_row(spark, landing, tmp_path, capsys):
+    warehouse = str(tmp_path / "warehouse")
+    run(spark, "star", "--landing", landing, "--warehouse", warehouse, "--all-dates")
+    run(spark, "report", "--warehouse", warehouse, "--name", "row_counts")
+    printed = capsys.readouterr().out.strip().splitlines()
+    assert printed[0] == "table_name\tcount" and len(printed) == 7
+
+
+def test_audit_finds_a_member_stored_twice(spark, landing, tmp_path):
+    warehouse = str(tmp_path / "warehouse")
+    run(spark, "star", "--landing", landing, "--warehouse", warehouse, "--all-dates")
+    path = f"{warehouse}/dim_country"
+    spark.read.parquet(path).limit(1).write.mode("append").parquet(path)
+    with pytest.raises(ConstraintViolation):
+        run(spark, "audit", "--warehouse", warehouse)
+
+
+def test_database_and_store_commands():
+    export = jobs.parser().parse_args(
+        ["export", "--warehouse", "w", "--url", "jdbc:x", "--jdbc", "user=u",
+         "--connections", "4"])
+    assert (export.run, dict(export.jdbc), export.connections) == (
+        jobs.run_export, {"user": "u"}, 4)
+    store = jobs.parser().parse_args(
+        ["store", "--landing", "l", "--uri", "u", "--database", "d", "--collection", "c"])
+    assert store.run is jobs.run_store
+    capped = jobs.parser().parse_args(
+        ["bridge", "--from-topic", "a", "--to-topic", "b", "--dead-letters", "d",
+         "--checkpoint", "c", "--at-most", "100000", "--start", "0=5", "--start", "2=7"])
+    assert (capped.at_most, dict(capped.start)) == (100_000, {0: 5, 2: 7})
+
+
 def test_stream_options():
     args = jobs.parser().parse_args([
         "land", "--topic", "t", "--landing", "l", "--checkpoint", "c", "--kafka",

@@ -5,6 +5,7 @@
     spark-submit viewstar_job.py star   --landing …/landing --warehouse …/warehouse
     spark-submit viewstar_job.py refresh --landing … --warehouse … --checkpoint …/ck2
     spark-submit viewstar_job.py report --warehouse …/warehouse --name traffic_sources
+    spark-submit viewstar_job.py audit  --warehouse …/warehouse
     spark-submit viewstar_job.py export --warehouse …/warehouse --url jdbc:… --jdbc user=…
     spark-submit viewstar_job.py store  --landing …/landing --uri … --database d --collection c
 
@@ -20,8 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from viewstar.functions.documents import configure
 from viewstar.operators.ingest import first_messages
+from viewstar.operators.quality import verify_star
 from viewstar.plans import marts
 from viewstar.plans.star import StarRun, build_star
+from viewstar.schemas import TABLES
 from viewstar.sinks.documents import to_document_store
 from viewstar.sinks.jdbc import CONNECTIONS, write_jdbc_star
 from viewstar.sources.kafka import topic_stream, topic_table
@@ -72,6 +75,12 @@ def run_star(spark: SparkSession, args: argparse.Namespace) -> StarRun:
                       hash_keys=args.hash_keys, batch_id=args.batch_id, day=day)
 
 
+def run_audit(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Every key and reference of the whole warehouse; fails on the first that does not hold."""
+    with Staging(spark) as staging:
+        verify_star(read_star(spark, args.warehouse), TABLES, staging)
+
+
 def run_export(spark: SparkSession, args: argparse.Namespace) -> None:
     write_jdbc_star(read_star(spark, args.warehouse), args.url, dict(args.jdbc), args.schema,
                     args.connections)
@@ -158,6 +167,7 @@ def parser() -> argparse.ArgumentParser:
     shown.add_argument("--name", required=True, choices=(
         "views_by_date_product", "top_countries", "traffic_sources", "row_counts"))
     shown.add_argument("--output")
+    job("audit", run_audit, ("warehouse",))
     export = job("export", run_export, ("warehouse", "url"))
     export.add_argument("--jdbc", type=_pair, action="append", default=[],
                         metavar="OPTION=VALUE")

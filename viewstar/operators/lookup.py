@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_BYTES = 64 << 20
 # A value is hot if it holds more than one in HOT_SHARE rows: at most HOT_SHARE values can.
 HOT_SHARE = 10_000
+# A longer value is not broadcast, so that all hot values together have a bound in bytes.
+HOT_BYTES = 4096
 # Rows that need no shuffle lookup go to this many join values that match nothing.
 SPREAD = 1 << 16
 
@@ -55,12 +57,14 @@ def lookup(fact: DataFrame, dim: DataFrame, natural: str, key: str,
 
 
 def hot_values(df: DataFrame, column: str, share: int = HOT_SHARE) -> DataFrame:
-    """Values of ``column`` on more than one in ``share`` rows; never more than ``share``."""
+    """Values of ``column`` on more than one in ``share`` rows; never more than ``share``, of at
+    most ``HOT_BYTES`` bytes each."""
     total = df.agg(F.count("*")).scalar()
     return (
         df.filter(F.col(column).isNotNull())
         .groupBy(column).agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") * share > total)
+        .filter(F.octet_length(column) <= HOT_BYTES)
         .select(column)
     )
 

@@ -92,8 +92,10 @@ def _numbered(placed: DataFrame, offsets: DataFrame, name: str,
     for column in within:
         same = same & F.col(column).eqNullSafe(F.col(f"_w_{column}"))
     kept = [c for c in placed.columns if c not in ("_part", "_place")]
-    # At most one row per range partition and group.
-    return placed.join(F.broadcast(offsets), same).select(
+    # Without groups there is one row per range partition; with groups their number counts,
+    # so Catalyst decides by the size of the stored table.
+    counts = offsets if within else F.broadcast(offsets)
+    return placed.join(counts, same).select(
         *kept, (F.col("_before") + F.col("_place") - F.col("_first") + 1).alias(name))
 
 
