@@ -17,8 +17,8 @@ from tokenizers import Tokenizer
 
 from viewstar.llm.text import span_hashes, text_buffer
 
-#: Pieces a worker remembers; beyond that it starts anew.
-CACHE_PIECES = 1_000_000
+#: Pieces a worker remembers (about 50 bytes each); beyond that it starts anew.
+CACHE_PIECES = 3_000_000
 
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 # Endings that the cut keeps with their apostrophe.
@@ -43,7 +43,9 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        # Sorted hashes of the pieces known, and the slot of each.
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.known = 0
         self.lengths = np.zeros(1 << 12, np.int32)
         self.starts = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
@@ -93,10 +95,10 @@ class PieceEncoder:
                         break
         return np.flatnonzero(start)
 
-    def _learn(self, piece: bytes, key: int) -> None:
+    def _learn(self, piece: bytes) -> None:
         text = piece.decode("latin-1").translate(self.characters)
         ids = [token.id for token in self.model.tokenize(text)]
-        slot = len(self.slots)
+        slot = self.known
         if slot == len(self.lengths):
             self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
             self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
@@ -105,7 +107,7 @@ class PieceEncoder:
         self.lengths[slot], self.starts[slot] = len(ids), self.used
         self.ids[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
-        self.slots[key] = slot
+        self.known += 1
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the place of each text's first id (plus the end)."""
@@ -120,15 +122,18 @@ class PieceEncoder:
         ends = np.append(starts[1:], len(data))
         keys, where, back = np.unique(
             span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        keys = keys.tolist()
-        if len(self.slots) + len(keys) > CACHE_PIECES:
+        if self.known + len(keys) > CACHE_PIECES:
             self._forget()
-        whole = data.tobytes()
-        for n, key in enumerate(keys):
-            if key not in self.slots:
-                at = where[n]
-                self._learn(whole[starts[at]:ends[at]], key)
-        slots = np.array([self.slots[key] for key in keys], np.int64)[back]
+        place = np.searchsorted(self.keys, keys)
+        fresh = np.ones(len(keys), bool)
+        inside = place < len(self.keys)
+        fresh[inside] = self.keys[place[inside]] != keys[inside]
+        before, whole = self.known, data.tobytes()
+        for at in where[fresh].tolist():
+            self._learn(whole[starts[at]:ends[at]])
+        self.slots = np.insert(self.slots, place[fresh], np.arange(before, self.known))
+        self.keys = np.insert(self.keys, place[fresh], keys[fresh])
+        slots = self.slots[np.searchsorted(self.keys, keys)][back]
         lengths = self.lengths[slots].astype(np.int64)
         after = np.concatenate(([0], np.cumsum(lengths)))
         ids = self.ids[np.repeat(self.starts[slots] - after[:-1], lengths)

@@ -48,40 +48,47 @@ BLOCKS = ("shard int, block int, before long, n_tokens long, doc_ids array<long>
 _SLOTS = 20
 
 
-def _frequent(keys: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs worth a rule, most frequent first, and the positions that may hold one."""
-    slot = (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)
-    slot = slot.astype(np.int64)
-    held = np.bincount(slot[usable], minlength=1 << _SLOTS)
-    maybe = np.flatnonzero(usable & (held[slot] >= MIN_COUNT))
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+
+
+def _frequent(keys: np.ndarray, usable: np.ndarray):
+    """The pairs worth a rule, most frequent first, and the positions that may hold one.
+
+    Slots with few pairs are left out before the rest is sorted and counted exactly.
+    """
+    slots = _slots(keys)
+    held = np.bincount(slots, minlength=1 << _SLOTS) >= MIN_COUNT
+    maybe = np.flatnonzero(held[slots] & usable)
     ordered = np.sort(keys[maybe])
     if not len(ordered):
-        return ordered, maybe
+        return ordered, maybe, slots
     edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     counts = np.diff(np.append(edges, len(ordered)))
-    pairs = ordered[edges]
-    best = np.argsort(-counts, kind="stable")[:RULES_PER_ROUND]
-    return pairs[best[counts[best] >= MIN_COUNT]], maybe
+    some = np.flatnonzero(counts >= MIN_COUNT)
+    best = some[np.argsort(-counts[some], kind="stable")[:RULES_PER_ROUND]]
+    return ordered[edges[best]], maybe, slots
 
 
 def compress(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY):
     """(left, right) of all rules, the symbols left, and each document's first symbol."""
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint64)
     head = np.zeros(len(ids), bool)
     head[first[:-1]] = True
     lefts, rights, known = [], [], 0
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:].astype(np.uint64)
-        pairs, maybe = _frequent(keys, ~head[1:])
+        keys = (symbols[:-1] << np.uint64(32)) | symbols[1:]
+        pairs, maybe, slots = _frequent(keys, ~head[1:])
         if not len(pairs):
             break
-        by_key = np.argsort(pairs)
-        at = np.searchsorted(pairs[by_key], keys[maybe])
-        at[at == len(pairs)] = 0
-        hit = pairs[by_key][at] == keys[maybe]
-        places, rank = maybe[hit], by_key[at[hit]]
+        # Of pairs in one slot the most frequent is replaced now, the others in later rounds.
+        table = np.full(1 << _SLOTS, -1)
+        table[_slots(pairs)[::-1]] = np.arange(len(pairs))[::-1]
+        rank = table[slots[maybe]]
+        hit = (rank >= 0) & (pairs[rank] == keys[maybe])
+        places, rank = maybe[hit], rank[hit]
         # Of overlapping pairs the more frequent wins; in a run of one symbol, every other.
         # Place p stands at p + 1, so that both ends have a neighbour.
         order = np.full(len(symbols) + 2, np.iinfo(np.int64).max)
@@ -103,7 +110,7 @@ def compress(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY):
         lefts.append((pairs[used] >> np.uint64(32)).astype(np.int64))
         rights.append((pairs[used] & np.uint64(0xFFFFFFFF)).astype(np.int64))
         known += int(used.sum())
-        symbols[places] = fresh[rank]
+        symbols[places] = fresh[rank].astype(np.uint64)
         kept = np.ones(len(symbols), bool)
         kept[places + 1] = False
         gain = len(places) / len(symbols)
@@ -112,7 +119,8 @@ def compress(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY):
             break
     empty = np.zeros(0, np.int64)
     return (np.concatenate(lefts) if lefts else empty,
-            np.concatenate(rights) if rights else empty, symbols, np.flatnonzero(head))
+            np.concatenate(rights) if rights else empty, symbols.astype(np.int64),
+            np.flatnonzero(head))
 
 
 def _expansion_lengths(left: np.ndarray, right: np.ndarray, vocabulary: int) -> np.ndarray:
