@@ -139,3 +139,45 @@ def test_short_items_and_defined_cases(documents, spark):
     none = spark.createDataFrame([], ITEM)
     assert d.overlaps(frame, none).count() == 0 and d.clean(frame, none).count() == len(rows)
     assert d.overlaps(documents([]), bench).count() == d.clean(documents([]), bench).count() == 0
+
+
+def best_of_all_stretches(equal, enough):
+    """Most equal tokens of a passing stretch, by trying every stretch; 0 without one."""
+    best = 0
+    for left in range(len(equal)):
+        for right in range(left + 1, len(equal) + 1):
+            matches = sum(equal[left:right])
+            if matches >= enough and 5 * matches >= 4 * (right - left):
+                best = max(best, matches)
+    return best
+
+
+def test_best_stretch_equals_trying_all():
+    pick = random.Random(5)
+    for _ in range(600):
+        share = pick.choice([0.3, 0.6, 0.75, 0.8, 0.9])
+        equal = [pick.random() < share for _ in range(pick.randint(0, 45))]
+        enough = pick.choice([1, 4, 12, 13])
+        got = d._best_stretch(d.np.array(equal, bool), enough)
+        assert (got[0] if got else 0) == best_of_all_stretches(equal, enough)
+        if got:
+            matches, left, right = got
+            assert sum(equal[left:right]) == matches and equal[left] and equal[right - 1]
+            assert 5 * matches >= 4 * (right - left)
+
+
+def changed(item, places):
+    return " ".join(f"new{n}" if n in places else w for n, w in enumerate(item.split()))
+
+
+def test_changes_near_the_ends_and_weaker_ground_hide_nothing(documents, spark):
+    short = " ".join(f"a{n}" for n in range(16))
+    long = " ".join(f"b{n}" for n in range(40))
+    # 14 of 16; 13 of 16; the first 16 hold 13 and the rest two in three, 29 of 40 in all.
+    rows = [(1, "x " + changed(short, {1, 14}) + " y"), (2, changed(short, {1, 7, 14})),
+            (3, changed(long, {1, 8, 14, *range(17, 40, 3)})), (4, changed(short, {1, 5, 9, 13}))]
+    bench = spark.createDataFrame([(1, short), (2, long)], ITEM)
+    got = found(d.overlaps(documents(rows), bench))
+    assert got.keys() == {(1, 1), (2, 1), (3, 2)}
+    assert got[1, 1] == 14 and got[2, 1] == 13 and got[3, 2] >= 13
+    assert [r["doc_id"] for r in d.clean(documents(rows), bench).collect()] == [4]

@@ -3,11 +3,10 @@
 Tokens are lower-case runs without white space and ASCII punctuation. A mask looks at some
 places of a window and ignores the others, so a window is still found if the ignored places
 were changed. The windows of the test items under all masks are hashed once; every window of
-every training text is hashed under the same masks and looked up. Around each hit the two
-texts are compared token by token, without gaps: the overlap grows both ways as long as the
-score (one up for an equal token, two down for a substituted one) is within ``DROP`` of its
-best. An overlap counts if it has ``MIN_MATCHES`` equal tokens, or four in five of a
-shorter item, and at least ``MIN_SHARE`` of its tokens are equal.
+every training text is hashed under the same masks and looked up. On the diagonal of each hit
+the whole item is compared with the text token by token, without gaps. An overlap is any
+stretch of it that has ``MIN_MATCHES`` equal tokens, or four in five of a shorter item, and
+at least ``MIN_SHARE`` of whose tokens are equal; the one with most equal tokens is reported.
 
 Test items are a stated set of queries against all documents. They are taken in blocks of at
 most ``BLOCK_TOKENS`` tokens, and each block goes over all documents once, so what is sent to
@@ -22,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -109,7 +109,8 @@ def _hits(block: Block, tokens: np.ndarray, first: np.ndarray):
 
 
 def _extended(equal: np.ndarray, at: int) -> tuple[int, int]:
-    """Range of the best-scoring stretch around ``at`` on one diagonal."""
+    """Range of the best-scoring stretch around ``at`` on one diagonal: a lower bound that the
+    tests hold overlaps against. The operator does not grow overlaps (``_best_stretch``)."""
     def reach(steps: np.ndarray) -> int:
         best = score = far = 0
         for n, same in enumerate(steps.tolist(), 1):
@@ -122,6 +123,24 @@ def _extended(equal: np.ndarray, at: int) -> tuple[int, int]:
     return at - reach(equal[:at][::-1]), at + reach(equal[at:])
 
 
+def _best_stretch(equal: np.ndarray, enough: int) -> tuple[int, int, int] | None:
+    """(equal tokens, start, end) of the stretch with the most equal tokens among all stretches
+    of one diagonal in which ``MIN_SHARE`` is equal; None if it has fewer than ``enough``."""
+    if np.count_nonzero(equal) < enough:
+        return None
+    share = Fraction(str(MIN_SHARE))
+    matches = np.concatenate(([0], np.cumsum(equal)))
+    # A stretch has the share if this is no lower at its end than at its start.
+    height = matches * share.denominator - np.arange(len(matches)) * share.numerator
+    start = np.searchsorted(-np.minimum.accumulate(height), -height)
+    held = matches - matches[start]
+    end = int(np.argmax(held))
+    if held[end] < enough:
+        return None
+    begin = int(start[end])
+    return int(held[end]), begin + int(np.argmax(equal[begin:end])), end
+
+
 def _overlaps(block: Block, tokens: np.ndarray, first: np.ndarray):
     """(document, item, matches, length, document start, item start) of verified overlaps,
     the best per document and item."""
@@ -130,30 +149,28 @@ def _overlaps(block: Block, tokens: np.ndarray, first: np.ndarray):
         return
     doc_at, item_at, items = hits
     documents = np.searchsorted(first, doc_at, side="right") - 1
-    # One comparison per document and diagonal; a hit inside a compared stretch adds nothing.
+    shifts = doc_at - item_at
+    # One comparison per document, item and diagonal, however many hits it holds.
+    order = np.lexsort((shifts, items, documents))
+    documents, items, shifts = documents[order], items[order], shifts[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = ((documents[1:] != documents[:-1]) | (items[1:] != items[:-1])
+                 | (shifts[1:] != shifts[:-1]))
     best: dict[tuple[int, int], tuple] = {}
-    done: dict[tuple[int, int, int], int] = {}
-    order = np.lexsort((doc_at, items, documents))
-    for d, i, p, q in zip(documents[order].tolist(), items[order].tolist(),
-                          doc_at[order].tolist(), item_at[order].tolist()):
-        diagonal = (d, i, p - q)
-        if p < done.get(diagonal, -1):
+    for d, i, shift in zip(documents[fresh].tolist(), items[fresh].tolist(),
+                           shifts[fresh].tolist()):
+        item_start, item_end = int(block.first[i]), int(block.first[i + 1])
+        low = max(item_start, int(first[d]) - shift)
+        high = min(item_end, int(first[d + 1]) - shift)
+        equal = block.tokens[low:high] == tokens[low + shift:high + shift]
+        stretch = _best_stretch(equal, min(MIN_MATCHES, -(-(item_end - item_start) * 4 // 5)))
+        if stretch is None:
             continue
-        item_start, item_end = block.first[i], block.first[i + 1]
-        low = max(item_start, q - (p - first[d]))
-        high = min(item_end, q + (first[d + 1] - p))
-        equal = block.tokens[low:high] == tokens[low + p - q:high + p - q]
-        left, right = _extended(equal, q - low)
-        done[diagonal] = low + right + p - q
-        matches = int(equal[left:right].sum())
-        size = int(item_end - item_start)
-        enough = min(MIN_MATCHES, -(-size * 4 // 5))
-        if matches >= enough and matches >= MIN_SHARE * (right - left):
-            row = (matches, right - left, int(low + left + p - q - first[d]),
-                   int(low + left - item_start))
-            known = best.get((d, i))
-            if known is None or row[0] > known[0]:
-                best[d, i] = row
+        matches, left, right = stretch
+        known = best.get((d, i))
+        if known is None or matches > known[0]:
+            best[d, i] = (matches, right - left, low + left + shift - int(first[d]),
+                          low + left - item_start)
     for (d, i), row in best.items():
         yield d, i, *row
 
