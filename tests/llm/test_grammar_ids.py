@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from viewstar.llm import bpe, grammar_ids as g
 from viewstar.llm.queries import op1_grammar_ids
@@ -111,3 +111,36 @@ def test_defined_cases(spark, documents, staging, tokenizer):
     assert g.read_documents(g.open_blocks(spark, empty)).count() == 0
     with pytest.raises(ValueError):
         g.Block(b"something else")
+
+
+def test_added_tokens_equal_the_tokenizer_as_it_is(spark, documents, staging, tmp_path):
+    plain = Tokenizer.from_file(PATH)
+    pick = random.Random(9)
+    marker = "<|endoftext|>"
+    texts = [None, "", marker, marker * 3, f"a{marker}b", f"a {marker}  b", f"{marker}'s", "<|endoftext|"]
+    texts += ["".join(pick.choice([*PARTS, marker, marker]) for _ in range(pick.randint(1, 12)))
+              for _ in range(1500)]
+    ids, first = bpe.encoder(PATH).encode(pa.array(texts))
+    for n, text in enumerate(texts):
+        assert ids[first[n]:first[n + 1]].tolist() == encoded(plain, text), repr(text)
+    assert encoded(plain, f"a{marker}b") == [64, 50256, 65]
+    # The files hold the token, and the documents after it start where they should.
+    path = staging.path("ids")
+    g.write_ids(documents([(n, t) for n, t in enumerate(texts[:8])]).repartition(3), path, PATH)
+    start = 0
+    for row in g.read_documents(g.open_blocks(spark, path)).orderBy("doc_id").collect():
+        want = encoded(plain, texts[row["doc_id"]]) + [g.END_ID]
+        assert (row["start"], row["n_tokens"]) == (start, len(want))
+        assert row["ids_crc32"] == zlib.crc32(np.array(want, "<u4").tobytes())
+        start += len(want)
+    # Overlapping tokens, found in one pass or in two, and one that takes the blanks before it.
+    overlapping = ["<|end", "<|endoftext|>x"]
+    for more in (overlapping, [AddedToken(t, normalized=False) for t in overlapping],
+                 [AddedToken("[M]", lstrip=True, normalized=False)]):
+        made = Tokenizer.from_file(PATH)
+        made.add_tokens(more)
+        made.save(str(tmp_path / "more.json"))
+        own = [*texts[:200], "a  [M] b", "<|end<|endoftext|>x<|endoftext|>"]
+        ids, first = bpe.TextEncoder(str(tmp_path / "more.json")).encode(pa.array(own))
+        for n, text in enumerate(own):
+            assert ids[first[n]:first[n + 1]].tolist() == encoded(made, text), repr(text)

@@ -4,15 +4,19 @@ A byte-level BPE tokenizer first cuts a text into pieces and then merges bytes w
 piece, so the ids of a text are those of its pieces, end to end. The cut is made for a whole
 column in numpy, from classes of characters asked of the tokenizer itself; equal pieces are
 found by a 64-bit hash; only pieces not met before in this Python worker are merged.
+Added tokens of the tokenizer file (``<|endoftext|>``) are no pieces: a text is split at them
+first, and each becomes its own id, as in the tokenizer's ``encode``.
 ``tests/llm/test_grammar_ids.py`` holds the result against the tokenizer's own ``encode``.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from viewstar.llm.text import span_hashes, text_buffer
@@ -33,7 +37,7 @@ def byte_characters() -> dict[int, str]:
 
 
 class PieceEncoder:
-    """Encodes columns; one per worker and vocabulary (``encoder``)."""
+    """Encodes columns of ordinary text, in which the text of an added token means nothing."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -141,6 +145,45 @@ class PieceEncoder:
         return ids, after[np.searchsorted(cuts, first)]
 
 
+class TextEncoder:
+    """Encodes columns; one per worker and vocabulary (``encoder``)."""
+
+    def __init__(self, path: str):
+        self.pieces = PieceEncoder(path)
+        added = self.pieces.tokenizer.get_added_tokens_decoder()
+        self.added = {token.content: number for number, token in added.items()}
+        #: Tokens that take in their surroundings, or are looked for in two passes, are left
+        #: to the tokenizer.
+        self.literal = len({t.normalized for t in added.values()}) < 2 and not any(
+            t.lstrip or t.rstrip or t.single_word for t in added.values())
+        # The longest token wins where two start at one place.
+        self.pattern = re.compile(
+            "(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the place of each text's first id (plus the end)."""
+        column = pc.fill_null(column, "")
+        if not any(pc.any(pc.match_substring(column, token)).as_py() for token in self.added):
+            return self.pieces.encode(column)
+        if not self.literal:
+            found = [self.pieces.tokenizer.encode(text, add_special_tokens=False).ids
+                     for text in column.to_pylist()]
+            return (np.array([i for ids in found for i in ids], np.uint32),
+                    np.cumsum([0] + [len(ids) for ids in found]))
+        # Per text the parts between its tokens, and each token after the part before it.
+        parts, tokens, after, head, before = [], [], [], [], []
+        for text in column.to_pylist():
+            head.append(len(parts))
+            before.append(len(tokens))
+            split = self.pattern.split(text)
+            after.extend(range(len(parts) + 1, len(parts) + 1 + len(split) // 2))
+            parts.extend(split[::2])
+            tokens.extend(self.added[token] for token in split[1::2])
+        ids, first = self.pieces.encode(pa.array(parts, column.type))
+        return (np.insert(ids, first[after], np.array(tokens, ids.dtype)),
+                first[head + [len(parts)]] + np.array(before + [len(tokens)]))
+
+
 @functools.cache
-def encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def encoder(path: str) -> TextEncoder:
+    return TextEncoder(path)
