@@ -144,3 +144,20 @@ def test_added_tokens_equal_the_tokenizer_as_it_is(spark, documents, staging, tm
         ids, first = bpe.TextEncoder(str(tmp_path / "more.json")).encode(pa.array(own))
         for n, text in enumerate(own):
             assert ids[first[n]:first[n + 1]].tolist() == encoded(made, text), repr(text)
+
+
+def test_rounds_go_on_until_no_pair_is_frequent():
+    pick = np.random.default_rng(3)
+    passage = pick.integers(0, 50_000, 3000)
+    for ids in (np.tile(passage, 40), np.append(pick.zipf(1.3, 60_000) % 900, [4] * 999)):
+        ids, first = g._with_end(ids.astype(np.uint32), np.array([0, 777, len(ids)]), g.END_ID)
+        _, _, symbols, heads = g.compress(ids, first)
+        pairs = {}
+        for place, pair in enumerate(zip(symbols.tolist(), symbols[1:].tolist())):
+            if place + 1 not in heads:
+                pairs[pair] = pairs.get(pair, 0) + 1
+        assert max(pairs.values(), default=0) < g.MIN_COUNT
+        assert np.array_equal(np.concatenate(list(g.Block(g.pack(ids, first)).documents())), ids)
+    # A passage is one symbol in the end, and its copies share it.
+    ids, first = g._with_end(np.tile(passage, 40).astype(np.uint32), np.array([0, 120_000]), 2)
+    assert len(g.compress(ids, first)[2]) < 40

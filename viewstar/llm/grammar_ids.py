@@ -2,8 +2,8 @@
 
 Texts are encoded in ascending order of their id, each ends with an end id, and the ids are
 written in blocks of whole documents. In a block, frequent pairs of neighbouring symbols are
-replaced by nonterminals, round after round, the more frequent pair first where two overlap;
-pairs never cross a document's end. A block stores its rules, the length each nonterminal
+replaced by nonterminals, round after round until none is left, the more frequent pair first
+where two overlap; pairs never cross a document's end. A block stores its rules, the length each nonterminal
 expands to, the remaining symbols and each document's first symbol, so that any document, and
 any stretch of one (``Block.slice``), is decoded without the rest.
 
@@ -36,11 +36,10 @@ from viewstar.llm.text import row_chunks
 END_ID = 2
 VOCABULARY = 50257
 BLOCK_BYTES = 2 << 20
-ROUNDS = 8
+#: Pairs beyond that wait for the next round.
 RULES_PER_ROUND = 1 << 14
 #: A rule takes three numbers in the file, so a rarer pair would not pay.
 MIN_COUNT = 4
-MIN_GAIN = 0.02
 
 MAGIC = b"VSG1"
 BLOCKS = ("shard int, block int, before long, n_tokens long, doc_ids array<long>, "
@@ -52,43 +51,50 @@ def _slots(keys: np.ndarray) -> np.ndarray:
     return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
 
 
-def _frequent(keys: np.ndarray, usable: np.ndarray):
-    """The pairs worth a rule, most frequent first, and the positions that may hold one.
+def _frequent(keys: np.ndarray, slots: np.ndarray):
+    """The pairs worth a rule, most frequent first, and the keys that may belong to one.
 
     Slots with few pairs are left out before the rest is sorted and counted exactly.
     """
-    slots = _slots(keys)
     held = np.bincount(slots, minlength=1 << _SLOTS) >= MIN_COUNT
-    maybe = np.flatnonzero(held[slots] & usable)
+    maybe = np.flatnonzero(held[slots])
     ordered = np.sort(keys[maybe])
     if not len(ordered):
-        return ordered, maybe, slots
+        return ordered, maybe
     edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     counts = np.diff(np.append(edges, len(ordered)))
     some = np.flatnonzero(counts >= MIN_COUNT)
     best = some[np.argsort(-counts[some], kind="stable")[:RULES_PER_ROUND]]
-    return ordered[edges[best]], maybe, slots
+    return ordered[edges[best]], maybe
 
 
 def compress(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY):
-    """(left, right) of all rules, the symbols left, and each document's first symbol."""
+    """(left, right) of all rules, the symbols left, and each document's first symbol.
+
+    Rounds go on until no pair is frequent. A pair can only be frequent if it was in the round
+    before or holds a symbol made there, so later rounds look at those places alone.
+    """
     symbols = ids.astype(np.uint64)
     head = np.zeros(len(ids), bool)
     head[first[:-1]] = True
+    # Places whose pair (with the next symbol) may be frequent; table: rank of a slot's pair.
+    live = np.flatnonzero(~head[1:])
+    table = np.full(1 << _SLOTS, -1)
     lefts, rights, known = [], [], 0
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        keys = (symbols[:-1] << np.uint64(32)) | symbols[1:]
-        pairs, maybe, slots = _frequent(keys, ~head[1:])
+    while len(live):
+        keys = (symbols[live] << np.uint64(32)) | symbols[live + 1]
+        slots = _slots(keys)
+        pairs, maybe = _frequent(keys, slots)
         if not len(pairs):
             break
+        live, keys, slots = live[maybe], keys[maybe], slots[maybe]
         # Of pairs in one slot the most frequent is replaced now, the others in later rounds.
-        table = np.full(1 << _SLOTS, -1)
-        table[_slots(pairs)[::-1]] = np.arange(len(pairs))[::-1]
-        rank = table[slots[maybe]]
-        hit = (rank >= 0) & (pairs[rank] == keys[maybe])
-        places, rank = maybe[hit], rank[hit]
+        own_slots = _slots(pairs)
+        table[own_slots[::-1]] = np.arange(len(pairs))[::-1]
+        rank = table[slots]
+        table[own_slots] = -1
+        hit = (rank >= 0) & (pairs[rank] == keys)
+        places, rank = live[hit], rank[hit]
         # Of overlapping pairs the more frequent wins; in a run of one symbol, every other.
         # Place p stands at p + 1, so that both ends have a neighbour.
         order = np.full(len(symbols) + 2, np.iinfo(np.int64).max)
@@ -101,22 +107,25 @@ def compress(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY):
         own = order[places + 1]
         chosen = (own < order[places]) & (own < order[places + 2])
         places, rank = places[chosen], rank[chosen]
+        # The most frequent pair has two places at least, so each round gets further.
         used = np.bincount(rank, minlength=len(pairs)) >= 2
         stay = used[rank]
         places, rank = places[stay], rank[stay]
-        if not len(places):
-            break
         fresh = np.cumsum(used) - 1 + vocabulary + known
         lefts.append((pairs[used] >> np.uint64(32)).astype(np.int64))
         rights.append((pairs[used] & np.uint64(0xFFFFFFFF)).astype(np.int64))
         known += int(used.sum())
         symbols[places] = fresh[rank].astype(np.uint64)
+        look = np.zeros(len(symbols) + 1, bool)
+        look[live] = True
+        look[places] = True
         kept = np.ones(len(symbols), bool)
         kept[places + 1] = False
-        gain = len(places) / len(symbols)
-        symbols, head = symbols[kept], head[kept]
-        if gain < MIN_GAIN:
-            break
+        made = places - np.arange(len(places))
+        symbols, head, look = symbols[kept], head[kept], look[:-1][kept]
+        look[made[made > 0] - 1] = True
+        look[:-1] &= ~head[1:]
+        live = np.flatnonzero(look[:-1])
     empty = np.zeros(0, np.int64)
     return (np.concatenate(lefts) if lefts else empty,
             np.concatenate(rights) if rights else empty, symbols.astype(np.int64),
@@ -169,18 +178,17 @@ class Block:
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """Replace nonterminals by their pairs until only ids are left."""
-        while True:
+        lengths = self._every[symbols]
+        places = np.cumsum(lengths) - lengths
+        out = np.empty(int(lengths.sum()), np.uint32)
+        while len(symbols):
             open_ = symbols >= self.vocabulary
-            if not open_.any():
-                return symbols.astype(np.uint32)
-            times = 1 + open_
-            after = np.cumsum(times)
-            out = np.empty(int(after[-1]), np.int64)
-            rules = symbols[open_] - self.vocabulary
-            out[(after - 1)[~open_]] = symbols[~open_]
-            out[(after - 2)[open_]] = self.left[rules]
-            out[(after - 1)[open_]] = self.right[rules]
-            symbols = out
+            out[places[~open_]] = symbols[~open_]
+            rules, places = symbols[open_] - self.vocabulary, places[open_]
+            left, right = self.left[rules], self.right[rules]
+            places = np.concatenate((places, places + self._every[left]))
+            symbols = np.concatenate((left, right))
+        return out
 
     def documents(self) -> Iterator[np.ndarray]:
         ids = self.expand(self.symbols)
