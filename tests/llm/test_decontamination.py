@@ -181,3 +181,54 @@ def test_changes_near_the_ends_and_weaker_ground_hide_nothing(documents, spark):
     assert got.keys() == {(1, 1), (2, 1), (3, 2)}
     assert got[1, 1] == 14 and got[2, 1] == 13 and got[3, 2] >= 13
     assert [r["doc_id"] for r in d.clean(documents(rows), bench).collect()] == [4]
+
+
+def hidden(masks, size, changes):
+    """Ways to substitute so many of ``size`` tokens that no mask finds."""
+    from itertools import combinations
+    held = [sum(1 << start + p for p in mask) for mask in masks
+            for start in range(size - mask[-1])]
+    for places in combinations(range(size), changes):
+        gone = sum(1 << p for p in places)
+        if all(mask & gone for mask in held):
+            yield places
+
+
+@pytest.mark.parametrize("size", range(1, 21))
+def test_no_lawful_substitution_hides_from_the_masks(size):
+    enough = min(d.MIN_MATCHES, -(-size * 4 // 5))
+    changes = size - enough if size < 16 else size // 5
+    assert not list(hidden(d.SHORT_MASKS.get(size, d.MASKS), size, changes))
+
+
+def test_no_longer_stretch_hides_from_the_masks():
+    # Fewest substitutions that hide a stretch, by its last places (a bit set: substituted).
+    span = max(mask[-1] for mask in d.MASKS)
+    windows = d.np.arange(2 << span)
+    free = d.np.ones(len(windows), bool)
+    for mask in d.MASKS:
+        free &= (windows & sum(1 << mask[-1] - p for p in mask)) != 0
+    fewest = d.np.full(1 << span, 10**6)
+    fewest[-1] = 0
+    for size in range(1, 1001):
+        after = d.np.where(free, d.np.repeat(fewest, 2) + windows % 2, 10**6)
+        fewest = d.np.minimum(after[:1 << span], after[1 << span:])
+        assert size < 16 or fewest.min() > size // 5
+
+
+def test_all_overlaps_of_any_size_are_found():
+    pick = random.Random(8)
+    seen = 0
+    for n in range(1500):
+        item = [f"i{k}" for k in range(pick.randint(1, 24))]
+        text = [w if pick.random() < 0.82 else "new" for w in item]
+        text = ["x"] * pick.randint(0, 3) + text[pick.choice([0, 0, 1]):] + ["y"]
+        equal = max(([a == b for a, b in zip(item[max(0, -k):], text[max(0, k):])]
+                     for k in range(-2, 4)), key=sum)
+        best = best_of_all_stretches(equal, min(d.MIN_MATCHES, -(-len(item) * 4 // 5)))
+        block = d.Block([7], [" ".join(item)])
+        words = d._tokens(d.pa.array([" ".join(text)]))
+        got = [row[2] for row in d._overlaps(block, words.words, words.first)]
+        assert got == ([best] if best else [])
+        seen += bool(best)
+    assert seen > 300

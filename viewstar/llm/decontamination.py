@@ -12,9 +12,9 @@ Test items are a stated set of queries against all documents. They are taken in
 most ``BLOCK_TOKENS`` tokens, and each block goes over all documents once, so what is sent to
 the tasks is bounded however large the benchmark is.
 
-Defined cases: null texts and texts without tokens overlap with nothing; items of fewer tokens
-than a mask spans have a window of all their tokens; repeated rows are reported once each;
-an empty table on either side gives an empty result.
+Defined cases: null texts and texts without tokens overlap with nothing; short items have
+masks of their own, items of up to four tokens one of all their tokens; repeated rows are
+reported once each; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,13 +30,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from viewstar.llm.text import WHITE_SPACE, hashed_words, row_chunks, window_hashes
 
-#: Places that count, of a window: two substitutions among 13 tokens hide from none of these.
+#: Places that count, of a window. No stretch that may be an overlap hides from all of them.
 MASKS = (
     (0, 1, 2, 3, 4, 5),
-    (0, 1, 2, 5, 6, 9),
-    (0, 2, 4, 6, 8, 10),
-    (0, 1, 4, 5, 8, 9),
+    (0, 1, 2, 4, 6, 7),
+    (0, 1, 2, 4, 5, 8),
 )
+_FIVE = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5))
+_FOUR = ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4))
+#: By tokens of the item: the masks that find it through as many substitutions as it may have.
+SHORT_MASKS = {
+    1: ((0,),), 2: ((0, 1),), 3: ((0, 1, 2),), 4: ((0, 1, 2, 3),), 5: ((0, 1, 2), (0, 1, 3)),
+    6: _FOUR, 7: _FOUR, 8: _FIVE, 9: _FIVE, 10: _FOUR, 11: _FOUR, 12: _FIVE, 15: _FIVE,
+}
 MIN_MATCHES = 13
 MIN_SHARE = 0.8
 DROP = 6
@@ -66,17 +72,15 @@ class Block:
         owner = np.repeat(np.arange(len(counts)), counts)
         within = np.arange(len(self.tokens)) - self.first[owner]
         self.tables = []
-        for mask in MASKS:
+        sizes: dict[tuple, list[int]] = {}
+        for size in np.unique(counts[counts > 0]).tolist():
+            for mask in SHORT_MASKS.get(size, MASKS):
+                sizes.setdefault(mask, []).append(size)
+        for mask, some in sizes.items():
             hashes = window_hashes(self.tokens, mask)
-            fits = within[:len(hashes)] + mask[-1] < counts[owner[:len(hashes)]]
+            room = counts[owner[:len(hashes)]]
+            fits = np.isin(room, some) & (within[:len(hashes)] + mask[-1] < room)
             self._add(mask, hashes[fits], np.flatnonzero(fits), owner)
-        # Items that no mask fits into: all their tokens, contiguous.
-        span = min(mask[-1] for mask in MASKS) + 1
-        for length in np.unique(counts[(counts > 0) & (counts < span)]):
-            mask = tuple(range(length))
-            items = np.flatnonzero(counts == length)
-            hashes = window_hashes(self.tokens, mask)[self.first[items]]
-            self._add(mask, hashes, self.first[items], owner)
 
     def _add(self, mask, hashes, places, owner) -> None:
         order = np.argsort(hashes, kind="stable")
