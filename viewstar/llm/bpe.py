@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,10 @@ from tokenizers import Tokenizer
 
 from viewstar.llm.text import span_hashes, text_buffer
 
-#: Pieces a worker remembers (about 50 bytes each); beyond that it starts anew.
+#: Pieces (24 bytes each) and ids (4 bytes each) a worker remembers; beyond either, of which a
+#: piece has no more than bytes, the next chunk starts anew.
 CACHE_PIECES = 3_000_000
+CACHE_IDS = 16_000_000
 
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 # Endings that the cut keeps with their apostrophe.
@@ -36,14 +39,11 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
-class PieceEncoder:
-    """Encodes columns of ordinary text, in which the text of an added token means nothing."""
+class PieceTable:
+    """Ids of distinct pieces, found by a 64-bit hash; ``tokenize`` is asked once per piece."""
 
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.classes = np.zeros(0x110000, np.uint8)
-        self.characters = byte_characters()
+    def __init__(self, tokenize: Callable[[bytes], Sequence[int]]):
+        self.tokenize = tokenize
         self._forget()
 
     def _forget(self) -> None:
@@ -55,6 +55,53 @@ class PieceEncoder:
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
+    def _learn(self, piece: bytes) -> None:
+        ids = self.tokenize(piece)
+        slot = self.known
+        if slot == len(self.lengths):
+            self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.lengths[slot], self.starts[slot] = len(ids), self.used
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.known += 1
+
+    def ids_of(self, data: np.ndarray, starts: np.ndarray,
+               ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces end to end, and the place of each piece's first id (plus the end)."""
+        keys, where, back = np.unique(
+            span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if self.known + len(keys) > CACHE_PIECES or self.used > CACHE_IDS:
+            self._forget()
+        place = np.searchsorted(self.keys, keys)
+        fresh = np.ones(len(keys), bool)
+        inside = place < len(self.keys)
+        fresh[inside] = self.keys[place[inside]] != keys[inside]
+        before, whole = self.known, data.tobytes()
+        for at in where[fresh].tolist():
+            self._learn(whole[starts[at]:ends[at]])
+        self.slots = np.insert(self.slots, place[fresh], np.arange(before, self.known))
+        self.keys = np.insert(self.keys, place[fresh], keys[fresh])
+        slots = self.slots[np.searchsorted(self.keys, keys)][back]
+        lengths = self.lengths[slots].astype(np.int64)
+        after = np.concatenate(([0], np.cumsum(lengths)))
+        ids = self.ids[np.repeat(self.starts[slots] - after[:-1], lengths)
+                       + np.arange(int(after[-1]))]
+        return ids, after
+
+
+class PieceEncoder:
+    """Encodes columns of ordinary text, in which the text of an added token means nothing."""
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.classes = np.zeros(0x110000, np.uint8)
+        model, characters = self.tokenizer.model, byte_characters()
+        self.table = PieceTable(lambda piece: [
+            token.id for token in model.tokenize(piece.decode("latin-1").translate(characters))])
+
     def _class_of(self, code: int) -> int:
         def together(other: str) -> bool:
             return len(self.tokenizer.pre_tokenizer.pre_tokenize_str(other + chr(code))) == 1
@@ -99,20 +146,6 @@ class PieceEncoder:
                         break
         return np.flatnonzero(start)
 
-    def _learn(self, piece: bytes) -> None:
-        text = piece.decode("latin-1").translate(self.characters)
-        ids = [token.id for token in self.model.tokenize(text)]
-        slot = self.known
-        if slot == len(self.lengths):
-            self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.lengths[slot], self.starts[slot] = len(ids), self.used
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.known += 1
-
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the place of each text's first id (plus the end)."""
         data, offsets = text_buffer(column)
@@ -124,24 +157,7 @@ class PieceEncoder:
         cuts = self._cut(codes.astype(np.int64), first)
         starts = heads[cuts]
         ends = np.append(starts[1:], len(data))
-        keys, where, back = np.unique(
-            span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if self.known + len(keys) > CACHE_PIECES:
-            self._forget()
-        place = np.searchsorted(self.keys, keys)
-        fresh = np.ones(len(keys), bool)
-        inside = place < len(self.keys)
-        fresh[inside] = self.keys[place[inside]] != keys[inside]
-        before, whole = self.known, data.tobytes()
-        for at in where[fresh].tolist():
-            self._learn(whole[starts[at]:ends[at]])
-        self.slots = np.insert(self.slots, place[fresh], np.arange(before, self.known))
-        self.keys = np.insert(self.keys, place[fresh], keys[fresh])
-        slots = self.slots[np.searchsorted(self.keys, keys)][back]
-        lengths = self.lengths[slots].astype(np.int64)
-        after = np.concatenate(([0], np.cumsum(lengths)))
-        ids = self.ids[np.repeat(self.starts[slots] - after[:-1], lengths)
-                       + np.arange(int(after[-1]))]
+        ids, after = self.table.ids_of(data, starts, ends)
         return ids, after[np.searchsorted(cuts, first)]
 
 

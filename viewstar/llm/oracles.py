@@ -100,3 +100,65 @@ took AS (SELECT *, (passes * size + greatest(0, least(
 SELECT doc_id, size, source_size, target, taken,
        CASE WHEN taken > 0 THEN {_position()} END AS position FROM took
 """
+
+
+# CRC-32 of the decimal id, byte by byte and bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''),
+                                                     lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(
+        [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda bits, step: CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384::BIGINT)
+                                ELSE bits >> 1 END)))"""
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, {_CRC} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+heads AS (
+  SELECT i.conv_id, t.pos AS d, role, text
+  FROM ids i JOIN turns t ON t.conv_id = i.conv_id - i.conv_id % 5 AND t.pos <= i.h),
+taken AS (SELECT conv_id, count(*) AS n FROM heads GROUP BY conv_id),
+rebuilt AS (
+  SELECT * FROM heads
+  UNION ALL
+  SELECT i.conv_id, coalesce(k.n, 0) + t.pos - i.h, role, text
+  FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.pos > i.h
+  LEFT JOIN taken k ON k.conv_id = i.conv_id),
+members AS (
+  SELECT conv_id, d, strlen(text) AS bytes,
+         list(struct_pack(r := role, t := text)) OVER (PARTITION BY conv_id ORDER BY d) AS path
+  FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, [] FROM ids),
+lengths AS (SELECT conv_id, max(d) AS n FROM members GROUP BY conv_id),
+nodes AS (
+  SELECT path, d, min(m.conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+         coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id)
+                  FILTER (WHERE n = d), '') AS ends
+  FROM members m JOIN lengths USING (conv_id) GROUP BY path, d),
+named AS (
+  SELECT m.conv_id AS member, m.d, n.conv_id
+  FROM members m JOIN nodes n ON n.path = m.path AND n.d = m.d),
+linked AS (
+  SELECT n.conv_id, n.d, n.n_convs, n.bytes, n.ends, p.conv_id AS parent
+  FROM nodes n LEFT JOIN named p ON p.member = n.conv_id AND p.d = n.d - 1),
+children AS (SELECT parent, d - 1 AS d, count(*) AS n FROM linked GROUP BY ALL),
+counted AS (
+  SELECT l.*, coalesce(c.n, 0) AS n_children
+  FROM linked l LEFT JOIN children c ON c.parent = l.conv_id AND c.d = l.d),
+below AS (
+  SELECT a.conv_id, a.d, sum((c.n_convs - 1) * c.bytes) AS saved,
+         count(*) FILTER (WHERE c.n_children = 0) AS n_leaves
+  FROM counted c JOIN named a ON a.member = c.conv_id AND a.d <= c.d
+  GROUP BY a.conv_id, a.d)
+SELECT c.conv_id::BIGINT AS conv_id, c.d::BIGINT AS depth, c.parent::BIGINT AS parent_conv_id,
+       c.n_convs::BIGINT AS n_convs, c.n_children::BIGINT AS n_children,
+       b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens,
+       sha256(c.ends) AS ends_sha256
+FROM counted c JOIN below b USING (conv_id, d)
+"""

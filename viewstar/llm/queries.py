@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 import public_tokenizers
 from viewstar.llm import (
-    decontamination, grammar_ids, main_text, mixing, near_duplicates, oracles, quality_rules,
-    sharding, subword_quality, viterbi_counts, warc)
+    decontamination, grammar_ids, language_mixture, main_text, mixing, near_duplicates, oracles,
+    prefix_trie, quality_rules, sharding, subword_quality, token_alignment, viterbi_counts, warc)
 from viewstar.staging import Staging
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,10 +94,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.agreement(
+        table(spark, sf_dir, "documents"), TOKENIZER, PIECES, Staging(spark))
+
+
+def op12_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_mixture.train(language_mixture.sample(docs))
+    return language_mixture.predicted(docs.select(
+        "doc_id", "text"), model).withColumn(
+        "held_out", language_mixture.held_out("doc_id")).select(
+        "doc_id", "held_out", "lang_pred", "score", "shares")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = Staging(spark)
+    found = staging.table(
+        prefix_trie.sequences(table(spark, sf_dir, "conversations")), "sequences")
+    return prefix_trie.trie(prefix_trie.rebuilt(found), staging)
+
+
 def queries() -> dict[str, Query]:
     found = {name: query for name, query in globals().items() if name.startswith("op")}
     return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": oracles.QUALITY_RULES, "op9_source_mix": oracles.SOURCE_MIX}
+    return {"op7_quality_rules": oracles.QUALITY_RULES, "op9_source_mix": oracles.SOURCE_MIX,
+            "op13_prefix_trie": oracles.PREFIX_TRIE}
