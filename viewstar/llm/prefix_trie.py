@@ -37,7 +37,7 @@ from viewstar.operators.numbering import number_rows
 from viewstar.staging import Staging
 
 #: Conversations per block.
-BLOCK = 4096
+BLOCK = 512
 #: At most this many turns are taken from the head of another conversation.
 HEAD = 8
 DIGEST = 16
