@@ -193,6 +193,12 @@ def device_agents_oracle() -> str:
         ON a.device_id = dv.device_id"""
 
 
+#: Three runs of a thousand messages each.
+FIRST_THOUSANDS = f"""WITH {VIEWS}, {ENVELOPE}
+    SELECT topic, "partition", "offset" FROM (SELECT *, row_number() OVER (
+      ORDER BY topic, "partition", "offset") AS n FROM env) WHERE n <= 3000"""
+
+
 def oracle_sql() -> dict[str, str]:
     number = "regexp_extract(props, '([0-9]+)', 1)"
     return {
@@ -205,6 +211,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT topic, "partition", max("offset") + 1 AS next_offset FROM (
               SELECT *, row_number() OVER (ORDER BY topic, "partition", "offset") AS n
               FROM env) WHERE n <= 5000 GROUP BY topic, "partition" """,
+        "ingest_capped_runs": FIRST_THOUSANDS,
+        "bridge_capped_runs": FIRST_THOUSANDS,
+        "ingest_capped_to_the_end": f"""WITH {MESSAGES}
+            SELECT "partition", "offset", route FROM routed""",
+        "landing_compacted": f"""WITH {MESSAGES}
+            SELECT "partition", "offset", route FROM routed""",
         "topic_counts": f"""WITH {VIEWS}, {ENVELOPE}
             SELECT topic, "partition", count(*) AS messages, min("offset") AS first_offset,
               max("offset") AS last_offset FROM env GROUP BY topic, "partition" """,
@@ -361,6 +373,8 @@ def oracle_sql() -> dict[str, str]:
         # whole jobs
         "write_partition_overwrite": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_replace": f"{TEXT_PIPELINE} {NATURAL_FACT}",
+        "write_interrupted": f"{TEXT_PIPELINE} {NATURAL_FACT}",
+        "write_two_runs": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_hash_keys": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_seeded_dates": f"""WITH {VIEWS}, {SEEDED}
             SELECT d AS date, {SEEDED_TEXT}, count(*) AS view_count,
@@ -396,4 +410,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_landing_mixed": f"""WITH {MESSAGES}
             SELECT "partition", "offset", route FROM routed""",
         "stream_star_refresh": f"{TEXT_PIPELINE} {NATURAL_FACT}",
+        "stream_refresh_late": f"{TEXT_PIPELINE} {NATURAL_FACT}",
+        "stream_refresh_violations": f"""{TEXT_PIPELINE} {NATURAL_FACT.replace(
+            "FROM pv", "FROM pv WHERE event_id % 50 <> 7")}""",
     }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -17,16 +19,17 @@ from viewstar.operators import dimensions, facts, ingest, quality
 from viewstar.operators.members import distinct_members
 from viewstar.operators.numbering import (
     dense_keys, hash_collisions, hash_keys, incremental_keys, number_rows)
+from viewstar.operators.quality import verify_star
 from viewstar.plans import marts
 from viewstar.plans.star import build_star, star_frames
 from viewstar.schemas import (
-    DIM_PRODUCT, ENVELOPE, EVENT_FIELDS, FACT_KEYS, FACT_PRODUCT_VIEWS, NATURAL_KEYS)
+    DIM_PRODUCT, ENVELOPE, EVENT_FIELDS, FACT_KEYS, FACT_PRODUCT_VIEWS, NATURAL_KEYS, TABLES)
 from viewstar.sources.landing import (
     empty_events, events_of, landing_table, latest_landed_day)
 from viewstar.sources.warehouse import read_star, read_table
 from viewstar.staging import Staging
-from viewstar.streaming.bridge import start_bridge, to_folder
-from viewstar.streaming.landing import land_batch, start_landing
+from viewstar.streaming.bridge import bridge_next, start_bridge, to_folder
+from viewstar.streaming.landing import compact, land_batch, land_next, start_landing
 from viewstar.streaming.outcomes import counted
 from viewstar.streaming.refresh import start_star_refresh
 
@@ -106,7 +109,8 @@ def fact_hash_keys(spark, sf_dir):
 
 def fact_key(spark, sf_dir):
     staging = Staging(spark)
-    grain = facts.keyed_grain(t.product_views(spark, sf_dir), staging)
+    grain = facts.keyed_grain(
+        facts.view_grain(t.product_views(spark, sf_dir)), staging)
     dims = {table: dimensions.dimension(grain, natural, staging)
             for natural, (table, _) in NATURAL_KEYS.items()}
     return facts.fact_from_grain(grain, dims).select("fact_key", *FACT_KEYS)
@@ -176,6 +180,45 @@ def ingest_resume(spark, sf_dir):
         ingest.first_messages(t.envelope(spark, sf_dir), CAP, Staging(spark)))
 
 
+def ingest_capped_runs(spark, sf_dir):
+    """What three capped runs land: each goes on where the one before ended."""
+    path = Staging(spark).path("landing")
+    for _ in range(3):
+        land_next(t.envelope(spark, sf_dir), path, CAP // 5)
+    return landing_table(spark, path).select(*ingest.POSITION)
+
+
+def ingest_capped_to_the_end(spark, sf_dir):
+    """Capped runs until nothing is left, and once more, land each message once."""
+    path = Staging(configure(spark)).path("landing")
+    messages = t.messages(spark, sf_dir)
+    while land_next(messages, path, CAP)["messages"]:
+        pass
+    land_next(messages, path, CAP)
+    return landing_table(spark, path).select("partition", "offset", "route")
+
+
+def bridge_capped_runs(spark, sf_dir):
+    """What three capped runs of the bridge pass on."""
+    staging = Staging(configure(spark))
+    sent, dead, ledger = (staging.path(name) for name in ("sent", "dead", "ledger"))
+    for _ in range(3):
+        bridge_next(t.envelope(spark, sf_dir), to_folder(sent), to_folder(dead), ledger,
+                    CAP // 5)
+    return spark.read.schema(FORWARDED).parquet(f"{sent}/*").select(*ingest.POSITION)
+
+
+def landing_compacted(spark, sf_dir):
+    """Twelve small batches, rewritten twice while they came."""
+    path = Staging(configure(spark)).path("landing")
+    messages = t.messages(spark, sf_dir)
+    for part in range(12):
+        land_batch(messages.filter(F.col("offset") % 12 == part), path)
+        if part % 6 == 5:
+            compact(spark, path, folders_per_date=4)
+    return landing_table(spark, path).select("partition", "offset", "route")
+
+
 def landing_scan(spark, sf_dir):
     path = Staging(spark).path("landing")
     land_batch(t.envelope(spark, sf_dir), path)
@@ -441,6 +484,46 @@ def write_replace(spark, sf_dir):
     return natural_fact(spark, warehouse)
 
 
+class Stopped(Exception):
+    """A run that was stopped on purpose."""
+
+
+def write_interrupted(spark, sf_dir):
+    """Runs that are stopped before any of their steps leave the star as it was."""
+    warehouse = Staging(spark).path("warehouse")
+    events = as_text(t.product_views(spark, sf_dir).select(*EVENT_FIELDS))
+    build_star(events, warehouse, latest_only=False)
+
+    def stop_before(step: str):
+        def before(name: str) -> None:
+            if name == step:
+                raise Stopped(name)
+        return before
+
+    for replace in (True, False):
+        for step in ("members", "dim_device", "fact_product_views", "commit"):
+            # New members, so that every dimension is written again.
+            changed = events.filter("product_id = '1'").select("local_time", *[
+                F.concat(name, F.lit("x")).alias(name) for name in NATURAL_KEYS])
+            with contextlib.suppress(Stopped):
+                build_star(changed, warehouse, latest_only=False, replace=replace,
+                           before=stop_before(step))
+                raise AssertionError(f"the run did not stop before {step}")
+    return natural_fact(spark, warehouse)
+
+
+def write_two_runs(spark, sf_dir):
+    """Two runs at a time: one commits first, the other builds on it; keys stay unique."""
+    warehouse = Staging(spark).path("warehouse")
+    events = as_text(t.product_views(spark, sf_dir).select(*EVENT_FIELDS))
+    parts = [events.filter(F.col("local_time") < t.SECOND_BATCH),
+             events.filter(F.col("local_time") >= t.SECOND_BATCH)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda part: build_star(part, warehouse, latest_only=False), parts))
+    verify_star(read_star(spark, warehouse), TABLES, Staging(spark))
+    return natural_fact(spark, warehouse)
+
+
 def write_seeded_dates(spark, sf_dir):
     """A strict run over the last date there is, dates beyond, short forms and garbage."""
     warehouse = Staging(spark).path("warehouse")
@@ -558,12 +641,38 @@ def stream_star_refresh(spark, sf_dir):
     return natural_fact(spark, warehouse)
 
 
+def stream_refresh_late(spark, sf_dir):
+    """Batches that touch every date again and again: each is merged with the kept views."""
+    staging = Staging(configure(spark))
+    landing, warehouse = staging.path("landing"), staging.path("warehouse")
+    checkpoint = staging.path("checkpoint")
+    for part in range(3):
+        land_batch(t.envelope(spark, sf_dir).filter(F.col("offset") % 3 == part), landing)
+        start_star_refresh(spark, landing, warehouse, checkpoint,
+                           versions_per_trigger=1).awaitTermination()
+    return natural_fact(spark, warehouse)
+
+
+def stream_refresh_violations(spark, sf_dir):
+    """A stream with products that are too long: they are set aside and the rest goes on."""
+    staging = Staging(configure(spark))
+    landing, warehouse = staging.path("landing"), staging.path("warehouse")
+    land_batch(t.long_envelope(spark, sf_dir), landing)
+    start_star_refresh(spark, landing, warehouse, staging.path("checkpoint")
+                       ).awaitTermination()
+    return natural_fact(spark, warehouse)
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources and ingest
         "src_empty": src_empty,
         "ingest_bounded": ingest_bounded,
         "ingest_resume": ingest_resume,
+        "ingest_capped_runs": ingest_capped_runs,
+        "ingest_capped_to_the_end": ingest_capped_to_the_end,
+        "bridge_capped_runs": bridge_capped_runs,
+        "landing_compacted": landing_compacted,
         "topic_counts": lambda s, d: ingest.topic_counts(t.envelope(s, d)),
         "landing_scan": landing_scan,
         "landing_latest": landing_latest,
@@ -637,6 +746,8 @@ def queries() -> dict[str, Query]:
         # whole jobs
         "write_partition_overwrite": write_partition_overwrite,
         "write_replace": write_replace,
+        "write_interrupted": write_interrupted,
+        "write_two_runs": write_two_runs,
         "write_hash_keys": write_hash_keys,
         "write_seeded_dates": write_seeded_dates,
         "write_undated": write_undated,
@@ -648,4 +759,6 @@ def queries() -> dict[str, Query]:
         "stream_outcomes": stream_outcomes,
         "stream_landing_mixed": stream_landing_mixed,
         "stream_star_refresh": stream_star_refresh,
+        "stream_refresh_late": stream_refresh_late,
+        "stream_refresh_violations": stream_refresh_violations,
     }

@@ -132,6 +132,13 @@ def agent_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _messages_of(product_views(spark, sf_dir).withColumn("user_agent", agent))
 
 
+def long_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product views of which some have a product id that is too long for the warehouse."""
+    long = F.when(F.col("event_id") % 50 == 7, F.repeat("product_id", F.lit(400)))
+    views = product_views(spark, sf_dir)
+    return _messages_of(views.withColumn("product_id", F.coalesce(long, "product_id")))
+
+
 def _messages_of(views: DataFrame) -> DataFrame:
     event = F.col("event_id")
     return views.select(

@@ -151,7 +151,8 @@ def test_one_report_date_rule(spark, events, tmp_path):
 
 
 def test_any_date_has_a_key_or_none(staging, events):
-    grain = facts.keyed_grain(events([(x, "p", "s", "r", "d") for x in SEEDED]), staging)
+    grain = facts.keyed_grain(
+        facts.view_grain(events([(x, "p", "s", "r", "d") for x in SEEDED])), staging)
     got = {(str(r.date), r.fact_key) for r in grain.select("date", "fact_key").collect()}
     assert ("9999-12-31", 99991231 * 10 ** 10 + 1) in got
     assert {key for date, key in got if date == "None"} == {None}
@@ -164,9 +165,9 @@ def test_mean_time_is_exact(events):
 
 
 def test_fact_key_is_stable_under_other_dates(staging, events, rows):
-    every = facts.keyed_grain(events(rows), staging)
-    one = facts.keyed_grain(events([r for r in rows if r[0] >= "2024-03-02"
-                                    and r[0] < "2024-03-03"]), staging)
+    every = facts.keyed_grain(facts.view_grain(events(rows)), staging)
+    one = facts.keyed_grain(facts.view_grain(events(
+        [r for r in rows if r[0] >= "2024-03-02" and r[0] < "2024-03-03"])), staging)
     assert one.exceptAll(every).isEmpty() and not one.isEmpty()
     numbers = sorted(r.fact_key for r in one.collect())
     assert numbers == [20240302 * 10 ** 10 + n for n in range(1, len(numbers) + 1)]

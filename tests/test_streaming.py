@@ -11,10 +11,13 @@ from viewstar.sinks.documents import stored_documents
 from viewstar.sources.landing import (
     events_of, landing_table, latest_landed_day, of_dates)
 from viewstar.sources.warehouse import read_table
-from viewstar.streaming.bridge import bridge_batch, start_bridge, to_folder
-from viewstar.streaming.landing import FILES_PER_DATE, land_batch, start_landing
+from viewstar.streaming.bridge import bridge_batch, bridge_next, start_bridge, to_folder
+from viewstar.streaming.landing import (
+    append, compact, land_batch, land_next, start_landing)
 from viewstar.streaming.outcomes import OutcomeListener, counted
 from viewstar.streaming.refresh import start_star_refresh
+from viewstar.versions import Conflict, Versions
+
 from test_star import FIRST, LATE, SECOND, contents, verify, views
 
 FIELDS = ("local_time", "product_id", "store_id", "referrer_url", "device_id")
@@ -153,7 +156,7 @@ def test_star_refresh_equals_one_batch(spark, tmp_path, topic, events):
     def refresh():
         run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
         run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck2"),
-                               files_per_trigger=1, strict=True))
+                               versions_per_trigger=1, strict=True))
 
     topic.send(FIRST)
     refresh()
@@ -222,15 +225,32 @@ def test_bridge_counts_and_keeps_dead_letters_of_every_run(spark, tmp_path, topi
     assert spark.read.parquet(str(tmp_path / "dead") + "/*").count() == 3
 
 
-def test_landing_writes_few_files_per_date(spark, tmp_path):
+def test_files_and_tasks_of_a_date_grow_with_its_rows(spark, tmp_path):
     from glob import glob
     rows = [message((f"2024-01-{1 + n % 5:02d}T00:00:00", "p", "s", "r", "d"), n)
             for n in range(400)]
     frame = spark.createDataFrame(rows, ENVELOPE).repartition(32)
     land_batch(frame, str(tmp_path / "l"))
     for day in range(1, 6):
-        files = glob(f"{tmp_path}/l/event_date=2024-01-{day:02d}/*.parquet")
-        assert 1 <= len(files) <= FILES_PER_DATE
+        files = glob(f"{tmp_path}/l/landing/run=*/event_date=2024-01-{day:02d}/*.parquet")
+        assert len(files) == 1
+    # One date of many rows, against a small advised size: as many files as its size asks for.
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        counts = []
+        for size in (2_000, 16_000):
+            one = [message(("2024-02-01T00:00:00", f"{n:0200d}", "s", "r", "d"), n)
+                   for n in range(size)]
+            path = tmp_path / f"one{size}"
+            land_batch(spark.createDataFrame(one, ENVELOPE).repartition(32), str(path))
+            counts.append(len(glob(f"{path}/landing/run=*/event_date=*/*.parquet")))
+    finally:
+        for name in conf:
+            spark.conf.unset(name)
+    assert counts[1] >= 3 * counts[0] and counts[1] > 8
 
 
 def test_user_agents_reach_the_built_star(spark, tmp_path, topic):
@@ -279,3 +299,196 @@ def test_bounded_read(spark, staging):
         0: 28, 1: 10}
     assert sorted(map(tuple, topic_counts(messages).collect())) == [
         ("t", p, 10, 0, 27) for p in range(3)]
+
+
+def landed_offsets(spark, path):
+    return sorted((r.partition, r.offset) for r in landing_table(spark, path).collect())
+
+
+def test_capped_runs_land_each_message_once(spark, tmp_path, topic):
+    path = str(tmp_path / "landing")
+    topic.send([*FIRST, b"nope", *SECOND])
+    assert land_next(topic.table(), path, 4) == {"messages": 4, "doc": 3, "raw": 1, "error": 0}
+    assert landed_offsets(spark, path) == [(0, n) for n in range(4)]
+    assert land_next(topic.table(), path, 4)["messages"] == 2
+    assert land_next(topic.table(), path, 4)["messages"] == 0
+    topic.send([LATE])
+    assert land_next(topic.table(), path, 4)["messages"] == 1
+    assert landed_offsets(spark, path) == [(0, n) for n in range(7)]
+    assert land_next(topic.table(), str(tmp_path / "other"), 3, {0: 5})["messages"] == 2
+
+
+def test_capped_run_that_fails_lands_nothing_and_is_repeated(spark, tmp_path, topic,
+                                                             monkeypatch):
+    path = str(tmp_path / "landing")
+    topic.send([*FIRST])
+    topic.send([*SECOND])
+    land_next(topic.table(), path, 2)
+
+    def refuse(self, name, text):
+        raise OSError("no space")
+    with monkeypatch.context() as patch:
+        patch.setattr(Versions, "_create", refuse)
+        with pytest.raises(OSError):
+            land_next(topic.table(), path, 2)
+    assert landed_offsets(spark, path) == [(0, 0), (0, 1)]
+    land_next(topic.table(), path, 2)
+    assert landed_offsets(spark, path) == [(0, n) for n in range(4)]
+    # A run that was overtaken at the same position does not commit.
+    with pytest.raises(Conflict):
+        append(landed(topic.table()), path, {"positions": {"t/0": (2, 5)}})
+    assert landed_offsets(spark, path) == [(0, n) for n in range(4)]
+
+
+def test_capped_bridge_goes_on_and_repeats_what_it_could_not_note(spark, tmp_path, topic,
+                                                                  monkeypatch):
+    sent, dead, ledger = (str(tmp_path / n) for n in ("sent", "dead", "ledger"))
+
+    def bridge():
+        return bridge_next(topic.table(), to_folder(sent), to_folder(dead), ledger, 2)
+    topic.send([FIRST[0], b"nope", FIRST[1]])
+    with monkeypatch.context() as patch:
+        patch.setattr(Versions, "_create", lambda *_: False)
+        with pytest.raises(Conflict):
+            bridge()
+    assert bridge() == {"messages": 2, "valid": 1, "dead": 1}
+    assert bridge() == {"messages": 1, "valid": 1, "dead": 0}
+    assert bridge()["messages"] == 0
+    # The dead letters of the repeated run replaced its own.
+    assert spark.read.parquet(f"{dead}/*").count() == 1
+
+
+def test_landing_batch_of_a_stream_is_taken_once(spark, tmp_path, topic):
+    path = str(tmp_path / "landing")
+    topic.send(FIRST)
+    rows = landed(topic.table())
+    for batch in (0, 0, 1, 0):
+        append(rows, path, {"batches": {"stream": batch}})
+    assert landing_table(spark, path).count() == 6
+    append(rows, path, {"batches": {"another": 0}})
+    assert landing_table(spark, path).count() == 9
+
+
+def test_compaction_bounds_folders_and_loses_nothing(spark, tmp_path, topic):
+    path = str(tmp_path / "landing")
+    versions = Versions(spark, path)
+    for n in range(24):
+        rows = [message(FIRST[0], 2 * n), message(FIRST[2], 2 * n + 1)]
+        land_batch(spark.createDataFrame(rows, ENVELOPE), path)
+        if n % 6 == 5:
+            assert compact(spark, path, 4) == ["2024-01-01", "2024-01-02"]
+        assert max(map(len, versions.latest().partitions("landing").values())) <= 6
+    assert landed_offsets(spark, path) == [(0, n) for n in range(48)]
+    # A reader of an old version still finds its files; vacuum takes them later.
+    old = versions.at(3)
+    assert landing_table(spark, path, old).count() == 6
+    assert versions.vacuum(keep=1) == []
+    assert versions.vacuum(keep=1, hours=-1) != []
+    assert landed_offsets(spark, path) == [(0, n) for n in range(48)]
+    assert versions.numbers() == [versions.latest().number]
+
+
+def test_compaction_beside_an_append_and_beside_another(spark, tmp_path, topic, monkeypatch):
+    path = str(tmp_path / "landing")
+    topic.send([FIRST[0]])
+    for _ in range(3):
+        land_batch(topic.table(), path)
+    commit = Versions.commit_with
+
+    def meanwhile(action):
+        def overtaken(self, change):
+            monkeypatch.setattr(Versions, "commit_with", commit)
+            action()
+            return commit(self, change)
+        monkeypatch.setattr(Versions, "commit_with", overtaken)
+
+    meanwhile(lambda: land_batch(topic.table(), path))
+    compact(spark, path, 2)
+    assert landing_table(spark, path).count() == 4
+    meanwhile(lambda: compact(spark, path, 1))
+    with pytest.raises(Conflict):
+        compact(spark, path, 1)
+    assert landing_table(spark, path).count() == 4
+
+
+def test_followers_see_no_compacted_rows_twice(spark, tmp_path, topic):
+    landing, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+
+    def refresh():
+        run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck")))
+    for row in FIRST:
+        topic.send([row])
+        land_batch(topic.table().filter(f"offset = {topic.sent - 1}"), landing)
+    refresh()
+    compact(spark, landing, 1)
+    refresh()
+    assert views(spark, warehouse) == [(20240101, 2), (20240102, 1)]
+
+
+def test_late_event_reads_its_batch_and_kept_views_only(spark, tmp_path, topic, monkeypatch):
+    """Neither the events of the date nor other dates' views are read again."""
+    from viewstar.streaming import refresh as module
+    landing, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+
+    def refresh():
+        run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck")))
+    topic.send([*FIRST, *SECOND])
+    run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
+    refresh()
+    folders = []
+    read = Versions.read
+
+    def noted(self, table, schema, names):
+        folders.append((table, names))
+        return read(self, table, schema, names)
+    monkeypatch.setattr(Versions, "read", noted)
+    monkeypatch.setattr(module, "landing_table", None)
+    topic.send([LATE])
+    run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
+    refresh()
+    kept = [names for table, names in folders if table == "view_grain"]
+    assert [[n.rpartition("/")[2] for n in names] for names in kept] == [["date_key=20240101"]]
+    assert [len(names) for table, names in folders if table == "landing"] == [1]
+    assert views(spark, warehouse) == [(20240101, 1), (20240101, 2), (20240102, 1),
+                                       (20240103, 1), (20240103, 1)]
+
+
+def test_refresh_of_a_star_that_a_batch_built(spark, tmp_path, topic):
+    """Dates without kept views are combined once from all their events."""
+    landing, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+
+    def land_and_refresh(rows):
+        topic.send(rows)
+        run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
+        run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck2")))
+    land_and_refresh(FIRST)
+    build_star(events_of(landing_table(spark, landing)), warehouse, latest_only=False)
+    land_and_refresh([LATE, *SECOND])
+    land_and_refresh([LATE])
+    assert views(spark, warehouse) == [(20240101, 2), (20240101, 2), (20240102, 1),
+                                       (20240103, 1), (20240103, 1)]
+    verify(spark, warehouse)
+
+
+def test_repeated_refresh_batch_changes_nothing(spark, tmp_path, topic):
+    from viewstar.plans.star import merge_star
+    warehouse = str(tmp_path / "warehouse")
+    topic.send(FIRST)
+    rows = events_of(landed(topic.table()))
+    for batch, want in ((0, 2), (0, 2), (1, 4), (0, 4)):
+        merge_star(rows, warehouse, "stream", batch, None)
+        assert views(spark, warehouse)[0] == (20240101, want)
+
+
+def test_violation_does_not_stop_a_refresh(spark, tmp_path, topic):
+    landing, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    bad = ("2024-01-01T10:00:00", "x" * 400, "s1", "direct", "d1")
+    for sent in ([FIRST[0], bad], [FIRST[1]], [bad, FIRST[2]]):
+        topic.send(sent)
+        run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
+        run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck2")))
+    assert views(spark, warehouse) == [(20240101, 2), (20240102, 1)]
+    assert spark.read.parquet(f"{warehouse}/quarantine/dim_product").count() == 3
+    with pytest.raises(Exception, match="too long"):
+        run(start_star_refresh(spark, landing, str(tmp_path / "w2"), str(tmp_path / "ck3"),
+                               strict=True))

@@ -7,9 +7,15 @@
     spark-submit viewstar_job.py report --warehouse …/warehouse --name traffic_sources
     spark-submit viewstar_job.py audit  --warehouse …/warehouse
     spark-submit viewstar_job.py export --warehouse …/warehouse --url jdbc:… --jdbc user=…
+    spark-submit viewstar_job.py report --url jdbc:… --jdbc user=… --name top_countries
     spark-submit viewstar_job.py store  --landing …/landing --uri … --database d --collection c
+    spark-submit viewstar_job.py star   --uri … --database d --collection c --warehouse …
+    spark-submit viewstar_job.py compact --landing …/landing
+    spark-submit viewstar_job.py vacuum --folder …/warehouse --keep 10 --hours 48
 
-``bridge`` and ``land`` take ``--at-most`` to stop after that many messages.
+``bridge`` and ``land`` take ``--at-most`` to stop after that many messages; the next such run goes
+on where the last one ended. ``refresh`` sets rows aside that break a constraint; ``--strict`` stops at
+the first.
 """
 
 from __future__ import annotations
@@ -19,8 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewstar.functions.documents import configure
-from viewstar.operators.ingest import first_messages
+from viewstar.functions.documents import as_text, configure
 from viewstar.operators.quality import verify_star
 from viewstar.plans import marts
 from viewstar.plans.star import StarRun, build_star
@@ -28,21 +33,23 @@ from viewstar.schemas import TABLES
 from viewstar.sinks.documents import to_document_store
 from viewstar.sinks.jdbc import CONNECTIONS, write_jdbc_star
 from viewstar.sources.kafka import topic_stream, topic_table
-from viewstar.sources.landing import events_of, landing_table, latest_landed_day
-from viewstar.sources.warehouse import read_star
+from viewstar.sources.landing import (
+    document_store, events_of, landing_table, latest_landed_day)
+from viewstar.sources.warehouse import read_jdbc_star, read_star
 from viewstar.staging import Staging
-from viewstar.streaming.bridge import bridge_batch, start_bridge, to_folder, to_topic
-from viewstar.streaming.landing import land_batch, start_landing
+from viewstar.streaming.bridge import bridge_next, start_bridge, to_folder, to_topic
+from viewstar.streaming.landing import compact, land_next, start_landing
 from viewstar.streaming.outcomes import counted
 from viewstar.streaming.refresh import start_star_refresh
+from viewstar.versions import Versions
 
 
 def run_bridge(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     options = dict(args.kafka)
     send, dead = to_topic(args.to_topic, options), to_folder(args.dead_letters)
     if args.at_most is not None:
-        with Staging(spark) as staging:
-            return bridge_batch(_capped(spark, args.from_topic, args, staging), send, dead)
+        return bridge_next(topic_table(spark, args.from_topic, options), send, dead,
+                           f"{args.checkpoint}/positions", args.at_most, dict(args.start))
     messages = topic_stream(spark, args.from_topic, options, args.per_trigger)
     with counted(spark) as total:
         start_bridge(messages, send, dead, args.checkpoint, _trigger(args)).awaitTermination()
@@ -51,8 +58,8 @@ def run_bridge(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
 
 def run_landing(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     if args.at_most is not None:
-        with Staging(spark) as staging:
-            return land_batch(_capped(spark, args.topic, args, staging), args.landing)
+        return land_next(topic_table(spark, args.topic, dict(args.kafka)), args.landing,
+                         args.at_most, dict(args.start))
     messages = topic_stream(spark, args.topic, dict(args.kafka), args.per_trigger)
     with counted(spark) as total:
         start_landing(messages, args.landing, args.checkpoint,
@@ -60,16 +67,21 @@ def run_landing(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]
     return dict(total)
 
 
-def _capped(spark: SparkSession, topic: str, args: argparse.Namespace,
-            staging: Staging) -> DataFrame:
-    """The first messages of a topic from the given positions on, ``--at-most`` in all."""
-    table = topic_table(spark, topic, dict(args.kafka), dict(args.start) or None)
-    return first_messages(table, args.at_most, staging)
+def run_compact(spark: SparkSession, args: argparse.Namespace) -> list[str]:
+    return compact(spark, args.landing)
+
+
+def run_vacuum(spark: SparkSession, args: argparse.Namespace) -> list[str]:
+    return Versions(spark, args.folder).vacuum(args.keep, args.hours)
 
 
 def run_star(spark: SparkSession, args: argparse.Namespace) -> StarRun:
-    events = events_of(landing_table(spark, args.landing))
-    day = None if args.all_dates else latest_landed_day(spark, args.landing)
+    if args.uri:
+        events, day = as_text(document_store(
+            spark, args.uri, args.database, args.collection)), None
+    else:
+        events = events_of(landing_table(spark, args.landing))
+        day = None if args.all_dates else latest_landed_day(spark, args.landing)
     return build_star(events, args.warehouse, latest_only=not args.all_dates,
                       replace=args.replace, strict=not args.quarantine,
                       hash_keys=args.hash_keys, batch_id=args.batch_id, day=day)
@@ -93,11 +105,14 @@ def run_store(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_refresh(spark: SparkSession, args: argparse.Namespace) -> None:
     start_star_refresh(spark, args.landing, args.warehouse, args.checkpoint,
-                       strict=not args.quarantine, trigger=_trigger(args)).awaitTermination()
+                       strict=args.strict, trigger=_trigger(args)).awaitTermination()
 
 
 def report(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    star = read_star(spark, warehouse)
+    return report_of(read_star(spark, warehouse), name)
+
+
+def report_of(star: dict[str, DataFrame], name: str) -> DataFrame:
     fact = star["fact_product_views"]
     reports = {
         "views_by_date_product": lambda: marts.views_by_date_product(
@@ -110,7 +125,9 @@ def report(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
 
 
 def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = report(spark, args.warehouse, args.name)
+    star = (read_jdbc_star(spark, args.url, dict(args.jdbc), args.schema) if args.url
+            else read_star(spark, args.warehouse))
+    rows = report_of(star, args.name)
     if args.output:
         rows.write.mode("overwrite").parquet(args.output)
     else:
@@ -159,11 +176,21 @@ def parser() -> argparse.ArgumentParser:
     job("bridge", run_bridge, ("from-topic", "to-topic", "dead-letters"), stream=True,
         topic=True)
     job("land", run_landing, ("topic", "landing"), stream=True, topic=True)
-    star = job("star", run_star, ("landing", "warehouse"),
+    star = job("star", run_star, ("warehouse",),
                ("all-dates", "replace", "quarantine", "hash-keys"))
+    place = star.add_mutually_exclusive_group(required=True)
+    place.add_argument("--landing")
+    place.add_argument("--uri", help="a document store, with --database and --collection")
+    star.add_argument("--database")
+    star.add_argument("--collection")
     star.add_argument("--batch-id")
-    job("refresh", run_refresh, ("landing", "warehouse"), ("quarantine",), stream=True)
-    shown = job("report", run_report, ("warehouse",))
+    job("refresh", run_refresh, ("landing", "warehouse"), ("strict",), stream=True)
+    shown = job("report", run_report)
+    place = shown.add_mutually_exclusive_group(required=True)
+    place.add_argument("--warehouse")
+    place.add_argument("--url", help="a database that export wrote to")
+    shown.add_argument("--jdbc", type=_pair, action="append", default=[], metavar="OPTION=VALUE")
+    shown.add_argument("--schema", default="public")
     shown.add_argument("--name", required=True, choices=(
         "views_by_date_product", "top_countries", "traffic_sources", "row_counts"))
     shown.add_argument("--output")
@@ -173,12 +200,26 @@ def parser() -> argparse.ArgumentParser:
                         metavar="OPTION=VALUE")
     export.add_argument("--schema", default="public")
     export.add_argument("--connections", type=int, default=CONNECTIONS)
+    job("compact", run_compact, ("landing",))
+    vacuum = job("vacuum", run_vacuum, ("folder",))
+    vacuum.add_argument("--keep", type=int, default=10)
+    vacuum.add_argument("--hours", type=float, default=48)
     job("store", run_store, ("landing", "uri", "database", "collection"))
     return top
 
 
+def parsed(argv: Sequence[str] | None = None) -> argparse.Namespace:
+    top = parser()
+    args = top.parse_args(argv)
+    if getattr(args, "at_most", None) is not None and (args.every or args.per_trigger):
+        top.error("--at-most reads once; --every and --per-trigger are for streams")
+    if getattr(args, "uri", None) and not (args.database and args.collection):
+        top.error("--uri needs --database and --collection")
+    return args
+
+
 def main(argv: Sequence[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    args = parsed(argv)
     spark = configure(SparkSession.builder.appName(f"viewstar {args.job}").getOrCreate())
     try:
         result = args.run(spark, args)

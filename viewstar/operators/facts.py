@@ -8,6 +8,7 @@ aggregated rows only.
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -71,8 +72,21 @@ def view_grain(events: DataFrame) -> DataFrame:
     )
 
 
-def keyed_grain(events: DataFrame, staging: Staging) -> DataFrame:
-    """The grain as a stored table, each row with the key its fact row will have.
+#: How the measures of the grain add up: over events of one date that came in several batches.
+MERGES = {"views": F.sum, "first_view_time": F.min, "last_view_time": F.max,
+          "timed_views": F.sum, "seconds": F.sum}
+
+
+def merged_grain(*parts: DataFrame) -> DataFrame:
+    """One grain of several: equal to the grain of all their events together."""
+    both = reduce(DataFrame.unionByName, [
+        part.select("date", *NATURAL_KEYS, *MERGES) for part in parts])
+    return both.groupBy("date", *NATURAL_KEYS).agg(
+        *[merge(name).alias(name) for name, merge in MERGES.items()])
+
+
+def keyed_grain(grain: DataFrame, staging: Staging) -> DataFrame:
+    """A grain as a stored table, each row with the key its fact row will have.
 
     The key is the date key followed by the row's number within the date, in the order of
     the natural keys, nulls first: unique over all dates, the same in every run over the
@@ -80,7 +94,7 @@ def keyed_grain(events: DataFrame, staging: Staging) -> DataFrame:
     by many tasks. Numbering here, before the lookups, sorts a plain aggregate and not the
     outcome of four joins.
     """
-    numbered = number_rows(view_grain(events), list(NATURAL_KEYS), "_number", staging,
+    numbered = number_rows(grain, list(NATURAL_KEYS), "_number", staging,
                            within=["date"])
     limit = F.lit(FACT_KEYS_PER_DATE)
     key = F.when(F.col("_number") < limit,
@@ -89,13 +103,13 @@ def keyed_grain(events: DataFrame, staging: Staging) -> DataFrame:
     return numbered.withColumn("fact_key", key).drop("_number")
 
 
-def hash_keyed_grain(events: DataFrame, staging: Staging) -> DataFrame:
-    """The grain as a stored table, each row with a key hashed from its date and natural keys.
+def hash_keyed_grain(grain: DataFrame, staging: Staging) -> DataFrame:
+    """A grain as a stored table, each row with a key hashed from its date and natural keys.
 
     Nothing is sorted or numbered. Two rows of a run that share a key make the caller fail.
     """
     key = F.xxhash64("date", *NATURAL_KEYS)
-    return staging.table(view_grain(events).withColumn("fact_key", key), "grain")
+    return staging.table(grain.withColumn("fact_key", key), "grain")
 
 
 def _measures(views, visitors, first, last, seconds, timed) -> list[Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from viewstar.functions.documents import (
@@ -18,7 +20,7 @@ def first_messages(envelope: DataFrame, cap: int, staging: Staging) -> DataFrame
     """The first ``cap`` messages by topic, partition and offset, for any size of ``cap``.
 
     Nothing past the cap is consumed: ``next_positions`` of the result is where the next
-    run starts. Only positions are read to find the last offset taken per partition, and
+    run starts (``unread``). Only positions are read to find the last offset taken per partition, and
     only around the cap are they sorted; the messages themselves are filtered, not moved.
     """
     cuts, left = [], cap
@@ -58,6 +60,24 @@ def _nth_offset(rows: DataFrame, n: int, first: int, staging: Staging) -> int:
         F.col("_number") == n).first().offset
 
 
+def unread(envelope: DataFrame, positions: Mapping[str, int],
+           start: Mapping[int, int] | None = None) -> DataFrame:
+    """Messages from the given positions (``topic/partition`` to offset) on.
+
+    ``start`` names later positions of partitions. A partition without one is read from its
+    beginning.
+    """
+    partition = F.concat_ws("/", "topic", "partition")
+    # One entry per topic partition.
+    known = F.create_map(*[F.lit(x) for entry in positions.items() for x in entry]).cast(
+        "map<string,bigint>")
+    least = F.create_map(*[F.lit(x) for entry in (start or {}).items() for x in entry]).cast(
+        "map<int,bigint>")
+    first = F.greatest(F.coalesce(F.try_element_at(known, partition), F.lit(0)),
+                       F.coalesce(F.try_element_at(least, F.col("partition")), F.lit(0)))
+    return envelope.filter(F.col("offset") >= first)
+
+
 def next_positions(envelope: DataFrame) -> DataFrame:
     """The offset after the last one, per topic and partition."""
     return envelope.groupBy("topic", "partition").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import uuid
 from collections.abc import Callable
@@ -9,13 +10,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from viewstar.functions.times import event_date
+from viewstar.functions.times import date_key, event_date
 from viewstar.operators.dimensions import COLUMNS, device_agents, dim_date
 from viewstar.operators.facts import (
     fact_by_lookup, fact_from_grain, fact_from_hash_keys, hash_keyed_grain, keyed_grain,
-    on_report_date, view_grain)
+    merged_grain, on_report_date, view_grain)
 from viewstar.operators.lookup import broadcast_size
 from viewstar.operators.members import all_members
 from viewstar.operators.numbering import Group, hash_key, number_groups
@@ -23,9 +24,10 @@ from viewstar.operators.quality import (
     ConstraintViolation, duplicate_keys, strict as fail_on_any, too_long, violations)
 from viewstar.schemas import NATURAL_KEYS, TABLES
 from viewstar.sinks.warehouse import (
-    drop_table, swap_star, write_dimension, write_fact, write_rejected)
-from viewstar.sources.warehouse import read_table, table_path
-from viewstar.staging import Staging, path_exists
+    GRAIN, write_dimension, write_fact, write_grain, write_rejected)
+from viewstar.sources.warehouse import read_table
+from viewstar.staging import Staging
+from viewstar.versions import ATTEMPTS, Conflict, Version, Versions, new_run
 
 DATE_KIND = "date"
 KINDS = (DATE_KIND, *NATURAL_KEYS)
@@ -60,15 +62,16 @@ def star_frames(events: DataFrame, staging: Staging, latest_only: bool = False,
 def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
                replace: bool = False, strict: bool = True, url_limit: int | None = None,
                hash_keys: bool = False, batch_id: str | None = None,
-               today: Column | None = None, day: datetime.date | None = None) -> StarRun:
-    """Build the star from ``events`` and write it to ``warehouse``.
+               today: Column | None = None, day: datetime.date | None = None,
+               before: Callable[[str], None] | None = None) -> StarRun:
+    """Build the star from ``events`` and make it the warehouse's next version.
 
     By default the run accumulates: stored members keep their keys, new ones are added,
-    the dates in question are replaced and all others stay. A run that fails half way
-    leaves dimensions that hold more members than the fact needs, and can be repeated.
-    ``replace`` leaves only this run's rows: they are built and checked in a folder beside the
-    tables and swapped in last, so a run that fails leaves the warehouse as it was. Without
-    events nothing is touched.
+    the dates in question are replaced and all others stay. ``replace`` leaves only this run's
+    rows. Either way all six tables change in one step, at the end: a run that fails at any
+    point leaves the warehouse as it was, and readers of the old version are not disturbed.
+    Of two runs at a time one commits; the other begins anew on what that one left, so no key is
+    given twice and no member gets two. Without events nothing is touched.
 
     Events without a valid date belong to no date of the fact. They never stop a run: their
     groups go to the quarantine as ``undated_views`` and are counted as rejected.
@@ -83,17 +86,97 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
     are then not sorted and the fact needs no lookup; the run fails before it writes if
     two members or two rows of the fact share a key. A run with the other sort of keys than
     the warehouse holds fails too, either way.
+
+    ``before`` is called with the name of each step before it begins.
     """
-    spark = events.sparkSession
-    run = StarRun()
-    batch_id = batch_id or f"run-{uuid.uuid4().hex}"
-    target = f"{warehouse.rstrip('/')}/.build-{uuid.uuid4().hex}" if replace else warehouse
-    if not replace:
-        _same_sort_of_keys(spark, warehouse, hash_keys)
-    with Staging(spark) as staging:
+    def take(staging: Staging, base: Version | None):
         keyed = hash_keyed_grain if hash_keys else keyed_grain
-        grain, members = _grain_and_members(
-            events, staging, latest_only, today, lambda part: keyed(part, staging), day)
+        return _grain_and_members(
+            events, staging, latest_only, today,
+            lambda part: keyed(view_grain(part), staging), day)
+
+    options = _Options(warehouse, replace, strict, url_limit, hash_keys,
+                       batch_id or f"run-{uuid.uuid4().hex}", before or (lambda step: None))
+    return _until_committed(events, take, options)
+
+
+def merge_star(events: DataFrame, warehouse: str, stream: str, batch: int,
+               events_of_dates: Callable[[list[datetime.date]], DataFrame],
+               strict: bool = False, hash_keys: bool = False,
+               batch_id: str | None = None) -> StarRun:
+    """Add a batch of events to the star: every date it touches gets the views of both.
+
+    The combined views of each date are kept beside the fact. Those of the touched dates are
+    read, merged with the batch's, and written again together with the fact of these dates, so
+    a late event costs its batch and one date's combined views, not the date's events. A date
+    of the fact without kept views, from a build of another sort, is combined once from
+    ``events_of_dates``, which holds all its events, the batch's included.
+
+    The ledger of the version names the last ``batch`` of ``stream``; a batch that comes again
+    changes nothing.
+    """
+    spark = events.sparkSession
+
+    def take(staging: Staging, base: Version | None):
+        delta = staging.table(view_grain(events), "delta")
+        kept = base.partitions(GRAIN) if base else {}
+        built = base.partitions(FACT) if base else {}
+        # One value per calendar day of the batch.
+        days = [row.date for row in delta.select("date").distinct().collect() if row.date]
+        names = {day: date_name(day) for day in days}
+        unkept = [day for day in days if names[day] in built and names[day] not in kept]
+        versions = Versions(spark, warehouse)
+        parts = [delta.filter(~F.coalesce(F.col("date").isin(unkept), F.lit(False)))
+                 if unkept else delta]
+        folders = [folder for day in days for folder in kept.get(names[day], [])]
+        if folders:
+            parts.append(versions.read(GRAIN, _grain_schema(), folders))
+        if unkept:
+            parts.append(view_grain(events_of_dates(unkept)))
+        whole = merged_grain(*parts) if len(parts) > 1 else delta
+        keyed = (hash_keyed_grain if hash_keys else keyed_grain)(whole, staging)
+        return keyed, all_members(keyed, KINDS)
+
+    options = _Options(warehouse, False, strict, None, hash_keys,
+                       batch_id or f"{stream}-{batch}", lambda step: None, (stream, batch), True)
+    return _until_committed(events, take, options)
+
+
+@dataclass(frozen=True)
+class _Options:
+    warehouse: str
+    replace: bool
+    strict: bool
+    url_limit: int | None
+    hash_keys: bool
+    batch_id: str
+    before: Callable[[str], None]
+    batch: tuple[str, int] | None = None
+    keep_grain: bool = False
+
+
+def _until_committed(events: DataFrame, take, options: _Options) -> StarRun:
+    """Build on the last version; again on a newer one if another run was faster."""
+    versions = Versions(events.sparkSession, options.warehouse)
+    for _ in range(ATTEMPTS - 1):
+        with contextlib.suppress(Conflict):
+            return _build(events, take, options, versions)
+    return _build(events, take, options, versions)
+
+
+def _build(events: DataFrame, take, options: _Options, versions: Versions) -> StarRun:
+    run, warehouse = StarRun(), options.warehouse
+    batch_id, hash_keys, replace = options.batch_id, options.hash_keys, options.replace
+    base = versions.latest()
+    ledger = base.ledger if base else {}
+    if options.batch and ledger.get("batches", {}).get(options.batch[0], -1) >= options.batch[1]:
+        return run
+    if base and not replace:
+        _same_sort_of_keys(base, hash_keys)
+    started, name_of_run = [], new_run()
+    with Staging(events.sparkSession) as staging:
+        options.before("grain")
+        grain, members = take(staging, base)
         if grain.isEmpty() and events.isEmpty():
             return run
         undated = grain.filter(F.col("date").isNull())
@@ -107,30 +190,39 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
         if hash_keys:
             fail_on_any(duplicate_keys(grain.select("fact_key"), ["fact_key"]),
                         "fact hash key collision")
+        options.before("members")
         known = None
-        if not replace and path_exists(spark, table_path(warehouse, "dim_date")):
+        if base and not replace:
             members = staging.table(members, "members")
-            known = staging.table(_known(members, warehouse), "known")
+            known = staging.table(_known(members, warehouse, base), "known")
+            # What the fact will point to: one key per member and one member per key.
+            fail_on_any(duplicate_keys(known, ["kind", "member"]), "member stored twice")
+            fail_on_any(duplicate_keys(known, ["kind", "key"]), "key stored twice")
             members = members.join(known, ["kind", "member"], "left_anti")
         highest = {}
         if hash_keys:
-            new = _hashed(members, warehouse, replace, staging)
+            new = _hashed(members, warehouse, None if replace else base, staging)
         else:
             new = number_groups(members, "kind", KINDS, "member", "_number", staging)
             if known is not None:
-                highest = _highest_keys(spark, warehouse)
+                highest = ledger["highest"]
         frames = _dimension_frames(new, highest, agents)
 
-        checked = {name: _checked(df, name, url_limit) for name, df in frames.items()}
+        checked = {name: _checked(df, name, options.url_limit) for name, df in frames.items()}
         kinds = dict(zip(frames, KINDS))
+        tables = {name: [] if replace or not base else list(base.folders(name))
+                  for name in TABLES}
 
         def write(name: str) -> None:
-            if not replace and new[kinds[name]].count == 0:
+            if base and not replace and new[kinds[name]].count == 0:
                 # No new member: not even an empty file.
                 run.written[name] = run.rejected[name] = 0
                 return
+            options.before(name)
+            started.append(name)
             run.written[name], run.rejected[name] = write_dimension(
-                checked[name], target, name, replace, strict)
+                checked[name], warehouse, name, name_of_run, options.strict)
+            tables[name].append(f"{name}/run={name_of_run}")
             if run.rejected[name]:
                 write_rejected(checked[name], warehouse, name, batch_id)
 
@@ -148,25 +240,56 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
                 fact = (fact_from_grain if complete else fact_by_lookup)(
                     grain, dims, _sizes(new, known))
             views = _checked(fact.withColumn("batch_id", F.lit(batch_id)), FACT)
-            run.written[FACT], run.rejected[FACT] = write_fact(views, target, replace, strict)
+            options.before(FACT)
+            started.append(FACT)
+            run.written[FACT], run.rejected[FACT] = write_fact(
+                views, warehouse, name_of_run, options.strict)
             if run.rejected[FACT]:
                 write_rejected(views, warehouse, FACT, batch_id)
-            if replace:
-                swap_star(spark, target, warehouse)
-        finally:
-            if replace:
-                drop_table(spark, target)
+            if options.keep_grain:
+                options.before(GRAIN)
+                started.append(GRAIN)
+                write_grain(grain.withColumn("date_key", date_key("date")).select(
+                    "date_key", *_grain_schema().names), warehouse, name_of_run)
+            days = {date_name(row.date) for row in grain.select("date").distinct().collect()}
+            for name in (FACT, GRAIN):
+                old = {} if replace or not base else base.partitions(name)
+                tables[name] = [folder for day, folders in old.items() for folder in folders
+                                if day not in days] + versions.written(name, name_of_run)
+            options.before("commit")
+            versions.commit(base, tables, [], _ledger(ledger, options, highest, new))
+        except BaseException:
+            versions.drop_run(name_of_run, started)
+            raise
     return run
 
 
-def _same_sort_of_keys(spark: SparkSession, warehouse: str, hash_keys: bool) -> None:
-    """Fail if the stored dimensions hold the other sort of keys; one row of each tells."""
-    for natural, (table, key) in NATURAL_KEYS.items():
-        row = read_table(spark, warehouse, table).select(
-            (F.col(key) == hash_key(natural)).alias("hashed")).first()
-        if row is not None and row.hashed != hash_keys:
-            raise ConstraintViolation(
-                f"{table} holds {'hash keys' if row.hashed else 'dense keys, not hash keys'}")
+def _ledger(old: dict, options: _Options, highest: dict[str, int], new: dict[str, Group]) -> dict:
+    batches = {} if options.replace else dict(old.get("batches", {}))
+    if options.batch:
+        batches[options.batch[0]] = options.batch[1]
+    return {"hash_keys": options.hash_keys, "batches": batches, "highest": {
+        table: highest.get(table, 0) + new[natural].count
+        for natural, (table, _) in NATURAL_KEYS.items()}}
+
+
+def date_name(day: datetime.date) -> str:
+    """A date as its folder names it: the date key."""
+    return f"{day.year}{day.month:02d}{day.day:02d}"
+
+
+def _grain_schema() -> T.StructType:
+    return T.StructType.fromDDL(
+        "date date, " + ", ".join(f"{name} string" for name in NATURAL_KEYS)
+        + ", views long, first_view_time timestamp_ntz, last_view_time timestamp_ntz, "
+        "timed_views long, seconds long")
+
+
+def _same_sort_of_keys(base: Version, hash_keys: bool) -> None:
+    """Fail if the stored dimensions hold the other sort of keys."""
+    if base.ledger["hash_keys"] != hash_keys:
+        raise ConstraintViolation("the warehouse holds " + (
+            "hash keys" if base.ledger["hash_keys"] else "dense keys, not hash keys"))
 
 
 def _grain_and_members(events: DataFrame, staging: Staging, latest_only: bool,
@@ -191,7 +314,7 @@ def _agents(events: DataFrame) -> DataFrame | None:
     return device_agents(events.filter(F.col("user_agent").isNotNull()))
 
 
-def _hashed(members: DataFrame, warehouse: str, replace: bool, staging: Staging
+def _hashed(members: DataFrame, warehouse: str, base: Version | None, staging: Staging
             ) -> dict[str, Group]:
     """New members with hash keys, after a look for keys that two members share.
 
@@ -202,9 +325,9 @@ def _hashed(members: DataFrame, warehouse: str, replace: bool, staging: Staging
     keyed = staging.table(members.withColumn("_number", hash_key("member")), "hashed")
     fresh = keyed.filter(F.col("kind") != DATE_KIND).select("kind", "_number")
     fail_on_any(duplicate_keys(fresh, ["kind", "_number"]), "hash key collision")
-    if not replace:
+    if base:
         stored = reduce(DataFrame.unionByName, [
-            read_table(spark, warehouse, table).select(
+            read_table(spark, warehouse, table, base).select(
                 F.lit(natural).alias("kind"), F.col(key).alias("_number"))
             for natural, (table, key) in NATURAL_KEYS.items()])
         fail_on_any(stored.join(fresh, ["kind", "_number"], "left_semi"),
@@ -245,18 +368,18 @@ def _sizes(keyed: dict[str, Group], known: DataFrame | None = None) -> dict[str,
     return sizes
 
 
-def _known(members: DataFrame, warehouse: str) -> DataFrame:
+def _known(members: DataFrame, warehouse: str, base: Version) -> DataFrame:
     """The members of this run that the warehouse holds, with their keys.
 
     ``members`` is a stored table, so Catalyst knows its size: a small run is broadcast to
     the scan of the stored dimensions, and everything after it is as small as the run.
     """
     spark = members.sparkSession
-    stored = [read_table(spark, warehouse, "dim_date").select(
+    stored = [read_table(spark, warehouse, "dim_date", base).select(
         F.lit(DATE_KIND).alias("kind"), F.col("date").cast("string").alias("member"),
         F.col("date_key").cast("bigint").alias("key"))]
     for natural, (table, key) in NATURAL_KEYS.items():
-        stored.append(read_table(spark, warehouse, table).select(
+        stored.append(read_table(spark, warehouse, table, base).select(
             F.lit(natural).alias("kind"), F.col(natural).alias("member"),
             F.col(key).alias("key")))
     return reduce(DataFrame.unionByName, stored).join(members, ["kind", "member"])
@@ -283,17 +406,6 @@ def _members_of_run(checked: dict[str, DataFrame], known: DataFrame | None
     return dims
 
 
-def _highest_keys(spark: SparkSession, warehouse: str) -> dict[str, int]:
-    """The highest stored key of each dimension: four numbers from one job."""
-    return {
-        row.table: row.highest
-        for row in reduce(DataFrame.unionByName, [
-            read_table(spark, warehouse, table).agg(
-                F.lit(table).alias("table"), F.coalesce(F.max(key), F.lit(0)).alias("highest"))
-            for table, key in NATURAL_KEYS.values()]).collect()
-    }
-
-
 def _checked(df: DataFrame, name: str, url_limit: int | None = None) -> DataFrame:
     found = violations(df, TABLES[name])
     if name == "dim_referrer" and url_limit is not None:

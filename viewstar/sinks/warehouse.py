@@ -1,18 +1,19 @@
-"""Writing the star to Parquet folders."""
+"""Writing the star to Parquet folders; ``versions`` makes them part of the warehouse."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from viewstar.operators.quality import align, enforce
 from viewstar.schemas import TABLES
-from viewstar.sources.warehouse import table_path
 
 
-def _write(checked: DataFrame, name: str, strict: bool, options: dict, mode: str,
-           path: str, partition_by: tuple[str, ...] = ()) -> tuple[int, int]:
+#: The combined views of each date, kept beside the fact so that a batch can be merged with them.
+GRAIN = "view_grain"
+
+
+def _write(checked: DataFrame, name: str, strict: bool, path: str,
+           partition_by: tuple[str, ...] = ()) -> tuple[int, int]:
     """Write the rows without violations; returns ``(written, rejected)`` row counts.
 
     The counts come with the write, not from another job.
@@ -28,58 +29,34 @@ def _write(checked: DataFrame, name: str, strict: bool, options: dict, mode: str
         # Few files per folder: rows meet by folder, and a hot folder's rows are split
         # into partitions of the advised size.
         rows = rows.hint("rebalance", *partition_by)
-    rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(path)
+    rows.write.partitionBy(*partition_by).parquet(path)
     return seen.get["written"], seen.get["rejected"]
 
 
-def write_dimension(checked: DataFrame, warehouse: str, name: str, replace: bool,
+def write_dimension(checked: DataFrame, warehouse: str, name: str, run: str,
                     strict: bool) -> tuple[int, int]:
-    """Append members, or replace the dimension."""
-    return _write(checked, name, strict, {}, "overwrite" if replace else "append",
-                  table_path(warehouse, name))
-
-
-def write_fact(checked: DataFrame, warehouse: str, replace: bool,
-               strict: bool) -> tuple[int, int]:
-    """Replace the dates that the rows hold and keep all others, or replace the whole fact."""
-    options = {"partitionOverwriteMode": "static" if replace else "dynamic"}
-    return _write(checked, "fact_product_views", strict, options, "overwrite",
-                  table_path(warehouse, "fact_product_views"), ("date_key",))
+    """Write a run's new members to the run's folder."""
+    return _write(checked, name, strict, run_path(warehouse, name, run))
 
 
-def _filesystem(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return hadoop, hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def write_fact(checked: DataFrame, warehouse: str, run: str, strict: bool) -> tuple[int, int]:
+    """Write a run's dates to the run's folder, one folder per date in it."""
+    return _write(checked, "fact_product_views", strict,
+                  run_path(warehouse, "fact_product_views", run), ("date_key",))
 
 
-def drop_table(spark: SparkSession, path: str) -> None:
-    hadoop, system = _filesystem(spark, path)
-    system.delete(hadoop(path), True)
-
-
-def swap_star(spark: SparkSession, built: str, warehouse: str) -> None:
-    """Put the tables in ``built`` in the place of the warehouse's.
-
-    Only names change. The fact goes first and comes back last, so that a reader in between
-    never sees facts with the keys of other dimensions.
-    """
-    hadoop, system = _filesystem(spark, warehouse)
-    old = f"{warehouse.rstrip('/')}/.old-{uuid.uuid4().hex}"
-    system.mkdirs(hadoop(old))
+def write_grain(grain: DataFrame, warehouse: str, run: str) -> None:
+    """Write the combined views a fact was made of, in the layout of the fact."""
+    (grain.hint("rebalance", "date_key").write.partitionBy("date_key")
+     .parquet(run_path(warehouse, GRAIN, run)))
 
-    def move(source: str, target: str) -> None:
-        if system.exists(hadoop(source)) and not system.rename(hadoop(source), hadoop(target)):
-            raise OSError(f"cannot move {source} to {target}")
 
-    for name in reversed(TABLES):
-        move(table_path(warehouse, name), table_path(old, name))
-    for name in TABLES:
-        move(table_path(built, name), table_path(warehouse, name))
-    system.delete(hadoop(old), True)
+def run_path(warehouse: str, name: str, run: str) -> str:
+    return f"{warehouse.rstrip('/')}/{name}/run={run}"
 
 
 def write_rejected(checked: DataFrame, warehouse: str, name: str, batch_id: str) -> None:
     """Keep the rows that break a constraint, per run; a repeated run replaces its own."""
     (checked.filter(F.size("violations") > 0).withColumn("batch", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch").parquet(table_path(warehouse, f"quarantine/{name}")))
+     .partitionBy("batch").parquet(f"{warehouse.rstrip('/')}/quarantine/{name}"))

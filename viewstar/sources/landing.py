@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from viewstar.functions.documents import ERROR, as_text
 from viewstar.operators.facts import FUTURE_DAYS
 from viewstar.schemas import EVENT, EVENT_FIELDS
-from viewstar.staging import subfolders
+from viewstar.versions import Version, Versions, partition_value
+
+#: The table's name in the versions of its folder.
+TABLE = "landing"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 LANDING = T.StructType([
     T.StructField("_id", T.StringType()),
@@ -27,16 +31,28 @@ LANDING = T.StructType([
 ])
 
 
-def landing_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LANDING).parquet(path)
+def landing_table(spark: SparkSession, path: str, version: Version | None = None) -> DataFrame:
+    """All rows of the last version of a landing table, or of a given one."""
+    versions = Versions(spark, path)
+    return landed_rows(versions, (version or versions.current()).folders(TABLE))
+
+
+def landed_rows(versions: Versions, folders: list[str]) -> DataFrame:
+    """Rows of some folders of a landing table."""
+    return versions.read(TABLE, LANDING, folders)
 
 
 def landing_stream(spark: SparkSession, path: str,
-                   files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(LANDING)
-    if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+                   versions_per_trigger: int | None = None) -> DataFrame:
+    """The versions of a landing table as they appear: (version, added folders).
+
+    Rows stand in folders that a version names, so a reader that follows the versions sees
+    whole batches only, each once, and does not take compacted files for new rows.
+    """
+    reader = spark.readStream.schema("version bigint, added array<string>")
+    if versions_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", versions_per_trigger)
+    return reader.json(Versions(spark, path).prepare())
 
 
 def events_of(landing: DataFrame, keep_nulls: bool = False) -> DataFrame:
@@ -58,19 +74,17 @@ def of_dates(landing: DataFrame, dates: Iterable[datetime.date]) -> DataFrame:
 
 def latest_landed_day(spark: SparkSession, path: str,
                       today: datetime.date | None = None) -> datetime.date | None:
-    """The report date of a landing table, read off its folders: no file is opened for it.
+    """The report date of a landing table, read off its version: no file is opened for it.
 
     Messages without a date are in the folder of none. The latest folder that is not in the
     future and holds a row counts; nearly always the first one looked at does.
     """
     last = (today or datetime.date.today()) + datetime.timedelta(days=FUTURE_DAYS)
-    days = []
-    for name in subfolders(spark, path):
-        text = name.removeprefix("event_date=")
-        if name != text and text != "__HIVE_DEFAULT_PARTITION__":
-            days.append(datetime.date.fromisoformat(text))
+    versions = Versions(spark, path)
+    folders = versions.current().partitions(TABLE)
+    days = {datetime.date.fromisoformat(text): text for text in folders if text != NO_DATE}
     for day in sorted((day for day in days if day <= last), reverse=True):
-        if not of_dates(landing_table(spark, path), [day]).isEmpty():
+        if not landed_rows(versions, folders[days[day]]).isEmpty():
             return day
     return None
 

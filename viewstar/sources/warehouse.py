@@ -7,24 +7,26 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from viewstar.schemas import TABLES
-from viewstar.staging import path_exists
+from viewstar.versions import Version, Versions
 
 
-def table_path(warehouse: str, name: str) -> str:
-    return f"{warehouse.rstrip('/')}/{name}"
+def read_table(spark: SparkSession, warehouse: str, name: str,
+               version: Version | None = None) -> DataFrame:
+    """One table of the warehouse's last version, or of a given one, with its contract schema.
 
+    A warehouse without a version, or a version without the table, is an error: a star that is
+    not there must not pass for an empty one.
+    """
+    versions = Versions(spark, warehouse)
+    version = version or versions.current()
+    return versions.read(name, TABLES[name].struct(), version.folders(name))
 
-def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """One table with its contract schema; an empty frame where it was never written."""
-    table = TABLES[name]
-    path = table_path(warehouse, name)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], table.struct())
-    return spark.read.schema(table.struct()).parquet(path).select(*table.column_names)
 
-
-def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, warehouse, name) for name in TABLES}
+def read_star(spark: SparkSession, warehouse: str,
+              version: Version | None = None) -> dict[str, DataFrame]:
+    """All tables, of one and the same version."""
+    version = version or Versions(spark, warehouse).current()
+    return {name: read_table(spark, warehouse, name, version) for name in TABLES}
 
 
 def jdbc_read_options(url: str, table: str, properties: Mapping[str, str],
@@ -40,3 +42,10 @@ def jdbc_read_options(url: str, table: str, properties: Mapping[str, str],
 
 def read_jdbc_table(spark: SparkSession, **options) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_read_options(**options)).load()
+
+
+def read_jdbc_star(spark: SparkSession, url: str, properties: Mapping[str, str],
+                   schema: str) -> dict[str, DataFrame]:
+    """All tables from a database that ``sinks.jdbc`` wrote them to."""
+    return {name: read_jdbc_table(spark, url=url, table=f"{schema}.{name}",
+                                  properties=properties) for name in TABLES}

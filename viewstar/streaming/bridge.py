@@ -8,9 +8,10 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from viewstar.operators.ingest import forwarded
-from viewstar.staging import path_exists, subfolders
+from viewstar.operators.ingest import first_messages, forwarded, next_positions, unread
+from viewstar.staging import Staging, path_exists, subfolders
 from viewstar.streaming.outcomes import DEAD, VALID, count_valid
+from viewstar.versions import Versions
 
 Send = Callable[[DataFrame, int | str], None]
 
@@ -54,6 +55,35 @@ def bridge_batch(messages: DataFrame, send: Send, dead_letters: Send) -> dict[st
     return dict(seen.get)
 
 
+def bridge_next(envelope: DataFrame, send: Send, dead_letters: Send, ledger: str, at_most: int,
+                start: Mapping[int, int] | None = None) -> dict[str, int]:
+    """Pass on the next ``at_most`` messages after those of the runs before.
+
+    The positions are kept in the versions of the folder ``ledger`` and committed after the
+    messages were sent: a run that stops in between sends its messages again, and its dead
+    letters replace themselves. ``start`` moves the position of partitions forward first.
+    """
+    spark = envelope.sparkSession
+    versions = Versions(spark, ledger)
+    base = versions.latest()
+    held = base.ledger.get("positions", {}) if base else {}
+    seen = Observation("bridge")
+    with Staging(spark) as staging:
+        taken = staging.table(first_messages(unread(envelope, held, start), at_most, staging),
+                              "taken")
+        # One row per topic partition.
+        ends = {f"{row.topic}/{row.partition}": row.next_offset
+                for row in next_positions(taken).collect()}
+        if not ends:
+            return {"messages": 0, VALID: 0, DEAD: 0}
+        rows = forwarded(taken).observe(
+            seen, F.count(F.lit(1)).alias("messages"), F.count_if("valid").alias(VALID),
+            F.count_if(~F.col("valid")).alias(DEAD))
+        _pass_on(rows, send, dead_letters, f"capped-{(base.number if base else 0) + 1}")
+    versions.commit(base, {}, [], {"positions": held | ends})
+    return dict(seen.get)
+
+
 def run_name(spark: SparkSession, checkpoint: str) -> str:
     """A name that stays with a checkpoint: made when it is first used, read afterwards."""
     path = f"{checkpoint.rstrip('/')}/run"

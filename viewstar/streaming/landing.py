@@ -8,40 +8,143 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from viewstar.functions.documents import DOCUMENT, ERROR, RAW
-from viewstar.operators.ingest import landed
+from viewstar.operators.ingest import first_messages, landed, next_positions, unread
+from viewstar.sources.landing import TABLE, landed_rows
+from viewstar.staging import Staging
+from viewstar.streaming.bridge import run_name
 from viewstar.streaming.outcomes import count_routes
+from viewstar.versions import Conflict, Version, Versions, new_run, partition_value
 
-FILES_PER_DATE = 8
+#: A date in more folders than this is rewritten by ``compact``.
+FOLDERS_PER_DATE = 8
 
 
 def start_landing(messages: DataFrame, path: str, checkpoint: str,
                   trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Start appending envelopes to the landing table.
 
-    The file sink's log makes every message land exactly once across restarts. Rejected
-    messages land too, under their route, so nothing is lost. Inside ``counted`` the totals
-    per route are kept.
+    Each batch is one version of the table, whose ledger names the batch, so every message
+    lands exactly once across restarts. Rejected messages land too, under their route, so nothing
+    is lost. Inside ``counted`` the totals per route are kept.
     """
+    run = run_name(messages.sparkSession, checkpoint)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        append(batch, path, {"batches": {run: batch_id}})
+
     return (
-        count_routes(by_date(landed(messages))).writeStream.format("parquet")
-        .partitionBy("event_date").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
+        count_routes(landed(messages)).writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
 def by_date(rows: DataFrame) -> DataFrame:
-    """Rows of a date meet in at most ``FILES_PER_DATE`` tasks, so a batch writes that many
-    files per date, however many tasks read it, and a hot date is spread over them."""
-    part = F.pmod(F.xxhash64("partition", "offset"), F.lit(FILES_PER_DATE))
-    return rows.repartition("event_date", part)
+    """Rows of a date meet; many small ones share a task, a hot one is split to the advised
+    size, so tasks and files of a date grow with its rows and with nothing else."""
+    return rows.hint("rebalance", "event_date")
+
+
+def append(rows: DataFrame, path: str, ledger: Mapping[str, dict] | None = None) -> None:
+    """Add landing rows as one version, with entries of its ledger.
+
+    A batch that the ledger holds already is left out. Rows are written before they are
+    committed, and additions do not disturb each other: losing to another run costs no
+    second write.
+    """
+    versions, run = Versions(rows.sparkSession, path), new_run()
+    ledger = ledger or {}
+
+    def taken(base: Version | None) -> bool:
+        known = base.ledger.get("batches", {}) if base else {}
+        return any(known.get(name, -1) >= batch
+                   for name, batch in ledger.get("batches", {}).items())
+
+    def change(base: Version | None):
+        if taken(base):
+            return None
+        old = base.ledger if base else {}
+        held = old.get("positions", {})
+        for name, (start, _) in ledger.get("positions", {}).items():
+            if held.get(name) != start:
+                raise Conflict(f"the position of {name} was moved by another run")
+        entries = {"batches": old.get("batches", {}) | ledger.get("batches", {}),
+                   "positions": held | {name: end for name, (_, end) in ledger.get(
+                       "positions", {}).items()}}
+        written = versions.written(TABLE, run)
+        return {TABLE: (base.tables.get(TABLE, []) if base else []) + written}, written, entries
 
+    if taken(versions.latest()):
+        return
+    try:
+        by_date(rows).write.partitionBy("event_date").parquet(f"{path}/{TABLE}/run={run}")
+        if versions.commit_with(change) is None:
+            versions.drop_run(run, [TABLE])
+    except BaseException:
+        versions.drop_run(run, [TABLE])
+        raise
 
-def land_batch(messages: DataFrame, path: str) -> dict[str, int]:
+
+def land_batch(messages: DataFrame, path: str,
+               ledger: Mapping[str, dict] | None = None) -> dict[str, int]:
     """Append a bounded read of envelopes to a landing table; returns messages per route."""
     seen = Observation("land")
-    rows = by_date(landed(messages)).observe(
+    rows = landed(messages).observe(
         seen, F.count(F.lit(1)).alias("messages"),
         *[F.count_if(F.col("route") == name).alias(name) for name in (DOCUMENT, RAW, ERROR)])
-    rows.write.mode("append").partitionBy("event_date").parquet(path)
+    append(rows, path, ledger)
     return dict(seen.get)
+
+
+def land_next(envelope: DataFrame, path: str, at_most: int,
+              start: Mapping[int, int] | None = None) -> dict[str, int]:
+    """Land the next ``at_most`` messages after those the table holds; returns them per route.
+
+    Where the read ended is committed with the rows, and the next run starts there: each message
+    lands once, however often and with whatever cap this is run. ``start`` moves the position
+    of partitions forward first. Two such runs at a time do not both commit.
+    """
+    spark = envelope.sparkSession
+    base = Versions(spark, path).latest()
+    held = base.ledger.get("positions", {}) if base else {}
+    with Staging(spark) as staging:
+        taken = staging.table(first_messages(unread(envelope, held, start), at_most, staging),
+                              "taken")
+        # One row per topic partition.
+        ends = {f"{row.topic}/{row.partition}": row.next_offset
+                for row in next_positions(taken).collect()}
+        if not ends:
+            return {"messages": 0, DOCUMENT: 0, RAW: 0, ERROR: 0}
+        return land_batch(taken, path, {"positions": {
+            name: (held.get(name), end) for name, end in ends.items()}})
+
+
+def compact(spark, path: str, folders_per_date: int = FOLDERS_PER_DATE) -> list[str]:
+    """Rewrite every date that is spread over many folders; returns those dates.
+
+    Readers of older versions keep their files. Streams may append meanwhile: what they add
+    stays beside the rewritten rows, and if a date was rewritten by another run, this one's
+    rows are dropped. Nothing counts as added, so followers of the versions see no new rows.
+    """
+    versions, run = Versions(spark, path), new_run()
+    base = versions.latest()
+    old = [folder for folders in (base.partitions(TABLE) if base else {}).values()
+           if len(folders) > folders_per_date for folder in folders]
+    if not old:
+        return []
+
+    def change(current: Version):
+        left = [folder for folder in current.tables[TABLE] if folder not in gone]
+        if len(left) + len(gone) != len(current.tables[TABLE]):
+            raise Conflict("another run has rewritten these dates")
+        return {TABLE: left + versions.written(TABLE, run)}, [], None
+
+    gone = set(old)
+    try:
+        by_date(landed_rows(versions, old)).write.partitionBy("event_date").parquet(
+            f"{path}/{TABLE}/run={run}")
+        versions.commit_with(change)
+    except BaseException:
+        versions.drop_run(run, [TABLE])
+        raise
+    return sorted({partition_value(folder) for folder in old})

@@ -1,47 +1,58 @@
 """Landing table to star, in micro-batches.
 
-A batch adds its new members, then recomputes every date it touches from the landing
-table and replaces those dates. Distinct counts and means need no merging, late events
-need no watermark, and a repeated batch gives the same star.
+A batch is some versions of the landing table. The rows they added are combined and merged with
+the combined views kept of each date they touch, and those dates of the fact are replaced, in
+one version of the warehouse whose ledger names the batch. Late events need no watermark, and a
+repeated batch changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from viewstar.plans.star import build_star
-from viewstar.sources.landing import events_of, landing_stream, landing_table, of_dates
+from viewstar.plans.star import StarRun, merge_star
+from viewstar.sources.landing import (
+    events_of, landed_rows, landing_stream, landing_table, of_dates)
 from viewstar.streaming.bridge import run_name
-
-
-def refresh_dates(batch: DataFrame, landing_path: str, warehouse: str, batch_id: str,
-                  strict: bool = False) -> None:
-    """Bring the star up to date with one batch of landing rows."""
-    # One value per calendar day in the batch: as many as the folders the scan will list.
-    days = [row.event_date for row in batch.select("event_date").distinct().collect()]
-    dated = [day for day in days if day is not None]
-    landing = landing_table(batch.sparkSession, landing_path)
-    events = events_of(of_dates(landing, dated))
-    if len(dated) < len(days):
-        events = events.unionByName(events_of(batch.filter(F.col("event_date").isNull())))
-    build_star(events, warehouse, latest_only=False, strict=strict,
-               batch_id=batch_id)
-
-
-def start_star_refresh(spark, landing_path: str, warehouse: str, checkpoint: str,
-                       files_per_trigger: int | None = None, strict: bool = False,
+from viewstar.versions import Versions
+
+
+def refresh_batch(batch: DataFrame, landing: str, warehouse: str, stream: str, number: int,
+                  strict: bool = False) -> StarRun:
+    """Bring the star up to date with some versions of the landing table."""
+    spark = batch.sparkSession
+    # One row per version of the batch.
+    found = sorted((row.version, row.added) for row in batch.collect())
+    folders = [folder for _, added in found for folder in added]
+    if not folders:
+        return StarRun()
+    versions = Versions(spark, landing)
+    # Rows that later versions added are left to later batches.
+    whole = versions.at(found[-1][0])
+    return merge_star(
+        events_of(landed_rows(versions, folders)), warehouse, stream, number,
+        lambda days: events_of(of_dates(landing_table(spark, landing, whole), days)),
+        strict=strict)
+
+
+def start_star_refresh(spark, landing: str, warehouse: str, checkpoint: str,
+                       versions_per_trigger: int | None = None, strict: bool = False,
                        trigger: Mapping[str, object] | None = None) -> StreamingQuery:
-    """Start refreshing the star from the landing table as rows arrive."""
+    """Start refreshing the star from the landing table as rows arrive.
+
+    Rows that break a constraint go to the quarantine and the stream goes on; only ``strict``
+    stops it at the first one.
+    """
     run = run_name(spark, checkpoint)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        refresh_dates(batch, landing_path, warehouse, f"{run}-{batch_id}", strict)
+        refresh_batch(batch, landing, warehouse, run, batch_id, strict)
 
     return (
-        landing_stream(spark, landing_path, files_per_trigger)
+        landing_stream(spark, landing, versions_per_trigger)
         .writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
