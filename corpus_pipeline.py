@@ -1,4 +1,10 @@
-"""The corpus pipeline: each stage takes documents and gives documents; the last one writes ids."""
+"""The corpus pipeline: each stage takes documents and gives documents; the last one writes ids.
+
+Defined cases, in all stages: a null text is empty and fails the quality rules; a null source is a
+source of its own; a null doc_id is the least id; of rows with one id and one text one stays; ties
+are broken by id and text; an empty table passes through; a stage keeps all columns, whatever their
+names, in their order, and looks at doc_id, text and source alone.
+"""
 
 from __future__ import annotations
 
@@ -35,9 +41,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as ids in grammar-compressed files; one row per document read back."""
+    """Documents as ids in grammar-compressed files; one row per document read back.
+
+    The files keep the order of the curriculum, in which the stage before wrote its rows.
+    """
     path = Staging(spark).path("ids")
-    grammar_ids.write_ids(docs, path, TOKENIZER)
+    grammar_ids.write_ids(docs, path, TOKENIZER, in_file_order=True)
     return grammar_ids.read_documents(grammar_ids.open_blocks(spark, path))
 
 
