@@ -131,8 +131,9 @@ def test_short_items_and_defined_cases(documents, spark):
             (6, "red green blue grey pink"), (6, "red green blue grey pink"), (None, "one two three")]
     bench = spark.createDataFrame(items, ITEM)
     frame = documents(rows).withColumnsRenamed({"lang": "item_id", "source": "n_matches"})
-    got = sorted((str(r["doc_id"]), r["item_id"]) for r in d.overlaps(frame, bench).collect())
-    assert got == [("1", 1), ("1", 5), ("4", 6), ("6", -1), ("6", -1), ("None", 1), ("None", 5)]
+    got = sorted((str(r["doc_id"]), str(r["item_id"])) for r in d.overlaps(frame, bench).collect())
+    assert got == [("1", "1"), ("1", "5"), ("4", "6"), ("6", "None"), ("6", "None"),
+                   ("None", "1"), ("None", "5")]
     kept = d.clean(frame, bench)
     assert kept.columns == frame.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 5]
@@ -232,3 +233,50 @@ def test_all_overlaps_of_any_size_are_found():
         assert got == ([best] if best else [])
         seen += bool(best)
     assert seen > 300
+
+
+def test_repeated_tokens_take_little_memory_and_time(spark):
+    """One token over and over, in text and item: a hit per diagonal, not per pair."""
+    import time
+    import tracemalloc
+    block = d.Block([1, 2], ["a " * 500, "b c " * 200])
+    tracemalloc.start()
+    begun = time.time()
+    for text, want in (("a " * 20_000, 1), ("b c " * 10_000, 2), ("x " + "a " * 10 + "y " * 9, 0)):
+        words = d._tokens(d.pa.array([text]))
+        got = [(block.item_ids[i], m) for _, i, m, *_ in d._overlaps(block, words.words, words.first)]
+        assert got == ([(want, 500 if want == 1 else 400)] if want else [])
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20 and time.time() - begun < 60
+    tracemalloc.stop()
+
+
+def test_every_diagonal_that_shares_a_window_is_found():
+    """The shortened list of hits names the diagonals of all hits, and no others."""
+    draw = random.Random(4)
+    for _ in range(60):
+        items = [" ".join(draw.choices("abc", k=draw.randint(1, 30))) for _ in range(3)]
+        docs = [" ".join(draw.choices("abc", k=draw.randint(0, 60))) for _ in range(4)]
+        block = d.Block([0, 1, 2], items)
+        words = d._tokens(d.pa.array(docs))
+        got = {tuple(hit) for part in d._hits(block, words.words, words.first)
+               for hit in part.T.tolist()}
+        want = set()
+        for i in range(3):
+            start, end = block.first[i], block.first[i + 1]
+            for mask in d.SHORT_MASKS.get(end - start, d.MASKS):
+                for doc in range(4):
+                    low, high = words.first[doc], words.first[doc + 1]
+                    for q in range(low, high - mask[-1]):
+                        for p in range(start, end - mask[-1]):
+                            if all(words.words[q + m] == block.tokens[p + m] for m in mask):
+                                want.add((doc, i, q - p))
+        assert got == want
+
+
+def test_slices_change_nothing(monkeypatch):
+    draw = random.Random(5)
+    block = d.Block([0, 1], [" ".join(draw.choices("ab", k=40)) for _ in range(2)])
+    words = d._tokens(d.pa.array([" ".join(draw.choices("ab", k=300)) for _ in range(5)]))
+    whole = sorted(d._overlaps(block, words.words, words.first))
+    monkeypatch.setattr(d, "SLICE", 7)
+    assert sorted(d._overlaps(block, words.words, words.first)) == whole

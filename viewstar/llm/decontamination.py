@@ -14,7 +14,7 @@ the tasks is bounded however large the benchmark is.
 
 Defined cases: null texts and texts without tokens overlap with nothing; short items have
 masks of their own, items of up to four tokens one of all their tokens; repeated rows are
-reported once each; an empty table on either side gives an empty result.
+reported once each, an item without an id with a null; hits are worked on ``SLICE`` at a time; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,13 +22,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from fractions import Fraction
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from viewstar.llm.text import WHITE_SPACE, hashed_words, row_chunks, window_hashes
+from viewstar.llm.text import WHITE_SPACE, hashed_words, mixed, row_chunks, window_hashes
 
 #: Places that count, of a window. No stretch that may be an overlap hides from all of them.
 MASKS = (
@@ -47,6 +48,8 @@ MIN_MATCHES = 13
 MIN_SHARE = 0.8
 DROP = 6
 BLOCK_TOKENS = 250_000
+#: Hits worked on at once.
+SLICE = 1 << 20
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SEPARATORS = WHITE_SPACE.copy()
@@ -65,8 +68,8 @@ def _tokens(column: pa.Array):
 class Block:
     """Hashed items: their tokens end to end, and every masked window as a sorted hash table."""
 
-    def __init__(self, item_ids: list[int], texts: list[str]):
-        self.item_ids = np.array(item_ids, np.int64)
+    def __init__(self, item_ids: list[int | None], texts: list[str]):
+        self.item_ids = item_ids
         self.tokens, self.first = _tokens(pa.array(texts, pa.string()))
         counts = np.diff(self.first)
         owner = np.repeat(np.arange(len(counts)), counts)
@@ -83,33 +86,94 @@ class Block:
             self._add(mask, hashes[fits], np.flatnonzero(fits), owner)
 
     def _add(self, mask, hashes, places, owner) -> None:
-        order = np.argsort(hashes, kind="stable")
-        self.tables.append((mask, hashes[order], places[order], owner[places[order]]))
+        """A table by window, and in it by the window before in the same item, if there is one."""
+        owners = owner[places]
+        follows = np.append(False, (owners[1:] == owners[:-1]) & (places[1:] == places[:-1] + 1))
+        before = np.where(follows, np.append(NO_ITEM, hashes[:-1])[:len(hashes)], NO_ITEM)
+        order = np.lexsort((before, hashes))
+        hashes, before = hashes[order], before[order]
+        both = _both(hashes, before)
+        edge = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1])
+                                        | (before[1:] != before[:-1]))[:len(both)])
+        ends = np.append(edge[1:], len(both))
+        by_pair = np.argsort(both[edge], kind="stable")
+        self.tables.append(Table(mask, hashes, places[order], owners[order], both[edge][by_pair],
+                                 edge[by_pair], ends[by_pair]))
+
+
+#: Stand for the window before the first of an item, and of a document.
+NO_ITEM, NO_DOCUMENT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _both(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return mixed(hashes * np.uint64(0xD6E8FEB86659FD93) + mixed(before))
+
+
+class Table(NamedTuple):
+    """Windows of the items under one mask, sorted; ``pairs`` are the distinct pairs of a
+    window and the one before it, and where their rows begin and end."""
+
+    mask: tuple[int, ...]
+    hashes: np.ndarray
+    places: np.ndarray
+    items: np.ndarray
+    pairs: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+
+
+def _ranges(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, … of each range, end to end."""
+    return np.repeat(begin, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
+def _found(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted value stands in sorted ``values``, and whether it does."""
+    at = np.searchsorted(values, wanted)
+    at[at == len(values)] = 0
+    return at, values[at] == wanted
 
 
 def _hits(block: Block, tokens: np.ndarray, first: np.ndarray):
-    """(document place, item place, item) of every masked window that both sides share."""
+    """Slices of (document, item, diagonal) that share a masked window, each diagonal at the start
+    of a run of hits: at most ``SLICE`` and one window's hits at a time.
+
+    A hit whose windows before it are equal too goes on with a run, and is never written out:
+    a token that repeats in text and item costs one hit per diagonal, not one per pair.
+    """
     counts = np.diff(first)
-    end = np.repeat(first[1:], counts)
-    found = []
-    for mask, hashes, places, items in block.tables:
-        windows = window_hashes(tokens, mask)
-        if not len(windows) or not len(hashes):
+    owner = np.repeat(np.arange(len(counts)), counts)
+    for table in block.tables:
+        windows = window_hashes(tokens, table.mask)
+        if not len(windows) or not len(table.hashes):
             continue
-        low = np.searchsorted(hashes, windows)
-        low[low == len(hashes)] = 0
+        low, same = _found(table.hashes, windows)
         at = np.flatnonzero(
-            (hashes[low] == windows) & (np.arange(len(windows)) + mask[-1] < end[:len(windows)]))
+            same & (np.arange(len(windows)) + table.mask[-1] < first[1:][owner[:len(windows)]]))
         if not len(at):
             continue
         begin = low[at]
-        many = np.searchsorted(hashes, windows[at], side="right") - begin
-        each = np.repeat(begin, many) + np.arange(many.sum()) - np.repeat(
-            np.cumsum(many) - many, many)
-        found.append((np.repeat(at, many), places[each], items[each]))
-    if not found:
-        return None
-    return tuple(np.concatenate(part) for part in zip(*found))
+        high = np.searchsorted(table.hashes, windows[at], side="right")
+        before = np.where(at > first[owner[at]], windows[at - 1], NO_DOCUMENT)
+        pair, known = _found(table.pairs, _both(windows[at], before))
+        # The rows that go on with a run stand together; those before and after them count.
+        inner = np.where(known, table.begins[pair], high)
+        outer = np.where(known, table.ends[pair], high)
+        for starts, many in ((begin, inner - begin), (outer, high - outer)):
+            some = np.flatnonzero(many)
+            total = np.cumsum(many[some])
+            done = 0
+            while done < len(some):
+                reached = total[done - 1] if done else 0
+                end = max(done + 1, int(np.searchsorted(total, reached + SLICE, side="right")))
+                part = some[done:end]
+                rows = _ranges(starts[part], many[part])
+                places = np.repeat(at[part], many[part])
+                found = np.stack((owner[places], table.items[rows], places - table.places[rows]))
+                found = found[:, np.lexsort(found[::-1])]
+                fresh = np.append(True, (found[:, 1:] != found[:, :-1]).any(axis=0))
+                yield found[:, fresh]
+                done = end
 
 
 def _extended(equal: np.ndarray, at: int) -> tuple[int, int]:
@@ -148,35 +212,26 @@ def _best_stretch(equal: np.ndarray, enough: int) -> tuple[int, int, int] | None
 def _overlaps(block: Block, tokens: np.ndarray, first: np.ndarray):
     """(document, item, matches, length, document start, item start) of verified overlaps,
     the best per document and item."""
-    hits = _hits(block, tokens, first)
-    if hits is None:
-        return
-    doc_at, item_at, items = hits
-    documents = np.searchsorted(first, doc_at, side="right") - 1
-    shifts = doc_at - item_at
-    # One comparison per document, item and diagonal, however many hits it holds.
-    order = np.lexsort((shifts, items, documents))
-    documents, items, shifts = documents[order], items[order], shifts[order]
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = ((documents[1:] != documents[:-1]) | (items[1:] != items[:-1])
-                 | (shifts[1:] != shifts[:-1]))
     best: dict[tuple[int, int], tuple] = {}
-    for d, i, shift in zip(documents[fresh].tolist(), items[fresh].tolist(),
-                           shifts[fresh].tolist()):
-        item_start, item_end = int(block.first[i]), int(block.first[i + 1])
-        low = max(item_start, int(first[d]) - shift)
-        high = min(item_end, int(first[d + 1]) - shift)
-        equal = block.tokens[low:high] == tokens[low + shift:high + shift]
-        stretch = _best_stretch(equal, min(MIN_MATCHES, -(-(item_end - item_start) * 4 // 5)))
-        if stretch is None:
-            continue
-        matches, left, right = stretch
-        known = best.get((d, i))
-        if known is None or matches > known[0]:
-            best[d, i] = (matches, right - left, low + left + shift - int(first[d]),
-                          low + left - item_start)
-    for (d, i), row in best.items():
-        yield d, i, *row
+    for hits in _hits(block, tokens, first):
+        for d, i, shift in hits.T.tolist():
+            item_start, item_end = int(block.first[i]), int(block.first[i + 1])
+            low = max(item_start, int(first[d]) - shift)
+            high = min(item_end, int(first[d + 1]) - shift)
+            known = best.get((d, i))
+            # Of equal overlaps the one on the least diagonal counts.
+            if known is not None and (known[0], -known[1]) >= (high - low, -shift):
+                continue
+            equal = block.tokens[low:high] == tokens[low + shift:high + shift]
+            stretch = _best_stretch(equal, min(MIN_MATCHES, -(-(item_end - item_start) * 4 // 5)))
+            if stretch is None:
+                continue
+            matches, left, right = stretch
+            if known is None or (matches, -shift) > (known[0], -known[1]):
+                best[d, i] = (matches, shift, right - left, low + left + shift - int(first[d]),
+                              low + left - item_start)
+    for (d, i), (matches, _, *rest) in best.items():
+        yield d, i, matches, *rest
 
 
 def _search(block: Block):
@@ -187,7 +242,7 @@ def _search(block: Block):
             for start, end in row_chunks(batch.column("text")):
                 words = _tokens(batch.column("text").slice(start, end - start))
                 for d, i, *rest in _overlaps(block, words.words, words.first):
-                    rows.append((ids[start + d].as_py(), int(block.item_ids[i]), *rest,
+                    rows.append((ids[start + d].as_py(), block.item_ids[i], *rest,
                                  int(block.first[i + 1] - block.first[i])))
             kinds = [pa.int64(), pa.int64()] + [pa.int32()] * 5
             names = [c.split()[0] for c in OVERLAP.split(", ")]
@@ -201,7 +256,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     items = benchmark.select("item_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     ids, texts, held = [], [], 0
     for row in items.toLocalIterator():
-        ids.append(-1 if row["item_id"] is None else row["item_id"])
+        ids.append(row["item_id"])
         texts.append(row["text"])
         held += len(TOKEN.findall(row["text"]))
         if held >= BLOCK_TOKENS:
@@ -212,10 +267,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Block]:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and item that overlap: the best overlap, where it is, how long.
-
-    An item whose id is null is reported as -1.
-    """
+    """One row per document and item that overlap: the best overlap, where it is, how long."""
     texts = docs.select("doc_id", "text")
     found = None
     for block in _blocks(benchmark):
