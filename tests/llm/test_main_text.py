@@ -126,3 +126,34 @@ def test_defined_cases(spark, field):
     assert texts == sorted([("1", 0, 0), ("2", 0, 0), ("3", 0, 0), ("None", 80, 80),
                             ("5", 80, 80), ("5", 80, 80), ("6", 479_999, 479_999)])
     assert m.extracted(spark.createDataFrame([], PAGE), field).count() == 0
+
+
+def test_broken_pages_take_time_in_proportion():
+    """A megabyte of each: unclosed tags and quotes, deep nesting, tags that close nothing."""
+    import time
+
+    from viewstar.llm import main_text
+    field = main_text.trained()
+    size = 1 << 20
+    made = {
+        "no end": "<a ", "one end": "<a ", "quotes": "<a \">", "odd quotes": "<a '\">",
+        "deep": "<div>x", "sections": "<section>x", "items": "<li>x<ul>", "bold": "<b>",
+        "made up": "", "raw": "<script>", "title": "<title>", "comments": "<!-- x", "less": "< ",
+        "closers": "", "classes": ""}
+    pages = {name: part * (size // max(1, len(part))) for name, part in made.items()}
+    pages["one end"] += ">"
+    pages["made up"] = "".join(f"<x{n}>y" for n in range(size // 9))
+    pages["closers"] = "<i><div>" + "<b>" * (size // 9) + "</i>" * (size // 6)
+    pages["classes"] = f"<div class='{'menu nav ' * (size // 18)}'>" + "<p class=a>x" * (size // 24)
+    for name, page in pages.items():
+        begun = time.time()
+        blocks = list(text_blocks(page))
+        if blocks:
+            field.best(field.scores(main_text.features(blocks)))
+        assert time.time() - begun < 40, name
+
+
+def test_chains_of_equal_ancestors_are_one():
+    blocks = list(text_blocks("<div class=a><p>x</p><p>y</p></div><div class=a><p>z<div>w"))
+    assert blocks[0].chain is blocks[1].chain is blocks[2].chain
+    assert blocks[3].chain is not blocks[0].chain

@@ -26,7 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from viewstar.llm.page_blocks import Element, TextBlock, text_blocks
+from viewstar.llm.page_blocks import (
+    CLOSE_PARAGRAPH, CLOSES, INLINE, RAW, VOID, Chain, TextBlock, text_blocks)
 
 TRAIN_PAGES = 1000
 EPOCHS = 8
@@ -61,29 +62,51 @@ def _bucket(value: float, edges: Sequence[float]) -> int:
     return sum(value >= edge for edge in edges)
 
 
-@functools.lru_cache(maxsize=1 << 14)
-def path_features(path: tuple[Element, ...]) -> tuple[str, ...]:
-    """Features that all blocks under the same ancestors share."""
-    found = {f"in:{e.tag}" for e in path}
-    for depth, element in enumerate(path[::-1]):
-        for mark in element.marks:
-            purpose = _PURPOSE.get(mark)
-            # Names like "post-footer" belong to what they end in.
-            if purpose:
-                found.add(f"for:{purpose}")
-                if depth < 2:
-                    found.add(f"near:{purpose}")
-            elif mark == "hidden":
-                found.add("hidden")
-    if path:
-        found.add(f"tag:{path[-1].tag}")
-        if path[-1].marks:
-            found.add(f"last:{_PURPOSE.get(path[-1].marks[-1], 'other')}")
-    else:
-        found.add("tag:none")
-    if not any(e.tag in ("article", "main") for e in path):
-        found.add("outside")
-    return tuple(sorted(found))
+#: Tags whose presence among the ancestors is a feature: those of pages, not made-up ones.
+ANCESTORS = INLINE | CLOSE_PARAGRAPH | VOID | RAW | frozenset(CLOSES) | frozenset(
+    "html head body title textarea button select legend summary caption thead tbody tfoot".split())
+
+
+class _Ancestry(NamedTuple):
+    """What all blocks under a chain share, and what they share with those below it."""
+
+    features: tuple[str, ...]
+    inherited: frozenset[str]
+    purposes: frozenset[str]
+
+
+def _ancestry(chain: Chain, above: _Ancestry | None) -> _Ancestry:
+    element = chain.element
+    # Names like "post-footer" belong to what they end in.
+    purposes = frozenset(_PURPOSE[mark] for mark in element.marks if mark in _PURPOSE)
+    own = {f"for:{purpose}" for purpose in purposes}
+    if element.tag in ANCESTORS:
+        own.add(f"in:{element.tag}")
+    if "hidden" in element.marks:
+        own.add("hidden")
+    inherited = above.inherited if above else frozenset()
+    if not own <= inherited:
+        inherited |= own
+    near = purposes | above.purposes if above else purposes
+    found = inherited | {f"near:{purpose}" for purpose in near} | {f"tag:{element.tag}"}
+    if element.marks:
+        found |= {f"last:{_PURPOSE.get(element.marks[-1], 'other')}"}
+    if not inherited & {"in:article", "in:main"}:
+        found |= {"outside"}
+    return _Ancestry(tuple(sorted(found)), inherited, purposes)
+
+
+def path_features(chain: Chain | None) -> tuple[str, ...]:
+    """Features that all blocks under the same ancestors share; each chain is looked at once."""
+    if chain is None:
+        return ("outside", "tag:none")
+    fresh, at = [], chain
+    while at is not None and at.cached is None:
+        fresh.append(at)
+        at = at.above
+    for link in reversed(fresh):
+        link.cached = _ancestry(link, link.above.cached if link.above else None)
+    return chain.cached.features
 
 
 def features(blocks: Sequence[TextBlock]) -> list[list[str]]:
@@ -96,14 +119,14 @@ def features(blocks: Sequence[TextBlock]) -> list[list[str]]:
             "always", f"words:{_bucket(words, (2, 4, 8, 16, 32, 64))}",
             f"links:{_bucket(links, (0.05, 0.4, 0.9))}",
             f"sentences:{_bucket(len(_SENTENCE.findall(block.text)), (1, 2, 4))}"]
-        found += path_features(block.path)
+        found += path_features(block.chain)
         if "©" in block.text or "all rights reserved" in block.text.lower():
             found.append("copyright")
         if place == 0:
             found.append("first")
         if place == len(blocks) - 1:
             found.append("last")
-        if place and blocks[place - 1].path == block.path:
+        if place and blocks[place - 1].chain is block.chain:
             found.append("same path")
         out.append(found)
     return out

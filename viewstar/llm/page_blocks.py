@@ -1,5 +1,9 @@
 """Leaf blocks of a web page: runs of text between block tags, with their ancestors.
 
+Every step takes time in proportion to what it reads, however the page is broken: a tag that
+never ends is looked at once, open elements are found by their names, and blocks share the chains
+of their ancestors.
+
 A small reader of HTML as it is found: a stack of open elements, void and raw-text elements,
 and end tags that may be missing (a new paragraph, item, row or cell closes the open one; an
 end tag closes what is still open inside).
@@ -12,10 +16,9 @@ import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>", re.S)
 _ATTRIBUTE = re.compile(
     r"([a-zA-Z_:][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -41,13 +44,49 @@ class Element(NamedTuple):
     marks: tuple[str, ...]
 
 
+class Chain:
+    """An element and the chain of its ancestors; equal chains are one and the same object.
+
+    ``cached`` is free for what a reader of chains works out.
+    """
+
+    __slots__ = ("element", "above", "cached")
+
+    def __init__(self, element: Element, above: Chain | None):
+        self.element, self.above, self.cached = element, above, None
+
+    def __iter__(self) -> Iterator[Element]:
+        """From the innermost element outwards."""
+        at = self
+        while at is not None:
+            yield at.element
+            at = at.above
+
+
+#: Chains by what they add to which; beyond ``CHAINS`` the next page starts anew.
+CHAINS = 1 << 16
+_chains: dict[tuple[Chain | None, Element], Chain] = {}
+
+
+def _chain(element: Element, above: Chain | None) -> Chain:
+    found = _chains.get((above, element))
+    if found is None:
+        found = _chains[above, element] = Chain(element, above)
+    return found
+
+
 class TextBlock(NamedTuple):
-    """Text of a leaf block, its ancestors from the root, and how much of it is link text."""
+    """Text of a leaf block, the chain of its ancestors, and how much of it is link text."""
 
     text: str
-    path: tuple[Element, ...]
+    chain: Chain | None
     link_chars: int
 
+    @property
+    def path(self) -> tuple[Element, ...]:
+        """The ancestors from the root."""
+        return tuple(self.chain)[::-1] if self.chain else ()
+
 
 def _marks(attributes: str) -> tuple[str, ...]:
     """Words of class, id and role, and whether the element is hidden."""
@@ -62,63 +101,142 @@ def _marks(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
-def _close_through(stack: list[Element], names, barriers=()) -> None:
-    """Close the nearest element of ``names`` with all inside it, unless a barrier is nearer."""
-    for place in range(len(stack) - 1, -1, -1):
-        if stack[place].tag in names:
-            del stack[place:]
-            return
-        if stack[place].tag in barriers:
+class _Open:
+    """The open elements, found by their tags."""
+
+    def __init__(self):
+        self.elements: list[Element] = []
+        # Chains of the elements that count as ancestors, up to each open element.
+        self.chains: list[Chain | None] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.elements))
+        self.elements.append(element)
+        above = self.chain()
+        counts = element.tag not in INLINE or element.marks
+        self.chains.append(_chain(element, above) if counts else above)
+
+    def chain(self) -> Chain | None:
+        return self.chains[-1] if self.chains else None
+
+    def last(self, tags) -> int:
+        """The place of the innermost element with one of some tags; -1 for none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
+    def close(self, tags, barriers=()) -> None:
+        """Close the nearest element of ``tags`` with all inside it, unless a barrier is nearer."""
+        place = self.last(tags)
+        if place < 0 or place < self.last(barriers):
             return
+        for element in self.elements[place:]:
+            self.places[element.tag].pop()
+        del self.elements[place:], self.chains[place:]
+
+
+class _Tags:
+    """Markup of a page from left to right."""
+
+    def __init__(self, page: str):
+        self.page = page
+        # Set when a quote runs to the end of the page: from then on quotes mean nothing.
+        self.unquoted = False
+        # Set when no tag can end any more.
+        self.ended = False
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, closing, tag, attributes) of the next markup; no tag for comments."""
+        page = self.page
+        while not self.ended:
+            start = page.find("<", at)
+            if start < 0:
+                return None
+            following = page[start + 1:start + 2]
+            if following in ("!", "?"):
+                found = _COMMENT.match(page, start)
+                end = found.end() if found else page.find(">", start) + 1
+                if not end:
+                    self.ended = True
+                    return None
+                return start, end, False, "", ""
+            found = _TAG.match(page, start)
+            if not found:
+                at = start + 1
+                continue
+            quoted = None if self.unquoted else _QUOTED.match(page, found.end())
+            if quoted:
+                end = quoted.end()
+            else:
+                end = page.find(">", found.end()) + 1
+                if not end:
+                    self.ended = True
+                    return None
+                self.unquoted = True
+            return start, end, bool(found[1]), found[2].lower(), page[found.end():end - 1]
+        return None
+
+
+class _Raw:
+    """Ends of raw-text elements; a tag that does not end any more is looked for once."""
+
+    def __init__(self, page: str):
+        self.page, self.missing = page, set()
+
+    def end(self, tag: str, at: int) -> re.Match | None:
+        if tag in self.missing:
+            return None
+        found = re.compile(rf"</{tag}\s*>", re.I).search(self.page, at)
+        if not found:
+            self.missing.add(tag)
+        return found
 
 
 def text_blocks(page: str) -> Iterator[TextBlock]:
     """The non-empty leaf blocks of a page in order, character references decoded."""
-    stack: list[Element] = []
+    if len(_chains) > CHAINS:
+        _chains.clear()
+    stack, tags, raw = _Open(), _Tags(page), _Raw(page)
     parts: list[str] = []
     linked = 0
-    path: tuple[Element, ...] = ()
+    chain: Chain | None = None
     at, size = 0, len(page)
 
     def flush() -> TextBlock | None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
-        block = TextBlock(text, path, linked) if text else None
+        block = TextBlock(text, chain, linked) if text else None
         parts.clear()
         linked = 0
         return block
 
     def add(text: str) -> None:
-        nonlocal linked, path
+        nonlocal linked, chain
         if not text:
             return
-        if not parts or not path:
-            path = tuple(e for e in stack if e.tag not in INLINE or e.marks)
+        if not parts or chain is None:
+            chain = stack.chain()
         parts.append(text)
-        if any(e.tag == "a" for e in stack):
+        if stack.places.get("a"):
             linked += len(text.strip())
 
     while at < size:
-        found = _MARKUP.search(page, at)
+        found = tags.next(at)
         if not found:
             break
-        add(page[at:found.start()])
-        at = found.end()
-        if found[0].startswith("<![CDATA["):
-            add(html.escape(found[0][9:].removesuffix("]]>")))
-            continue
-        tag = found[2] or found[5]
+        start, end, closing, tag, attributes = found
+        add(page[at:start])
+        at = end
         if not tag:
+            if page.startswith("<![CDATA[", start):
+                add(html.escape(page[start + 9:end].removesuffix("]]>")))
             continue
-        tag = tag.lower()
-        closing = bool(found[1] or found[4])
         if tag in INLINE:
             if tag in ("img", "wbr"):
                 continue
             if closing:
-                _close_through(stack, {tag}, CLOSE_PARAGRAPH)
+                stack.close({tag}, CLOSE_PARAGRAPH)
             else:
-                stack.append(Element(tag, _marks(found[3] or found[6] or "")))
+                stack.push(Element(tag, _marks(attributes)))
             continue
         if tag == "br":
             add(" ")
@@ -126,31 +244,29 @@ def text_blocks(page: str) -> Iterator[TextBlock]:
         if (block := flush()) is not None:
             yield block
         if closing:
-            if any(e.tag == tag for e in stack):
-                _close_through(stack, {tag})
+            stack.close({tag})
             continue
         if tag in CLOSE_PARAGRAPH:
-            _close_through(stack, {"p"}, {"table", "td", "th", "button", "article", "div"})
+            stack.close({"p"}, {"table", "td", "th", "button", "article", "div"})
         if tag in CLOSES:
-            _close_through(stack, *CLOSES[tag])
-        attributes = found[3] or found[6] or ""
+            stack.close(*CLOSES[tag])
         if tag in VOID or attributes.rstrip().endswith("/") and tag in RAW:
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else size
+            close = raw.end(tag, at)
+            at = close.end() if close else size
             continue
         if tag in ("title", "textarea"):
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            stop = end.start() if end else size
-            stack.append(Element(tag, _marks(attributes)))
+            close = raw.end(tag, at)
+            stop = close.start() if close else size
+            stack.push(Element(tag, _marks(attributes)))
             add(page[at:stop])
             if (block := flush()) is not None:
                 yield block
-            stack.pop()
-            at = end.end() if end else size
+            stack.close({tag})
+            at = close.end() if close else size
             continue
-        stack.append(Element(tag, _marks(attributes)))
+        stack.push(Element(tag, _marks(attributes)))
     add(page[at:])
     if (block := flush()) is not None:
         yield block
