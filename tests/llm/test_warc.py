@@ -133,3 +133,30 @@ def test_empty_table(spark, staging):
     path = staging.path("warc")
     warc.write_pages(spark.createDataFrame([], PAGE), path, staging)
     assert warc.read_warc(spark, path).count() == 0
+
+
+def test_line_separators_in_addresses_change_no_header(spark, staging):
+    rows = [(1, "http://a/\u2028WARC-Type: revisit", "x"), (2, "http://a/\u0085b", "y"),
+            (3, "http://a/\u2029WARC-Record-ID: <urn:viewstar:page:9>", "z")]
+    path = staging.path("warc")
+    warc.write_pages(spark.createDataFrame(rows, PAGE), path, staging)
+    got = warc.read_warc(spark, path, "record_type = 'response'", verify=True).select(
+        warc.page_id("record_id").alias("id"), "target_uri").collect()
+    assert sorted(map(tuple, got)) == [(n, uri) for n, uri, _ in rows]
+
+
+def test_the_first_of_a_repeated_header_counts():
+    head = b"WARC/1.1\r\nWARC-Type: response\r\n more\r\nwarc-type: revisit\r\n odd\r\nA: 1\n\r\n"
+    assert warc.parse_headers(head) == {"warc-type": "response more", "a": "1"}
+
+
+@pytest.mark.parametrize("options", [{"payload": True}, {"payload": False},
+                                     {"payload": False, "where": "record_type = 'other'"}])
+@pytest.mark.parametrize("zipped", [False, True])
+def test_a_record_cut_short_is_an_error_however_it_is_read(spark, tmp_path, options, zipped):
+    whole = (b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\n"
+             b"Content-Length: 1000\r\n\r\nabc")
+    path = tmp_path / ("a.warc.gz" if zipped else "a.warc")
+    path.write_bytes(gzip.compress(whole) if zipped else whole)
+    with pytest.raises(Exception, match="cut short"):
+        warc.read_warc(spark, str(path), **options).collect()

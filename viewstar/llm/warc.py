@@ -143,18 +143,26 @@ def _read_head(source: io.BufferedIOBase) -> bytes:
 
 
 def parse_headers(head: bytes) -> dict[str, str]:
-    """Header names in lower case; a line that starts with white space goes on the last one."""
-    lines = head.decode("utf-8", "replace").splitlines()
+    """Header names in lower case; a line that starts with white space goes on the last one.
+
+    Lines end in CR LF or LF and nowhere else, whatever line separators a value holds; of a
+    repeated header the first counts.
+    """
+    lines = [line.removesuffix("\r") for line in head.decode("utf-8", "replace").split("\n")]
     if not lines[0].startswith("WARC/"):
         raise ValueError(f"not a record: {lines[0][:40]!r}")
     fields, name = {}, None
     for line in lines[1:]:
-        if line[:1] in (" ", "\t") and name:
-            fields[name] += " " + line.strip()
+        if line[:1] in (" ", "\t"):
+            if name:
+                fields[name] += " " + line.strip()
         elif ":" in line:
             name, _, value = line.partition(":")
             name = name.strip().lower()
-            fields[name] = value.strip()
+            if name in fields:
+                name = None
+            else:
+                fields[name] = value.strip()
     return fields
 
 
@@ -210,7 +218,13 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def records(self, source) -> Iterator[dict]:
+    def records(self, source, size: int | None = None) -> Iterator[dict]:
+        """The records of an open file; ``size`` is its length where seeking goes past the end."""
+        def skip(length: int) -> None:
+            target = source.tell() + length
+            if source.seek(length, io.SEEK_CUR) < target or size is not None and target > size:
+                raise ValueError(f"{row['record_id']} is cut short")
+
         while head := _read_head(source):
             fields = parse_headers(head)
             length = int(fields.get("content-length", -1))
@@ -221,7 +235,7 @@ class WarcReader(DataSourceReader):
                 if row[column]:
                     row[column] = row[column].strip("<>")
             if not self.wanted(row):
-                source.seek(length, io.SEEK_CUR)
+                skip(length)
                 continue
             row |= {"content_length": length, "payload": None, "payload_length": length}
             rest, http = length, (row["content_type"] or "").startswith("application/http")
@@ -246,7 +260,7 @@ class WarcReader(DataSourceReader):
                         raise ValueError(f"{row['record_id']} does not match its digest")
                 row["payload"] = payload if self.payload else None
             else:
-                source.seek(rest, io.SEEK_CUR)
+                skip(rest)
             yield row
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
@@ -257,11 +271,11 @@ class WarcReader(DataSourceReader):
                             for n, c in zip(names, SCHEMA.split(", "))])
         for path in partition.paths:
             with system.open_input_file(path) as file:
-                source = io.BufferedReader(file, 1 << 20)
+                source, size = io.BufferedReader(file, 1 << 20), file.size()
                 if path.endswith(".gz"):
-                    source = gzip.GzipFile(fileobj=source)
+                    source, size = gzip.GzipFile(fileobj=source), None
                 rows, held = [], 0
-                for row in self.records(source):
+                for row in self.records(source, size):
                     rows.append(row)
                     held += len(row["payload"] or b"")
                     if len(rows) >= BATCH_ROWS or held > 8 << 20:
