@@ -58,7 +58,7 @@ def test_whole_query_equals_the_library(spark, small, pieces):
 
 
 def test_defined_cases(spark, documents, pieces, monkeypatch):
-    monkeypatch.setattr(v, "CACHE_STRETCHES", 10)
+    monkeypatch.setattr(v, "CACHE_BYTES", 2000)
     rows = [(1, None), (2, ""), (3, " "), (4, "\n"), (5, LONG), (6, LONG_WORD), (7, "a"),
             (7, "a"), (None, " a  b ")]
     got = [tuple(r) for r in v.token_counts(
@@ -68,3 +68,20 @@ def test_defined_cases(spark, documents, pieces, monkeypatch):
     assert v.token_counts(documents([]), PATH).count() == 0
     with pytest.raises(ValueError):
         v.Counter({"a▁b": -1.0})
+
+
+def test_remembered_stretches_are_bounded_by_bytes():
+    from viewstar.llm import viterbi_counts as v
+    counter = v.Counter({"a": -1.0, "ab": -1.5, v.BLANK: -2.0})
+    long = ["ab" * 2500 + str(n) for n in range(300)]
+    want = [counter.count(text) for text in long]
+    assert counter.held == 0 and not counter.blank
+    limit, v.CACHE_BYTES = v.CACHE_BYTES, 50_000
+    try:
+        counts = [counter.count(f"x{n} ab") for n in range(2000)]
+        assert counter.held <= 51_000 and len(counter.blank) < 300
+    finally:
+        v.CACHE_BYTES = limit
+    assert counts == [v.Counter({"a": -1.0, "ab": -1.5, v.BLANK: -2.0}).count(f"x{n} ab")
+                      for n in range(2000)]
+    assert want == [counter.count(text) for text in long]

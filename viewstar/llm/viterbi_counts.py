@@ -30,8 +30,11 @@ from pyspark.sql import DataFrame
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Stretches a worker remembers; beyond that it starts anew.
-CACHE_STRETCHES = 1_000_000
+#: Bytes of stretches a worker remembers, with what a dictionary takes; beyond that it starts anew.
+CACHE_BYTES = 256 << 20
+ENTRY_BYTES = 200
+#: A longer stretch is not kept.
+CACHE_CHARS = 256
 
 _STRETCH = re.compile(" +[^ ]+| +")
 
@@ -51,6 +54,13 @@ class Counter:
         self.byte_fallback = byte_fallback
         self.blank: dict[str, int] = {}
         self.bare: dict[str, int] = {}
+        self.held = 0
+
+    def _keep(self, known: dict[str, int], stretch: str, count: int) -> int:
+        if len(stretch) <= CACHE_CHARS:
+            known[stretch] = count
+            self.held += ENTRY_BYTES + 4 * len(stretch)
+        return count
 
     def pieces(self, stretch: str) -> int:
         """Pieces on the best path through a stretch."""
@@ -94,7 +104,7 @@ class Counter:
         """A stretch at the start of a line: no blank before it."""
         known = self.bare.get(stretch)
         if known is None:
-            known = self.bare[stretch] = self.pieces(stretch.replace(" ", BLANK))
+            known = self._keep(self.bare, stretch, self.pieces(stretch.replace(" ", BLANK)))
         return known
 
     def __getitem__(self, stretch: str) -> int:
@@ -107,15 +117,16 @@ class Counter:
                 known = self[first] + sum(1 + (self._bare(part) if part else 0) for part in rest)
             else:
                 known = self.pieces(BLANK + stretch.replace(" ", BLANK))
-            self.blank[stretch] = known
+            self._keep(self.blank, stretch, known)
         return known
 
     def count(self, text: str) -> int:
         if not text:
             return 0
-        if len(self.blank) + len(self.bare) > CACHE_STRETCHES:
+        if self.held > CACHE_BYTES:
             self.blank.clear()
             self.bare.clear()
+            self.held = 0
         if "  " in text or text[0] == " " or text[-1] == " ":
             stretches = [found[1:] for found in _STRETCH.findall(" " + text)]
         else:
