@@ -161,3 +161,43 @@ def test_rounds_go_on_until_no_pair_is_frequent():
     # A passage is one symbol in the end, and its copies share it.
     ids, first = g._with_end(np.tile(passage, 40).astype(np.uint32), np.array([0, 120_000]), 2)
     assert len(g.compress(ids, first)[2]) < 40
+
+
+def test_symbols_of_more_than_three_bytes():
+    ids = np.array([7, 8] * 6 + [9], np.uint32)
+    big = (1 << 24) + 5
+    for vocabulary, magic in ((100, g.MAGIC), (big, g.WIDE)):
+        payload = g.pack(ids, np.array([0, 6, 13]), vocabulary)
+        assert payload[:4] == magic
+        block = g.Block(payload)
+        assert len(block.left) and [d.tolist() for d in block.documents()] == [
+            ids[:6].tolist(), ids[6:].tolist()]
+
+
+def test_order_of_files_is_kept(spark, tmp_path):
+    """Small files that share tasks, and files cut over several tasks."""
+    rows = [(n * 37 % 1000, f"text {n} " * (n % 9 * 300)) for n in range(1000)]
+    for number in range(4):
+        spark.createDataFrame(rows[number * 250:number * 250 + 250], "doc_id long, text string"
+                              ).coalesce(1).write.option("parquet.block.size", 20_000).mode(
+            "append").parquet(str(tmp_path / f"p{number}"))
+    import os
+    import shutil
+    os.mkdir(tmp_path / "all")
+    for number in range(4):
+        name, = [f for f in os.listdir(tmp_path / f"p{number}") if f.endswith(".parquet")]
+        shutil.copy(tmp_path / f"p{number}" / name, tmp_path / "all" / f"part-{number:05d}.parquet")
+    for size in ("128m", "30k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            path = str(tmp_path / f"ids{size}")
+            g.write_ids(spark.read.parquet(str(tmp_path / "all")), path, PATH,
+                        in_file_order=True)
+            blocks = g.open_blocks(spark, path)
+            got = g.read_documents(blocks).orderBy("start").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert [r.doc_id for r in got] == [d for d, _ in rows]
+        assert got[-1].start == sum(r.n_tokens for r in got[:-1])
+        shards = blocks.select("shard").distinct().count()
+        assert shards == 4 if size == "128m" else shards > 4

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from viewstar.llm.bpe import encoder
@@ -41,8 +42,9 @@ RULES_PER_ROUND = 1 << 14
 #: A rule takes three numbers in the file, so a rarer pair would not pay.
 MIN_COUNT = 4
 
-MAGIC = b"VSG1"
-BLOCKS = ("shard int, block int, before long, n_tokens long, doc_ids array<long>, "
+#: Blocks whose symbols take three bytes, and four.
+MAGIC, WIDE = b"VSG1", b"VSG2"
+BLOCKS = ("shard string, block int, before long, n_tokens long, doc_ids array<long>, "
           "payload binary")
 _SLOTS = 20
 
@@ -150,8 +152,10 @@ def pack(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY) -> by
     left, right, symbols, heads = compress(ids, first, vocabulary)
     lengths = _expansion_lengths(left, right, vocabulary)[vocabulary:]
     numbers = np.array([vocabulary, len(left), len(symbols), len(heads), len(ids)], "<u4")
-    planes = symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
-    return b"".join([MAGIC, numbers.tobytes(), *[
+    # Three bytes a symbol, four where one block has so many rules.
+    wide = vocabulary + len(left) > 1 << 24
+    planes = symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :4 if wide else 3].T
+    return b"".join([WIDE if wide else MAGIC, numbers.tobytes(), *[
         part.astype("<u4").tobytes() for part in (left, right, lengths, heads, first[:-1])],
         np.ascontiguousarray(planes).tobytes()])
 
@@ -160,16 +164,17 @@ class Block:
     """A payload opened for reading."""
 
     def __init__(self, payload: bytes):
-        if payload[:4] != MAGIC:
+        if payload[:4] not in (MAGIC, WIDE):
             raise ValueError("not a block of grammar-compressed ids")
         self.vocabulary, rules, symbols, documents, self.n_tokens = np.frombuffer(
             payload, "<u4", 5, 4).tolist()
         body = np.frombuffer(payload, "<u4", 3 * rules + 2 * documents, 24).astype(np.int64)
         self.left, self.right, self.lengths, self.heads, self.first = np.split(
             body, [rules, 2 * rules, 3 * rules, 3 * rules + documents])
-        planes = np.frombuffer(payload, np.uint8, 3 * symbols, 24 + 4 * len(body))
+        bytes_ = 4 if payload[:4] == WIDE else 3
+        planes = np.frombuffer(payload, np.uint8, bytes_ * symbols, 24 + 4 * len(body))
         wide = np.zeros((symbols, 4), np.uint8)
-        wide[:, :3] = planes.reshape(3, symbols).T
+        wide[:, :bytes_] = planes.reshape(bytes_, symbols).T
         self.symbols = wide.reshape(-1).view("<u4").astype(np.int64)
         self._every = np.concatenate((np.ones(self.vocabulary, np.int64), self.lengths))
 
@@ -215,14 +220,20 @@ def _with_end(ids: np.ndarray, first: np.ndarray, end_id: int):
 
 def _encode(path: str, end_id: int, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId()
+        shard = f"{TaskContext.get().partitionId():09d}"
         block = before = 0
-        for batch in batches:
+        last = None
+        for batch, file, row in _file_runs(batches):
+            if file is not None:
+                if last is None or last[0] != file or last[1] != row:
+                    # Files are cut and dealt to tasks in any order; names and rows tell theirs.
+                    shard, block, before = f"{file}#{row:019d}", 0, 0
+                last = (file, row + len(batch))
             for start, end in row_chunks(batch.column("text"), BLOCK_BYTES):
                 rows = batch.slice(start, end - start)
                 ids, first = _with_end(*encoder(path).encode(rows.column("text")), end_id)
                 yield pa.record_batch({
-                    "shard": pa.array([shard], pa.int32()),
+                    "shard": pa.array([shard], pa.string()),
                     "block": pa.array([block], pa.int32()),
                     "before": pa.array([before], pa.int64()),
                     "n_tokens": pa.array([len(ids)], pa.int64()),
@@ -233,16 +244,48 @@ def _encode(path: str, end_id: int, vocabulary: int):
     return run
 
 
+def _file_runs(batches: Iterator[pa.RecordBatch]):
+    """(rows, file, row of the first in it) for rows that follow each other in one file; no
+    file for rows that do not say where they come from."""
+    for batch in batches:
+        if "file" not in batch.schema.names:
+            yield batch, None, 0
+            continue
+        rows = batch.column("row").to_numpy()
+        files = batch.column("file").dictionary_encode().indices.to_numpy()
+        cuts = np.flatnonzero((files[1:] != files[:-1]) | (rows[1:] != rows[:-1] + 1)) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)]):
+            if end > start:
+                yield (batch.slice(start, end - start), batch.column("file")[start].as_py(),
+                       int(rows[start]))
+
+
+def _in_files(docs: DataFrame) -> DataFrame | None:
+    """``docs`` with the file and the row each comes from; None if it is not read from files."""
+    try:
+        return docs.select(F.col("doc_id").cast("long"), "text",
+                           F.col("_metadata.file_name").alias("file"),
+                           F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:
+        return None
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
-              vocabulary: int = VOCABULARY) -> None:
-    """Encode ``docs`` in ascending order of doc_id and write the blocks to ``path``."""
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(
-        "doc_id").sortWithinPartitions("doc_id", "text")
+              vocabulary: int = VOCABULARY, in_file_order: bool = False) -> None:
+    """Encode ``docs`` in ascending order of doc_id and write the blocks to ``path``.
+
+    ``in_file_order`` keeps the order of the files that ``docs`` is read from, by name, and of
+    the rows in them, such as a stage before has written it; no row moves.
+    """
+    ordered = _in_files(docs) if in_file_order else None
+    if ordered is None:
+        ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(
+            "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_encode(tokenizer, end_id, vocabulary), BLOCKS).write.option(
         "compression", "zstd").parquet(path)
 
 
-DOCUMENTS = "doc_id long, shard int, place long, n_tokens long, ids_crc32 long"
+DOCUMENTS = "doc_id long, shard string, place long, n_tokens long, ids_crc32 long"
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +295,7 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             documents = list(block.documents())
             yield pa.record_batch({
                 "doc_id": batch.column("doc_ids")[row].values,
-                "shard": pa.array([batch.column("shard")[row].as_py()] * len(block), pa.int32()),
+                "shard": pa.array([batch.column("shard")[row].as_py()] * len(block), pa.string()),
                 "place": pa.array(block.first + batch.column("before")[row].as_py(), pa.int64()),
                 "n_tokens": pa.array([len(d) for d in documents], pa.int64()),
                 "ids_crc32": pa.array([zlib.crc32(d.astype("<u4").tobytes())
@@ -267,7 +310,7 @@ def read_documents(blocks: DataFrame) -> DataFrame:
     """One row per document of the files: doc_id, start, n_tokens, ids_crc32.
 
     A block knows the ids before it in its shard, so only the shards' totals are summed: one
-    row per range partition, whatever the number of documents.
+    row per range partition or part of a file, whatever the number of documents.
     """
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(
         Window.unboundedPreceding, -1)
