@@ -45,8 +45,11 @@ HASHES = 64
 STEP = 16
 TOLERANCE = 1e-7
 BLOCK = 256
-#: Rows that a group of small buckets holds on average.
+#: Shingle bytes that a block holds on average, at most.
+BLOCK_BYTES = 64 << 20
+#: Rows, and shingle bytes, that a group of small buckets holds on average, at most.
 PACK = 4000
+PACK_BYTES = 64 << 20
 #: Buckets of a fixed-size filter by which documents outside all clusters are left out early.
 FILTER_BUCKETS = 1 << 20
 
@@ -120,13 +123,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "signature": pa.array([row.tobytes() for row in signatures], pa.binary())})
 
 
-def _spread(members: DataFrame, size: str, key: str) -> DataFrame:
+def _spread(members: DataFrame, key: str) -> DataFrame:
     """Rows of ``members`` with a column ``cell`` for each pair of blocks they take part in.
 
-    A bucket of ``size`` rows has ceil(size / BLOCK) blocks; the node's hash gives its block.
+    A bucket has as many blocks as the column ``blocks`` says; the node's hash gives its block.
     """
-    blocks = F.ceil(F.col(size) / F.lit(BLOCK)).cast("long")
-    return members.withColumn("blocks", blocks).withColumn(
+    return members.withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks"))
     ).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     ).withColumn("cell", F.xxhash64(
@@ -135,9 +137,10 @@ def _spread(members: DataFrame, size: str, key: str) -> DataFrame:
     ).withColumn("same", F.col("block") == F.col("other"))
 
 
-def _packed(cells: DataFrame, rows: int) -> DataFrame:
-    """Cells dealt into packs of about ``PACK`` rows; a cell stays whole, two blocks at most."""
-    packs = max(1, rows // PACK)
+def _packed(cells: DataFrame, rows: int, size: int = 0) -> DataFrame:
+    """Cells dealt into packs of about ``PACK`` rows, or ``PACK_BYTES`` bytes where ``size`` tells
+    those of all; a cell stays whole, two blocks at most."""
+    packs = max(1, rows // PACK, size // PACK_BYTES)
     return cells.withColumn("pack", F.pmod(F.xxhash64("cell"), F.lit(packs)))
 
 
@@ -300,8 +303,9 @@ def _candidate_edges(nodes: DataFrame, staging: Staging) -> DataFrame:
     keyed = nodes.where("n_shingles > 0").select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     members = staging.table(keyed.join(shared, "key"), "members")
-    cells = _spread(members, "members", "key")
-    rows = members.agg(F.sum(F.ceil(F.col("members") / BLOCK))).first()[0] or 0
+    members = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("long"))
+    cells = _spread(members, "key")
+    rows = members.agg(F.sum("blocks")).first()[0] or 0
     signed = cells.join(nodes.select("node", "signature"), "node").select(
         "cell", "low", "same", "node", "signature")
     return staging.table(_packed(signed, rows).groupBy("pack").applyInArrow(
@@ -338,15 +342,19 @@ def near_duplicates(docs: DataFrame, staging: Staging) -> DataFrame:
     nodes = staging.table(nodes, "nodes")
 
     clusters = components(_candidate_edges(nodes, staging), staging)
+    clustered = staging.table(clusters.join(
+        nodes.select("node", "copy_id", "signature", "n_shingles"), "node"), "clustered")
     # Sizes by root first, so that a large cluster is one row on the side that is joined.
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("members"))
-    clustered = staging.table(clusters.join(sizes, "root").join(
-        nodes.select("node", "copy_id", "signature"), "node"), "clustered")
+    bytes_ = F.col("n_shingles") * 8
+    sizes = clustered.groupBy("root").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(bytes_) / BLOCK_BYTES)).cast("long").alias(
+        "blocks"))
+    sized = clustered.join(sizes, "root")
     sets = _sets_of(docs, clustered.select("node", F.col("copy_id").alias("doc_id")), staging)
-    rows = clustered.agg(F.sum(F.ceil(F.col("members") / BLOCK))).first()[0] or 0
-    cells = _spread(clustered.join(sets, "node"), "members", "root").select(
+    rows, size = sized.agg(F.sum("blocks"), F.sum(bytes_ * F.col("blocks"))).first()
+    cells = _spread(sized.join(sets, "node"), "root").select(
         "cell", "low", "same", "node", "signature", "shingles")
-    found = staging.table(_packed(cells, rows).groupBy("pack").applyInArrow(
+    found = staging.table(_packed(cells, rows or 0, size or 0).groupBy("pack").applyInArrow(
         _verified, "a binary, b binary, links long"), "verified")
 
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(
