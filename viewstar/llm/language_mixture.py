@@ -162,16 +162,21 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sample(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS,
            languages: int = MAX_LANGUAGES) -> DataFrame:
-    """Texts and languages to learn from: the first ``rows`` of each language in hash order.
+    """Texts and languages to learn from: at most ``rows`` of each language, by hashes of ids.
 
-    The ids are chosen without their texts; each task passes on ``rows`` of a language at most.
+    The ids are chosen without their texts.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).where(
         ~held_out("doc_id") & (F.length("text") <= chars)).select("doc_id", "lang")
     common = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), "lang").limit(languages).select("lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.join(F.broadcast(common), "lang").withColumn(
+        F.desc("n"), "lang").limit(languages)
+    hashed = F.xxhash64("doc_id")
+    order = Window.partitionBy("lang").orderBy(hashed, "doc_id")
+    # Of a language with many rows those with low hashes, some more than needed, so that no
+    # task ranks a language whole.
+    share = F.lit(2.0 * rows) / F.col("n")
+    low = (F.pmod(hashed, F.lit(1 << 20)) / (1 << 20)) < share
+    chosen = known.join(F.broadcast(common), "lang").where(low).drop("n").withColumn(
         "place", F.row_number().over(order)).where(F.col("place") <= rows)
     chosen = chosen.select("doc_id", "lang").distinct()
     return docs.select("doc_id", "lang", "text").where(F.length("text") <= chars).join(
