@@ -305,6 +305,10 @@ def oracle_sql() -> dict[str, str]:
             CAST(sum(view_count) AS BIGINT) AS total_views, TRUE AS close
             FROM ft JOIN dr ON ft.referrer_key = dr.referrer_key
             GROUP BY referrer_type, referrer_domain""",
+        "devices_between": f"""WITH {VIEWS} SELECT product_id,
+            count(DISTINCT device_id) AS devices, TRUE AS close FROM pv
+            WHERE substr(local_time, 1, 10) BETWEEN '2024-01-06' AND '2024-01-15'
+            GROUP BY product_id""",
         "row_counts": f"""{STAR} SELECT 'dim_date' AS table_name, count(*) AS count FROM dd
             UNION ALL SELECT 'dim_product', count(*) FROM dp
             UNION ALL SELECT 'dim_country', count(*) FROM dc
@@ -373,6 +377,7 @@ def oracle_sql() -> dict[str, str]:
         # whole jobs
         "write_partition_overwrite": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_replace": f"{TEXT_PIPELINE} {NATURAL_FACT}",
+        "write_bucketed_dimensions": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_interrupted": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_two_runs": f"{TEXT_PIPELINE} {NATURAL_FACT}",
         "write_hash_keys": f"{TEXT_PIPELINE} {NATURAL_FACT}",

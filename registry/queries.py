@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import datetime
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -15,18 +16,19 @@ from viewstar.functions.documents import (
     with_document)
 from viewstar.functions.times import event_date
 from viewstar.functions.urls import url_country
-from viewstar.operators import dimensions, facts, ingest, quality
+from viewstar.operators import dimensions, facts, ingest, quality, sketches
 from viewstar.operators.members import distinct_members
 from viewstar.operators.numbering import (
     dense_keys, hash_collisions, hash_keys, incremental_keys, number_rows)
 from viewstar.operators.quality import verify_star
+from viewstar.operators.sketches import distinct_devices
 from viewstar.plans import marts
 from viewstar.plans.star import build_star, star_frames
 from viewstar.schemas import (
     DIM_PRODUCT, ENVELOPE, EVENT_FIELDS, FACT_KEYS, FACT_PRODUCT_VIEWS, NATURAL_KEYS, TABLES)
 from viewstar.sources.landing import (
     empty_events, events_of, landing_table, latest_landed_day)
-from viewstar.sources.warehouse import read_star, read_table
+from viewstar.sources.warehouse import read_sketches, read_star, read_table
 from viewstar.staging import Staging
 from viewstar.streaming.bridge import bridge_next, start_bridge, to_folder
 from viewstar.streaming.landing import compact, land_batch, land_next, start_landing
@@ -484,6 +486,39 @@ def write_replace(spark, sf_dir):
     return natural_fact(spark, warehouse)
 
 
+def write_bucketed_dimensions(spark, sf_dir):
+    """Two runs that write their dimensions in many buckets, not as many in both."""
+    warehouse = Staging(spark).path("warehouse")
+    events = as_text(t.product_views(spark, sf_dir).select(*EVENT_FIELDS))
+    early = F.col("local_time") < t.SECOND_BATCH
+    build_star(events.filter(early), warehouse, latest_only=False, bucket_members=4)
+    build_star(events.filter(~early), warehouse, latest_only=False, bucket_members=2)
+    return natural_fact(spark, warehouse)
+
+
+def devices_between(spark, sf_dir):
+    """Distinct devices per product over ten dates from kept sketches, held against the fact.
+
+    Two runs keep the sketches; ``devices`` is the exact count, ``close`` says whether the
+    estimate is within three standard errors.
+    """
+    warehouse = Staging(spark).path("warehouse")
+    events = t.product_views(spark, sf_dir)
+    first, last = datetime.date(2024, 1, 6), datetime.date(2024, 1, 15)
+    for part in (F.col("local_time") < t.SECOND_BATCH, F.col("local_time") >= t.SECOND_BATCH):
+        build_star(events.filter(part), warehouse, latest_only=False, strict=False, sketches=True)
+    star = read_star(spark, warehouse)
+    exact = star["fact_product_views"].filter(F.col("date_key").between(20240106, 20240115)).join(
+        star["dim_product"].select("product_key", "product_id"), "product_key").groupBy(
+        "product_id").agg(F.count_distinct("device_key").alias("devices"))
+    rough = distinct_devices(read_sketches(spark, warehouse, first, last), star["dim_product"],
+                             "dim_product", "product_id")
+    error = F.abs(F.col("distinct_devices") - F.col("devices"))
+    return exact.join(rough, "product_id").select(
+        "product_id", "devices",
+        (error <= 3 * sketches.ERROR * F.col("devices") + 1).alias("close"))
+
+
 class Stopped(Exception):
     """A run that was stopped on purpose."""
 
@@ -723,6 +758,7 @@ def queries() -> dict[str, Query]:
         "traffic_sources_latest": _traffic_sources(latest_only=True),
         "traffic_sources_shipped": traffic_sources_shipped,
         "traffic_sources_approximate": traffic_sources_approximate,
+        "devices_between": devices_between,
         "row_counts": lambda s, d: marts.row_counts(star(s, d)),
         # URL and user-agent functions
         "url_country": url_countries,
@@ -746,6 +782,7 @@ def queries() -> dict[str, Query]:
         # whole jobs
         "write_partition_overwrite": write_partition_overwrite,
         "write_replace": write_replace,
+        "write_bucketed_dimensions": write_bucketed_dimensions,
         "write_interrupted": write_interrupted,
         "write_two_runs": write_two_runs,
         "write_hash_keys": write_hash_keys,

@@ -5,6 +5,7 @@
     spark-submit viewstar_job.py star   --landing …/landing --warehouse …/warehouse
     spark-submit viewstar_job.py refresh --landing … --warehouse … --checkpoint …/ck2
     spark-submit viewstar_job.py report --warehouse …/warehouse --name traffic_sources
+    spark-submit viewstar_job.py devices --warehouse … --by product --from 2024-01-01 --to 2024-06-30
     spark-submit viewstar_job.py audit  --warehouse …/warehouse
     spark-submit viewstar_job.py export --warehouse …/warehouse --url jdbc:… --jdbc user=…
     spark-submit viewstar_job.py report --url jdbc:… --jdbc user=… --name top_countries
@@ -21,12 +22,14 @@ the first.
 from __future__ import annotations
 
 import argparse
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from viewstar.functions.documents import as_text, configure
 from viewstar.operators.quality import verify_star
+from viewstar.operators.sketches import distinct_devices
 from viewstar.plans import marts
 from viewstar.plans.star import StarRun, build_star
 from viewstar.schemas import TABLES
@@ -35,7 +38,7 @@ from viewstar.sinks.jdbc import CONNECTIONS, write_jdbc_star
 from viewstar.sources.kafka import topic_stream, topic_table
 from viewstar.sources.landing import (
     document_store, events_of, landing_table, latest_landed_day)
-from viewstar.sources.warehouse import read_jdbc_star, read_star
+from viewstar.sources.warehouse import read_jdbc_star, read_sketches, read_star, read_table
 from viewstar.staging import Staging
 from viewstar.streaming.bridge import bridge_next, start_bridge, to_folder, to_topic
 from viewstar.streaming.landing import compact, land_next, start_landing
@@ -84,7 +87,8 @@ def run_star(spark: SparkSession, args: argparse.Namespace) -> StarRun:
         day = None if args.all_dates else latest_landed_day(spark, args.landing)
     return build_star(events, args.warehouse, latest_only=not args.all_dates,
                       replace=args.replace, strict=not args.quarantine,
-                      hash_keys=args.hash_keys, batch_id=args.batch_id, day=day)
+                      hash_keys=args.hash_keys, batch_id=args.batch_id, day=day,
+                      sketches=args.sketches)
 
 
 def run_audit(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -105,7 +109,8 @@ def run_store(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_refresh(spark: SparkSession, args: argparse.Namespace) -> None:
     start_star_refresh(spark, args.landing, args.warehouse, args.checkpoint,
-                       strict=args.strict, trigger=_trigger(args)).awaitTermination()
+                       strict=args.strict, trigger=_trigger(args),
+                       sketches=args.sketches).awaitTermination()
 
 
 def report(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
@@ -124,12 +129,34 @@ def report_of(star: dict[str, DataFrame], name: str) -> DataFrame:
     return reports[name]()
 
 
+#: What distinct devices may be counted by: the dimension and its columns.
+DEVICES_BY = {"product": ("dim_product", "product_id", "product_name"),
+              "country": ("dim_country", "country_name", "region"),
+              "referrer": ("dim_referrer", "referrer_type", "referrer_domain")}
+
+
+def devices(spark: SparkSession, warehouse: str, by: str, first: datetime.date,
+            last: datetime.date) -> DataFrame:
+    """Distinct devices of some dates, from the sketches kept of them."""
+    version = Versions(spark, warehouse).current()
+    table, *columns = DEVICES_BY[by]
+    return distinct_devices(read_sketches(spark, warehouse, first, last, version),
+                            read_table(spark, warehouse, table, version), table, *columns)
+
+
+def run_devices(spark: SparkSession, args: argparse.Namespace) -> None:
+    _show(devices(spark, args.warehouse, args.by, args.first, args.last), args.output)
+
+
 def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
     star = (read_jdbc_star(spark, args.url, dict(args.jdbc), args.schema) if args.url
             else read_star(spark, args.warehouse))
-    rows = report_of(star, args.name)
-    if args.output:
-        rows.write.mode("overwrite").parquet(args.output)
+    _show(report_of(star, args.name), args.output)
+
+
+def _show(rows: DataFrame, output: str | None) -> None:
+    if output:
+        rows.write.mode("overwrite").parquet(output)
     else:
         print(*rows.columns, sep="\t")
         for row in rows.toLocalIterator():
@@ -177,14 +204,14 @@ def parser() -> argparse.ArgumentParser:
         topic=True)
     job("land", run_landing, ("topic", "landing"), stream=True, topic=True)
     star = job("star", run_star, ("warehouse",),
-               ("all-dates", "replace", "quarantine", "hash-keys"))
+               ("all-dates", "replace", "quarantine", "hash-keys", "sketches"))
     place = star.add_mutually_exclusive_group(required=True)
     place.add_argument("--landing")
     place.add_argument("--uri", help="a document store, with --database and --collection")
     star.add_argument("--database")
     star.add_argument("--collection")
     star.add_argument("--batch-id")
-    job("refresh", run_refresh, ("landing", "warehouse"), ("strict",), stream=True)
+    job("refresh", run_refresh, ("landing", "warehouse"), ("strict", "sketches"), stream=True)
     shown = job("report", run_report)
     place = shown.add_mutually_exclusive_group(required=True)
     place.add_argument("--warehouse")
@@ -194,6 +221,11 @@ def parser() -> argparse.ArgumentParser:
     shown.add_argument("--name", required=True, choices=(
         "views_by_date_product", "top_countries", "traffic_sources", "row_counts"))
     shown.add_argument("--output")
+    counted_ = job("devices", run_devices, ("warehouse",))
+    counted_.add_argument("--by", required=True, choices=tuple(DEVICES_BY))
+    counted_.add_argument("--from", dest="first", type=datetime.date.fromisoformat, required=True)
+    counted_.add_argument("--to", dest="last", type=datetime.date.fromisoformat, required=True)
+    counted_.add_argument("--output")
     job("audit", run_audit, ("warehouse",))
     export = job("export", run_export, ("warehouse", "url"))
     export.add_argument("--jdbc", type=_pair, action="append", default=[],

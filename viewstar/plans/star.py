@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from viewstar.functions.times import date_key, event_date
+from viewstar.operators.buckets import MEMBERS, bucket_count, touched
 from viewstar.operators.dimensions import COLUMNS, device_agents, dim_date
 from viewstar.operators.facts import (
     fact_by_lookup, fact_from_grain, fact_from_hash_keys, hash_keyed_grain, keyed_grain,
@@ -24,8 +25,8 @@ from viewstar.operators.quality import (
     ConstraintViolation, duplicate_keys, strict as fail_on_any, too_long, violations)
 from viewstar.schemas import NATURAL_KEYS, TABLES
 from viewstar.sinks.warehouse import (
-    GRAIN, write_dimension, write_fact, write_grain, write_rejected)
-from viewstar.sources.warehouse import read_table
+    GRAIN, SKETCHES, write_dimension, write_fact, write_grain, write_rejected, write_sketches)
+from viewstar.sources.warehouse import read_members, read_table
 from viewstar.staging import Staging
 from viewstar.versions import ATTEMPTS, Conflict, Version, Versions, new_run
 
@@ -63,7 +64,8 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
                replace: bool = False, strict: bool = True, url_limit: int | None = None,
                hash_keys: bool = False, batch_id: str | None = None,
                today: Column | None = None, day: datetime.date | None = None,
-               before: Callable[[str], None] | None = None) -> StarRun:
+               before: Callable[[str], None] | None = None,
+               bucket_members: int = MEMBERS, sketches: bool = False) -> StarRun:
     """Build the star from ``events`` and make it the warehouse's next version.
 
     By default the run accumulates: stored members keep their keys, new ones are added,
@@ -87,7 +89,9 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
     two members or two rows of the fact share a key. A run with the other sort of keys than
     the warehouse holds fails too, either way.
 
-    ``before`` is called with the name of each step before it begins.
+    ``before`` is called with the name of each step before it begins. ``bucket_members`` is how
+    many new members of a dimension share a bucket. ``sketches`` keeps sketches of the devices of
+    each date and key (``operators.sketches``); a run without leaves its dates without.
     """
     def take(staging: Staging, base: Version | None):
         keyed = hash_keyed_grain if hash_keys else keyed_grain
@@ -96,14 +100,15 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
             lambda part: keyed(view_grain(part), staging), day)
 
     options = _Options(warehouse, replace, strict, url_limit, hash_keys,
-                       batch_id or f"run-{uuid.uuid4().hex}", before or (lambda step: None))
+                       batch_id or f"run-{uuid.uuid4().hex}", before or (lambda step: None),
+                       bucket_members=bucket_members, sketches=sketches)
     return _until_committed(events, take, options)
 
 
 def merge_star(events: DataFrame, warehouse: str, stream: str, batch: int,
                events_of_dates: Callable[[list[datetime.date]], DataFrame],
                strict: bool = False, hash_keys: bool = False,
-               batch_id: str | None = None) -> StarRun:
+               batch_id: str | None = None, sketches: bool = False) -> StarRun:
     """Add a batch of events to the star: every date it touches gets the views of both.
 
     The combined views of each date are kept beside the fact. Those of the touched dates are
@@ -138,7 +143,8 @@ def merge_star(events: DataFrame, warehouse: str, stream: str, batch: int,
         return keyed, all_members(keyed, KINDS)
 
     options = _Options(warehouse, False, strict, None, hash_keys,
-                       batch_id or f"{stream}-{batch}", lambda step: None, (stream, batch), True)
+                       batch_id or f"{stream}-{batch}", lambda step: None, (stream, batch), True,
+                       sketches=sketches)
     return _until_committed(events, take, options)
 
 
@@ -153,6 +159,8 @@ class _Options:
     before: Callable[[str], None]
     batch: tuple[str, int] | None = None
     keep_grain: bool = False
+    bucket_members: int = MEMBERS
+    sketches: bool = False
 
 
 def _until_committed(events: DataFrame, take, options: _Options) -> StarRun:
@@ -221,7 +229,9 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
             options.before(name)
             started.append(name)
             run.written[name], run.rejected[name] = write_dimension(
-                checked[name], warehouse, name, name_of_run, options.strict)
+                checked[name], warehouse, name, name_of_run, options.strict,
+                1 if name == "dim_date" else bucket_count(
+                    new[kinds[name]].count, options.bucket_members))
             tables[name].append(f"{name}/run={name_of_run}")
             if run.rejected[name]:
                 write_rejected(checked[name], warehouse, name, batch_id)
@@ -251,8 +261,15 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
                 started.append(GRAIN)
                 write_grain(grain.withColumn("date_key", date_key("date")).select(
                     "date_key", *_grain_schema().names), warehouse, name_of_run)
+            if options.sketches:
+                options.before(SKETCHES)
+                started.append(SKETCHES)
+                # From what was written: the rows that hold, without the work that made them.
+                write_sketches(versions.read(
+                    FACT, TABLES[FACT].struct(), versions.written(FACT, name_of_run)),
+                    warehouse, name_of_run)
             days = {date_name(row.date) for row in grain.select("date").distinct().collect()}
-            for name in (FACT, GRAIN):
+            for name in (FACT, GRAIN, SKETCHES):
                 old = {} if replace or not base else base.partitions(name)
                 tables[name] = [folder for day, folders in old.items() for folder in folders
                                 if day not in days] + versions.written(name, name_of_run)
@@ -265,7 +282,7 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
 
 
 def _ledger(old: dict, options: _Options, highest: dict[str, int], new: dict[str, Group]) -> dict:
-    batches = {} if options.replace else dict(old.get("batches", {}))
+    batches = dict(old.get("batches", {}))
     if options.batch:
         batches[options.batch[0]] = options.batch[1]
     return {"hash_keys": options.hash_keys, "batches": batches, "highest": {
@@ -326,8 +343,10 @@ def _hashed(members: DataFrame, warehouse: str, base: Version | None, staging: S
     fresh = keyed.filter(F.col("kind") != DATE_KIND).select("kind", "_number")
     fail_on_any(duplicate_keys(fresh, ["kind", "_number"]), "hash key collision")
     if base:
+        # Equal hash keys are in one bucket, so the others need no look.
+        buckets = touched(keyed.filter(F.col("kind") != DATE_KIND), "kind", "member")
         stored = reduce(DataFrame.unionByName, [
-            read_table(spark, warehouse, table, base).select(
+            read_members(spark, warehouse, table, base, buckets.get(natural, ())).select(
                 F.lit(natural).alias("kind"), F.col(key).alias("_number"))
             for natural, (table, key) in NATURAL_KEYS.items()])
         fail_on_any(stored.join(fresh, ["kind", "_number"], "left_semi"),
@@ -372,14 +391,17 @@ def _known(members: DataFrame, warehouse: str, base: Version) -> DataFrame:
     """The members of this run that the warehouse holds, with their keys.
 
     ``members`` is a stored table, so Catalyst knows its size: a small run is broadcast to
-    the scan of the stored dimensions, and everything after it is as small as the run.
+    the scan of the stored dimensions, and everything after it is as small as the run. Only
+    the buckets that members of the run can be in are opened.
     """
     spark = members.sparkSession
+    buckets = touched(members.filter(F.col("kind") != DATE_KIND), "kind", "member")
     stored = [read_table(spark, warehouse, "dim_date", base).select(
         F.lit(DATE_KIND).alias("kind"), F.col("date").cast("string").alias("member"),
         F.col("date_key").cast("bigint").alias("key"))]
     for natural, (table, key) in NATURAL_KEYS.items():
-        stored.append(read_table(spark, warehouse, table, base).select(
+        stored.append(read_members(
+            spark, warehouse, table, base, buckets.get(natural, ())).select(
             F.lit(natural).alias("kind"), F.col(natural).alias("member"),
             F.col(key).alias("key")))
     return reduce(DataFrame.unionByName, stored).join(members, ["kind", "member"])

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from viewstar.operators.buckets import BUCKET, COUNT, in_buckets
 from viewstar.operators.quality import align, enforce
+from viewstar.operators.sketches import device_sketches
 from viewstar.schemas import TABLES
+from viewstar.sources.warehouse import SKETCHES
 
 
 #: The combined views of each date, kept beside the fact so that a batch can be merged with them.
@@ -13,7 +18,8 @@ GRAIN = "view_grain"
 
 
 def _write(checked: DataFrame, name: str, strict: bool, path: str,
-           partition_by: tuple[str, ...] = ()) -> tuple[int, int]:
+           partition_by: tuple[str, ...],
+           placed: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[int, int]:
     """Write the rows without violations; returns ``(written, rejected)`` row counts.
 
     The counts come with the write, not from another job.
@@ -24,19 +30,19 @@ def _write(checked: DataFrame, name: str, strict: bool, path: str,
     counted = checked.observe(seen, F.count_if(~broken).alias("written"),
                               F.count_if(broken).alias("rejected"))
     kept = enforce(counted, table) if strict else counted.filter(~broken)
-    rows = align(kept, table)
-    if partition_by:
-        # Few files per folder: rows meet by folder, and a hot folder's rows are split
-        # into partitions of the advised size.
-        rows = rows.hint("rebalance", *partition_by)
+    # Few files per folder: rows meet by folder, and a hot folder's rows are split
+    # into partitions of the advised size.
+    rows = placed(align(kept, table)).hint("rebalance", *partition_by)
     rows.write.partitionBy(*partition_by).parquet(path)
     return seen.get["written"], seen.get["rejected"]
 
 
 def write_dimension(checked: DataFrame, warehouse: str, name: str, run: str,
-                    strict: bool) -> tuple[int, int]:
-    """Write a run's new members to the run's folder."""
-    return _write(checked, name, strict, run_path(warehouse, name, run))
+                    strict: bool, buckets: int = 1) -> tuple[int, int]:
+    """Write a run's new members to the run's folder, one folder per bucket in it."""
+    natural = TABLES[name].unique[0]
+    return _write(checked, name, strict, run_path(warehouse, name, run), (COUNT, BUCKET),
+                  lambda rows: in_buckets(rows, natural, buckets))
 
 
 def write_fact(checked: DataFrame, warehouse: str, run: str, strict: bool) -> tuple[int, int]:
@@ -45,6 +51,12 @@ def write_fact(checked: DataFrame, warehouse: str, run: str, strict: bool) -> tu
                   run_path(warehouse, "fact_product_views", run), ("date_key",))
 
 
+def write_sketches(fact: DataFrame, warehouse: str, run: str) -> None:
+    """Write the sketches of some dates of a fact, in the layout of the fact."""
+    (device_sketches(fact).hint("rebalance", "date_key").write.partitionBy("date_key")
+     .parquet(run_path(warehouse, SKETCHES, run)))
+
+
 def write_grain(grain: DataFrame, warehouse: str, run: str) -> None:
     """Write the combined views a fact was made of, in the layout of the fact."""
     (grain.hint("rebalance", "date_key").write.partitionBy("date_key")

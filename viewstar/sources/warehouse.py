@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
+from viewstar.operators.buckets import FIELDS, only
+from viewstar.operators.sketches import SCHEMA
 from viewstar.schemas import TABLES
-from viewstar.versions import Version, Versions
+from viewstar.versions import MissingTable, Version, Versions
+
+#: Sketches of the devices of each date and key.
+SKETCHES = "device_sketches"
 
 
 def read_table(spark: SparkSession, warehouse: str, name: str,
@@ -22,6 +28,30 @@ def read_table(spark: SparkSession, warehouse: str, name: str,
     return versions.read(name, TABLES[name].struct(), version.folders(name))
 
 
+def read_members(spark: SparkSession, warehouse: str, name: str, version: Version,
+                 numbers: Iterable[int]) -> DataFrame:
+    """Members of a dimension that are in some buckets (``operators.buckets``)."""
+    fields = T.StructType(TABLES[name].struct().fields + T.StructType.fromDDL(FIELDS).fields)
+    stored = Versions(spark, warehouse).read(name, fields, version.folders(name))
+    return only(stored, numbers).select(*TABLES[name].column_names)
+
+
+def read_sketches(spark: SparkSession, warehouse: str, first: datetime.date, last: datetime.date,
+                  version: Version | None = None) -> DataFrame:
+    """The device sketches of some dates; a date of the fact that has none is an error, as a
+    count without it would pass for the whole."""
+    versions = Versions(spark, warehouse)
+    version = version or versions.current()
+    low, high = (day.year * 10000 + day.month * 100 + day.day for day in (first, last))
+    kept, built = version.partitions(SKETCHES), version.partitions("fact_product_views")
+    days = [day for day in built if low <= int(day) <= high]
+    missing = [day for day in days if day not in kept]
+    if missing:
+        raise MissingTable(f"no device sketches of {', '.join(sorted(missing)[:5])}")
+    return versions.read(SKETCHES, T.StructType.fromDDL(SCHEMA),
+                         [folder for day in days for folder in kept[day]])
+
+
 def read_star(spark: SparkSession, warehouse: str,
               version: Version | None = None) -> dict[str, DataFrame]:
     """All tables, of one and the same version."""

@@ -21,7 +21,7 @@ from viewstar.versions import Versions
 
 
 def refresh_batch(batch: DataFrame, landing: str, warehouse: str, stream: str, number: int,
-                  strict: bool = False) -> StarRun:
+                  strict: bool = False, sketches: bool = False) -> StarRun:
     """Bring the star up to date with some versions of the landing table."""
     spark = batch.sparkSession
     # One row per version of the batch.
@@ -35,12 +35,13 @@ def refresh_batch(batch: DataFrame, landing: str, warehouse: str, stream: str, n
     return merge_star(
         events_of(landed_rows(versions, folders)), warehouse, stream, number,
         lambda days: events_of(of_dates(landing_table(spark, landing, whole), days)),
-        strict=strict)
+        strict=strict, sketches=sketches)
 
 
 def start_star_refresh(spark, landing: str, warehouse: str, checkpoint: str,
                        versions_per_trigger: int | None = None, strict: bool = False,
-                       trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+                       trigger: Mapping[str, object] | None = None,
+                       sketches: bool = False) -> StreamingQuery:
     """Start refreshing the star from the landing table as rows arrive.
 
     Rows that break a constraint go to the quarantine and the stream goes on; only ``strict``
@@ -49,7 +50,7 @@ def start_star_refresh(spark, landing: str, warehouse: str, checkpoint: str,
     run = run_name(spark, checkpoint)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(batch, landing, warehouse, run, batch_id, strict)
+        refresh_batch(batch, landing, warehouse, run, batch_id, strict, sketches)
 
     return (
         landing_stream(spark, landing, versions_per_trigger)
