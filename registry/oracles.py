@@ -242,6 +242,14 @@ def oracle_sql() -> dict[str, str]:
             WHEN 1 THEN {number} || '.5' WHEN 2 THEN 'p' || {number}
             WHEN 3 THEN '{{"k":' || {number} || '}}' ELSE '' END AS product_id FROM events""",
         "norm_discover": DISCOVERED,
+        "norm_evolving_keys": f"""SELECT event_id, CASE event_id % 6 WHEN 0 THEN {number}
+            WHEN 1 THEN {number} || '.5' WHEN 2 THEN 'p' || {number}
+            WHEN 3 THEN '{{"k":' || {number} || '}}' END AS product_id,
+            CASE WHEN event_id % 6 = 0 THEN CAST({number} AS BIGINT)
+              WHEN event_id % 6 = 1 THEN CAST({number} AS BIGINT) END AS whole_product_id,
+            CASE WHEN event_id % 6 = 5 THEN CAST({number} AS BIGINT) END AS k FROM events""",
+        "norm_key_registry": DISCOVERED.rpartition("SELECT 'OBJECT<'")[0]
+            + "SELECT key, type FROM found",
         "route_json": f'WITH {MESSAGES} SELECT "partition", "offset", route FROM routed',
         "route_outcomes": f"""WITH {MESSAGES}
             SELECT route, count(*) AS messages FROM routed GROUP BY route""",

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from registry import tables as t
 from viewstar.functions.agents import browser_family, os_family
 from viewstar.functions.documents import (
-    as_text, configure, decode_text, document_schema, event_fields, nested_to_json, union_of_keys,
-    with_document)
+    as_text, configure, decode_text, document_fields, document_schema, event_fields,
+    nested_to_json, union_of_keys, with_document)
 from viewstar.functions.times import event_date
 from viewstar.functions.urls import url_country
 from viewstar.operators import dimensions, facts, ingest, quality, sketches
@@ -27,7 +27,7 @@ from viewstar.plans.star import build_star, star_frames
 from viewstar.schemas import (
     DIM_PRODUCT, ENVELOPE, EVENT_FIELDS, FACT_KEYS, FACT_PRODUCT_VIEWS, NATURAL_KEYS, TABLES)
 from viewstar.sources.landing import (
-    empty_events, events_of, landing_table, latest_landed_day)
+    empty_events, events_of, key_registry, landed_documents, landing_table, latest_landed_day)
 from viewstar.sources.warehouse import read_sketches, read_star, read_table
 from viewstar.staging import Staging
 from viewstar.streaming.bridge import bridge_next, start_bridge, to_folder
@@ -286,11 +286,36 @@ def norm_union_keys(spark, sf_dir):
 
 
 def norm_mixed_type(spark, sf_dir):
-    documents = t.mixed_products(spark, sf_dir).select(
-        "event_id", event_fields("text", F.lit(True)).alias("fields"))
+    documents = with_document(t.mixed_products(spark, sf_dir)).select(
+        "event_id", document_fields("document").alias("fields"))
     return as_text(documents.select("event_id", "fields.product_id"), ("product_id",))
 
 
+def _evolved(spark, sf_dir) -> str:
+    """A landing table whose documents change from batch to batch: numbers first, then the rest."""
+    path = Staging(configure(spark)).path("landing")
+    for kinds in ((0,), (1, 4), (2, 3, 5)):
+        land_batch(t.mixed_envelope(spark, sf_dir).filter((F.col("offset") % 6).isin(*kinds)),
+                   path)
+    return path
+
+
+def norm_evolving_keys(spark, sf_dir):
+    """Every value of a key that changed its type twice, and a key that came late."""
+    landed = landed_documents(spark, _evolved(spark, sf_dir))
+    return landed.select(
+        F.col("offset").alias("event_id"),
+        F.try_variant_get("fields.product_id", "$", "string").alias("product_id"),
+        F.try_variant_get("fields.product_id", "$", "bigint").alias("whole_product_id"),
+        F.col("fields.k").alias("k"))
+
+
+def norm_key_registry(spark, sf_dir):
+    """The registry after all batches."""
+    found = key_registry(spark, _evolved(spark, sf_dir))
+    return spark.createDataFrame(list(found.items()), "key string, type string")
+
+
 def norm_discover(spark, sf_dir):
     """The schema that covers all documents of mixed shape."""
     return document_schema(with_document(t.mixed_products(spark, sf_dir)), "document")
@@ -721,6 +746,8 @@ def queries() -> dict[str, Query]:
         "norm_union_keys": norm_union_keys,
         "norm_mixed_type": norm_mixed_type,
         "norm_discover": norm_discover,
+        "norm_evolving_keys": norm_evolving_keys,
+        "norm_key_registry": norm_key_registry,
         "route_json": route_json,
         "route_outcomes": route_outcomes,
         # predicates and the report date

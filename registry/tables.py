@@ -195,6 +195,15 @@ def mixed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", document.alias("text"))
 
 
+def mixed_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of mixed shape as messages of one partition."""
+    return mixed_products(spark, sf_dir).select(
+        F.lit(None).cast("binary").alias("key"), F.col("text").cast("binary").alias("value"),
+        F.lit("mixed").alias("topic"), F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"))
+
+
 def broken_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows shaped like the fact that break its keys, its nulls and its ranges."""
     views = product_views(spark, sf_dir)

@@ -1,0 +1,77 @@
+"""Types of document keys over batches."""
+
+import itertools
+
+from pyspark.sql import functions as F
+
+from viewstar.operators.schemas import above, document_columns, key_types, merged
+from viewstar.schemas import ENVELOPE
+from viewstar.sources.landing import key_registry, landed_documents
+from viewstar.streaming.landing import compact, land_batch
+
+TYPES = ("VOID", "BIGINT", "DECIMAL(4,2)", "DECIMAL(38,0)", "DOUBLE", "STRING", "BOOLEAN",
+         "OBJECT<a: BIGINT>", "ARRAY<BIGINT>", "VARIANT")
+
+
+def test_types_form_a_lattice():
+    for one, other in itertools.product(TYPES, repeat=2):
+        up = above(one, other)
+        assert up == above(other, one) and above(one, up) == up == above(other, up)
+    for one, other, third in itertools.product(TYPES, repeat=3):
+        assert above(above(one, other), third) == above(one, above(other, third))
+    assert above("BIGINT", "DECIMAL(4,2)") == "DECIMAL(22,2)"
+    assert above("DECIMAL(38,0)", "DECIMAL(4,2)") == "DOUBLE"
+    assert above("BIGINT", "STRING") == "VARIANT"
+
+
+def test_names_of_any_kind():
+    found = key_types("OBJECT<a: BIGINT, `b c`: OBJECT<x: ARRAY<BIGINT>, `y,>`: STRING>, "
+                      "`d``e`: DECIMAL(3, 1), `f:g,h`: VOID>")
+    assert found == {"a": "BIGINT", "b c": "OBJECT<x: ARRAY<BIGINT>, `y,>`: STRING>",
+                     "d`e": "DECIMAL(3, 1)", "f:g,h": "VOID"}
+    assert key_types("VARIANT") == key_types(None) == key_types("OBJECT<>") == {}
+
+
+def test_spark_and_the_registry_agree(spark):
+    """Merging batch by batch gives what one look at all documents gives."""
+    texts = ['{"a": 1, "b": "x", "c": null}', '{"a": 2.5, "b": true}', '{"a": 3, "c": [1]}',
+             '{"d e": {"x": 1}, "a": 12345678901234567890.5}']
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string").select(
+        "n", F.parse_json("t").alias("d"))
+
+    def schema(df):
+        return key_types(df.agg(F.schema_of_variant_agg("d")).first()[0])
+    registry = {}
+    for n in range(len(texts)):
+        registry = merged(registry, schema(frame.filter(F.col("n") == n)))
+    assert registry == schema(frame)
+
+
+def messages(spark, texts, start=0):
+    return spark.createDataFrame(
+        [(None, bytearray(t.encode()), "t", 0, start + n, None, 0) for n, t in enumerate(texts)],
+        ENVELOPE)
+
+
+def test_a_key_that_changes_stays_readable(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    land_batch(messages(spark, ['{"id": 1, "o\'k": 1}', "nope", "[1]"]), path)
+    assert key_registry(spark, path) == {"id": "BIGINT", "o'k": "BIGINT"}
+    land_batch(messages(spark, ['{"id": "one", "late": 1.5}', '{"id": {"a": [1]}}'], 3), path)
+    assert key_registry(spark, path) == {
+        "id": "VARIANT", "late": "DECIMAL(2,1)", "o'k": "BIGINT"}
+    compact(spark, path, 1)
+    assert key_registry(spark, path)["id"] == "VARIANT"
+    rows = landed_documents(spark, path).orderBy("offset").select(
+        F.try_variant_get("fields.id", "$", "string"), F.try_variant_get("fields.id", "$", "bigint"),
+        F.col("fields.late").cast("double"), F.col("fields.`o'k`")).collect()
+    assert [tuple(r) for r in rows] == [
+        ("1", 1, None, 1), ("one", None, 1.5, None), ('{"a":[1]}', None, None, None)]
+
+
+def test_nothing_landed(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    land_batch(messages(spark, []), path)
+    assert key_registry(spark, path) == {}
+    assert landed_documents(spark, path).count() == 0
+    assert document_columns({"a'\"": "BIGINT"}) == []

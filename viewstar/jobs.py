@@ -11,6 +11,7 @@
     spark-submit viewstar_job.py report --url jdbc:… --jdbc user=… --name top_countries
     spark-submit viewstar_job.py store  --landing …/landing --uri … --database d --collection c
     spark-submit viewstar_job.py star   --uri … --database d --collection c --warehouse …
+    spark-submit viewstar_job.py keys   --landing …/landing
     spark-submit viewstar_job.py compact --landing …/landing
     spark-submit viewstar_job.py vacuum --folder …/warehouse --keep 10 --hours 48
 
@@ -37,7 +38,7 @@ from viewstar.sinks.documents import to_document_store
 from viewstar.sinks.jdbc import CONNECTIONS, write_jdbc_star
 from viewstar.sources.kafka import topic_stream, topic_table
 from viewstar.sources.landing import (
-    document_store, events_of, landing_table, latest_landed_day)
+    document_store, events_of, key_registry, landing_table, latest_landed_day)
 from viewstar.sources.warehouse import read_jdbc_star, read_sketches, read_star, read_table
 from viewstar.staging import Staging
 from viewstar.streaming.bridge import bridge_next, start_bridge, to_folder, to_topic
@@ -74,6 +75,10 @@ def run_compact(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     return compact(spark, args.landing)
 
 
+def run_keys(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
+    return key_registry(spark, args.landing)
+
+
 def run_vacuum(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     return Versions(spark, args.folder).vacuum(args.keep, args.hours)
 
@@ -233,6 +238,7 @@ def parser() -> argparse.ArgumentParser:
     export.add_argument("--schema", default="public")
     export.add_argument("--connections", type=int, default=CONNECTIONS)
     job("compact", run_compact, ("landing",))
+    job("keys", run_keys, ("landing",))
     vacuum = job("vacuum", run_vacuum, ("folder",))
     vacuum.add_argument("--keep", type=int, default=10)
     vacuum.add_argument("--hours", type=float, default=48)

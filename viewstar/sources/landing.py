@@ -7,8 +7,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from viewstar.functions.documents import ERROR, as_text
+from viewstar.functions.documents import DOCUMENT, ERROR, as_text
 from viewstar.operators.facts import FUTURE_DAYS
+from viewstar.operators.schemas import with_document_columns
 from viewstar.schemas import EVENT, EVENT_FIELDS
 from viewstar.versions import Version, Versions, partition_value
 
@@ -37,6 +38,19 @@ def landing_table(spark: SparkSession, path: str, version: Version | None = None
     return landed_rows(versions, (version or versions.current()).folders(TABLE))
 
 
+def key_registry(spark: SparkSession, path: str, version: Version | None = None) -> dict[str, str]:
+    """The keys of all documents that ever landed, each with the type that covers its values."""
+    return dict((version or Versions(spark, path).current()).ledger.get("keys", {}))
+
+
+def landed_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The position and one column per key of every landed document, of one version."""
+    version = Versions(spark, path).current()
+    rows = landing_table(spark, path, version).filter(F.col("route") == DOCUMENT)
+    return with_document_columns(rows, key_registry(spark, path, version),
+                                 "topic", "partition", "offset")
+
+
 def landed_rows(versions: Versions, folders: list[str]) -> DataFrame:
     """Rows of some folders of a landing table."""
     return versions.read(TABLE, LANDING, folders)

@@ -9,10 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from viewstar.functions.documents import DOCUMENT, ERROR, RAW
 from viewstar.operators.ingest import first_messages, landed, next_positions, unread
+from viewstar.operators.schemas import key_types, merged, observed_schema
 from viewstar.sources.landing import TABLE, landed_rows
 from viewstar.staging import Staging
 from viewstar.streaming.bridge import run_name
-from viewstar.streaming.outcomes import count_routes
+from viewstar.streaming.outcomes import count_routes, observed
 from viewstar.versions import Conflict, Version, Versions, new_run, partition_value
 
 #: A date in more folders than this is rewritten by ``compact``.
@@ -50,7 +51,8 @@ def append(rows: DataFrame, path: str, ledger: Mapping[str, dict] | None = None)
 
     A batch that the ledger holds already is left out. Rows are written before they are
     committed, and additions do not disturb each other: losing to another run costs no
-    second write.
+    second write. The keys of the documents and their types go to the registry in the ledger
+    (``operators.schemas``), as seen while the rows are written.
     """
     versions, run = Versions(rows.sparkSession, path), new_run()
     ledger = ledger or {}
@@ -68,7 +70,8 @@ def append(rows: DataFrame, path: str, ledger: Mapping[str, dict] | None = None)
         for name, (start, _) in ledger.get("positions", {}).items():
             if held.get(name) != start:
                 raise Conflict(f"the position of {name} was moved by another run")
-        entries = {"batches": old.get("batches", {}) | ledger.get("batches", {}),
+        seen = merged(old.get("keys", {}), key_types(observed(types).get("schema")))
+        entries = {"keys": seen, "batches": old.get("batches", {}) | ledger.get("batches", {}),
                    "positions": held | {name: end for name, (_, end) in ledger.get(
                        "positions", {}).items()}}
         written = versions.written(TABLE, run)
@@ -76,6 +79,9 @@ def append(rows: DataFrame, path: str, ledger: Mapping[str, dict] | None = None)
 
     if taken(versions.latest()):
         return
+    documents = F.when(F.col("route") == DOCUMENT, F.col("document"))
+    types = Observation("keys")
+    rows = rows.observe(types, observed_schema(documents).alias("schema"))
     try:
         by_date(rows).write.partitionBy("event_date").parquet(f"{path}/{TABLE}/run={run}")
         if versions.commit_with(change) is None:
@@ -93,7 +99,7 @@ def land_batch(messages: DataFrame, path: str,
         seen, F.count(F.lit(1)).alias("messages"),
         *[F.count_if(F.col("route") == name).alias(name) for name in (DOCUMENT, RAW, ERROR)])
     append(rows, path, ledger)
-    return dict(seen.get)
+    return dict.fromkeys(("messages", DOCUMENT, RAW, ERROR), 0) | observed(seen)
 
 
 def land_next(envelope: DataFrame, path: str, at_most: int,

@@ -6,7 +6,8 @@ import contextlib
 from collections import Counter
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from viewstar.functions.documents import DOCUMENT, ERROR, RAW
@@ -29,6 +30,14 @@ def count_valid(rows: DataFrame) -> DataFrame:
         F.count_if(~F.col("valid")).alias(DEAD))
 
 
+def observed(seen: Observation) -> dict:
+    """What an observation saw; nothing where the plan had no rows and was not run at all."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return {}
+
+
 def _add(total: Counter, progress) -> None:
     row = progress.observedMetrics.get(METRIC)
     if row is not None:
