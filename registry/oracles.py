@@ -220,6 +220,8 @@ def oracle_sql() -> dict[str, str]:
         "topic_counts": f"""WITH {VIEWS}, {ENVELOPE}
             SELECT topic, "partition", count(*) AS messages, min("offset") AS first_offset,
               max("offset") AS last_offset FROM env GROUP BY topic, "partition" """,
+        "dump_scan": f"""{TEXT_PIPELINE}, {ENVELOPE} SELECT concat_ws('-', topic, "partition",
+            "offset") AS _id, local_time, product_id, store_id, referrer_url, device_id FROM env""",
         "landing_scan": f"""{TEXT_PIPELINE} SELECT local_time, product_id, store_id, referrer_url,
             device_id FROM pv""",
         "landing_latest": f"""{TEXT_PIPELINE} SELECT local_time, product_id, store_id,

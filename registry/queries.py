@@ -26,6 +26,8 @@ from viewstar.plans import marts
 from viewstar.plans.star import build_star, star_frames
 from viewstar.schemas import (
     DIM_PRODUCT, ENVELOPE, EVENT_FIELDS, FACT_KEYS, FACT_PRODUCT_VIEWS, NATURAL_KEYS, TABLES)
+from viewstar.sinks.documents import stored_documents
+from viewstar.sources.dumps import collection_dump
 from viewstar.sources.landing import (
     empty_events, events_of, key_registry, landed_documents, landing_table, latest_landed_day)
 from viewstar.sources.warehouse import read_sketches, read_star, read_table
@@ -221,6 +223,19 @@ def landing_compacted(spark, sf_dir):
     return landing_table(spark, path).select("partition", "offset", "route")
 
 
+def dump_scan(spark, sf_dir):
+    """The stored documents, exported with wrapped ids and numbers, and read back."""
+    staging = Staging(spark)
+    landing, path = staging.path("landing"), staging.path("dump")
+    land_batch(t.envelope(spark, sf_dir), landing)
+    stored = stored_documents(landing_table(spark, landing))
+    number = F.struct(F.col("device_id").alias("$numberLong"))
+    stored.select(F.to_json(F.struct(
+        F.struct(F.col("_id").alias("$oid")).alias("_id"), *EVENT_FIELDS[:4],
+        F.when(F.col("device_id").isNotNull(), number).alias("device_id"), "json"))).write.text(path)
+    return as_text(collection_dump(spark, path).select("_id", *EVENT_FIELDS))
+
+
 def landing_scan(spark, sf_dir):
     path = Staging(spark).path("landing")
     land_batch(t.envelope(spark, sf_dir), path)
@@ -734,6 +749,7 @@ def queries() -> dict[str, Query]:
         "bridge_capped_runs": bridge_capped_runs,
         "landing_compacted": landing_compacted,
         "topic_counts": lambda s, d: ingest.topic_counts(t.envelope(s, d)),
+        "dump_scan": dump_scan,
         "landing_scan": landing_scan,
         "landing_latest": landing_latest,
         "landing_ids": landing_ids,

@@ -12,6 +12,7 @@
     spark-submit viewstar_job.py store  --landing …/landing --uri … --database d --collection c
     spark-submit viewstar_job.py star   --uri … --database d --collection c --warehouse …
     spark-submit viewstar_job.py keys   --landing …/landing
+    spark-submit viewstar_job.py star   --dump …/events.json --warehouse …/warehouse
     spark-submit viewstar_job.py compact --landing …/landing
     spark-submit viewstar_job.py vacuum --folder …/warehouse --keep 10 --hours 48
 
@@ -36,6 +37,7 @@ from viewstar.plans.star import StarRun, build_star
 from viewstar.schemas import TABLES
 from viewstar.sinks.documents import to_document_store
 from viewstar.sinks.jdbc import CONNECTIONS, write_jdbc_star
+from viewstar.sources.dumps import collection_dump, dump_events
 from viewstar.sources.kafka import topic_stream, topic_table
 from viewstar.sources.landing import (
     document_store, events_of, key_registry, landing_table, latest_landed_day)
@@ -84,7 +86,9 @@ def run_vacuum(spark: SparkSession, args: argparse.Namespace) -> list[str]:
 
 
 def run_star(spark: SparkSession, args: argparse.Namespace) -> StarRun:
-    if args.uri:
+    if args.dump:
+        events, day = dump_events(collection_dump(spark, args.dump)), None
+    elif args.uri:
         events, day = as_text(document_store(
             spark, args.uri, args.database, args.collection)), None
     else:
@@ -212,6 +216,7 @@ def parser() -> argparse.ArgumentParser:
                ("all-dates", "replace", "quarantine", "hash-keys", "sketches"))
     place = star.add_mutually_exclusive_group(required=True)
     place.add_argument("--landing")
+    place.add_argument("--dump", help="files that a collection was exported to")
     place.add_argument("--uri", help="a document store, with --database and --collection")
     star.add_argument("--database")
     star.add_argument("--collection")
