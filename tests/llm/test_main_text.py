@@ -157,3 +157,45 @@ def test_chains_of_equal_ancestors_are_one():
     blocks = list(text_blocks("<div class=a><p>x</p><p>y</p></div><div class=a><p>z<div>w"))
     assert blocks[0].chain is blocks[1].chain is blocks[2].chain
     assert blocks[3].chain is not blocks[0].chain
+
+
+#: Pages as people write them, without article or main; what is wanted stands between marks.
+HAND_LABELLED = [
+    """<html><head><title>Bread at home</title><style>p {margin: 0}</style></head><body>
+    <div id="header"><a href="/">My kitchen</a> <ul class="menu"><li><a href="/a">Recipes</a></li>
+    <li><a href="/b">About</a></li><li><a href="/c">Contact</a></li></ul></div>
+    <div id="content"><h1>[[Bread at home]]</h1>
+    <p>[[Good bread needs little more than flour, water, salt and time. I have baked every
+    Saturday for ten years, and the dough still surprises me.]]</p>
+    <p>[[Mix the flour with the water in the evening. Leave it alone until the morning, when it
+    will have doubled in size and smell faintly of apples.]]</p>
+    <p>[[Bake it in a hot pot for forty minutes. Let it cool before you cut it, however hard
+    that may be.]]</p></div>
+    <div id="sidebar"><h3>Recent posts</h3><ul><li><a href="/1">Plum cake</a></li>
+    <li><a href="/2">Winter soup</a></li></ul></div>
+    <div id="comments"><h3>2 comments</h3><div class="comment"><p>Anna: I tried it and it was
+    wonderful, thank you for the recipe.</p></div><div class="comment"><p>Ben: Mine stayed flat,
+    what did I do wrong?</p></div></div>
+    <div id="footer"><p>&copy; 2024 My kitchen. All rights reserved.</p></div></body></html>""",
+    """<body><table><tr><td class="nav"><a href="x">Home</a><br><a href="y">News</a><br>
+    <a href="z">Sport</a></td><td class="story"><p>[[The council has agreed to rebuild the old
+    bridge over the river. Work is to start in spring and will take about two years, the mayor said
+    on Monday.]]<p>[[Until then, cars have to use the road past the mill. Cyclists may still cross
+    in the early morning, before the workers arrive.]]<p>[[Shops on the eastern side fear that they
+    will lose customers. They have asked for help with their rents.]]</td></tr></table>
+    <div class="advert">Buy two tyres and get two free! Offer ends on Sunday.</div>
+    <div class="footer"><a href="t">Terms</a> | <a href="p">Privacy</a></div></body>""",
+]
+
+
+@pytest.mark.parametrize("page", HAND_LABELLED)
+def test_hand_labelled_pages(page):
+    import re
+
+    from viewstar.llm import main_text
+    wanted = " ".join(" ".join(re.sub("<[^>]*>", " ", part).split())
+                      for part in re.findall(r"\[\[(.*?)\]\]", page, re.S))
+    blocks = list(text_blocks(page.replace("[[", "").replace("]]", "")))
+    labels = main_text.trained().best(main_text.trained().scores(main_text.features(blocks)))
+    text = " ".join(b.text for b, label in zip(blocks, labels) if label)
+    assert text == wanted

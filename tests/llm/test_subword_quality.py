@@ -89,3 +89,37 @@ def test_defined_cases(spark, documents):
     assert q.scored(documents([]), model).count() == 0
     empty = spark.createDataFrame([], LABEL)
     assert q.sample(documents([]), empty) == ([], [])
+
+
+def test_steps_follow_the_numeric_gradient():
+    """The change of the layer and the bias in one epoch, against differences of the loss."""
+    import numpy as np
+    import pyarrow as pa
+    from viewstar.llm import subword_quality as s
+    texts, classes, rate = ["good words here", "bad junk junk 9"], [1, 0], 1e-4
+    model = s.train(texts, classes, epochs=1, rate=rate, seed=3)
+    start = np.random.default_rng(3).uniform(
+        -1 / s.DIMENSIONS, 1 / s.DIMENSIONS, (s.BUCKETS, s.DIMENSIONS))
+
+    def loss(number, layer, bias):
+        ids = np.concatenate([p.ids for p in s.feature_parts(pa.array([texts[number]]))])
+        scores = start[ids].mean(axis=0) @ layer + bias
+        return np.log(np.exp(scores).sum()) - scores[classes[number]]
+
+    def gradient(number):
+        step, layer, bias = 1e-5, np.zeros((s.DIMENSIONS, 2)), np.zeros(2)
+        whole = [np.zeros_like(layer), np.zeros_like(bias)]
+        for part, values in enumerate((layer, bias)):
+            for at in np.ndindex(values.shape):
+                values[at] = step
+                up = loss(number, layer, bias)
+                values[at] = -step
+                whole[part][at] = (up - loss(number, layer, bias)) / (2 * step)
+                values[at] = 0
+        return whole
+
+    g = [gradient(0), gradient(1)]
+    # The second document's step is half as long; either may come first.
+    wanted = [[-rate * (g[a][k] + g[1 - a][k] / 2) for k in range(2)] for a in range(2)]
+    assert any(np.allclose(model.layer, layer, atol=rate * 1e-4)
+               and np.allclose(model.bias, bias, atol=rate * 1e-4) for layer, bias in wanted)
