@@ -28,7 +28,8 @@ from viewstar.sinks.warehouse import (
     GRAIN, SKETCHES, write_dimension, write_fact, write_grain, write_rejected, write_sketches)
 from viewstar.sources.warehouse import read_members, read_table
 from viewstar.staging import Staging
-from viewstar.versions import ATTEMPTS, Conflict, Version, Versions, new_run
+from viewstar.versions import (
+    ATTEMPTS, Conflict, Version, Versions, new_run, partition_value)
 
 DATE_KIND = "date"
 KINDS = (DATE_KIND, *NATURAL_KEYS)
@@ -204,8 +205,10 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
             members = staging.table(members, "members")
             known = staging.table(_known(members, warehouse, base), "known")
             # What the fact will point to: one key per member and one member per key.
-            fail_on_any(duplicate_keys(known, ["kind", "member"]), "member stored twice")
-            fail_on_any(duplicate_keys(known, ["kind", "key"]), "key stored twice")
+            fail_on_any(reduce(DataFrame.unionByName, [
+                duplicate_keys(known.select("kind", F.lit(name).alias("column"), F.col(
+                    name).cast("string").alias("value")), ["kind", "column", "value"])
+                for name in ("member", "key")]), "stored twice")
             members = members.join(known, ["kind", "member"], "left_anti")
         highest = {}
         if hash_keys:
@@ -268,7 +271,11 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
                 write_sketches(versions.read(
                     FACT, TABLES[FACT].struct(), versions.written(FACT, name_of_run)),
                     warehouse, name_of_run)
-            days = {date_name(row.date) for row in grain.select("date").distinct().collect()}
+            # Every group of the grain is a row of the fact, but for those set aside.
+            days = {partition_value(folder) for folder in versions.written(FACT, name_of_run)}
+            if run.rejected[FACT]:
+                days |= {date_name(row.date)
+                         for row in grain.select("date").distinct().collect()}
             for name in (FACT, GRAIN, SKETCHES):
                 old = {} if replace or not base else base.partitions(name)
                 tables[name] = [folder for day, folders in old.items() for folder in folders

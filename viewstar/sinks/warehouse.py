@@ -11,6 +11,7 @@ from viewstar.operators.quality import align, enforce
 from viewstar.operators.sketches import device_sketches
 from viewstar.schemas import TABLES
 from viewstar.sources.warehouse import SKETCHES
+from viewstar.streaming.outcomes import observed
 
 
 #: The combined views of each date, kept beside the fact so that a batch can be merged with them.
@@ -34,7 +35,10 @@ def _write(checked: DataFrame, name: str, strict: bool, path: str,
     # into partitions of the advised size.
     rows = placed(align(kept, table)).hint("rebalance", *partition_by)
     rows.write.partitionBy(*partition_by).parquet(path)
-    return seen.get["written"], seen.get["rejected"]
+    # Where no row is left to write, the plan that was run may hold no observation any more.
+    counts = observed(seen) or checked.agg(
+        F.count_if(~broken).alias("written"), F.count_if(broken).alias("rejected")).first()
+    return counts["written"], counts["rejected"]
 
 
 def write_dimension(checked: DataFrame, warehouse: str, name: str, run: str,
