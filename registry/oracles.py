@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.tables import SECOND_BATCH, TOPIC, USER_AGENTS
+from registry.tables import RARE_AGENTS, SECOND_BATCH, TOPIC, USER_AGENTS
 
 ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S')"
 
@@ -173,11 +173,13 @@ hosts AS (SELECT *, string_split(regexp_extract(replace(ltrim(url, ' ' || chr(9)
   '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1), '.') AS parts FROM cu)"""
 
 
-def agent_oracle(column: str, position: int) -> str:
-    families = ", ".join(f"'{agent[position]}'" for agent in USER_AGENTS)
-    return (f"SELECT event_id, coalesce(list_extract([{families}], "
-            f"CAST(event_id % {len(USER_AGENTS) + 1} AS INTEGER) + 1), 'unknown') AS {column} "
-            "FROM events")
+def agent_oracle(agents=USER_AGENTS, **positions: int) -> str:
+    def family(position: int) -> str:
+        families = ", ".join(f"'{agent[position]}'" for agent in agents)
+        return (f"coalesce(list_extract([{families}], "
+                f"CAST(event_id % {len(agents) + 1} AS INTEGER) + 1), 'unknown')")
+    columns = ", ".join(f"{family(position)} AS {name}" for name, position in positions.items())
+    return f"SELECT event_id, {columns} FROM events"
 
 
 def device_agents_oracle() -> str:
@@ -331,8 +333,10 @@ def oracle_sql() -> dict[str, str]:
             WHEN len(parts) >= 2 AND length(parts[-1]) = 2 THEN lower(parts[-1])
             WHEN len(parts) >= 3 AND length(parts[-2]) = 2 THEN lower(parts[-2])
             ELSE 'unknown' END AS country FROM hosts""",
-        "ua_browser": agent_oracle("browser", 1),
-        "ua_os": agent_oracle("os", 2),
+        "ua_browser": agent_oracle(browser=1),
+        "ua_os": agent_oracle(os=2),
+        "ua_products": agent_oracle(RARE_AGENTS, browser=1, system=2),
+        "ua_spread": agent_oracle(RARE_AGENTS, browser=1, system=2),
         # keys
         "key_dense": """SELECT natural_key, CAST(row_number() OVER (ORDER BY natural_key) AS BIGINT)
             AS key FROM (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS natural_key

@@ -10,13 +10,13 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from registry import tables as t
-from viewstar.functions.agents import browser_family, os_family
 from viewstar.functions.documents import (
     as_text, configure, decode_text, document_fields, document_schema, event_fields,
     nested_to_json, union_of_keys, with_document)
 from viewstar.functions.times import event_date
 from viewstar.functions.urls import url_country
 from viewstar.operators import dimensions, facts, ingest, quality, sketches
+from viewstar.operators.agents import with_families
 from viewstar.operators.members import distinct_members
 from viewstar.operators.numbering import (
     dense_keys, hash_collisions, hash_keys, incremental_keys, number_rows)
@@ -379,12 +379,27 @@ def url_countries(spark, sf_dir):
 
 
 def ua_browser(spark, sf_dir):
-    return t.user_agents(spark, sf_dir).select(
-        "event_id", browser_family(F.coalesce("user_agent", F.lit(""))).alias("browser"))
+    agents = t.user_agents(spark, sf_dir).withColumn(
+        "user_agent", F.coalesce("user_agent", F.lit("")))
+    return with_families(agents, Staging(spark)).select("event_id", "browser")
 
 
 def ua_os(spark, sf_dir):
-    return t.user_agents(spark, sf_dir).select("event_id", os_family("user_agent").alias("os"))
+    return with_families(t.user_agents(spark, sf_dir), Staging(spark), system="os").select(
+        "event_id", "os")
+
+
+def ua_products(spark, sf_dir):
+    """Rarer agents: bots, applications, clients, old systems."""
+    return with_families(t.rare_agents(spark, sf_dir), Staging(spark)).select(
+        "event_id", "browser", "system")
+
+
+def ua_spread(spark, sf_dir):
+    """The same families where the distinct agents are too many to be broadcast."""
+    agents = t.rare_agents(spark, sf_dir)
+    return with_families(agents, Staging(spark), broadcast_bytes=0).select(
+        "event_id", "browser", "system")
 
 
 # --- keys ----------------------------------------------------------------------------
@@ -807,6 +822,8 @@ def queries() -> dict[str, Query]:
         "url_country": url_countries,
         "ua_browser": ua_browser,
         "ua_os": ua_os,
+        "ua_products": ua_products,
+        "ua_spread": ua_spread,
         # keys
         "key_dense": key_dense,
         "key_dense_within": key_dense_within,

@@ -35,6 +35,35 @@ USER_AGENTS = (
     ("no known product %", "Other", "Other"),
 )
 
+# Rarer ones: bots, applications, clients and old systems.
+RARE_AGENTS = (
+    ("Mozilla/5.0 (compatible; AhrefsBot/7.0; +http://ahrefs.com/robot/)", "AhrefsBot", "Other"),
+    ("Mozilla/5.0 (iPhone; CPU iPhone OS 17_4 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like "
+     "Gecko) Version/17.4 Mobile/15E148 Safari/604.1 (Applebot/0.%)", "Applebot", "iOS"),
+    ("facebookexternalhit/1.% (+http://www.facebook.com/externalhit_uatext.php)",
+     "facebookexternalhit", "Other"),
+    ("Mozilla/5.0 (Linux; Android 10; HLK-AL00) AppleWebKit/537.36 (KHTML, like Gecko) "
+     "Chrome/%.0.0.0 Mobile Safari/537.36 MicroMessenger/8.0.%", "WeChat", "Android"),
+    ("Mozilla/5.0 (Linux; Android 13; KFTRWI) AppleWebKit/537.36 (KHTML, like Gecko) "
+     "Silk/%.2.1 like Chrome/%.0.0.0 Safari/537.36", "Amazon Silk", "Android"),
+    ("Mozilla/5.0 (Mobile; Nokia 8110 4G; rv:48.0) Gecko/48.0 Firefox/48.0 KAIOS/2.5.%",
+     "Firefox Mobile", "KaiOS"),
+    ("Opera/9.80 (J2ME/MIDP; Opera Mini/7.%; U; en) Presto/2.8.119 Version/11.10", "Opera Mini",
+     "Other"),
+    ("Mozilla/5.0 (BB10; Touch) AppleWebKit/537.10 (KHTML, like Gecko) Version/10.%.0.2340 "
+     "Mobile Safari/537.10", "BlackBerry WebKit", "BlackBerry OS"),
+    ("Mozilla/5.0 (X11; OpenBSD amd64; rv:%.0) Gecko/20100101 SeaMonkey/2.%", "SeaMonkey",
+     "OpenBSD"),
+    ("Mozilla/5.0 (PlayStation 4 3.%) AppleWebKit/537.73 (KHTML, like Gecko)", "Other",
+     "PlayStation"),
+    ("okhttp/4.%.0", "okhttp", "Other"),
+    ("Dalvik/2.1.0 (Linux; U; Android 11; SM-A%)", "Other", "Android"),
+    ("an online line of products, chrome too (%)", "Other", "Other"),
+    ("Mozilla/5.0 (Web0S; Linux/SmartTV) AppleWebKit/537.36 (KHTML, like Gecko) "
+     "Chrome/%.0.0.0 Safari/537.36 WebAppManager", "Chrome", "webOS"),
+    ("", "unknown", "unknown"),
+)
+
 TOPIC = "product_views"
 # Dates from here on form the second of two batches.
 SECOND_BATCH = "2024-01-16"
@@ -238,12 +267,21 @@ def country_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(url).alias("url"))
 
 
-def user_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user agent per event."""
-    templates = F.array(*[F.lit(agent) for agent, _, _ in USER_AGENTS])
-    pick = (F.col("event_id") % (len(USER_AGENTS) + 1)).cast("int")
+def _agents_of(spark: SparkSession, sf_dir: str, agents) -> DataFrame:
+    templates = F.array(*[F.lit(agent) for agent, _, _ in agents])
+    pick = (F.col("event_id") % (len(agents) + 1)).cast("int")
     version = F.regexp_extract("props", "([0-9]+)", 1)
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.replace(F.try_element_at(templates, pick + 1), F.lit("%"), version)
         .alias("user_agent"))
+
+
+def user_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user agent per event."""
+    return _agents_of(spark, sf_dir, USER_AGENTS)
+
+
+def rare_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rarer user agent per event."""
+    return _agents_of(spark, sf_dir, RARE_AGENTS)

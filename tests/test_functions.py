@@ -1,15 +1,18 @@
 import datetime
 import random
+import time
 from urllib.parse import urlsplit
 
 import pytest
 from pyspark.sql import functions as F
 
-from viewstar.functions.agents import BROWSER_RULES, OS_RULES, browser_family, os_family
+from viewstar.functions.agents import (
+    BROWSER, MAX_RULES, RULE_SCHEMA, RULES, Rule, agent_tokens, rules_of)
 from viewstar.functions.referrers import referrer_domain, referrer_type
 from viewstar.functions.times import (
     calendar, date_key, epoch_seconds, event_date, event_time)
 from viewstar.functions.urls import url_country
+from viewstar.operators.agents import with_families
 
 
 def one(spark, value, *columns):
@@ -160,17 +163,75 @@ AGENTS = [
 ]
 
 
-@pytest.mark.parametrize("agent, browser, system", AGENTS)
-def test_agents(spark, agent, browser, system):
-    assert one(spark, agent, browser_family("v"), os_family("v")) == (browser, system)
+@pytest.mark.parametrize("size", [64 << 20, 0])
+def test_agents(spark, staging, size):
+    rows = [(n % len(AGENTS), AGENTS[n % len(AGENTS)][0]) for n in range(3 * len(AGENTS))]
+    df = spark.createDataFrame(rows, "system long, user_agent string").withColumn(
+        "place", F.col("system"))
+    got = with_families(df, staging, broadcast_bytes=size)
+    assert got.columns == ["user_agent", "place", "browser", "system"]
+    got = got.collect()
+    assert len(got) == len(rows)
+    for row in got:
+        assert (row.user_agent, row.browser, row.system) == AGENTS[row.place]
+
+
+def test_families_of_no_rows_and_no_rules(spark, staging):
+    none = spark.createDataFrame([], "user_agent string")
+    assert with_families(none, staging).collect() == []
+    some = spark.createDataFrame([("Chrome/1",), ("",), (None,)], "user_agent string")
+    got = {tuple(r) for r in with_families(some, staging, rules=()).collect()}
+    assert got == {("Chrome/1", "Other", "Other"), ("", "unknown", "unknown"),
+                   (None, "unknown", "unknown")}
+
+
+def test_rules_from_a_table(spark, staging, tmp_path):
+    (tmp_path / "rules.json").write_text(
+        '{"kind": "browser", "priority": 2, "family": "Plain", "token": "Kiosk/"}\n'
+        '{"kind": "browser", "priority": 1, "family": "Tall", "token": "kiosk/", '
+        '"beside": "Stand"}\n')
+    rules = rules_of(spark.read.json(str(tmp_path), RULE_SCHEMA))
+    df = spark.createDataFrame([("Kiosk/1 (stand 7)",), ("Kiosk/1",), ("kiosk",)],
+                               "user_agent string")
+    got = {r.user_agent: (r.browser, r.system)
+           for r in with_families(df, staging, rules=rules).collect()}
+    assert got == {"Kiosk/1 (stand 7)": ("Tall", "Other"), "Kiosk/1": ("Plain", "Other"),
+                   "kiosk": ("Other", "Other")}
+    many = spark.range(MAX_RULES + 1).select(
+        F.lit(BROWSER).alias("kind"), F.lit(1).alias("priority"), F.lit("f").alias("family"),
+        F.col("id").cast("string").alias("token"), F.lit(None).cast("string").alias("beside"))
+    with pytest.raises(ValueError):
+        rules_of(many)
+
+
+@pytest.mark.parametrize("agent, tokens", [
+    ("Mozilla/5.0 (Windows NT 10.0; Win64) Chrome/1 Mobile",
+     {"mozilla/", "windows nt", "windows", "win64", "chrome/", "mobile"}),
+    ("A/1 [B/2;C 3.0] (open (inner; D/4 x) rest", {"a/", "b/", "c", "open", "inner", "d/", "rest"}),
+    ("((((", set()),
+    ("", set()),
+])
+def test_agent_tokens(spark, agent, tokens):
+    got, = one(spark, agent, agent_tokens("v"))
+    assert set(got) == tokens and len(got) == len(tokens)
+
+
+@pytest.mark.parametrize("unit", ["(", "x/", "(a;", "[x 1", " v", "a b;"])
+def test_long_agents_take_time_in_proportion(spark, staging, unit):
+    started = time.monotonic()
+    text = unit * (400_000 // len(unit)) + " (x) Firefox/1"
+    df = spark.createDataFrame([(text,)], "user_agent string")
+    assert with_families(df, staging).first().browser == "Firefox"
+    assert time.monotonic() - started < 30
 
 
 def test_rules_name_each_family_once():
-    for rules in (BROWSER_RULES, OS_RULES):
-        families = [family for _, family in rules]
-        assert len(families) == len(set(families))
+    families = {}
+    for rule in RULES:
+        assert rule == Rule(*rule) and rule.token == rule.token.lower()
+        assert families.setdefault((rule.kind, rule.family), rule.priority) == rule.priority
 
 
-def test_agents_stay_in_the_jvm(spark, plan):
-    df = spark.createDataFrame([("x",)], "v string").select(browser_family("v"))
+def test_agents_stay_in_the_jvm(spark, staging, plan):
+    df = with_families(spark.createDataFrame([("x",)], "user_agent string"), staging)
     assert "EvalPython" not in plan(df) and "PythonUDF" not in plan(df)

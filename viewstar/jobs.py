@@ -29,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewstar.functions.agents import RULE_SCHEMA, RULES, rules_of
 from viewstar.functions.documents import as_text, configure
 from viewstar.operators.quality import verify_star
 from viewstar.operators.sketches import distinct_devices
@@ -94,10 +95,11 @@ def run_star(spark: SparkSession, args: argparse.Namespace) -> StarRun:
     else:
         events = events_of(landing_table(spark, args.landing))
         day = None if args.all_dates else latest_landed_day(spark, args.landing)
+    rules = rules_of(spark.read.json(args.agent_rules, RULE_SCHEMA)) if args.agent_rules else RULES
     return build_star(events, args.warehouse, latest_only=not args.all_dates,
                       replace=args.replace, strict=not args.quarantine,
                       hash_keys=args.hash_keys, batch_id=args.batch_id, day=day,
-                      sketches=args.sketches)
+                      sketches=args.sketches, agent_rules=rules)
 
 
 def run_audit(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -221,6 +223,7 @@ def parser() -> argparse.ArgumentParser:
     star.add_argument("--database")
     star.add_argument("--collection")
     star.add_argument("--batch-id")
+    star.add_argument("--agent-rules", help="JSON lines of user-agent rules instead of ours")
     job("refresh", run_refresh, ("landing", "warehouse"), ("strict", "sketches"), stream=True)
     shown = job("report", run_report)
     place = shown.add_mutually_exclusive_group(required=True)

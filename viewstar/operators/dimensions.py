@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from viewstar.functions.agents import browser_family, os_family
+from viewstar.functions.agents import RULES, UNKNOWN as NO_AGENT, Rule
 from viewstar.functions.referrers import referrer_domain, referrer_type
 from viewstar.functions.times import calendar, date_key, event_date
+from viewstar.operators.agents import with_families
 from viewstar.operators.members import distinct_members
 from viewstar.operators.numbering import dense_keys, hash_keys
 from viewstar.schemas import NATURAL_KEYS
@@ -55,10 +56,11 @@ def referrer_columns(keyed: DataFrame) -> DataFrame:
 
 
 def device_columns(keyed: DataFrame) -> DataFrame:
-    """Devices; browser and system are known only where a ``user_agent`` column came along."""
-    agent = "user_agent" in keyed.columns
-    browser = browser_family("user_agent") if agent else F.lit(UNKNOWN)
-    system = [os_family("user_agent").alias("os_info")] if agent else []
+    """Devices; browser and system are known only where the columns of ``device_families``
+    came along."""
+    found = "browser" in keyed.columns
+    browser = F.coalesce("browser", F.lit(NO_AGENT)) if found else F.lit(UNKNOWN)
+    system = [F.coalesce("system", F.lit(NO_AGENT)).alias("os_info")] if found else []
     return keyed.select(
         "device_key", "device_id", F.lit(UNKNOWN).alias("device_type"),
         browser.alias("browser_info"), *system, F.current_date().alias("created_date"))
@@ -81,11 +83,19 @@ def device_agents(events: DataFrame) -> DataFrame:
             .select("device_id", F.col("_sent.user_agent").alias("user_agent")))
 
 
+def device_families(events: DataFrame, staging: Staging,
+                    rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Devices with the browser and system of the user agent each one sent last."""
+    agents = staging.table(device_agents(events), "agents")
+    return with_families(agents, staging, rules=rules).drop("user_agent")
+
+
 def dimension(events: DataFrame, natural: str, staging: Staging | None = None) -> DataFrame:
     """One dimension by its natural key: dense keys, or hash keys where no staging is given."""
     key = NATURAL_KEYS[natural][1]
     agents = natural == "device_id" and "user_agent" in events.columns
-    members = device_agents(events) if agents else distinct_members(events, natural)
+    members = (device_families(events, staging or Staging(events.sparkSession)) if agents
+               else distinct_members(events, natural))
     keyed = (hash_keys(members, natural, key) if staging is None
              else dense_keys(members, natural, key, staging))
     return COLUMNS[natural](keyed)

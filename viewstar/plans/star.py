@@ -5,16 +5,17 @@ from __future__ import annotations
 import contextlib
 import datetime
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from viewstar.functions.agents import RULES, Rule
 from viewstar.functions.times import date_key, event_date
 from viewstar.operators.buckets import MEMBERS, bucket_count, touched
-from viewstar.operators.dimensions import COLUMNS, device_agents, dim_date
+from viewstar.operators.dimensions import COLUMNS, device_families, dim_date
 from viewstar.operators.facts import (
     fact_by_lookup, fact_from_grain, fact_from_hash_keys, hash_keyed_grain, keyed_grain,
     merged_grain, on_report_date, view_grain)
@@ -56,7 +57,7 @@ def star_frames(events: DataFrame, staging: Staging, latest_only: bool = False,
     grain, members = _grain_and_members(
         events, staging, latest_only, today, lambda part: staging.table(view_grain(part), "grain"))
     keyed = number_groups(members, "kind", KINDS, "member", "_number", staging)
-    frames = _dimension_frames(keyed, {}, _agents(events))
+    frames = _dimension_frames(keyed, {}, _agents(events, staging))
     frames["fact_product_views"] = fact_from_grain(grain, frames, _sizes(keyed))
     return frames
 
@@ -66,7 +67,8 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
                hash_keys: bool = False, batch_id: str | None = None,
                today: Column | None = None, day: datetime.date | None = None,
                before: Callable[[str], None] | None = None,
-               bucket_members: int = MEMBERS, sketches: bool = False) -> StarRun:
+               bucket_members: int = MEMBERS, sketches: bool = False,
+               agent_rules: Sequence[Rule] = RULES) -> StarRun:
     """Build the star from ``events`` and make it the warehouse's next version.
 
     By default the run accumulates: stored members keep their keys, new ones are added,
@@ -93,6 +95,7 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
     ``before`` is called with the name of each step before it begins. ``bucket_members`` is how
     many new members of a dimension share a bucket. ``sketches`` keeps sketches of the devices of
     each date and key (``operators.sketches``); a run without leaves its dates without.
+    ``agent_rules`` name the browsers and systems of devices (``functions.agents``).
     """
     def take(staging: Staging, base: Version | None):
         keyed = hash_keyed_grain if hash_keys else keyed_grain
@@ -102,14 +105,15 @@ def build_star(events: DataFrame, warehouse: str, latest_only: bool = True,
 
     options = _Options(warehouse, replace, strict, url_limit, hash_keys,
                        batch_id or f"run-{uuid.uuid4().hex}", before or (lambda step: None),
-                       bucket_members=bucket_members, sketches=sketches)
+                       bucket_members=bucket_members, sketches=sketches, agent_rules=agent_rules)
     return _until_committed(events, take, options)
 
 
 def merge_star(events: DataFrame, warehouse: str, stream: str, batch: int,
                events_of_dates: Callable[[list[datetime.date]], DataFrame],
                strict: bool = False, hash_keys: bool = False,
-               batch_id: str | None = None, sketches: bool = False) -> StarRun:
+               batch_id: str | None = None, sketches: bool = False,
+               agent_rules: Sequence[Rule] = RULES) -> StarRun:
     """Add a batch of events to the star: every date it touches gets the views of both.
 
     The combined views of each date are kept beside the fact. Those of the touched dates are
@@ -145,7 +149,7 @@ def merge_star(events: DataFrame, warehouse: str, stream: str, batch: int,
 
     options = _Options(warehouse, False, strict, None, hash_keys,
                        batch_id or f"{stream}-{batch}", lambda step: None, (stream, batch), True,
-                       sketches=sketches)
+                       sketches=sketches, agent_rules=agent_rules)
     return _until_committed(events, take, options)
 
 
@@ -162,6 +166,7 @@ class _Options:
     keep_grain: bool = False
     bucket_members: int = MEMBERS
     sketches: bool = False
+    agent_rules: Sequence[Rule] = RULES
 
 
 def _until_committed(events: DataFrame, take, options: _Options) -> StarRun:
@@ -194,7 +199,7 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
             write_rejected(undated.select(*NATURAL_KEYS, "views", F.array(
                 F.lit("local_time: no valid date")).alias("violations")),
                 warehouse, UNDATED, batch_id)
-        agents = _agents(events)
+        agents = _agents(events, staging, options.agent_rules)
         grain = grain.filter(F.col("date").isNotNull())
         if hash_keys:
             fail_on_any(duplicate_keys(grain.select("fact_key"), ["fact_key"]),
@@ -327,15 +332,16 @@ def _grain_and_members(events: DataFrame, staging: Staging, latest_only: bool,
     return grain, all_members(grain, KINDS)
 
 
-def _agents(events: DataFrame) -> DataFrame | None:
-    """The user agent each device sent last, where events carry one.
+def _agents(events: DataFrame, staging: Staging, rules: Sequence[Rule] = RULES
+            ) -> DataFrame | None:
+    """The families of the user agent each device sent last, where events carry one.
 
     A read of its own: only events with an agent are looked at, and the grain stays an
     aggregate of plain numbers.
     """
     if "user_agent" not in events.columns:
         return None
-    return device_agents(events.filter(F.col("user_agent").isNotNull()))
+    return device_families(events.filter(F.col("user_agent").isNotNull()), staging, rules)
 
 
 def _hashed(members: DataFrame, warehouse: str, base: Version | None, staging: Staging
