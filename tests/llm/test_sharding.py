@@ -1,8 +1,12 @@
 """Balanced label propagation: exact sizes, few cut links, hot groups."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from viewstar.llm import sharding as s
 from viewstar.llm.queries import op8_label_propagation
 from llm_cases import SMALL, documents, small  # noqa: F401
@@ -56,6 +60,86 @@ def test_links_of_any_kind(documents, staging, spark):
     assert sum(shard[a] != shard[b] for a, b in pairs) <= 20
 
 
+@pytest.mark.parametrize("fan_out, chunk", [(4096, 1024), (3, 7), (1, 1)])
+def test_links_are_trees_of_bounded_fan_out(documents, staging, monkeypatch, fan_out, chunk):
+    monkeypatch.setattr(s, "FAN_OUT", fan_out)
+    monkeypatch.setattr(s, "CHUNK", chunk)
+    rng = random.Random(fan_out)
+    rows = [(n, rng.choice(["hot", "warm", f"{n % 31}", f"alone {n}"])) for n in range(900)]
+    got = {tuple(r) for r in s.equal_text_links(
+        documents(rows).repartition(6), 8, staging).collect()}
+    groups, expected = defaultdict(list), set()
+    for n, text in rows:
+        groups[text].append(n)
+    limit = min(fan_out, 900 // 64)
+    for ids in groups.values():
+        expected |= {(ids[k], ids[(k - 1) // limit]) for k in range(1, len(ids))}
+    assert got == expected
+    links = Counter(b for _, b in got)
+    assert max(links.values()) <= limit
+
+
+def rounds_by_hand(weights, links, shards, rounds, slack, first, chance):
+    """Shards of the linked nodes after the rounds, one node at a time."""
+    near = defaultdict(set)
+    for a, b in links:
+        if a != b:
+            near[a].add(b)
+            near[b].add(a)
+    shard = {node: first[node] for node in near}
+    capacity = int(-(-sum(weights.values()) // shards) * (1 + slack))
+    for number in range(rounds):
+        asked = []
+        for node, others in near.items():
+            if (min(others) < node) != (number % 2 == 0):
+                continue
+            votes, home = Counter(shard[b] for b in others), shard[node]
+            target = min(votes, key=lambda t: (-votes[t], t))
+            gain = votes[target] - votes[home]
+            if gain > 0:
+                slot = (s.GAINS - min(gain, s.GAINS)) * s.CHANCES + chance[number][node]
+                asked.append((slot, home, target, node))
+        size, out = Counter(), Counter()
+        for node, place in shard.items():
+            size[place] += weights[node]
+        for _, home, target, node in asked:
+            out[home, target] += weights[node]
+        over = {p: n - min(n, out.get(p[::-1], 0)) for p, n in out.items()}
+        into = Counter()
+        for (_, target), n in over.items():
+            into[target] += n
+        quota = {p: out[p] - over[p] + max(0, capacity - size[p[1]]) * over[p]
+                 // max(into[p[1]], 1) for p in out}
+        moves = {}
+        for pair in out:
+            taken = 0
+            for slot in sorted({a[0] for a in asked if a[1:3] == pair}):
+                nodes = [a[3] for a in asked if a[:3] == (slot, *pair)]
+                taken += sum(weights[n] for n in nodes)
+                if taken > quota[pair]:
+                    break
+                moves |= dict.fromkeys(nodes, pair[1])
+        shard |= moves
+    return shard
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rounds_by_brute_force(documents, staging, spark, seed):
+    rng = random.Random(seed)
+    ids = [n for n in range(240) for _ in range(1 + (n % 50 == 0))]
+    docs = documents([(n, str(n)) for n in ids])
+    links = [(n, n - n % 6) for n in range(120)] + [
+        (rng.randrange(200), rng.randrange(200)) for _ in range(90)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    nodes = spark.range(240).select(F.col("id").alias("node"))
+    first = {r[0]: r[1] for r in nodes.select("node", s.first_shard("node", 4)).collect()}
+    chance = [{r[0]: r[1] for r in nodes.select("node", F.pmod(F.xxhash64(
+        "node", F.lit(number)), F.lit(s.CHANCES))).collect()} for number in range(s.ROUNDS)]
+    got = s.propagated(docs, frame, 4, staging, slack=0.1)
+    assert {r["node"]: r["shard"] for r in got.collect()} == rounds_by_hand(
+        Counter(ids), links, 4, s.ROUNDS, 0.1, first, chance)
+
+
 def test_defined_cases(documents, staging):
     docs = documents([(1, "a"), (1, "a"), (2, None), (3, ""), (None, "a"), (None, None)])
     docs = docs.withColumnsRenamed({"lang": "shard", "source": "node", "n_chars": "near"})

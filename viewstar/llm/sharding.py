@@ -28,28 +28,48 @@ SHARDS = 8
 ROUNDS = 6
 #: Rows that a shard may hold above its equal share while documents move.
 SLACK = 0.02
+#: Links that a document of a large group has to those below it, at most.
+FAN_OUT = 4096
+CHUNK = 1024
 GAINS, CHANCES = 16, 64
 SLOTS = GAINS * CHANCES
 
 
 def equal_text_links(docs: DataFrame, shards: int, staging: Staging) -> DataFrame:
-    """Links (a, b) of documents with equal texts: a star per group, around the least id.
+    """Links (a, b) of documents with equal texts: a tree per group, the least id on top.
 
-    A group too large for one shard's eighth is cut by a hash of the id into stars of that
-    size, whose centres are linked. A null text is an empty text.
+    The members of a group are numbered in the order of their ids, and number k hangs on number
+    (k - 1) div f. So a group of up to f + 1 documents is a star, and no document of a larger
+    one has more than f + 1 links, however large the group: f is ``FAN_OUT``, or an eighth of a
+    shard if that is less. Numbers come from a range partitioning, which cuts a large group into
+    many tasks, and links are found by text and number. A null text is an empty text.
     """
     rows = staging.table(docs.where("doc_id IS NOT NULL").select("doc_id", F.md5(
         F.coalesce(F.col("text"), F.lit(""))).alias("same")).distinct(), "texts")
-    limit = max(1, rows.count() // (8 * shards))
-    groups = rows.groupBy("same").agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("centre")).where("n > 1")
-    members = staging.table(rows.join(groups, "same").withColumn("part", F.pmod(
-        F.xxhash64("doc_id"), F.ceil(F.col("n") / F.lit(limit)))), "members")
-    stars = members.groupBy("same", "part").agg(
-        F.min("doc_id").alias("star"), F.first("centre").alias("centre"))
-    leaves = members.select("doc_id", "same", "part").join(stars, ["same", "part"]).select(
-        F.col("doc_id").alias("a"), F.col("star").alias("b"))
-    return leaves.union(stars.select("star", "centre")).where("a <> b")
+    fan_out = max(1, min(FAN_OUT, rows.count() // (8 * shards)))
+    numbered = staging.table(_places(rows, staging), "members")
+    children = numbered.where("place > 0").select(
+        F.col("doc_id").alias("a"), "same", F.expr(f"(place - 1) div {fan_out}").alias("place"))
+    parents = numbered.select(F.col("doc_id").alias("b"), "same", "place")
+    return children.join(parents, ["same", "place"]).select("a", "b")
+
+
+def _places(rows: DataFrame, staging: Staging) -> DataFrame:
+    """(doc_id, same, place) of the groups of two or more, place 0, 1, 2 … in the order of ids.
+
+    All rows are numbered as one, and a group's first number is taken off. That number reaches
+    the rows by way of chunks of ``CHUNK`` numbers, so no key of a join is on more rows than a
+    chunk holds, or, between chunks and groups, than a group has chunks.
+    """
+    numbered = staging.table(number_rows(rows, ["same", "doc_id"], "number", staging).withColumn(
+        "chunk", F.expr(f"number div {CHUNK}")), "numbered")
+    chunks = numbered.groupBy("same", "chunk").agg(
+        F.min("number").alias("first"), F.count("*").alias("n"))
+    groups = chunks.groupBy("same").agg(
+        F.min("first").alias("start"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    starts = chunks.join(groups, "same").select("same", "chunk", "start")
+    return numbered.join(starts, ["same", "chunk"]).select(
+        "doc_id", "same", (F.col("number") - F.col("start")).alias("place"))
 
 
 def first_shard(doc_id: str, shards: int) -> Column:
