@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from viewstar.llm import near_duplicates as nd
+from viewstar.llm import graph, near_duplicates as nd
 from viewstar.llm.graph import components
 from llm_cases import LONG, LONG_WORD, documents, small  # noqa: F401
 
@@ -140,3 +140,30 @@ def test_components_of_a_path_and_a_star(spark, staging):
     edges = spark.createDataFrame(path + star + [(7, 7)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(edges, staging).collect()}
     assert got == {n: 0 for n in range(41)} | {n: 100 for n in range(100, 160)}
+
+
+@pytest.mark.parametrize("share", [1, 6, 10_000])
+def test_components_with_hubs_against_union_find(spark, staging, monkeypatch, share):
+    monkeypatch.setattr(graph, "HUB_SHARE", share)
+    rng = random.Random(share)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(190)]
+    edges += [(500, n) for n in range(501, 620)] + [(n, 700) for n in range(610, 700)]
+    parent = {n: n for edge in edges for n in edge}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    frame = spark.createDataFrame(edges + edges[:5], "a long, b long")
+    got = {r["node"]: r["root"] for r in components(frame, staging).collect()}
+    linked = {n for a, b in edges if a != b for n in (a, b)}
+    assert got == {n: root(n) for n in linked}
+
+
+def test_components_of_nothing(spark, staging):
+    edges = spark.createDataFrame([(3, 3), (None, 4), (4, None)], "a long, b long")
+    assert components(edges, staging).collect() == []
