@@ -1,10 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from viewstar.operators.facts import on_report_date
 from viewstar.operators.ingest import (
-    first_messages, landed, next_positions, route_counts, topic_counts)
+    first_messages, landed, last_offsets, next_positions, route_counts, topic_counts, up_to)
 from viewstar.plans.star import build_star
 from viewstar.schemas import ENVELOPE
 from viewstar.sinks.documents import stored_documents
@@ -286,6 +287,33 @@ def test_bounded_read_does_not_move_messages(spark, staging, tmp_path, plan):
     assert "Exchange hashpartitioning" not in text and "rangepartitioning" not in text
 
 
+def test_capped_runs_stay_small(spark, tmp_path, plan):
+    """A run asks for its messages by plain bounds, in few jobs, however many runs there are."""
+    source, path = str(tmp_path / "m"), str(tmp_path / "landing")
+    spark.createDataFrame([message(b"1", n) for n in range(60)], ENVELOPE).write.parquet(source)
+    messages = spark.read.parquet(source)
+    text = plan(up_to(messages, {"t/0": 7}))
+    assert "Join" not in text and "Exchange" not in text
+    one = messages.withColumn("topic", F.lit("t")).withColumn("partition", F.lit(0))
+    assert "LessThanOrEqual(offset,7)" in plan(up_to(one, {"t/0": 7}))
+    for run in range(3):
+        spark.sparkContext.setJobGroup(f"capped-{path}-{run}", "")
+        assert land_next(messages, path, 20)["messages"] == 20
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"capped-{path}-{run}")
+        assert len(jobs) <= 8
+    spark.sparkContext.setJobGroup("", "")
+    assert land_next(messages, path, 20)["messages"] == 0
+    assert landed_offsets(spark, path) == [(0, n) for n in range(60)]
+
+
+def test_positions_without_topic_or_partition_do_not_land(spark, staging):
+    rows = [message(b"1", 0), message(b"1", 1)]
+    odd = [(*rows[0][:2], None, *rows[0][3:]), (*rows[0][:3], None, *rows[0][4:])]
+    messages = spark.createDataFrame([*rows, *odd], ENVELOPE)
+    assert last_offsets(messages, 10, staging) == {"t/0": 1}
+    assert up_to(messages, {"t/0": 1}).count() == 2
+
+
 def test_bounded_read(spark, staging):
     rows = [message(b"1", offset * 3, partition) for partition in range(3)
             for offset in range(10)]
