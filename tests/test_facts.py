@@ -99,6 +99,21 @@ def test_lookup_ways_agree(staging, events, rows, limit):
     assert plain.exceptAll(merged).isEmpty()
 
 
+def test_shuffle_lookups_move_keys_instead_of_texts(staging, events, rows, plan):
+    """Small dimensions are looked up first, and no text goes on after its lookup."""
+    grain = staging.table(facts.view_grain(events(rows)), "grain")
+    dims = {table: staging.table(dimensions.dimension(grain, natural, staging), table)
+            for natural, (table, _) in NATURAL_KEYS.items()}
+    sizes = {table: 0 for table, _ in NATURAL_KEYS.values()} | {"dim_product": 2, "dim_device": 3}
+    fact = facts.fact_from_grain(grain, dims, sizes, broadcast_bytes=1)
+    moved = [line for line in plan(fact).splitlines() if " AS _on#" in line]
+    # The device is looked up last: by then product and referrer are keys.
+    assert len(moved) == 2 and "device_id#" in moved[0] and "product_key#" in moved[0]
+    assert not any("referrer_url#" in line.partition("Project")[2] for line in moved)
+    assert [name for name in facts.with_surrogate_keys(grain, dims, sizes, 1).columns
+            if name in NATURAL_KEYS] == []
+
+
 def test_groups_merge_where_members_are_missing(staging, events):
     df = events([("2024-01-01T00:00:10", "p", "s", "a", "d"),
                  ("2024-01-01T00:00:20", "p", "s", "b", "d"),

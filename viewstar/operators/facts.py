@@ -8,6 +8,7 @@ aggregated rows only.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -123,9 +124,10 @@ def _measures(views, visitors, first, last, seconds, timed) -> list[Column]:
     ]
 
 
-def _grain_measures() -> list[Column]:
+def _grain_measures(device: Column | None = None) -> list[Column]:
     # A group holds one device, so it has one visitor, or none where the device is null.
-    return _measures(F.col("views"), F.col("device_id").isNotNull().cast("int"),
+    known = F.col("device_id").isNotNull() if device is None else device
+    return _measures(F.col("views"), known.cast("int"),
                      F.col("first_view_time"), F.col("last_view_time"),
                      F.col("seconds"), F.col("timed_views"))
 
@@ -136,14 +138,22 @@ def _fact_key(grain: DataFrame) -> list[str]:
 
 def with_surrogate_keys(grain: DataFrame, dims: dict[str, DataFrame],
                         sizes: dict[str, int] | None = None,
-                        broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``grain``, a stored table, with the surrogate keys of the four member dimensions."""
+                        broadcast_bytes: int = BROADCAST_BYTES,
+                        keep: Sequence[str] = ()) -> DataFrame:
+    """``grain``, a stored table, with the surrogate keys of the four member dimensions in
+    place of the natural ones; those of ``keep`` stay beside theirs.
+
+    Small dimensions come first: where a larger one moves the rows, they carry short keys
+    instead of texts.
+    """
     if sizes is None:
         sizes = measured_sizes({table: (dims[table], natural)
                                 for natural, (table, _) in NATURAL_KEYS.items()})
     fact = grain
-    for natural, (table, key) in NATURAL_KEYS.items():
+    for natural, (table, key) in sorted(NATURAL_KEYS.items(), key=lambda item: sizes[item[1][0]]):
         fact = lookup(fact, dims[table], natural, key, sizes[table], grain, broadcast_bytes)
+        if natural not in keep:
+            fact = fact.drop(natural)
     return fact
 
 
@@ -155,8 +165,9 @@ def fact_from_grain(grain: DataFrame, dims: dict[str, DataFrame],
     Each grain row is one fact row. ``sizes`` are broadcast sizes already known.
     """
     fact = with_surrogate_keys(grain, dims, sizes, broadcast_bytes)
+    # Every device has a member.
     return fact.select(*_fact_key(grain), date_key("date").alias("date_key"),
-                       *FACT_KEYS[1:], *_grain_measures())
+                       *FACT_KEYS[1:], *_grain_measures(F.col("device_key").isNotNull()))
 
 
 def fact_by_lookup(grain: DataFrame, dims: dict[str, DataFrame],
@@ -169,7 +180,7 @@ def fact_by_lookup(grain: DataFrame, dims: dict[str, DataFrame],
     """
     # A calendar has at most 366 rows a year.
     calendar = F.broadcast(dims["dim_date"].select("date", "date_key"))
-    fact = with_surrogate_keys(grain, dims, sizes, broadcast_bytes).join(
+    fact = with_surrogate_keys(grain, dims, sizes, broadcast_bytes, ["device_id"]).join(
         calendar, "date", "left")
     merged = fact.groupBy(*FACT_KEYS).agg(
         F.sum("views").alias("views"), F.count_distinct("device_id").alias("visitors"),

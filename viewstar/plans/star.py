@@ -55,7 +55,10 @@ def star_frames(events: DataFrame, staging: Staging, latest_only: bool = False,
     cover every date): members and fact both come from the combined grain.
     """
     grain, members = _grain_and_members(
-        events, staging, latest_only, today, lambda part: staging.table(view_grain(part), "grain"))
+        events, staging, latest_only, today,
+        # Rows of a date and referrer side by side take less room here and in later shuffles.
+        lambda part: staging.table(view_grain(part).sortWithinPartitions(
+            "date", "referrer_url", "store_id"), "grain"))
     keyed = number_groups(members, "kind", KINDS, "member", "_number", staging)
     frames = _dimension_frames(keyed, {}, _agents(events, staging))
     frames["fact_product_views"] = fact_from_grain(grain, frames, _sizes(keyed))
