@@ -70,3 +70,12 @@ def test_size_decides(frames, plan):
     small = plan(L.lookup(fact, dim, "m", "k", size=L.BROADCAST_BYTES))
     large = plan(L.lookup(fact, dim, "m", "k", size=L.BROADCAST_BYTES + 1))
     assert "_on#" not in small and "_on#" in large
+
+
+def test_shuffle_lookup_that_nobody_asks_for_is_left_out(frames, plan):
+    """The dimension is known to have one row per key, so its join adds no row."""
+    fact, dim, rows, _ = frames
+    both = L.lookup(fact, dim, "m", "k", broadcast_bytes=-1)
+    assert "_target#" in plan(both)
+    assert "_target#" not in plan(both.select("id"))
+    assert both.select("id").count() == len(rows)

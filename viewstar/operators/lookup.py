@@ -50,7 +50,8 @@ def lookup(fact: DataFrame, dim: DataFrame, natural: str, key: str,
     ``fact`` derives from).
     """
     pairs = dim.select(F.col(natural).alias("_natural"), F.col(key))
-    if (measured_size(dim, natural) if size is None else size) <= broadcast_bytes:
+    size = measured_size(dim, natural) if size is None else size
+    if size <= broadcast_bytes:
         return fact.join(F.broadcast(pairs), F.col(natural) == F.col("_natural"),
                          "left").drop("_natural")
     return spread_lookup(fact, pairs, natural, key, fact if keys_of is None else keys_of)
@@ -83,7 +84,7 @@ def spread_lookup(fact: DataFrame, pairs: DataFrame, natural: str, key: str,
             F.broadcast(hot_values(keys_of, natural, share)
                         .select(F.col(natural).alias("_hot"))),
             F.col("_natural") == F.col("_hot"))
-        .select("_hot", F.col(key).alias("_hot_key")))
+        .groupBy("_hot").agg(F.min(key).alias("_hot_key")))
     row = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(SPREAD))
     cold = F.col(natural).isNotNull() & F.col("_hot").isNull()
     joined = (
@@ -91,6 +92,7 @@ def spread_lookup(fact: DataFrame, pairs: DataFrame, natural: str, key: str,
         .withColumn("_on", F.when(cold, F.concat(F.lit("="), F.col(natural)))
                     .otherwise(F.concat(F.lit("#"), row.cast("string"))))
     )
-    targets = pairs.select(F.concat(F.lit("="), F.col("_natural")).alias("_target"), key)
+    targets = pairs.groupBy(F.concat(F.lit("="), F.col("_natural")).alias("_target")).agg(
+        F.min(key).alias(key))
     return joined.join(targets, F.col("_on") == F.col("_target"), "left").select(
         *fact.columns, F.coalesce(F.col("_hot_key"), F.col(key)).alias(key))
