@@ -68,6 +68,35 @@ def test_round_trip_and_random_access(made):
             assert block.slice(n, start, end).tolist() == document[start:end]
 
 
+@given(DOCUMENTS)
+@settings(max_examples=150, deadline=None)
+def test_pairs_sorted_at_once_or_after_a_look_give_one_block(made):
+    ids, first = g._with_end(np.array([i for d in made * 3 for i in d], np.uint32),
+                             np.cumsum([0] + [len(d) for d in made * 3]), g.END_ID)
+    payloads = set()
+    for few in (0, 1 << 16):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(g, "_FEW", few)
+            payloads.add(g.pack(ids, first))
+    assert len(payloads) == 1
+    assert np.array_equal(np.concatenate(list(g.Block(payloads.pop()).documents())), ids)
+
+
+def test_common_pieces_are_looked_up_without_a_search(tokenizer, monkeypatch):
+    """Pieces met before are neither learned nor sorted among the known ones again."""
+    encoder = bpe.PieceEncoder(PATH)
+    texts = [f"word{n} is here" for n in range(50)]
+    encoder.encode(pa.array(texts))
+    asked = []
+    find = encoder.table._find
+    monkeypatch.setattr(encoder.table, "_find", lambda keys, *rest: (
+        asked.append(len(keys)), find(keys, *rest))[1])
+    ids, first = encoder.encode(pa.array(texts))
+    assert asked == [0]
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [
+        encoded(tokenizer, t) for t in texts]
+
+
 def test_runs_and_repeats_compress():
     ids = np.array(([5] * 999 + [7, 8, 9] * 500) * 2, np.uint32)
     ids, first = g._with_end(ids, np.array([0, len(ids)]), g.END_ID)

@@ -39,52 +39,89 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
+#: Hashes met lately stand in so many slots, so that common pieces are found without a sort.
+_FRONT = 20
+#: Bytes of new pieces that go to the tokenizer in one call.
+LEARN_BYTES = 1 << 18
+
+
 class PieceTable:
-    """Ids of distinct pieces, found by a 64-bit hash; ``tokenize`` is asked once per piece."""
+    """Ids of distinct pieces, found by a 64-bit hash; ``tokenize`` is asked once per piece.
 
-    def __init__(self, tokenize: Callable[[bytes], Sequence[int]]):
+    It takes some pieces and gives the ids of all, end to end, and how many each has.
+    """
+
+    def __init__(self, tokenize: Callable[[list[bytes]], tuple[Sequence[int], Sequence[int]]]):
         self.tokenize = tokenize
         self._forget()
 
     def _forget(self) -> None:
         # Sorted hashes of the pieces known, and the slot of each.
         self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        # By the first bits of the hash, the last piece met: its hash and slot.
+        self.front_keys = np.zeros(1 << _FRONT, np.uint64)
+        self.front_slots = np.full(1 << _FRONT, -1, np.int32)
         self.known = 0
         self.lengths = np.zeros(1 << 12, np.int32)
         self.starts = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def _learn(self, piece: bytes) -> None:
-        ids = self.tokenize(piece)
-        slot = self.known
-        if slot == len(self.lengths):
+    def _learn(self, pieces: list[bytes]) -> None:
+        ids, counts = self.tokenize(pieces)
+        counts = np.asarray(counts, np.int64)
+        known, used = self.known + len(pieces), self.used + len(ids)
+        while known > len(self.lengths):
             self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
             self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-        while self.used + len(ids) > len(self.ids):
+        while used > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.lengths[slot], self.starts[slot] = len(ids), self.used
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.known += 1
+        self.lengths[self.known:known] = counts
+        self.starts[self.known:known] = self.used + np.cumsum(counts) - counts
+        self.ids[self.used:used] = ids
+        self.known, self.used = known, used
 
-    def ids_of(self, data: np.ndarray, starts: np.ndarray,
-               ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces end to end, and the place of each piece's first id (plus the end)."""
-        keys, where, back = np.unique(
-            span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if self.known + len(keys) > CACHE_PIECES or self.used > CACHE_IDS:
-            self._forget()
+    def _find(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray,
+              ends: np.ndarray) -> np.ndarray | None:
+        """Slots of pieces that are not in front, by their hashes; None if there is no room."""
+        keys, where, back = np.unique(keys, return_index=True, return_inverse=True)
+        if self.known and (self.known + len(keys) > CACHE_PIECES or self.used > CACHE_IDS):
+            return None
         place = np.searchsorted(self.keys, keys)
         fresh = np.ones(len(keys), bool)
         inside = place < len(self.keys)
         fresh[inside] = self.keys[place[inside]] != keys[inside]
-        before, whole = self.known, data.tobytes()
-        for at in where[fresh].tolist():
-            self._learn(whole[starts[at]:ends[at]])
-        self.slots = np.insert(self.slots, place[fresh], np.arange(before, self.known))
+        before, at = self.known, where[fresh]
+        spans = list(zip(starts[at].tolist(), ends[at].tolist()))
+        whole = data.tobytes() if spans else b""
+        sizes = np.cumsum(ends[at] - starts[at]) // LEARN_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(spans)]
+        for first, last in zip(edges, edges[1:]):
+            if first < last:
+                self._learn([whole[start:end] for start, end in spans[first:last]])
+        slots = np.empty(len(keys), np.int32)
+        slots[fresh] = np.arange(before, self.known)
+        slots[~fresh] = self.slots[place[~fresh]]
+        self.slots = np.insert(self.slots, place[fresh], slots[fresh])
         self.keys = np.insert(self.keys, place[fresh], keys[fresh])
-        slots = self.slots[np.searchsorted(self.keys, keys)][back]
+        in_front = (keys >> np.uint64(64 - _FRONT)).astype(np.int64)
+        self.front_keys[in_front], self.front_slots[in_front] = keys, slots
+        return slots[back]
+
+    def ids_of(self, data: np.ndarray, starts: np.ndarray,
+               ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces end to end, and the place of each piece's first id (plus the end)."""
+        keys = span_hashes(data, starts, ends)
+        in_front = (keys >> np.uint64(64 - _FRONT)).astype(np.int64)
+        slots = self.front_slots[in_front]
+        missing = np.flatnonzero((self.front_keys[in_front] != keys) | (slots < 0))
+        found = self._find(keys[missing], data, starts[missing], ends[missing])
+        if found is None:
+            # Full: all pieces of this chunk are learned anew.
+            self._forget()
+            slots, missing = np.empty(len(keys), np.int32), slice(None)
+            found = self._find(keys, data, starts, ends)
+        slots[missing] = found
         lengths = self.lengths[slots].astype(np.int64)
         after = np.concatenate(([0], np.cumsum(lengths)))
         ids = self.ids[np.repeat(self.starts[slots] - after[:-1], lengths)
@@ -98,9 +135,24 @@ class PieceEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.classes = np.zeros(0x110000, np.uint8)
-        model, characters = self.tokenizer.model, byte_characters()
-        self.table = PieceTable(lambda piece: [
-            token.id for token in model.tokenize(piece.decode("latin-1").translate(characters))])
+        model = self.tokenizer.model
+        # The character of each byte, as the model writes it.
+        characters = byte_characters()
+        self._characters = np.array([ord(characters[b]) for b in range(256)], np.uint32)
+        self.table = PieceTable(functools.partial(self._merged, model.tokenize))
+
+    def _merged(self, tokenize, pieces: list[bytes]) -> tuple[list[int], list[int]]:
+        """Ids of some pieces end to end, and how many each has."""
+        text = self._characters[np.frombuffer(b"".join(pieces), np.uint8)].tobytes().decode(
+            "utf-32-le")
+        ids, counts, start = [], [], 0
+        for piece in pieces:
+            end = start + len(piece)
+            found = [token.id for token in tokenize(text[start:end])]
+            ids += found
+            counts.append(len(found))
+            start = end
+        return ids, counts
 
     def _class_of(self, code: int) -> int:
         def together(other: str) -> bool:
@@ -151,11 +203,16 @@ class PieceEncoder:
         data, offsets = text_buffer(column)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64)
-        heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-        codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
-        first = np.searchsorted(heads, offsets)
-        cuts = self._cut(codes.astype(np.int64), first)
-        starts = heads[cuts]
+        if data.max() < 0x80:
+            # One byte per character: places in the text are places in the bytes.
+            first = offsets
+            cuts = starts = self._cut(data, first)
+        else:
+            heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+            codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+            first = np.searchsorted(heads, offsets)
+            cuts = self._cut(codes, first)
+            starts = heads[cuts]
         ends = np.append(starts[1:], len(data))
         ids, after = self.table.ids_of(data, starts, ends)
         return ids, after[np.searchsorted(cuts, first)]

@@ -47,6 +47,8 @@ MAGIC, WIDE = b"VSG1", b"VSG2"
 BLOCKS = ("shard string, block int, before long, n_tokens long, doc_ids array<long>, "
           "payload binary")
 _SLOTS = 20
+#: So few pairs are sorted without a look at their slots.
+_FEW = 1 << 16
 
 
 def _slots(keys: np.ndarray) -> np.ndarray:
@@ -58,9 +60,12 @@ def _frequent(keys: np.ndarray, slots: np.ndarray):
 
     Slots with few pairs are left out before the rest is sorted and counted exactly.
     """
-    held = np.bincount(slots, minlength=1 << _SLOTS) >= MIN_COUNT
-    maybe = np.flatnonzero(held[slots])
-    ordered = np.sort(keys[maybe])
+    if len(keys) > _FEW:
+        held = np.bincount(slots, minlength=1 << _SLOTS) >= MIN_COUNT
+        maybe = np.flatnonzero(held[slots])
+        ordered = np.sort(keys[maybe])
+    else:
+        maybe, ordered = slice(None), np.sort(keys)
     if not len(ordered):
         return ordered, maybe
     edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
@@ -76,15 +81,19 @@ def compress(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY):
     Rounds go on until no pair is frequent. A pair can only be frequent if it was in the round
     before or holds a symbol made there, so later rounds look at those places alone.
     """
-    symbols = ids.astype(np.uint64)
+    symbols = ids.astype(np.uint32)
     head = np.zeros(len(ids), bool)
     head[first[:-1]] = True
     # Places whose pair (with the next symbol) may be frequent; table: rank of a slot's pair.
     live = np.flatnonzero(~head[1:])
-    table = np.full(1 << _SLOTS, -1)
+    table = np.full(1 << _SLOTS, -1, np.int32)
+    # Rank of the pair at each place, twice as much; none elsewhere. Place p stands at p + 1, so
+    # that both ends have a neighbour.
+    none = np.iinfo(np.int32).max
+    order = np.full(len(symbols) + 2, none, np.int32)
     lefts, rights, known = [], [], 0
     while len(live):
-        keys = (symbols[live] << np.uint64(32)) | symbols[live + 1]
+        keys = (symbols[live].astype(np.uint64) << np.uint64(32)) | symbols[live + 1]
         slots = _slots(keys)
         pairs, maybe = _frequent(keys, slots)
         if not len(pairs):
@@ -98,16 +107,16 @@ def compress(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY):
         hit = (rank >= 0) & (pairs[rank] == keys)
         places, rank = live[hit], rank[hit]
         # Of overlapping pairs the more frequent wins; in a run of one symbol, every other.
-        # Place p stands at p + 1, so that both ends have a neighbour.
-        order = np.full(len(symbols) + 2, np.iinfo(np.int64).max)
         order[places + 1] = rank * 2
-        follows = order[places] == order[places + 1]
-        if follows.any():
-            number = np.arange(len(places))
-            run = number - np.maximum.accumulate(np.where(follows, 0, number))
-            order[places + 1] += run % 2
+        follows = np.flatnonzero(order[places] == order[places + 1])
+        if len(follows):
+            number = np.arange(len(follows))
+            begins = np.append(True, follows[1:] != follows[:-1] + 1)
+            run = number - np.maximum.accumulate(np.where(begins, number, 0)) + 1
+            order[places[follows] + 1] += (run & 1).astype(np.int32)
         own = order[places + 1]
         chosen = (own < order[places]) & (own < order[places + 2])
+        order[places + 1] = none
         places, rank = places[chosen], rank[chosen]
         # The most frequent pair has two places at least, so each round gets further.
         used = np.bincount(rank, minlength=len(pairs)) >= 2
@@ -117,7 +126,7 @@ def compress(ids: np.ndarray, first: np.ndarray, vocabulary: int = VOCABULARY):
         lefts.append((pairs[used] >> np.uint64(32)).astype(np.int64))
         rights.append((pairs[used] & np.uint64(0xFFFFFFFF)).astype(np.int64))
         known += int(used.sum())
-        symbols[places] = fresh[rank].astype(np.uint64)
+        symbols[places] = fresh[rank]
         look = np.zeros(len(symbols) + 1, bool)
         look[live] = True
         look[places] = True

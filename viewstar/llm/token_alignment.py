@@ -97,11 +97,12 @@ class Pieces:
         self.by_word = not any(BLANK in piece.lstrip(BLANK) for piece in pieces) and all(
             "".join(self.model.encode(text, out_type=str)) == BLANK + text.replace(" ", BLANK)
             for text in ("a ", "  a  a", " ", "   "))
-        self.table = PieceTable(self._word)
+        self.table = PieceTable(self._words)
 
-    def _word(self, piece: bytes) -> list[int]:
-        text = piece.decode()[1:]
-        return self.model.encode(text) if text else [self.blank]
+    def _words(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
+        texts = [piece.decode()[1:] for piece in pieces]
+        found = [self.model.encode(text) if text else [self.blank] for text in texts]
+        return [n for ids in found for n in ids], [len(ids) for ids in found]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_buffer(column)
