@@ -204,3 +204,18 @@ def test_raw_events_shuffle_once_and_combine_first(events, rows, plan):
     assert text.count("Exchange") == 1
     assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
     assert "EvalPython" not in text
+
+
+def test_events_as_views_merge_to_the_grain(events):
+    """One row per event, merged, is the grain, whatever is null, undated or not a time."""
+    rows = events([
+        ("2024-01-01T10:00:00", "1", "s", "direct", "d"),
+        ("2024-01-01T12:00:00", "1", "s", "direct", "d"),
+        ("2024-01-01 garbage", "1", "s", "direct", "d"),
+        ("2024-01-02 garbage", "1", None, "", None),
+        ("garbage", None, None, None, None), (None, None, None, None, None)])
+    grain = facts.view_grain(rows)
+    merged = facts.merged_grain(facts.event_views(rows)).select(*grain.columns)
+    assert [(f.name, f.dataType) for f in merged.schema] == [
+        (f.name, f.dataType) for f in grain.schema]
+    assert sorted(map(str, merged.collect())) == sorted(map(str, grain.collect()))

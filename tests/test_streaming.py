@@ -520,3 +520,60 @@ def test_violation_does_not_stop_a_refresh(spark, tmp_path, topic):
     with pytest.raises(Exception, match="too long"):
         run(start_star_refresh(spark, landing, str(tmp_path / "w2"), str(tmp_path / "ck3"),
                                strict=True))
+
+
+@pytest.mark.parametrize("by_shuffle", [False, True])
+def test_refresh_moves_views_once(spark, tmp_path, topic, monkeypatch, by_shuffle):
+    """A batch's events meet the kept views in one shuffle, without a table of their own, and rows
+    that lie by date are written where they are; those that a lookup moved are gathered."""
+    import functools
+
+    from viewstar.operators.facts import fact_from_grain
+    from viewstar.plans import star
+    from viewstar.staging import Staging
+
+    hints, tables, frame = [], [], type(spark.range(1))
+    hint, table = frame.hint, Staging.table
+    monkeypatch.setattr(frame, "hint", lambda self, *args: (
+        hints.append(args), hint(self, *args))[1])
+    monkeypatch.setattr(Staging, "table", lambda self, df, label: (
+        tables.append(label), table(self, df, label))[1])
+    if by_shuffle:
+        monkeypatch.setattr(star, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(star, "fact_from_grain", functools.partial(
+            fact_from_grain, broadcast_bytes=-1))
+    landing, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    for sent in (FIRST, [LATE, *SECOND]):
+        topic.send(sent)
+        run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
+        run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck2")))
+    assert "members" in tables and "delta" not in tables
+    assert hints.count(("rebalance", "date_key")) == (2 if by_shuffle else 0)
+    whole = str(tmp_path / "whole")
+    build_star(events_of(landing_table(spark, landing)), whole, latest_only=False)
+    stored, built = [
+        read_table(spark, path, "fact_product_views").select(
+            "fact_key", "date_key", "view_count").sort("fact_key").collect()
+        for path in (warehouse, whole)]
+    assert stored == built
+    verify(spark, warehouse)
+
+
+def test_refresh_that_fails_beside_the_kept_views_leaves_nothing(spark, tmp_path, topic,
+                                                                 monkeypatch):
+    """The kept views are written beside other steps: none of them stays if another fails."""
+    from viewstar.plans import star
+    landing, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+
+    def fails(*_):
+        raise OSError("disk")
+    monkeypatch.setattr(star, "write_fact", fails)
+    topic.send(FIRST)
+    run(start_landing(topic.stream(), landing, str(tmp_path / "ck1")))
+    with pytest.raises(Exception, match="disk"):
+        run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck2")))
+    assert not list((tmp_path / "warehouse").glob("*/run=*"))
+    monkeypatch.undo()
+    run(start_star_refresh(spark, landing, warehouse, str(tmp_path / "ck2")))
+    verify(spark, warehouse)
+    assert len(list((tmp_path / "warehouse").glob("view_grain/run=*"))) == 1

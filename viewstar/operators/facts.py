@@ -73,6 +73,19 @@ def view_grain(events: DataFrame) -> DataFrame:
     )
 
 
+def event_views(events: DataFrame) -> DataFrame:
+    """Each event as a row of the shape of the grain: ``merged_grain`` combines them, alone or
+    with grains, in one shuffle."""
+    seconds = epoch_seconds("_time")
+    return events.select(
+        event_date("local_time").alias("date"), *NATURAL_KEYS,
+        event_time("local_time").alias("_time")
+    ).select(
+        "date", *NATURAL_KEYS, F.lit(1).cast("bigint").alias("views"),
+        F.col("_time").alias("first_view_time"), F.col("_time").alias("last_view_time"),
+        seconds.isNotNull().cast("bigint").alias("timed_views"), seconds.alias("seconds"))
+
+
 #: How the measures of the grain add up: over events of one date that came in several batches.
 MERGES = {"views": F.sum, "first_view_time": F.min, "last_view_time": F.max,
           "timed_views": F.sum, "seconds": F.sum}

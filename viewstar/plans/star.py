@@ -17,9 +17,9 @@ from viewstar.functions.times import date_key, event_date
 from viewstar.operators.buckets import MEMBERS, bucket_count, touched
 from viewstar.operators.dimensions import COLUMNS, device_families, dim_date
 from viewstar.operators.facts import (
-    fact_by_lookup, fact_from_grain, fact_from_hash_keys, hash_keyed_grain, keyed_grain,
-    merged_grain, on_report_date, view_grain)
-from viewstar.operators.lookup import broadcast_size
+    event_views, fact_by_lookup, fact_from_grain, fact_from_hash_keys, hash_keyed_grain,
+    keyed_grain, merged_grain, on_report_date, view_grain)
+from viewstar.operators.lookup import BROADCAST_BYTES, broadcast_size
 from viewstar.operators.members import all_members
 from viewstar.operators.numbering import Group, hash_key, number_groups
 from viewstar.operators.quality import (
@@ -130,12 +130,17 @@ def merge_star(events: DataFrame, warehouse: str, stream: str, batch: int,
     """
     spark = events.sparkSession
 
+    # Events that carry their date lie in folders of the landing table, which do not change: they
+    # are combined in the one shuffle that merges them. Others are read once and combined first.
+    landed = "event_date" in events.columns
+
     def take(staging: Staging, base: Version | None):
-        delta = staging.table(view_grain(events), "delta")
+        delta = event_views(events) if landed else staging.table(view_grain(events), "delta")
+        dates = events.select(F.col("event_date").alias("date")) if landed else delta.select("date")
         kept = base.partitions(GRAIN) if base else {}
         built = base.partitions(FACT) if base else {}
         # One value per calendar day of the batch.
-        days = [row.date for row in delta.select("date").distinct().collect() if row.date]
+        days = [row.date for row in dates.distinct().collect() if row.date]
         names = {day: date_name(day) for day in days}
         unkept = [day for day in days if names[day] in built and names[day] not in kept]
         versions = Versions(spark, warehouse)
@@ -146,7 +151,7 @@ def merge_star(events: DataFrame, warehouse: str, stream: str, batch: int,
             parts.append(versions.read(GRAIN, _grain_schema(), folders))
         if unkept:
             parts.append(view_grain(events_of_dates(unkept)))
-        whole = merged_grain(*parts) if len(parts) > 1 else delta
+        whole = merged_grain(*parts) if landed or len(parts) > 1 else delta
         keyed = (hash_keyed_grain if hash_keys else keyed_grain)(whole, staging)
         return keyed, all_members(keyed, KINDS)
 
@@ -191,22 +196,34 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
     if base and not replace:
         _same_sort_of_keys(base, hash_keys)
     started, name_of_run = [], new_run()
-    with Staging(events.sparkSession) as staging:
+    # What needs no other step is done beside them, so short jobs do not leave the cluster idle.
+    with (Staging(events.sparkSession) as staging,
+          _dropped_on_failure(versions, name_of_run, started), ThreadPoolExecutor(2) as beside):
         options.before("grain")
         grain, members = take(staging, base)
-        if grain.isEmpty() and events.isEmpty():
-            return run
         undated = grain.filter(F.col("date").isNull())
-        run.rejected[UNDATED] = undated.count()
+        groups = grain.agg(F.count("*").alias("all"),
+                           F.count_if(F.col("date").isNull()).alias("undated")).first()
+        if not groups["all"] and events.isEmpty():
+            return run
+        run.rejected[UNDATED] = groups["undated"]
         if run.rejected[UNDATED]:
             write_rejected(undated.select(*NATURAL_KEYS, "views", F.array(
                 F.lit("local_time: no valid date")).alias("violations")),
                 warehouse, UNDATED, batch_id)
-        agents = _agents(events, staging, options.agent_rules)
+        agents = beside.submit(_agents, events, staging, options.agent_rules)
         grain = grain.filter(F.col("date").isNotNull())
         if hash_keys:
             fail_on_any(duplicate_keys(grain.select("fact_key"), ["fact_key"]),
                         "fact hash key collision")
+
+        def write_kept() -> None:
+            options.before(GRAIN)
+            started.append(GRAIN)
+            write_grain(grain.withColumn("date_key", date_key("date")).select(
+                "date_key", *_grain_schema().names), warehouse, name_of_run, not hash_keys)
+
+        kept = beside.submit(write_kept) if options.keep_grain else None
         options.before("members")
         known = None
         if base and not replace:
@@ -225,7 +242,7 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
             new = number_groups(members, "kind", KINDS, "member", "_number", staging)
             if known is not None:
                 highest = ledger["highest"]
-        frames = _dimension_frames(new, highest, agents)
+        frames = _dimension_frames(new, highest, agents.result())
 
         checked = {name: _checked(df, name, options.url_limit) for name, df in frames.items()}
         kinds = dict(zip(frames, KINDS))
@@ -247,55 +264,61 @@ def _build(events: DataFrame, take, options: _Options, versions: Versions) -> St
             if run.rejected[name]:
                 write_rejected(checked[name], warehouse, name, batch_id)
 
-        try:
-            # Independent writes: small dimensions do not leave the cluster idle one by one.
-            with ThreadPoolExecutor(len(frames)) as pool:
-                list(pool.map(write, frames))
-
-            # A rejected member is a key without a match, so groups may fall together.
-            complete = not any(run.rejected[name] for name in frames)
-            if hash_keys and complete:
-                fact = fact_from_hash_keys(grain)
-            else:
-                dims = _members_of_run(checked, known)
-                fact = (fact_from_grain if complete else fact_by_lookup)(
-                    grain, dims, _sizes(new, known))
-            views = _checked(fact.withColumn("batch_id", F.lit(batch_id)), FACT)
-            options.before(FACT)
-            started.append(FACT)
-            run.written[FACT], run.rejected[FACT] = write_fact(
-                views, warehouse, name_of_run, options.strict)
-            if run.rejected[FACT]:
-                write_rejected(views, warehouse, FACT, batch_id)
-            if options.keep_grain:
-                options.before(GRAIN)
-                started.append(GRAIN)
-                write_grain(grain.withColumn("date_key", date_key("date")).select(
-                    "date_key", *_grain_schema().names), warehouse, name_of_run)
-            if options.sketches:
-                options.before(SKETCHES)
-                started.append(SKETCHES)
-                # From what was written: the rows that hold, without the work that made them.
-                write_sketches(versions.read(
-                    FACT, TABLES[FACT].struct(), versions.written(FACT, name_of_run)),
-                    warehouse, name_of_run)
-            # Every group of the grain is a row of the fact, but for those set aside.
-            days = {partition_value(folder) for folder in versions.written(FACT, name_of_run)}
-            if run.rejected[FACT]:
-                days |= {date_name(row.date)
-                         for row in grain.select("date").distinct().collect()}
-            for name in (FACT, GRAIN, SKETCHES):
-                old = {} if replace or not base else base.partitions(name)
-                tables[name] = [folder for day, folders in old.items() for folder in folders
-                                if day not in days] + versions.written(name, name_of_run)
-            options.before("commit")
-            versions.commit(base, tables, [], _ledger(ledger, options, highest, new))
-        except BaseException:
-            versions.drop_run(name_of_run, started)
-            raise
+        # Independent writes: small dimensions do not leave the cluster idle one by one.
+        with ThreadPoolExecutor(len(frames)) as pool:
+            list(pool.map(write, frames))
+
+        # A rejected member is a key without a match, so groups may fall together.
+        complete = not any(run.rejected[name] for name in frames)
+        # Rows of a dense grain lie by date, and only a lookup by shuffle moves them.
+        gathered = False
+        if hash_keys and complete:
+            fact = fact_from_hash_keys(grain)
+        else:
+            dims, sizes = _members_of_run(checked, known), _sizes(new, known)
+            fact = (fact_from_grain if complete else fact_by_lookup)(grain, dims, sizes)
+            gathered = (not hash_keys and complete
+                        and max(sizes.values()) <= BROADCAST_BYTES)
+        views = _checked(fact.withColumn("batch_id", F.lit(batch_id)), FACT)
+
+        options.before(FACT)
+        started.append(FACT)
+        run.written[FACT], run.rejected[FACT] = write_fact(
+            views, warehouse, name_of_run, options.strict, gathered)
+        if run.rejected[FACT]:
+            write_rejected(views, warehouse, FACT, batch_id)
+        if kept:
+            kept.result()
+        if options.sketches:
+            options.before(SKETCHES)
+            started.append(SKETCHES)
+            # From what was written: the rows that hold, without the work that made them.
+            write_sketches(versions.read(
+                FACT, TABLES[FACT].struct(), versions.written(FACT, name_of_run)),
+                warehouse, name_of_run)
+        # Every group of the grain is a row of the fact, but for those set aside.
+        days = {partition_value(folder) for folder in versions.written(FACT, name_of_run)}
+        if run.rejected[FACT]:
+            days |= {date_name(row.date)
+                     for row in grain.select("date").distinct().collect()}
+        for name in (FACT, GRAIN, SKETCHES):
+            old = {} if replace or not base else base.partitions(name)
+            tables[name] = [folder for day, folders in old.items() for folder in folders
+                            if day not in days] + versions.written(name, name_of_run)
+        options.before("commit")
+        versions.commit(base, tables, [], _ledger(ledger, options, highest, new))
     return run
 
 
+@contextlib.contextmanager
+def _dropped_on_failure(versions: Versions, run: str, started: list[str]):
+    try:
+        yield
+    except BaseException:
+        versions.drop_run(run, started)
+        raise
+
+
 def _ledger(old: dict, options: _Options, highest: dict[str, int], new: dict[str, Group]) -> dict:
     batches = dict(old.get("batches", {}))
     if options.batch:

@@ -20,10 +20,12 @@ GRAIN = "view_grain"
 
 def _write(checked: DataFrame, name: str, strict: bool, path: str,
            partition_by: tuple[str, ...],
-           placed: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[int, int]:
+           placed: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+           gathered: bool = False) -> tuple[int, int]:
     """Write the rows without violations; returns ``(written, rejected)`` row counts.
 
-    The counts come with the write, not from another job.
+    The counts come with the write, not from another job. Rows that are ``gathered``, as those of
+    a folder lie together already, are written where they are.
     """
     table = TABLES[name]
     seen = Observation(f"write {name}")
@@ -31,9 +33,7 @@ def _write(checked: DataFrame, name: str, strict: bool, path: str,
     counted = checked.observe(seen, F.count_if(~broken).alias("written"),
                               F.count_if(broken).alias("rejected"))
     kept = enforce(counted, table) if strict else counted.filter(~broken)
-    # Few files per folder: rows meet by folder, and a hot folder's rows are split
-    # into partitions of the advised size.
-    rows = placed(align(kept, table)).hint("rebalance", *partition_by)
+    rows = _by_folder(placed(align(kept, table)), gathered, *partition_by)
     rows.write.partitionBy(*partition_by).parquet(path)
     # Where no row is left to write, the plan that was run may hold no observation any more.
     counts = observed(seen) or checked.agg(
@@ -41,6 +41,12 @@ def _write(checked: DataFrame, name: str, strict: bool, path: str,
     return counts["written"], counts["rejected"]
 
 
+def _by_folder(rows: DataFrame, gathered: bool, *partition_by: str) -> DataFrame:
+    """Few files per folder: rows meet by folder, unless they lie so, and a hot folder's rows are
+    split into partitions of the advised size."""
+    return rows if gathered else rows.hint("rebalance", *partition_by)
+
+
 def write_dimension(checked: DataFrame, warehouse: str, name: str, run: str,
                     strict: bool, buckets: int = 1) -> tuple[int, int]:
     """Write a run's new members to the run's folder, one folder per bucket in it."""
@@ -49,10 +55,12 @@ def write_dimension(checked: DataFrame, warehouse: str, name: str, run: str,
                   lambda rows: in_buckets(rows, natural, buckets))
 
 
-def write_fact(checked: DataFrame, warehouse: str, run: str, strict: bool) -> tuple[int, int]:
+def write_fact(checked: DataFrame, warehouse: str, run: str, strict: bool,
+               gathered: bool = False) -> tuple[int, int]:
     """Write a run's dates to the run's folder, one folder per date in it."""
     return _write(checked, "fact_product_views", strict,
-                  run_path(warehouse, "fact_product_views", run), ("date_key",))
+                  run_path(warehouse, "fact_product_views", run), ("date_key",),
+                  gathered=gathered)
 
 
 def write_sketches(fact: DataFrame, warehouse: str, run: str) -> None:
@@ -61,9 +69,9 @@ def write_sketches(fact: DataFrame, warehouse: str, run: str) -> None:
      .parquet(run_path(warehouse, SKETCHES, run)))
 
 
-def write_grain(grain: DataFrame, warehouse: str, run: str) -> None:
+def write_grain(grain: DataFrame, warehouse: str, run: str, gathered: bool = False) -> None:
     """Write the combined views a fact was made of, in the layout of the fact."""
-    (grain.hint("rebalance", "date_key").write.partitionBy("date_key")
+    (_by_folder(grain, gathered, "date_key").write.partitionBy("date_key")
      .parquet(run_path(warehouse, GRAIN, run)))
 
 
