@@ -12,6 +12,7 @@ from viewstar.sinks.documents import stored_documents
 from viewstar.sources.landing import (
     events_of, landing_table, latest_landed_day, of_dates)
 from viewstar.sources.warehouse import read_table
+from viewstar.streaming import landing
 from viewstar.streaming.bridge import bridge_batch, bridge_next, start_bridge, to_folder
 from viewstar.streaming.landing import (
     append, compact, land_batch, land_next, start_landing)
@@ -306,6 +307,71 @@ def test_capped_runs_stay_small(spark, tmp_path, plan):
     assert landed_offsets(spark, path) == [(0, n) for n in range(60)]
 
 
+def test_short_runs_do_not_count_all_positions(spark, tmp_path, monkeypatch):
+    """Within a partition a run reads the offsets it lands, in few jobs, and no other positions."""
+    source, path = str(tmp_path / "m"), str(tmp_path / "landing")
+    spark.createDataFrame([message(b"1", n, p) for p in (0, 1) for n in range(60)],
+                          ENVELOPE).write.parquet(source)
+    messages = spark.read.parquet(source)
+    land_next(messages, path, 20)
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "last_offsets", None)
+        for run in range(2):
+            spark.sparkContext.setJobGroup(f"short-{path}-{run}", "")
+            assert land_next(messages, path, 20)["messages"] == 20
+            jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"short-{path}-{run}")
+            assert len(jobs) <= 4
+    spark.sparkContext.setJobGroup("", "")
+    # The next partition is not known yet, so positions are counted; and it is one version.
+    assert land_next(messages, path, 20)["messages"] == 20
+    assert land_next(messages, path, 50)["messages"] == 40
+    assert land_next(messages, path, 50)["messages"] == 0
+    assert Versions(spark, path).latest().number == 5
+    assert landed_offsets(spark, path) == [(p, n) for p in (0, 1) for n in range(60)]
+
+
+def brute_run(rows, held, cap):
+    """The rows of a capped run in plain Python, and the positions after it."""
+    def place(row):
+        return row[2] is not None, row[2] or "", row[3] is not None, row[3] or 0, row[4]
+    unread_rows = sorted((r for r in rows if r[4] >= held.get((r[2], r[3]), 0)), key=place)
+    last = {(r[2], r[3]): r[4] for r in unread_rows[:cap] if None not in r[2:4]}
+    return ([r for r in unread_rows if r[4] <= last.get((r[2], r[3]), -1)],
+            held | {name: offset + 1 for name, offset in last.items()})
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_capped_runs_against_brute_force(spark, tmp_path, odd):
+    """Gaps, repeated offsets, topics of odd names, messages that come late to early partitions."""
+    path = str(tmp_path / "landing")
+
+    def rows_of(topic, partition, offsets):
+        return [(*message(b'{"a": 1}', n)[:2], topic, partition, n, *message(b"1", n)[5:])
+                for n in offsets]
+    rows = [*rows_of("a/b", 0, range(9)), *rows_of("a/b", 2, [0, 1, 4, 5, 6, 50, 51, 52, 53]),
+            *rows_of("it's", 1, [0, 0, 1, 2, 3, 3, 3, 4, 5, 6, 7, 8])]
+    late = [*rows_of("a/b", 0, range(9, 12)), *rows_of("a/b", 1, range(3))]
+    odd_rows = [*rows_of(None, 0, [3]), *rows_of("a/b", None, [1])] if odd else []
+    rows += odd_rows
+    held, landed_rows = {}, []
+    frame = spark.createDataFrame(rows, ENVELOPE)
+    for run, cap in enumerate((3, 3, 3, 4, 4, 5, 4, 4, 4, 4, 30, 30)):
+        if run == 6:
+            rows += late
+            frame = spark.createDataFrame(rows, ENVELOPE)
+            # The version before the last one may be gone.
+            Versions(spark, path).vacuum(keep=1, hours=-1)
+        want, held = brute_run(rows, held, cap)
+        landed_rows += want
+        counts = land_next(frame, path, cap)
+        assert counts == {"messages": len(want), "doc": len(want), "raw": 0, "error": 0}
+        got = landing_table(spark, path).select("topic", "partition", "offset").collect()
+        assert sorted(map(tuple, got)) == sorted(r[2:5] for r in landed_rows)
+        assert Versions(spark, path).latest().ledger["positions"] == {
+            f"{topic}/{partition}": end for (topic, partition), end in held.items()}
+    assert len(landed_rows) == len(rows) - len(odd_rows)
+
+
 def test_positions_without_topic_or_partition_do_not_land(spark, staging):
     rows = [message(b"1", 0), message(b"1", 1)]
     odd = [(*rows[0][:2], None, *rows[0][3:]), (*rows[0][:3], None, *rows[0][4:])]
